@@ -21,7 +21,7 @@ from tallyward.operators import (
     staging,
 )
 from tallyward.plans import dashboards, incremental, report
-from tallyward.plans.daily_run import DailyRun
+from tallyward.plans.daily_run import PROFILE_METRICS, PROFILED, DailyRun
 from tallyward.plans.models import Models, build_models
 from tallyward.sources import storage
 from tallyward.sources.contract import RAW_CONTRACT
@@ -31,8 +31,6 @@ from tallyward.streaming import daily_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DAYS = (date(2020, 1, 15), date(2020, 6, 30), TEST_DAY)
-PROFILED_DAILY = ("new_confirmed", "new_deceased", "new_hospitalized_patients", "current_ventilator_patients", "stringency_index")
-DAILY_METRICS = ("average", "standard_deviation", "zero_count")
 
 def _models(spark: SparkSession, directory: str, as_of: date = TEST_DAY) -> Models:
     return build_models(raw_observations(spark, directory), as_of)
@@ -203,7 +201,7 @@ def model_run_times(spark: SparkSession, directory: str) -> DataFrame:
 
 def metric_anomaly(spark: SparkSession, directory: str) -> DataFrame:
     staged = _models(spark, directory).staged
-    daily = observability.column_metrics(staged, PROFILED_DAILY, by=["date"], only=DAILY_METRICS)
+    daily = observability.column_metrics(staged, PROFILED, by=["date"], only=PROFILE_METRICS)
     return observability.metric_anomalies(daily)
 
 
@@ -222,13 +220,19 @@ def schema_changes(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, directory: str) -> DataFrame:
+    """The report, with the base and the arrivals stored once and read by everything that follows from them."""
     raw = raw_observations(spark, directory)
     models = build_models(raw, TEST_DAY)
+    base_path, arrivals_path = storage.new_path(spark, "base"), storage.new_path(spark, "arrivals")
+    storage.write_counted(models.base, base_path)
+    storage.write_counted(observability.arrivals(models.staged), arrivals_path)
+    base, arrivals = spark.read.parquet(base_path), spark.read.parquet(arrivals_path)
+    volume = observability.daily_volume(arrivals, "stg_covid19", "row_count")
     return report.quality_report(
-        tests=column_checks.declared_tests(models.staged, models.base),
-        expectations=expectations.validate(models.impact, expectations.IMPACT_SUITE),
-        fresh=observability.freshness(models.staged, "stg_covid19", TEST_DAY),
-        volume=volume_anomaly(spark, directory),
+        tests=column_checks.declared_tests(models.staged, base),
+        expectations=expectations.validate(marts.pandemic_impact(base), expectations.IMPACT_SUITE),
+        fresh=observability.freshness(arrivals, "stg_covid19", TEST_DAY),
+        volume=observability.volume_anomalies(volume),
         metrics=metric_anomaly(spark, directory),
         contract=schemas.contract_report(raw, RAW_CONTRACT, "covid19_raw"),
     )

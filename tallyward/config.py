@@ -16,7 +16,8 @@ class Config:
     """Where a run reads and writes, and how it treats bad data.
 
     ``source_path`` and ``raw_path`` must not be empty. ``as_of`` replaces today's date everywhere, so that a
-    run can be repeated. ``on_bad_data`` says what a failing expectation does: the default only reports it.
+    run can be repeated. ``raw_partition_by=("date",)`` lets the gate and refreshes of some days read those days only,
+    for the price of one shuffle of the raw data; by default the raw zone is written as it comes. ``on_bad_data`` says what a failing expectation does: the default only reports it.
     """
 
     source_path: str
@@ -25,6 +26,7 @@ class Config:
     source_options: Mapping[str, str] = field(default_factory=dict)
     history_path: str = ""
     raw_table: str = "covid19_raw"
+    raw_partition_by: tuple[str, ...] = ()
     database: str = ""
     monitoring_prefix: str = "monitoring_"
     as_of: date | None = None
@@ -60,13 +62,12 @@ class Config:
             if prefix + name.upper() in env
         }
         as_of = env.get(prefix + "AS_OF")
+        partition_by = env.get(prefix + "RAW_PARTITION_BY", "")
         return cls(
             **({"source_path": "", "raw_path": ""} | text),
+            raw_partition_by=tuple(name for name in partition_by.split(",") if name),
             as_of=date.fromisoformat(as_of) if as_of else None,
         )
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}" if self.database else name
-
-    def monitoring_table(self, name: str) -> str:
-        return self.table(self.monitoring_prefix + name)

@@ -89,12 +89,16 @@ def distinct_estimates(df: DataFrame, columns: Iterable[str] | None = None, rsd:
     )
 
 
-def daily_volume(df: DataFrame, table_name: str, date_column: str = "date") -> DataFrame:
-    """(table_name, date, row_count)."""
+def arrivals(df: DataFrame, key: str = "country_code", date_column: str = "date") -> DataFrame:
+    """(date, key, row_count): the small frame that volume and freshness can both be read from."""
+    return df.groupBy(F.col(date_column).alias("date"), key).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def daily_volume(df: DataFrame, table_name: str, weight: str | None = None) -> DataFrame:
+    """(table_name, date, row_count); ``weight`` names the count where the rows were counted already."""
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return (
-        df.groupBy(F.col(date_column).alias("date"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(table_name).alias("table_name"), "date", "row_count")
+        df.groupBy("date").agg(rows.alias("row_count")).select(F.lit(table_name).alias("table_name"), "date", "row_count")
     )
 
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyward.functions.frames import rows_from_aggregate
 
+SNAPSHOT_SCHEMA = "table_name string, column_name string, data_type string, filled_rows bigint"
+
 
 def schema_snapshot(df: DataFrame, table_name: str, columns_per_pass: int = 90) -> DataFrame:
     """(table_name, column_name, data_type, filled_rows): the schema, and how many rows use each column."""
@@ -31,48 +34,69 @@ def schema_snapshot(df: DataFrame, table_name: str, columns_per_pass: int = 90)
     return result
 
 
-def _paired(before: DataFrame, after: DataFrame) -> DataFrame:
-    keys = ["table_name", "column_name"]
-    return before.withColumnsRenamed({"data_type": "previous_type", "filled_rows": "previous_rows"}).join(
-        after.withColumnsRenamed({"data_type": "current_type", "filled_rows": "current_rows"}), keys, "full"
-    )
+def schema_only(spark: SparkSession, schema: StructType, table_name: str) -> DataFrame:
+    """The same snapshot without counts: no data is read."""
+    rows = [(table_name, field.name, field.dataType.simpleString(), None) for field in schema.fields]
+    return spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
 
 
 def schema_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """Columns that differ between two snapshots: added, removed or type_changed, with the rows concerned."""
+    paired = before.withColumnsRenamed({"data_type": "previous_type", "filled_rows": "previous_rows"}).join(
+        after.withColumnsRenamed({"data_type": "current_type", "filled_rows": "current_rows"}),
+        ["table_name", "column_name"],
+        "full",
+    )
     change = (
         F.when(F.col("previous_type").isNull(), "added")
         .when(F.col("current_type").isNull(), "removed")
         .when(F.col("previous_type") != F.col("current_type"), "type_changed")
     )
     return (
-        _paired(before, after)
-        .withColumn("change", change)
+        paired.withColumn("change", change)
         .where(F.col("change").isNotNull())
         .select("table_name", "column_name", "change", "previous_type", "current_type", "previous_rows", "current_rows")
     )
 
 
-def contract_report(df: DataFrame, contract: Mapping[str, str], table_name: str) -> DataFrame:
-    """Each column of the contract (name to Spark type) or of the frame: (table_name, column_name, expected_type, actual_type, status,
-    filled_rows), where status is ``ok``, ``missing``, ``wrong_type`` or ``not_in_contract``."""
-    rows = []
-    for name in [*contract, *[name for name in df.columns if name not in contract]]:
-        actual = df.schema[name].dataType.simpleString() if name in df.columns else None
-        if actual is None:
+def contract_status(schema: StructType, contract: Mapping[str, str]) -> dict[str, tuple[str | None, str | None, str]]:
+    """Column name to (expected type, actual type, status); status is ``ok``, ``missing``, ``wrong_type`` or
+    ``not_in_contract``. Looks at the schema only."""
+    actual = {field.name: field.dataType.simpleString() for field in schema.fields}
+    found = {}
+    for name in [*contract, *[name for name in actual if name not in contract]]:
+        if name not in actual:
             status = "missing"
         elif name not in contract:
             status = "not_in_contract"
         else:
-            status = "ok" if actual == contract[name] else "wrong_type"
-        rows.append(
+            status = "ok" if actual[name] == contract[name] else "wrong_type"
+        found[name] = (contract.get(name), actual.get(name), status)
+    return found
+
+
+def contract_breaches(schema: StructType, contract: Mapping[str, str]) -> list[str]:
+    """Columns that are missing or of the wrong type. Further columns are no breach: the source has hundreds."""
+    return [
+        f"{name}: {status}"
+        for name, (_, _, status) in contract_status(schema, contract).items()
+        if status in ("missing", "wrong_type")
+    ]
+
+
+def contract_report(df: DataFrame, contract: Mapping[str, str], table_name: str) -> DataFrame:
+    """Each column with its status and use: (table_name, column_name, expected_type, actual_type, status, filled_rows)."""
+    return rows_from_aggregate(
+        df,
+        [
             {
                 "table_name": F.lit(table_name),
                 "column_name": F.lit(name),
-                "expected_type": F.lit(contract.get(name)).cast("string"),
+                "expected_type": F.lit(expected).cast("string"),
                 "actual_type": F.lit(actual).cast("string"),
                 "status": F.lit(status),
                 "filled_rows": F.count(F.lit(None) if actual is None else F.col(name)),
             }
-        )
-    return rows_from_aggregate(df, rows)
+            for name, (expected, actual, status) in contract_status(df.schema, contract).items()
+        ],
+    )

@@ -54,9 +54,7 @@ def apply_snapshot(history: DataFrame, current: DataFrame, keys: Sequence[str],
 
 def country_profile(government: DataFrame) -> DataFrame:
     """The latest policy levels and population of each country, one row per code and name."""
-    latest = F.max_by(
-        F.struct("school_closing", "stay_at_home_requirements", "international_travel_controls", "population"), "date"
-    )
-    return government.groupBy("country_code", "country_name").agg(latest.alias("_latest")).select(
-        "country_code", "country_name", "_latest.*"
+    columns = ("school_closing", "stay_at_home_requirements", "international_travel_controls", "population")
+    return government.groupBy("country_code", "country_name").agg(
+        *[F.max_by(name, "date").alias(name) for name in columns]
     )

@@ -7,16 +7,21 @@ are left to whatever submits the job.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyward.config import Config
-from tallyward.operators import column_checks, expectations, history, marts, observability
+from tallyward.operators import column_checks, expectations, history, marts, observability, schemas
 from tallyward.operators.staging import stage
 from tallyward.sources import storage
+from tallyward.sources.contract import RAW_CONTRACT
+
+PROFILED = ("new_confirmed", "new_deceased", "new_hospitalized_patients", "current_ventilator_patients", "stringency_index")
+PROFILE_METRICS = ("average", "standard_deviation", "zero_count")
 
 
 class StageFailed(Exception):
@@ -29,23 +34,25 @@ class DailyRun:
 
     spark: SparkSession
     config: Config
-    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    run_id: str = field(default_factory=lambda: f"{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
     log: list[tuple] = field(default_factory=list)
     error: Exception | None = None
 
-    def stages(self) -> list[tuple[str, Callable[[], int | None]]]:
-        return [
-            ("extract", self.extract),
-            ("load", self.load),
-            ("freshness_gate", self.freshness_gate),
-            ("models", self.models),
-            ("column_tests", self.column_tests),
-            ("expectations", self.expectations),
-            ("report", self.report),
-        ]
-
-    def execute(self) -> DailyRun:
-        for position, (name, action) in enumerate(self.stages(), start=1):
+    def stages(self) -> dict[str, Callable[[], int | None]]:
+        return {
+            "extract": self.extract,
+            "load": self.load,
+            "freshness_gate": self.freshness_gate,
+            "models": self.models,
+            "column_tests": self.column_tests,
+            "expectations": self.expectations,
+            "report": self.report,
+        }
+
+    def execute(self, only: Iterable[str] | None = None) -> DailyRun:
+        """Run all stages, or only the named ones (still in the fixed order)."""
+        wanted = self.stages() if only is None else {name: self.stages()[name] for name in self.stages() if name in only}
+        for position, (name, action) in enumerate(wanted.items(), start=1):
             if self.error is not None:
                 self.log.append(history.log_entry(self.run_id, position, name, "skipped", None, None, None))
                 continue
@@ -63,22 +70,26 @@ class DailyRun:
     def log_frame(self) -> DataFrame:
         return history.run_log_frame(self.spark, self.log)
 
-    # --- stages: each returns the number of rows it handled ------------------------------------------------------
+    # --- stages: each returns the number of rows it handled, where it has one ------------------------------------
 
     def extract(self) -> int:
         """Copy the source to the raw zone; the row count comes out of the same pass."""
         config = self.config
         source = storage.read_source(self.spark, config.source_path, config.source_format, config.source_options)
-        return storage.write_counted(source, config.raw_path)
-
-    def load(self) -> int | None:
-        """Publish the raw zone as the raw table; the files are registered, not copied."""
-        storage.register_table(self.spark, self.config.table(self.config.raw_table), self.config.raw_path)
-        return None
+        return storage.write_counted(source, config.raw_path, partition_by=config.raw_partition_by)
+
+    def load(self) -> None:
+        """Publish the raw zone as the raw table if it keeps the contract; the files are registered, not copied."""
+        raw = storage.register_table(
+            self.spark, self.config.table(self.config.raw_table), self.config.raw_path, self.config.raw_partition_by
+        )
+        self._store("schema_snapshot", schemas.schema_only(self.spark, raw.schema, self.config.raw_table))
+        breaches = schemas.contract_breaches(raw.schema, RAW_CONTRACT)
+        if breaches:
+            raise StageFailed("; ".join(breaches))
 
     def freshness_gate(self) -> None:
-        passed = observability.has_rows_for_yesterday(self._raw(), self.config.as_of).first()
-        if not passed.passed:
+        if not observability.has_rows_for_yesterday(self._raw(), self.config.as_of).first().passed:
             raise StageFailed("no rows for the day before")
 
     def models(self) -> int | None:
@@ -91,44 +102,63 @@ class DailyRun:
         base = storage.materialize(marts.daily_country_base(staged), self._name("daily_country_base"), how)
         for name, mart in marts.MARTS.items():
             storage.materialize(mart(base), self._name(name), how)
-        return None
 
     def column_tests(self) -> int:
-        results = column_checks.declared_tests(self.spark.table("stg_covid19"), self._model("daily_country_base"))
+        results = column_checks.declared_tests(self._staged(), self._base())
         return self._judge("column_tests", results, "passed", always_raise=True)
 
     def expectations(self) -> int:
-        results = expectations.validate(self._model("mart_pandemic_impact"), expectations.IMPACT_SUITE)
+        results = expectations.validate(marts.pandemic_impact(self._base()), expectations.IMPACT_SUITE)
         return self._judge("expectations", results, "success", always_raise=False)
 
-    def report(self) -> int:
-        fresh = observability.freshness(self.spark.table("stg_covid19"), "stg_covid19", self.config.as_of)
-        return self._store("freshness", fresh)
+    def report(self) -> None:
+        """Store freshness, volume and metric scores. Arrivals are counted once for the first two."""
+        staged, table = self._staged(), "stg_covid19"
+        counted = observability.arrivals(staged)
+        if self.config.history_path:
+            path = f"{self.config.history_path}/{self.config.monitoring_prefix}arrivals"
+            history.append_run(counted, path, self.run_id)
+            stored = history.read_history(self.spark, path)
+            counted = stored.where(F.col("run_id") == self.run_id).drop("run_id")
+        fresh = observability.freshness(counted, table, self.config.as_of)
+        volume = observability.volume_anomalies(observability.daily_volume(counted, table, "row_count"))
+        daily = observability.column_metrics(staged, PROFILED, by=["date"], only=PROFILE_METRICS)
+        self._store("freshness", fresh)
+        self._store("volume", volume)
+        self._store("metric_scores", observability.metric_anomalies(daily))
 
     # --- helpers -------------------------------------------------------------------------------------------------
 
     def _raw(self) -> DataFrame:
-        return self.spark.table(self.config.table(self.config.raw_table))
+        """The raw table, or the files behind it where the catalog does not know the table."""
+        name = self.config.table(self.config.raw_table)
+        if self.spark.catalog.tableExists(name):
+            return self.spark.table(name)
+        return storage.read_raw_zone(self.spark, self.config.raw_path)
+
+    def _staged(self) -> DataFrame:
+        return stage(self._raw(), self.config.as_of)
+
+    def _base(self) -> DataFrame:
+        """The stored base where there is one, else its definition."""
+        name = self._name("daily_country_base")
+        if self.config.materialized == "table" and self.spark.catalog.tableExists(name):
+            return self.spark.table(name)
+        return marts.daily_country_base(self._staged())
 
     def _name(self, model: str) -> str:
         return self.config.table(model) if self.config.materialized == "table" else model
 
-    def _model(self, model: str) -> DataFrame:
-        return self.spark.table(self._name(model))
-
     def _judge(self, name: str, results: DataFrame, passed: str, always_raise: bool) -> int:
         """Store the results of the checks and raise if one failed (where the run is set to)."""
         rows = results.collect()  # one row per declared check
-        stored = self.spark.createDataFrame(rows, results.schema)
-        self._store(name, stored)
+        self._store(name, self.spark.createDataFrame(rows, results.schema))
         failed = [row for row in rows if not row[passed]]
         if failed and (always_raise or self.config.on_bad_data == "raise"):
             raise StageFailed(f"{len(failed)} of {len(rows)} checks failed")
         return len(rows)
 
-    def _store(self, name: str, results: DataFrame) -> int | None:
-        if not self.config.history_path:
-            return None
-        folder = f"{self.config.history_path}/{self.config.monitoring_prefix}{name}"
-        history.append_run(results, folder, self.run_id)
-        return None
+    def _store(self, name: str, results: DataFrame) -> None:
+        if self.config.history_path:
+            folder = f"{self.config.history_path}/{self.config.monitoring_prefix}{name}"
+            history.append_run(results, folder, self.run_id)

@@ -34,11 +34,13 @@ def page_filter(
 
 
 def _latest(mart: DataFrame, *columns: str) -> DataFrame:
-    """The row of each country's last day: (country_code, country_name, last_date, *columns)."""
-    return (
-        mart.groupBy(*COUNTRY)
-        .agg(F.max("date").alias("last_date"), F.max_by(F.struct(*columns), "date").alias("_latest"))
-        .select(*COUNTRY, "last_date", "_latest.*")
+    """The row of each country's last day: (country_code, country_name, last_date, *columns).
+
+    One ``max_by`` per column keeps the buffers of fixed width, which a hash aggregate needs; a single ``max_by``
+    of a struct would sort. All of them pick the same row, as a country has one row per day.
+    """
+    return mart.groupBy(*COUNTRY).agg(
+        F.max("date").alias("last_date"), *[F.max_by(name, "date").alias(name) for name in columns]
     )
 
 

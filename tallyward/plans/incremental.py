@@ -13,23 +13,32 @@ from pyspark.sql import functions as F
 
 from tallyward.operators.marts import daily_country_base
 from tallyward.operators.staging import stage
+from tallyward.plans.dashboards import page_filter
 from tallyward.sources.storage import write_counted
 
 
+class StaleDays(Exception):
+    """Stored days of the refreshed range that have no valid rows any more; the base must be rebuilt whole."""
+
+
 def refresh_base(
     raw: DataFrame, path: str, first: date | None = None, last: date | None = None, as_of: date | None = None
 ) -> int:
-    """Recompute the base for the days from ``first`` to ``last`` (all days if left out); returns the rows written.
+    """Recompute the base for the days from ``first`` to ``last`` and return the rows written.
 
-    A day that no longer has any valid row keeps its old partition; rebuild without bounds after such a deletion.
+    Without bounds the base is rebuilt whole. With bounds only the partitions of days that have rows are replaced,
+    so a day that lost all of its rows would keep its old figures: that raises :class:`StaleDays`.
     """
-    if first is not None:
-        raw = raw.where(F.col("date") >= F.lit(first))
-    if last is not None:
-        raw = raw.where(F.col("date") <= F.lit(last))
     whole = first is None and last is None
-    base = daily_country_base(stage(raw, as_of))
-    return write_counted(base, path, partition_by=["date"], replace="all" if whole else "partitions")
+    base = daily_country_base(stage(page_filter(raw, first=first, last=last), as_of))
+    written = write_counted(base, path, partition_by=["date"], replace="all" if whole else "partitions")
+    if not whole:
+        days = stage(page_filter(raw, first=first, last=last), as_of).select("date").distinct()
+        stored = page_filter(read_base(raw.sparkSession, path), first=first, last=last).select("date").distinct()
+        stale = [row.date.isoformat() for row in stored.join(days, "date", "left_anti").sort("date").collect()]
+        if stale:
+            raise StaleDays(", ".join(stale))
+    return written
 
 
 def read_base(spark: SparkSession, path: str) -> DataFrame:

@@ -81,13 +81,15 @@ def save_table(df: DataFrame, name: str, path: str | None = None, source_format:
     return seen.get["row_count"]
 
 
-def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+def register_table(spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Make Parquet files readable as a table without copying them.
 
     A copy of the raw zone would write the whole data a second time. Replacing the entry never deletes files.
     """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 

@@ -1,0 +1,218 @@
+from __future__ import annotations
+
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyward.config import Config
+from tallyward.operators import history, marts, snapshots
+from tallyward.plans import dashboards, incremental
+from tallyward.plans.daily_run import DailyRun
+from tallyward.plans.models import build_models
+from tallyward.streaming import daily_stream
+from tests.frames import MARCH, raw_rows, row
+
+AS_OF = date(2021, 3, 31)
+
+
+def many_days(spark, last=30, **cells):
+    return raw_rows(
+        spark,
+        *[
+            row(MARCH + timedelta(days=n), code, code.lower(), 10 + n, n % 3, population=1000 + n, **cells)
+            for n in range(last)
+            for code in ("AA", "BB")
+        ],
+    )
+
+
+@pytest.fixture
+def config(spark, tmp_path):
+    source = str(tmp_path / "source")
+    many_days(spark).write.parquet(source)
+    return Config(
+        source_path=source,
+        raw_path=str(tmp_path / "raw"),
+        history_path=str(tmp_path / "history"),
+        raw_table=f"raw_{tmp_path.name}".replace("-", "_"),
+        as_of=AS_OF,
+    )
+
+
+def statuses(run):
+    return {stage: status for _, _, stage, status, *_ in run.log}
+
+
+def test_whole_run(spark, config):
+    run = DailyRun(spark, config).execute()
+    assert run.error is None
+    assert set(statuses(run).values()) == {"succeeded"}
+    assert {stage: count for _, _, stage, _, count, *_ in run.log} == {
+        "extract": 60,
+        "load": None,
+        "freshness_gate": None,
+        "models": None,
+        "column_tests": 36,
+        "expectations": 15,
+        "report": None,
+    }
+    assert spark.table("mart_government_response").count() == 60
+    for name in ("run_log", "column_tests", "expectations", "freshness", "volume", "metric_scores", "schema_snapshot"):
+        assert history.read_history(spark, f"{config.history_path}/monitoring_{name}").count() > 0
+
+
+def test_second_run_adds_to_the_history(spark, config):
+    for _ in range(2):
+        DailyRun(spark, config).execute()
+    log = history.read_history(spark, f"{config.history_path}/monitoring_run_log")
+    times = {r.stage: r for r in history.stage_times(log).collect()}
+    assert times["extract"].runs == 2
+    assert times["extract"].mean_seconds <= times["extract"].max_seconds
+    tests = history.read_history(spark, f"{config.history_path}/monitoring_column_tests")
+    assert history.pass_rates(tests, ["model", "column_name"], "passed").where("runs <> 2 or passes <> 2").count() == 0
+
+
+def test_stale_source_stops_the_run(spark, config):
+    from dataclasses import replace
+
+    run = DailyRun(spark, replace(config, as_of=date(2021, 5, 1))).execute()
+    assert statuses(run) == {
+        "extract": "succeeded",
+        "load": "succeeded",
+        "freshness_gate": "failed",
+        "models": "skipped",
+        "column_tests": "skipped",
+        "expectations": "skipped",
+        "report": "skipped",
+    }
+    assert "day before" in str(run.error)
+
+
+def test_bad_data_is_reported_or_raised(spark, config):
+    """60 rows are fewer than the suite asks for: by default that is only reported."""
+    from dataclasses import replace
+
+    assert DailyRun(spark, config).execute().error is None
+    failed = DailyRun(spark, replace(config, on_bad_data="raise")).execute()
+    assert statuses(failed)["expectations"] == "failed"
+    assert statuses(failed)["report"] == "skipped"
+
+
+def test_broken_contract_stops_the_run(spark, config, tmp_path):
+    from dataclasses import replace
+
+    many_days(spark).drop("population").write.parquet(str(tmp_path / "broken"))
+    run = DailyRun(spark, replace(config, source_path=str(tmp_path / "broken"))).execute()
+    assert statuses(run)["load"] == "failed"
+    assert "population: missing" in str(run.error)
+
+
+def test_tables_and_partitioned_raw_zone(spark, config):
+    from dataclasses import replace
+
+    database = f"health_{config.raw_table}"
+    spark.sql(f"create database {database}")
+    changed = replace(config, materialized="table", database=database, raw_partition_by=("date",))
+    run = DailyRun(spark, changed).execute()
+    assert run.error is None
+    for name in marts.MARTS:
+        assert spark.table(f"{database}.{name}").count() == 60
+    assert spark.catalog.getTable(f"{database}.mart_pandemic_impact").tableType == "MANAGED"
+
+
+def test_single_stages(spark, config):
+    first = DailyRun(spark, config).execute(["extract"])
+    second = DailyRun(spark, config).execute(["expectations", "column_tests"])
+    assert statuses(first) == {"extract": "succeeded"}
+    assert statuses(second) == {"column_tests": "succeeded", "expectations": "succeeded"}
+
+
+def test_refresh_of_some_days(spark, tmp_path):
+    path = str(tmp_path / "base")
+    old = many_days(spark)
+    incremental.refresh_base(old, path, as_of=AS_OF)
+    corrected = old.withColumn("new_confirmed", F.expr("if(date >= '2021-03-10', new_confirmed + 5, new_confirmed)"))
+    written = incremental.refresh_base(corrected, path, date(2021, 3, 10), date(2021, 3, 20), AS_OF)
+    assert written == 22
+    both = incremental.read_base(spark, path)
+    mixed = old.where("date not between '2021-03-10' and '2021-03-20'").unionByName(
+        corrected.where("date between '2021-03-10' and '2021-03-20'")
+    )
+    expected = build_models(mixed, AS_OF).base.select(*both.columns)
+    assert both.exceptAll(expected).count() == expected.exceptAll(both).count() == 0
+
+
+def test_refresh_notices_days_that_vanished(spark, tmp_path):
+    path = str(tmp_path / "base")
+    incremental.refresh_base(many_days(spark), path, as_of=AS_OF)
+    thinner = many_days(spark).where("date <> '2021-03-12'")
+    with pytest.raises(incremental.StaleDays, match="2021-03-12"):
+        incremental.refresh_base(thinner, path, date(2021, 3, 10), date(2021, 3, 20), AS_OF)
+
+
+def test_versions(spark):
+    def state(*rows):
+        return spark.createDataFrame(rows, "code string, name string, level bigint")
+
+    days = [date(2020, 1, 1), date(2020, 2, 1), date(2020, 3, 1)]
+    versions = snapshots.first_snapshot(state(("A", None, 1), ("B", "b", 1), ("D", "d", None)), days[0])
+    versions = snapshots.apply_snapshot(
+        versions, state(("A", None, 2), ("B", "b", 1), ("C", "c", 1), ("D", "d", None)), ["code", "name"], days[1]
+    )
+    versions = snapshots.apply_snapshot(
+        versions, state(("A", None, 2), ("C", "c", None), ("D", "d", None)), ["code", "name"], days[2]
+    )
+    assert sorted((tuple(v) for v in versions.collect()), key=str) == sorted(
+        [
+            ("A", None, 1, days[0], days[1]),
+            ("A", None, 2, days[1], None),
+            ("B", "b", 1, days[0], None),
+            ("C", "c", 1, days[1], days[2]),
+            ("C", "c", None, days[2], None),
+            ("D", "d", None, days[0], None),
+        ],
+        key=str,
+    )
+
+
+def test_stream_refreshes_touched_days_whatever_arrives_late(spark, tmp_path):
+    arrivals, staged_path, base_path = (str(tmp_path / name) for name in ("arrivals", "staged", "base"))
+    raw = many_days(spark)
+    late = raw_rows(spark, row(MARCH, "AA", "aa", 500, 1, subregion1_name="late"))
+
+    def process():
+        stream = daily_stream.staged_stream(spark, arrivals, raw.schema, AS_OF, files_per_batch=1)
+        daily_stream.refresh_on_arrival(stream, staged_path, base_path, str(tmp_path / "checkpoint")).awaitTermination()
+        return spark.read.parquet(base_path)
+
+    raw.coalesce(2).write.mode("append").parquet(arrivals)
+    first = process()
+    expected = build_models(raw, AS_OF).base.select(*first.columns)
+    assert first.exceptAll(expected).count() == expected.exceptAll(first).count() == 0
+    late.write.mode("append").parquet(arrivals)
+    second = process()
+    expected = build_models(raw.unionByName(late), AS_OF).base.select(*second.columns)
+    assert second.exceptAll(expected).count() == expected.exceptAll(second).count() == 0
+
+
+def test_stream_of_closed_days(spark, tmp_path):
+    arrivals = str(tmp_path / "arrivals")
+    raw = many_days(spark)
+    raw.write.parquet(arrivals)
+    closed = daily_stream.closed_days(daily_stream.staged_stream(spark, arrivals, raw.schema, AS_OF), lateness_days=3)
+    out = str(tmp_path / "closed")
+    closed.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(
+        availableNow=True
+    ).start(out).awaitTermination()
+    rows = spark.read.parquet(out)
+    assert rows.agg(F.max("date"), F.count("*")).first()[:] == (date(2021, 3, 27), 54)
+
+
+def test_page_filter_and_latest(spark):
+    models = build_models(many_days(spark), AS_OF)
+    page = dashboards.page_filter(models.impact, ["AA"], MARCH, date(2021, 3, 5))
+    assert page.count() == 5
+    assert dashboards.top_fatality_rates(models.impact, 1).count() == 1
+    cards = dashboards.policy_scorecards(models.government).collect()
+    assert {card.last_date for card in cards} == {date(2021, 3, 30)}

@@ -1,0 +1,149 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+
+from tallyward.config import Config
+from tallyward.operators import history, schemas
+from tallyward.sources import storage
+from tallyward.sources.contract import RAW_CONTRACT
+from tests.frames import edge_rows, raw_rows, row
+
+
+def test_count_and_files_agree(spark, tmp_path):
+    raw = edge_rows(spark)
+    assert storage.write_counted(raw, str(tmp_path / "flat")) == raw.count()
+    zone = storage.read_raw_zone(spark, str(tmp_path / "flat"))
+    assert zone.schema == raw.schema
+    assert zone.exceptAll(raw).count() == raw.exceptAll(zone).count() == 0
+
+
+def test_partitioned_by_day_prunes(spark, tmp_path):
+    raw, path = edge_rows(spark), str(tmp_path / "by-day")
+    assert storage.write_counted(raw, path, partition_by=["date"]) == raw.count()
+    zone = storage.read_raw_zone(spark, path).select(*raw.columns)
+    assert zone.exceptAll(raw).count() == raw.exceptAll(zone).count() == 0
+    plan = zone.where("date = date '2021-03-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_replacing_some_partitions(spark, tmp_path):
+    path = str(tmp_path / "days")
+    storage.write_counted(spark.sql("select 1 v, date '2020-01-01' date union all select 2, date '2020-01-02'"), path, ["date"])
+    storage.write_counted(spark.sql("select 3 v, date '2020-01-02' date"), path, ["date"], replace="partitions")
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 3]
+    storage.write_counted(spark.sql("select 4 v, date '2020-01-03' date"), path, ["date"])
+    assert [r.v for r in spark.read.parquet(path).collect()] == [4]
+
+
+def test_table_and_registered_table(spark, tmp_path):
+    raw = edge_rows(spark)
+    assert storage.save_table(raw, "stored_raw", path=str(tmp_path / "table")) == raw.count()
+    assert spark.table("stored_raw").count() == raw.count()
+    storage.write_counted(raw, str(tmp_path / "zone"), partition_by=["date"])
+    table = storage.register_table(spark, "registered_raw", str(tmp_path / "zone"), ["date"])
+    assert table.count() == raw.count()
+    again = storage.register_table(spark, "registered_raw", str(tmp_path / "zone"), ["date"])
+    assert again.count() == raw.count()
+
+
+def test_materialize(spark, tmp_path):
+    frame = spark.range(3)
+    assert storage.materialize(frame, "three", "view").count() == 3
+    assert storage.materialize(frame, "three_stored", "table").count() == 3
+    assert spark.catalog.getTable("three_stored").tableType == "MANAGED"
+    with pytest.raises(ValueError, match="materialization"):
+        storage.materialize(frame, "three", "cube")
+
+
+def test_read_source_formats(spark, tmp_path):
+    spark.range(4).write.option("header", True).csv(str(tmp_path / "csv"))
+    assert storage.read_source(spark, str(tmp_path / "csv"), "csv", {"header": "true"}).count() == 4
+    spark.range(4).createOrReplaceTempView("four")
+    assert storage.read_source(spark, "four", "table").count() == 4
+
+
+def test_shared_folder_is_the_one_the_cluster_names(spark):
+    assert storage.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Conf:
+        def __init__(self, settings):
+            self.settings = settings
+
+        def get(self, name, default=None):
+            return self.settings.get(name, default)
+
+    class Session:
+        def __init__(self, **settings):
+            self.conf = Conf({name.replace("__", "."): value for name, value in settings.items()})
+
+    assert storage.shared_folder(Session(spark__checkpoint__dir="hdfs://x/shared/", spark__master="yarn")) == "hdfs://x/shared"
+    assert storage.shared_folder(Session(spark__master="local[8]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Session(spark__master="yarn"))
+
+
+def test_history_keeps_run_ids_as_text_and_replaces_a_repeated_run(spark, tmp_path):
+    path = str(tmp_path / "history")
+    for run_id, passed in (("001", True), ("002", False), ("002", False), ("003", True)):
+        history.append_run(spark.createDataFrame([("t", passed)], "test string, passed boolean"), path, run_id)
+    stored = history.read_history(spark, path)
+    assert sorted(r.run_id for r in stored.collect()) == ["001", "002", "003"]
+    rates = history.pass_rates(stored, ["test"], "passed").first()
+    assert (rates.runs, rates.passes, rates.pass_rate, rates.last_run, rates.last_passed) == (3, 2, 0.666667, "003", True)
+
+
+def test_schema_changes(spark):
+    before = spark.createDataFrame([(1, "x", 2.0)], "a int, b string, c double")
+    after = spark.createDataFrame([(1, "x", "y")], "a bigint, b string, d string")
+    changes = {
+        r.column_name: (r.change, r.previous_type, r.current_type)
+        for r in schemas.schema_changes(
+            schemas.schema_only(spark, before.schema, "t"), schemas.schema_only(spark, after.schema, "t")
+        ).collect()
+    }
+    assert changes == {
+        "a": ("type_changed", "int", "bigint"),
+        "c": ("removed", "double", None),
+        "d": ("added", None, "string"),
+    }
+    counted = schemas.schema_snapshot(before, "t", columns_per_pass=2)
+    assert schemas.schema_changes(counted, counted).count() == 0
+    assert counted.where("column_name = 'c'").first().filled_rows == 1
+
+
+def test_contract(spark):
+    raw = raw_rows(spark, row(date(2021, 3, 1), "AA", "Alpha"))
+    assert schemas.contract_breaches(raw.schema, RAW_CONTRACT) == []
+    odd = raw.drop("population").selectExpr("*", "1 as extra").withColumn("new_recovered", raw.new_recovered.cast("double"))
+    assert sorted(schemas.contract_breaches(odd.schema, RAW_CONTRACT)) == ["new_recovered: wrong_type", "population: missing"]
+    statuses = {r.column_name: r.status for r in schemas.contract_report(odd, RAW_CONTRACT, "raw").collect()}
+    assert statuses["extra"] == "not_in_contract"
+    assert statuses["population"] == "missing"
+    assert statuses["date"] == "ok"
+
+
+def test_config():
+    with pytest.raises(ValueError, match="raw_path"):
+        Config(source_path="s", raw_path="")
+    with pytest.raises(ValueError, match="source_path"):
+        Config.from_env(env={"TALLYWARD_RAW_PATH": "r"})
+    with pytest.raises(ValueError, match="materialized"):
+        Config("s", "r", materialized="cube")
+    with pytest.raises(ValueError, match="on_bad_data"):
+        Config("s", "r", on_bad_data="hide")
+    config = Config.from_env(
+        env={
+            "TALLYWARD_SOURCE_PATH": "s",
+            "TALLYWARD_RAW_PATH": "r",
+            "TALLYWARD_AS_OF": "2020-12-31",
+            "TALLYWARD_DATABASE": "health",
+            "TALLYWARD_RAW_PARTITION_BY": "date",
+        }
+    )
+    assert config.as_of == date(2020, 12, 31)
+    assert config.table("covid19_raw") == "health.covid19_raw"
+    assert config.raw_partition_by == ("date",)
