@@ -314,15 +314,15 @@ def _metric(column: str, metric: str, expression: str, source: str, keys: str =
     )
 
 
-def _column_metrics() -> str:
+def _column_metrics(source: str, columns: list[str], strings: tuple[str, ...]) -> str:
     parts = []
-    for column in RAW_EXPRESSIONS:
+    for column in columns:
         metrics = {
             "row_count": "count(*)",
             "null_count": f"count(*) - count({column})",
             "null_percent": f"(cast(count(*) - count({column}) as double) / nullif(count(*), 0) * 100)",
         }
-        if column in _STRINGS:
+        if column in strings:
             metrics |= {
                 "min_length": f"min(length({column}))",
                 "max_length": f"max(length({column}))",
@@ -337,8 +337,8 @@ def _column_metrics() -> str:
                 "standard_deviation": f"stddev_samp({column})",
                 "zero_count": f"count(*) filter (where {column} = 0)",
             }
-        parts += [_metric(column, metric, expression, "raw") for metric, expression in metrics.items()]
-    return f"with {RAW} {union(*parts)}"
+        parts += [_metric(column, metric, expression, source) for metric, expression in metrics.items()]
+    return union(*parts)
 
 
 def _scored(source: str, keys: str, bucket: str, value: str, columns: str) -> str:
@@ -377,22 +377,34 @@ METRIC_TESTS = with_models(
     from ({_METRIC_SCORES}) as scores group by column_name, metric"""
 )
 
-_VOLUME = f"""select table_name, date, row_count, change,
-        {rounded("avg(row_count) over recent", 6)} as trailing_mean,
-        count(*) filter (where change < 0) over recent = 7 as is_declining
-    from (select *, row_count - lag(row_count) over (order by date) as change
-        from (select 'stg_covid19' as table_name, date, count(*) as row_count from stg group by date) as daily) as moved
-    window recent as (order by date rows between 6 preceding and current row)"""
-_VOLUME_SCORES = _scored(
-    _VOLUME, "table_name", "date", "row_count", "table_name, date, row_count, change, trailing_mean, is_declining"
+def _volume_scores(counts: str) -> str:
+    """Scores of the daily counts in (table_name, date, row_count)."""
+    by_day = "partition by table_name order by date"
+    moved = f"select *, row_count - lag(row_count) over ({by_day}) as change from ({counts}) as daily"
+    trend = f"""select table_name, date, row_count, change,
+            {rounded("avg(row_count) over recent", 6)} as trailing_mean,
+            count(*) filter (where change < 0) over recent = 7 as is_declining
+        from ({moved}) as moved window recent as ({by_day} rows between 6 preceding and current row)"""
+    return _scored(
+        trend, "table_name", "date", "row_count", "table_name, date, row_count, change, trailing_mean, is_declining"
+    )
+
+
+def _freshness(table: str, source: str, key: str, today: str, days: int) -> str:
+    behind = f"date_diff('day', max(date), date '{today}')"
+    return f"""select '{table}' as table_name, case when grouping({key}) = 1 then 'table' else 'key' end as level,
+            {key}, max(date) as last_date, {behind} as days_behind, coalesce({behind} <= {days}, false) as is_fresh
+        from {source} group by grouping sets (({key}), ())"""
+
+
+_VOLUME_SCORES = _volume_scores(
+    "select 'stg_covid19' as table_name, date, count(*) as row_count from stg group by date"
 )
-VOLUME_ANOMALY = with_models(_VOLUME_SCORES)
+_FRESH = _freshness("stg_covid19", "stg", "country_code", "2020-12-31", 1)
 
-_FRESH = """select 'stg_covid19' as table_name, case when grouping(country_code) = 1 then 'table' else 'key' end as level,
-        country_code, max(date) as last_date, date_diff('day', max(date), date '2020-12-31') as days_behind,
-        coalesce(date_diff('day', max(date), date '2020-12-31') <= 1, false) as is_fresh
-    from stg group by grouping sets ((country_code), ())"""
-FRESHNESS = with_models(_FRESH)
+_EVENTS = (
+    "with occurred as (select event_id, user_id, event_type, value, props, cast(ts as date) as date from events) "
+)
 
 _DOUBLES = ("hospital_beds_per_1000", "stringency_index", "human_development_index")
 
@@ -612,11 +624,20 @@ STATEMENTS: dict[str, str] = {
         )
     ),
     "model_row_counts": MODEL_ROW_COUNTS,
-    "column_metrics": _column_metrics(),
+    "column_metrics": f"with {RAW} {_column_metrics('raw', list(RAW_EXPRESSIONS), _STRINGS)}",
     "metric_anomaly": METRIC_ANOMALY,
     "metric_anomaly_tests": METRIC_TESTS,
-    "volume_anomaly": VOLUME_ANOMALY,
-    "freshness": FRESHNESS,
+    "volume_anomaly": with_models(_VOLUME_SCORES),
+    "freshness": with_models(_FRESH),
+    "events_column_metrics": _EVENTS
+    + _column_metrics(
+        "occurred", ["event_id", "user_id", "event_type", "value", "props", "date"], ("event_type", "props")
+    ),
+    "events_volume_anomaly": _EVENTS
+    + _volume_scores(
+        "select event_type as table_name, date, count(*) as row_count from occurred group by event_type, date"
+    ),
+    "events_freshness": _EVENTS + _freshness("events", "occurred", "event_type", "2024-02-01", 2),
     "schema_changes": SCHEMA_CHANGES,
     "schema_contract": with_models(_CONTRACT),
     "dq_report": REPORT,

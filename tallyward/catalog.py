@@ -30,6 +30,7 @@ from tallyward.streaming import daily_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+EVENTS_DAY = date(2024, 2, 1)
 RUN_DAYS = (date(2020, 1, 15), date(2020, 6, 30), TEST_DAY)
 
 def _models(spark: SparkSession, directory: str, as_of: date = TEST_DAY) -> Models:
@@ -210,6 +211,22 @@ def volume_anomaly(spark: SparkSession, directory: str) -> DataFrame:
     return observability.volume_anomalies(observability.daily_volume(staged, "stg_covid19"))
 
 
+def _events(spark: SparkSession, directory: str) -> DataFrame:
+    """Another monitored table: its time of day is dropped, as it is watched per day and event type."""
+    events = spark.read.parquet(f"{directory}/events.parquet")
+    return events.withColumn("date", F.col("ts").cast("date")).drop("ts")
+
+
+def events_volume_anomaly(spark: SparkSession, directory: str) -> DataFrame:
+    """A series of daily counts for each event type."""
+    counted = observability.arrivals(_events(spark, directory), key="event_type")
+    return observability.volume_anomalies(counted.withColumnRenamed("event_type", "table_name"))
+
+
+def events_freshness(spark: SparkSession, directory: str) -> DataFrame:
+    return observability.freshness(_events(spark, directory), "events", EVENTS_DAY, max_days=2, key="event_type")
+
+
 def schema_changes(spark: SparkSession, directory: str) -> DataFrame:
     """Drift between the raw table and the staged one, taken as two states of one table."""
     raw = raw_observations(spark, directory)
@@ -369,6 +386,9 @@ QUERIES: dict[str, Query] = {
     ),
     "volume_anomaly": volume_anomaly,
     "freshness": lambda s, d: observability.freshness(_models(s, d).staged, "stg_covid19", TEST_DAY),
+    "events_column_metrics": lambda s, d: observability.column_metrics(_events(s, d)),
+    "events_volume_anomaly": events_volume_anomaly,
+    "events_freshness": events_freshness,
     "schema_changes": schema_changes,
     "schema_contract": lambda s, d: schemas.contract_report(raw_observations(s, d), RAW_CONTRACT, "covid19_raw"),
     "dq_report": dq_report,

@@ -11,13 +11,19 @@ MATERIALIZATIONS = ("view", "table")
 FAILURE_MODES = ("report", "raise")
 
 
+def _pairs(text: str) -> dict[str, str]:
+    return dict(pair.split("=", 1) for pair in text.split(",") if pair)
+
+
 @dataclass(frozen=True)
 class Config:
     """Where a run reads and writes, and how it treats bad data.
 
-    ``source_path`` and ``raw_path`` must not be empty. ``as_of`` replaces today's date everywhere, so that a
+    ``raw_path`` must not be empty, nor ``source_path`` unless the options of the connector name the source. ``as_of`` replaces today's date everywhere, so that a
     run can be repeated. ``raw_partition_by=("date",)`` lets the gate and refreshes of some days read those days only,
-    for the price of one shuffle of the raw data; by default the raw zone is written as it comes. ``on_bad_data`` says what a failing expectation does: the default only reports it.
+    for the price of one shuffle of the raw data; by default the raw zone is written as it comes. With a
+    ``warehouse_format`` the raw zone is copied out through that connector; without, it is registered as a table
+    in place. ``on_bad_data`` says what a failing expectation does: the default only reports it.
     """
 
     source_path: str
@@ -27,6 +33,8 @@ class Config:
     history_path: str = ""
     raw_table: str = "covid19_raw"
     raw_partition_by: tuple[str, ...] = ()
+    warehouse_format: str = ""
+    warehouse_options: Mapping[str, str] = field(default_factory=dict)
     database: str = ""
     monitoring_prefix: str = "monitoring_"
     as_of: date | None = None
@@ -34,9 +42,10 @@ class Config:
     on_bad_data: str = "report"
 
     def __post_init__(self) -> None:
-        for name in ("source_path", "raw_path"):
-            if not getattr(self, name):
-                raise ValueError(f"{name} must not be empty")
+        if not self.raw_path:
+            raise ValueError("raw_path must not be empty")
+        if not self.source_path and not self.source_options:
+            raise ValueError("source_path must not be empty unless source_options name the source")
         if self.materialized not in MATERIALIZATIONS:
             raise ValueError(f"materialized must be one of {MATERIALIZATIONS}")
         if self.on_bad_data not in FAILURE_MODES:
@@ -44,7 +53,10 @@ class Config:
 
     @classmethod
     def from_env(cls, prefix: str = "TALLYWARD_", env: Mapping[str, str] | None = None) -> Config:
-        """Read ``<prefix>SOURCE_PATH``, ``<prefix>RAW_PATH``, ... ; missing optional names keep their default."""
+        """Read ``<prefix>SOURCE_PATH``, ``<prefix>RAW_PATH``, ... ; missing optional names keep their default.
+
+        Options are written ``name=value,name=value``.
+        """
         env = os.environ if env is None else env
         text = {
             name: env[prefix + name.upper()]
@@ -54,6 +66,7 @@ class Config:
                 "source_format",
                 "history_path",
                 "raw_table",
+                "warehouse_format",
                 "database",
                 "monitoring_prefix",
                 "materialized",
@@ -61,10 +74,15 @@ class Config:
             )
             if prefix + name.upper() in env
         }
+        options = {
+            name: _pairs(env[prefix + name.upper()])
+            for name in ("source_options", "warehouse_options")
+            if prefix + name.upper() in env
+        }
         as_of = env.get(prefix + "AS_OF")
         partition_by = env.get(prefix + "RAW_PARTITION_BY", "")
         return cls(
-            **({"source_path": "", "raw_path": ""} | text),
+            **({"source_path": "", "raw_path": ""} | text | options),
             raw_partition_by=tuple(name for name in partition_by.split(",") if name),
             as_of=date.fromisoformat(as_of) if as_of else None,
         )

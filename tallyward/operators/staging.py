@@ -7,6 +7,8 @@ the output column would be filled with zero; filtering after the fill would keep
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,12 +105,8 @@ def stage(raw: DataFrame, as_of: date | None = None, row_filter: Column | None =
     Country rows and subregion rows share the table and are both kept. ``row_filter`` may restrict the level,
     e.g. ``F.col("subregion1_name").isNull()``; it is off by default.
     """
-    kept = raw
-    for rule in validity_rules(as_of).values():
-        kept = kept.where(rule)
-    if row_filter is not None:
-        kept = kept.where(row_filter)
-    return kept.select(*[_staged(name) for name in STAGED_COLUMNS])
+    rules = [*validity_rules(as_of).values(), *([] if row_filter is None else [row_filter])]
+    return raw.where(reduce(and_, rules)).select(*[_staged(name) for name in STAGED_COLUMNS])
 
 
 def reject_reasons(raw: DataFrame, as_of: date | None = None) -> DataFrame:

@@ -78,8 +78,8 @@ class DailyRun:
         source = storage.read_source(self.spark, config.source_path, config.source_format, config.source_options)
         return storage.write_counted(source, config.raw_path, partition_by=config.raw_partition_by)
 
-    def load(self) -> None:
-        """Publish the raw zone as the raw table if it keeps the contract; the files are registered, not copied."""
+    def load(self) -> int | None:
+        """Publish the raw zone as the raw table if it keeps the contract: in place, or copied by a connector."""
         raw = storage.register_table(
             self.spark, self.config.table(self.config.raw_table), self.config.raw_path, self.config.raw_partition_by
         )
@@ -87,6 +87,9 @@ class DailyRun:
         breaches = schemas.contract_breaches(raw.schema, RAW_CONTRACT)
         if breaches:
             raise StageFailed("; ".join(breaches))
+        if self.config.warehouse_format:
+            return storage.write_sink(raw, self.config.warehouse_format, self.config.warehouse_options)
+        return None
 
     def freshness_gate(self) -> None:
         if not observability.has_rows_for_yesterday(self._raw(), self.config.as_of).first().passed:

@@ -80,4 +80,4 @@ def raw_observations(spark: SparkSession, directory: str) -> DataFrame:
         .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .withColumn("k", F.expr(ROW_NUMBER))
     )
-    return joined.select(*[F.expr(text).alias(name) for name, text in RAW_EXPRESSIONS.items()])
+    return joined.selectExpr(*[f"{text} as {name}" for name, text in RAW_EXPRESSIONS.items()])

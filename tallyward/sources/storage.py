@@ -81,6 +81,14 @@ def save_table(df: DataFrame, name: str, path: str | None = None, source_format:
     return seen.get["row_count"]
 
 
+def write_sink(df: DataFrame, sink_format: str, options: Mapping[str, str] | None = None) -> int:
+    """Replace the target of a connector by ``df``; its options name the target. Returns the row count."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("row_count"))
+    counted.write.format(sink_format).options(**(options or {})).mode("overwrite").save()
+    return seen.get["row_count"]
+
+
 def register_table(spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Make Parquet files readable as a table without copying them.
 

@@ -121,6 +121,29 @@ def test_tables_and_partitioned_raw_zone(spark, config):
     assert spark.catalog.getTable(f"{database}.mart_pandemic_impact").tableType == "MANAGED"
 
 
+def test_load_through_a_connector(spark, config, tmp_path):
+    from dataclasses import replace
+
+    target = str(tmp_path / "warehouse-copy")
+    changed = replace(config, warehouse_format="orc", warehouse_options={"path": target})
+    run = DailyRun(spark, changed).execute(["extract", "load"])
+    assert run.error is None
+    assert [entry[4] for entry in run.log] == [60, 60]
+    assert spark.read.orc(target).count() == 60
+
+
+def test_command_line(spark, config, monkeypatch, capsys):
+    from tallyward.__main__ import STAGES, main
+
+    assert tuple(DailyRun(spark, config).stages()) == STAGES
+    monkeypatch.setenv("TALLYWARD_SOURCE_PATH", config.source_path)
+    monkeypatch.setenv("TALLYWARD_RAW_PATH", config.raw_path)
+    monkeypatch.setenv("TALLYWARD_RAW_TABLE", config.raw_table)
+    assert main(["run", "--as-of", "2021-03-31"]) == 0
+    assert main(["freshness_gate", "--as-of", "2021-06-30"]) == 1
+    assert "day before" in capsys.readouterr().err
+
+
 def test_single_stages(spark, config):
     first = DailyRun(spark, config).execute(["extract"])
     second = DailyRun(spark, config).execute(["expectations", "column_tests"])

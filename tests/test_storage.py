@@ -64,6 +64,12 @@ def test_read_source_formats(spark, tmp_path):
     assert storage.read_source(spark, "four", "table").count() == 4
 
 
+def test_sink_by_options(spark, tmp_path):
+    target = {"path": str(tmp_path / "orc"), "compression": "zlib"}
+    assert storage.write_sink(spark.range(7), "orc", target) == 7
+    assert storage.read_source(spark, "", "orc", target).count() == 7
+
+
 def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert storage.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
@@ -147,3 +153,11 @@ def test_config():
     assert config.as_of == date(2020, 12, 31)
     assert config.table("covid19_raw") == "health.covid19_raw"
     assert config.raw_partition_by == ("date",)
+    connector = Config.from_env(
+        env={
+            "TALLYWARD_SOURCE_FORMAT": "jdbc",
+            "TALLYWARD_SOURCE_OPTIONS": "dbtable=open_data,url=jdbc:x?a=b",
+            "TALLYWARD_RAW_PATH": "r",
+        }
+    )
+    assert connector.source_options == {"dbtable": "open_data", "url": "jdbc:x?a=b"}
