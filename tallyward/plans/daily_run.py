@@ -17,10 +17,17 @@ from pyspark.sql import functions as F
 from tallyward.config import Config
 from tallyward.operators import column_checks, expectations, history, marts, observability, schemas
 from tallyward.operators.staging import stage
+from tallyward.plans.report import quality_report
 from tallyward.sources import storage
 from tallyward.sources.contract import RAW_CONTRACT
 
-PROFILED = ("new_confirmed", "new_deceased", "new_hospitalized_patients", "current_ventilator_patients", "stringency_index")
+PROFILED = (
+    "new_confirmed",
+    "new_deceased",
+    "new_hospitalized_patients",
+    "current_ventilator_patients",
+    "stringency_index",
+)
 PROFILE_METRICS = ("average", "standard_deviation", "zero_count")
 
 
@@ -36,6 +43,7 @@ class DailyRun:
     config: Config
     run_id: str = field(default_factory=lambda: f"{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
     log: list[tuple] = field(default_factory=list)
+    verdicts: dict[str, DataFrame] = field(default_factory=dict)
     error: Exception | None = None
 
     def stages(self) -> dict[str, Callable[[], int | None]]:
@@ -115,20 +123,46 @@ class DailyRun:
         return self._judge("expectations", results, "success", always_raise=False)
 
     def report(self) -> None:
-        """Store freshness, volume and metric scores. Arrivals are counted once for the first two."""
+        """Store freshness, volume, metric scores, schema drift and, if all checks ran, the report.
+
+        Arrivals are counted once; freshness and volume are read off the stored counts.
+        """
+        if not self.config.history_path:
+            return
         staged, table = self._staged(), "stg_covid19"
-        counted = observability.arrivals(staged)
-        if self.config.history_path:
-            path = f"{self.config.history_path}/{self.config.monitoring_prefix}arrivals"
-            history.append_run(counted, path, self.run_id)
-            stored = history.read_history(self.spark, path)
-            counted = stored.where(F.col("run_id") == self.run_id).drop("run_id")
+        self._store("arrivals", observability.arrivals(staged))
+        counted = self._stored("arrivals")
         fresh = observability.freshness(counted, table, self.config.as_of)
         volume = observability.volume_anomalies(observability.daily_volume(counted, table, "row_count"))
         daily = observability.column_metrics(staged, PROFILED, by=["date"], only=PROFILE_METRICS)
         self._store("freshness", fresh)
         self._store("volume", volume)
         self._store("metric_scores", observability.metric_anomalies(daily))
+        self._store_drift()
+        if self.verdicts.keys() >= {"column_tests", "expectations"}:
+            contract = schemas.contract_status(self._raw().schema, RAW_CONTRACT)
+            self._store(
+                "report",
+                quality_report(
+                    tests=self.verdicts["column_tests"],
+                    expectations=self.verdicts["expectations"],
+                    fresh=self._stored("freshness"),
+                    volume=self._stored("volume"),
+                    metrics=self._stored("metric_scores"),
+                    contract=self.spark.createDataFrame(
+                        [(status,) for _, _, status in contract.values() if status != "not_in_contract"], "status string"
+                    ),
+                ),
+            )
+
+    def _store_drift(self) -> None:
+        """Store what changed in the schema of the raw table since the run before."""
+        snapshots = history.read_history(self.spark, self._folder("schema_snapshot"))
+        earlier = snapshots.where(F.col("run_id") < self.run_id).agg(F.max("run_id")).first()[0]
+        if earlier is not None:
+            before = snapshots.where(F.col("run_id") == earlier).drop("run_id")
+            after = schemas.schema_only(self.spark, self._raw().schema, self.config.raw_table)
+            self._store("schema_changes", schemas.schema_changes(before, after))
 
     # --- helpers -------------------------------------------------------------------------------------------------
 
@@ -155,13 +189,21 @@ class DailyRun:
     def _judge(self, name: str, results: DataFrame, passed: str, always_raise: bool) -> int:
         """Store the results of the checks and raise if one failed (where the run is set to)."""
         rows = results.collect()  # one row per declared check
-        self._store(name, self.spark.createDataFrame(rows, results.schema))
+        self.verdicts[name] = self.spark.createDataFrame(rows, results.schema)
+        self._store(name, self.verdicts[name])
         failed = [row for row in rows if not row[passed]]
         if failed and (always_raise or self.config.on_bad_data == "raise"):
             raise StageFailed(f"{len(failed)} of {len(rows)} checks failed")
         return len(rows)
 
+    def _folder(self, name: str) -> str:
+        return f"{self.config.history_path}/{self.config.monitoring_prefix}{name}"
+
     def _store(self, name: str, results: DataFrame) -> None:
         if self.config.history_path:
-            folder = f"{self.config.history_path}/{self.config.monitoring_prefix}{name}"
-            history.append_run(results, folder, self.run_id)
+            history.append_run(results, self._folder(name), self.run_id)
+
+    def _stored(self, name: str) -> DataFrame:
+        """What this run stored under ``name``."""
+        stored = history.read_history(self.spark, self._folder(name))
+        return stored.where(F.col("run_id") == self.run_id).drop("run_id")

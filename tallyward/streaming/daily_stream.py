@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyward.operators.marts import GRAIN, daily_country_base
 from tallyward.operators.staging import stage
-from tallyward.sources.storage import clustered
+from tallyward.sources.storage import write_counted
 
 
 def staged_stream(
@@ -33,35 +33,34 @@ def staged_stream(
     return stage(reader.parquet(path), as_of)
 
 
+def rows_of_touched_days(stored: DataFrame, batch_id: int) -> DataFrame:
+    """All stored rows of the days that batch ``batch_id`` brought rows for.
+
+    Staging lets only days between its first day and today through, so there are a few thousand at most: they may be
+    broadcast, and as ``date`` partitions the files, Spark prunes the scan by them at run time.
+    """
+    touched = stored.where(F.col("batch_id") == batch_id).select("date").distinct()
+    return stored.join(F.broadcast(touched), "date", "left_semi")
+
+
 def refresh_on_arrival(staged: DataFrame, staged_path: str, base_path: str, checkpoint: str) -> StreamingQuery:
     """Process what has arrived, then stop. Start again with the same ``checkpoint`` to carry on.
 
     A batch is written to its own (batch_id, date) partitions, so running it again after a failure replaces
-    its rows instead of adding them. The touched days are found by a semi join on the partition column, which Spark
-    turns into dynamic partition pruning, and replace their partitions of the stored base.
+    its rows instead of adding them; the days it touched then replace their partitions of the stored base.
     """
-
     stored_schema = StructType([*staged.schema.fields, StructField("batch_id", LongType())])
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        (
-            clustered(batch.withColumn("batch_id", F.lit(batch_id)), ["date"])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", "date")
-            .parquet(staged_path)
-        )
-        stored = spark.read.schema(stored_schema).parquet(staged_path)
-        touched = stored.where(F.col("batch_id") == batch_id).select("date").distinct()
-        base = daily_country_base(stored.join(touched, "date", "left_semi"))
-        (
-            clustered(base, ["date"])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date")
-            .parquet(base_path)
+        write_counted(
+            batch.withColumn("batch_id", F.lit(batch_id)),
+            staged_path,
+            partition_by=["batch_id", "date"],
+            replace="partitions",
         )
+        stored = batch.sparkSession.read.schema(stored_schema).parquet(staged_path)
+        base = daily_country_base(rows_of_touched_days(stored, batch_id))
+        write_counted(base, base_path, partition_by=["date"], replace="partitions")
 
     return (
         staged.writeStream.foreachBatch(refresh)
@@ -82,5 +81,6 @@ def closed_days(staged: DataFrame, lateness_days: int) -> DataFrame:
         reported.withWatermark("reported_at", f"{lateness_days} days")
         .groupBy("reported_at", *[name for name in GRAIN if name != "date"])
         .agg(F.sum("new_confirmed").alias("total_new_cases"), F.sum("new_deceased").alias("total_new_deaths"))
-        .select(F.to_date("reported_at").alias("date"), "country_code", "country_name", "total_new_cases", "total_new_deaths")
+        .withColumn("date", F.to_date("reported_at"))
+        .select(*GRAIN, "total_new_cases", "total_new_deaths")
     )

@@ -11,6 +11,7 @@ import time
 from collections import Counter
 
 import duckdb
+from pyspark.sql import DataFrame
 
 import __spark_entry__ as entry_points
 
@@ -32,9 +33,8 @@ def connect(directory: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def differences(spark, directory: str, name: str, connection: duckdb.DuckDBPyConnection) -> str | None:
-    """What differs between the query and its statement, or nothing."""
-    frame = entry_points.queries()[name](spark, directory)
+def differences(frame: DataFrame, name: str, connection: duckdb.DuckDBPyConnection) -> str | None:
+    """What differs between the result of the query and its statement, or nothing."""
     columns = sorted(frame.columns)
     rows = Counter(tuple(row) for row in frame.select(*columns).collect())
     result = connection.execute(entry_points.oracle_sql()[name])
@@ -60,7 +60,7 @@ def main(directory: str, names: list[str]) -> int:
     failed = 0
     for name in names or entry_points.oracle_sql():
         started = time.perf_counter()
-        difference = differences(spark, directory, name, connection)
+        difference = differences(entry_points.queries()[name](spark, directory), name, connection)
         failed += difference is not None
         print(f"{name:28s} {time.perf_counter() - started:6.2f}s {difference or 'ok'}", flush=True)
     return failed

@@ -60,6 +60,21 @@ def test_whole_run(spark, config):
     assert spark.table("mart_government_response").count() == 60
     for name in ("run_log", "column_tests", "expectations", "freshness", "volume", "metric_scores", "schema_snapshot"):
         assert history.read_history(spark, f"{config.history_path}/monitoring_{name}").count() > 0
+    report = {r.area: r for r in history.read_history(spark, f"{config.history_path}/monitoring_report").collect()}
+    assert (report["column_tests"].checked, report["column_tests"].failed) == (36, 0)
+    assert (report["expectations"].checked, report["expectations"].failed) == (15, 1)
+    assert (report["schema_contract"].checked, report["schema_contract"].failed) == (34, 0)
+    assert report["freshness"].checked == 3
+
+
+def test_schema_drift_between_runs(spark, config, tmp_path):
+    from dataclasses import replace
+
+    DailyRun(spark, config, run_id="run-1").execute()
+    many_days(spark).selectExpr("*", "1 as extra").write.parquet(str(tmp_path / "wider"))
+    DailyRun(spark, replace(config, source_path=str(tmp_path / "wider")), run_id="run-2").execute()
+    changes = history.read_history(spark, f"{config.history_path}/monitoring_schema_changes").collect()
+    assert [(c.column_name, c.change, c.run_id) for c in changes] == [("extra", "added", "run-2")]
 
 
 def test_second_run_adds_to_the_history(spark, config):
