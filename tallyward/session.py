@@ -26,9 +26,10 @@ SESSION_DEFAULTS = {
     # for the 34 staged columns of 600,000 rows).
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # A wide aggregate can leave a row per group and map task: 100,000 tasks with 10,000 groups each are some
-    # 300 GB to exchange. Start with many reducers; adaptive execution merges them to the advisory size.
-    "spark.sql.shuffle.partitions": "2000",
+    # 300 GB to exchange. Start with many reducers; adaptive execution merges them to the advisory size. Streams,
+    # which cannot merge and keep a state store per reducer, go by spark.sql.shuffle.partitions instead.
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     # Recording the Python call site of every column expression takes a third of the time to build these queries,
@@ -38,6 +39,14 @@ SESSION_DEFAULTS = {
 }
 
 
+def local_sizes(cores: int | str) -> dict[str, str]:
+    """Overrides for a session on one machine: as many reducers as cores."""
+    return {
+        "spark__sql__shuffle__partitions": str(cores),
+        "spark__sql__adaptive__coalescePartitions__initialPartitionNum": str(cores),
+    }
+
+
 def build_session(app_name: str, master: str | None = None, **overrides: str) -> SparkSession:
     """A session with the defaults above; ``overrides`` use ``__`` in place of dots."""
     builder = SparkSession.builder.appName(app_name)

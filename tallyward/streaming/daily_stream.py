@@ -73,7 +73,8 @@ def refresh_on_arrival(staged: DataFrame, staged_path: str, base_path: str, chec
 def closed_days(staged: DataFrame, lateness_days: int) -> DataFrame:
     """Case and death totals of each country-day once no later than ``lateness_days`` behind the newest day.
 
-    State is bounded by countries times lateness. Rows later than that are not counted; use
+    State is bounded by countries times lateness, so few state partitions will do (``spark.sql.shuffle.partitions`` when
+    the stream is first started). Rows later than that are not counted; use
     :func:`refresh_on_arrival` where every correction must count.
     """
     reported = staged.withColumn("reported_at", F.col("date").cast("timestamp"))

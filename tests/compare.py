@@ -52,9 +52,9 @@ def differences(frame: DataFrame, name: str, connection: duckdb.DuckDBPyConnecti
 
 
 def main(directory: str, names: list[str]) -> int:
-    from tallyward.session import build_session
+    from tallyward.session import build_session, local_sizes
 
-    spark = build_session("compare", master="local[8]", spark__sql__shuffle__partitions="8")
+    spark = build_session("compare", master="local[8]", **local_sizes(8))
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(directory)
     failed = 0

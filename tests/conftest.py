@@ -10,12 +10,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from tallyward.session import build_session
+    from tallyward.session import build_session, local_sizes
 
     session = build_session(
         "tallyward-tests",
         master="local[8]",
-        spark__sql__shuffle__partitions="8",
+        **local_sizes(8),
         spark__driver__memory="8g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),

@@ -151,6 +151,7 @@ def test_command_line(spark, config, monkeypatch, capsys):
     from tallyward.__main__ import STAGES, main
 
     assert tuple(DailyRun(spark, config).stages()) == STAGES
+    monkeypatch.setattr("tallyward.__main__.build_session", lambda name: spark)
     monkeypatch.setenv("TALLYWARD_SOURCE_PATH", config.source_path)
     monkeypatch.setenv("TALLYWARD_RAW_PATH", config.raw_path)
     monkeypatch.setenv("TALLYWARD_RAW_TABLE", config.raw_table)
