@@ -19,11 +19,12 @@ def _pairs(text: str) -> dict[str, str]:
 class Config:
     """Where a run reads and writes, and how it treats bad data.
 
-    ``raw_path`` must not be empty, nor ``source_path`` unless the options of the connector name the source. ``as_of`` replaces today's date everywhere, so that a
-    run can be repeated. ``raw_partition_by=("date",)`` lets the gate and refreshes of some days read those days only,
-    for the price of one shuffle of the raw data; by default the raw zone is written as it comes. With a
-    ``warehouse_format`` the raw zone is copied out through that connector; without, it is registered as a table
-    in place. ``on_bad_data`` says what a failing expectation does: the default only reports it.
+    ``raw_path`` must not be empty, nor ``source_path`` unless the options of the connector name the source.
+    ``as_of`` replaces today's date everywhere, so that a run can be repeated. ``raw_partition_by=("date",)`` lets the
+    gate and refreshes of some days read those days only, for the price of one shuffle of the raw data; by default the
+    raw zone is written as it comes. With a ``warehouse_format`` the raw zone is copied out through that connector;
+    without, it is registered as a table in place. ``on_bad_data`` says what a failing expectation does: the default
+    only reports it.
     """
 
     source_path: str

@@ -98,8 +98,10 @@ def declared_tests(staged: DataFrame, base: DataFrame) -> DataFrame:
     Marts are projections of the base and no declared mart column is a computed rate, so testing the base
     tests all four of them at once.
     """
-    marts = [row for model, columns in NOT_NULL.items() if model != "stg_covid19" for row in not_null_rows(model, columns)]
-    return not_null(staged, "stg_covid19").unionByName(rows_from_aggregate(base, marts))
+    of_marts = [
+        row for model, columns in NOT_NULL.items() if model != "stg_covid19" for row in not_null_rows(model, columns)
+    ]
+    return not_null(staged, "stg_covid19").unionByName(rows_from_aggregate(base, of_marts))
 
 
 def accepted_values(df: DataFrame, model: str, values: Mapping[str, Iterable]) -> DataFrame:
@@ -130,7 +132,9 @@ def unique(df: DataFrame, model: str, columns: Iterable[str]) -> DataFrame:
     )
 
 
-def relationships(child: DataFrame, parent: DataFrame, model: str, column: str, parent_column: str | None = None) -> DataFrame:
+def relationships(
+    child: DataFrame, parent: DataFrame, model: str, column: str, parent_column: str | None = None
+) -> DataFrame:
     """Child rows whose value has no parent.
 
     Both sides shrink to their distinct values (combined on the map side) before they meet, so a value held by a

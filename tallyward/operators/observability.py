@@ -97,9 +97,8 @@ def arrivals(df: DataFrame, key: str = "country_code", date_column: str = "date"
 def daily_volume(df: DataFrame, table_name: str, weight: str | None = None) -> DataFrame:
     """(table_name, date, row_count); ``weight`` names the count where the rows were counted already."""
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return (
-        df.groupBy("date").agg(rows.alias("row_count")).select(F.lit(table_name).alias("table_name"), "date", "row_count")
-    )
+    per_day = df.groupBy("date").agg(rows.alias("row_count"))
+    return per_day.select(F.lit(table_name).alias("table_name"), "date", "row_count")
 
 
 def anomaly_scores(
@@ -143,7 +142,10 @@ def metric_anomalies(metrics: DataFrame, bucket: str = "date") -> DataFrame:
 
 
 def volume_anomalies(volume: DataFrame, trend_days: int = 7) -> DataFrame:
-    """Scores of the daily row count, with its change, trailing mean and whether it fell ``trend_days`` times running."""
+    """Scores of the daily row count, with its change, trailing mean and whether it fell ``trend_days`` times in a row.
+
+    One window group per ``table_name``, with a row per day.
+    """
     ordered = Window.partitionBy("table_name").orderBy("date")
     recent = ordered.rowsBetween(1 - trend_days, 0)
     trend = volume.withColumn("change", F.col("row_count") - F.lag("row_count").over(ordered)).withColumns(

@@ -85,7 +85,8 @@ def contract_breaches(schema: StructType, contract: Mapping[str, str]) -> list[s
 
 
 def contract_report(df: DataFrame, contract: Mapping[str, str], table_name: str) -> DataFrame:
-    """Each column with its status and use: (table_name, column_name, expected_type, actual_type, status, filled_rows)."""
+    """Each column with its status and use:
+    (table_name, column_name, expected_type, actual_type, status, filled_rows)."""
     return rows_from_aggregate(
         df,
         [

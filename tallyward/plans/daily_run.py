@@ -59,8 +59,8 @@ class DailyRun:
 
     def execute(self, only: Iterable[str] | None = None) -> DailyRun:
         """Run all stages, or only the named ones (still in the fixed order)."""
-        wanted = self.stages() if only is None else {name: self.stages()[name] for name in self.stages() if name in only}
-        for position, (name, action) in enumerate(wanted.items(), start=1):
+        wanted = [(name, action) for name, action in self.stages().items() if only is None or name in only]
+        for position, (name, action) in enumerate(wanted, start=1):
             if self.error is not None:
                 self.log.append(history.log_entry(self.run_id, position, name, "skipped", None, None, None))
                 continue
@@ -140,7 +140,7 @@ class DailyRun:
         self._store("metric_scores", observability.metric_anomalies(daily))
         self._store_drift()
         if self.verdicts.keys() >= {"column_tests", "expectations"}:
-            contract = schemas.contract_status(self._raw().schema, RAW_CONTRACT)
+            contract = schemas.contract_status(self._raw().schema, RAW_CONTRACT).values()
             self._store(
                 "report",
                 quality_report(
@@ -150,7 +150,7 @@ class DailyRun:
                     volume=self._stored("volume"),
                     metrics=self._stored("metric_scores"),
                     contract=self.spark.createDataFrame(
-                        [(status,) for _, _, status in contract.values() if status != "not_in_contract"], "status string"
+                        [(status,) for _, _, status in contract if status != "not_in_contract"], "status string"
                     ),
                 ),
             )

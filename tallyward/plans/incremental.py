@@ -9,7 +9,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyward.operators.marts import daily_country_base
 from tallyward.operators.staging import stage

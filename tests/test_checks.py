@@ -64,8 +64,10 @@ def test_relationships(spark):
     assert checks.relationships(child.where("k = 1"), parent, "m", "k", "id").first().failures == 0
 
 
-IMPACT = "date date, country_code string, country_name string, total_new_cases bigint, total_new_deaths bigint," \
+IMPACT = (
+    "date date, country_code string, country_name string, total_new_cases bigint, total_new_deaths bigint,"
     " case_fatality_rate double, current_icu_patients bigint, current_ventilator_patients bigint"
+)
 
 
 def impact(spark, count=1000, **cells):
@@ -117,6 +119,10 @@ def test_bad_codes(spark):
     assert failing(impact(spark, country_code="u1")) == [("values_match_regex", "country_code")]
 
 
+def test_regex_accepts_a_trailing_line_break_which_the_length_rule_catches(spark):
+    assert failing(impact(spark, country_code="US\n")) == [("value_lengths_between", "country_code")]
+
+
 def test_null_key(spark):
     result = ex.validate(impact(spark, country_code=lambda n: None if n < 5 else "US"), ex.IMPACT_SUITE)
     row = result.where("expectation = 'values_not_null' and column_name = 'country_code'").first()

@@ -8,6 +8,7 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyward.operators import column_checks, expectations
 from tallyward.plans import dashboards
@@ -145,3 +146,31 @@ def test_stream_refresh_prunes_to_the_touched_days(spark, models, tmp_path):
     assert "dynamicpruningexpression(date" in formatted(touched)
     assert [r.date for r in touched.select("date").distinct().collect()] == [date(2020, 5, 5)]
     assert touched.count() == 2 * models.staged.where("date = date '2020-05-05'").count()
+
+
+def test_a_hot_supplier_is_split_when_the_join_is_sorted(spark, tmp_path):
+    """A third of all line items belong to one supplier, and no side may be broadcast."""
+    items = spark.read.parquet(f"{DIRECTORY}/lineitem.parquet").withColumn(
+        "l_suppkey", F.expr("if(l_orderkey % 3 = 0, 1L, l_suppkey)")
+    )
+    items.repartition(8).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for table in ("supplier", "nation"):
+        spark.read.parquet(f"{DIRECTORY}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    plain = build_models(raw_observations(spark, str(tmp_path)), TEST_DAY).base.collect()
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        base = build_models(raw_observations(spark, str(tmp_path)), TEST_DAY).base
+        assert sorted(base.collect(), key=str) == sorted(plain, key=str)
+        assert "skew=true" in executed(base)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
