@@ -1,4 +1,4 @@
-"""Building blocks of the reference statements: the same models once more, in SQL for another engine."""
+"""Building blocks of the comparison statements: the same models once more, in SQL for another engine."""
 
 from __future__ import annotations
 
