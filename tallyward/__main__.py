@@ -18,12 +18,14 @@ def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tallyward", description="Settings come from TALLYWARD_* variables.")
     parser.add_argument("stage", choices=("run", *STAGES), help="all stages in order, or a single one")
     parser.add_argument("--as-of", type=date.fromisoformat, help="day to take as today")
+    parser.add_argument("--run-id", help="name of the run in the history; give stages run one by one the same")
     options = parser.parse_args(arguments)
     config = Config.from_env()
     if options.as_of:
         config = replace(config, as_of=options.as_of)
     spark = build_session("tallyward")
-    run = DailyRun(spark, config).execute(None if options.stage == "run" else [options.stage])
+    named = {"run_id": options.run_id} if options.run_id else {}
+    run = DailyRun(spark, config, **named).execute(None if options.stage == "run" else [options.stage])
     run.log_frame().show(truncate=False)
     if run.error is not None:
         print(run.error, file=sys.stderr)

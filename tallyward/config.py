@@ -23,8 +23,8 @@ class Config:
     ``as_of`` replaces today's date everywhere, so that a run can be repeated. ``raw_partition_by=("date",)`` lets the
     gate and refreshes of some days read those days only, for the price of one shuffle of the raw data; by default the
     raw zone is written as it comes. With a ``warehouse_format`` the raw zone is copied out through that connector;
-    without, it is registered as a table in place. ``on_bad_data`` says what a failing expectation does: the default
-    only reports it.
+    without, it is registered as a table in place. ``suites`` names the marts whose expectations are run.
+    ``on_bad_data`` says what a failing expectation does: the default only reports it.
     """
 
     source_path: str
@@ -41,6 +41,7 @@ class Config:
     as_of: date | None = None
     materialized: str = "view"
     on_bad_data: str = "report"
+    suites: tuple[str, ...] = ("mart_pandemic_impact",)
 
     def __post_init__(self) -> None:
         if not self.raw_path:
@@ -56,7 +57,7 @@ class Config:
     def from_env(cls, prefix: str = "TALLYWARD_", env: Mapping[str, str] | None = None) -> Config:
         """Read ``<prefix>SOURCE_PATH``, ``<prefix>RAW_PATH``, ... ; missing optional names keep their default.
 
-        Options are written ``name=value,name=value``.
+        Options are written ``name=value,name=value``, lists ``item,item``.
         """
         env = os.environ if env is None else env
         text = {
@@ -81,10 +82,13 @@ class Config:
             if prefix + name.upper() in env
         }
         as_of = env.get(prefix + "AS_OF")
-        partition_by = env.get(prefix + "RAW_PARTITION_BY", "")
+        lists = {
+            name: tuple(item for item in env[prefix + name.upper()].split(",") if item)
+            for name in ("raw_partition_by", "suites")
+            if prefix + name.upper() in env
+        }
         return cls(
-            **({"source_path": "", "raw_path": ""} | text | options),
-            raw_partition_by=tuple(name for name in partition_by.split(",") if name),
+            **({"source_path": "", "raw_path": ""} | text | options | lists),
             as_of=date.fromisoformat(as_of) if as_of else None,
         )
 

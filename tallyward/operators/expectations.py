@@ -8,8 +8,9 @@ values at all); rules on an aggregate fail when the aggregate is NULL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -269,6 +270,12 @@ def validate(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     return rows_from_aggregate(df, rows)
 
 
+def validate_marts(marts: Mapping[str, DataFrame]) -> DataFrame:
+    """Each mart against the suite bound to its name in :data:`SUITES`; the results carry the ``model``."""
+    results = [validate(mart, SUITES[name]).withColumn("model", F.lit(name)) for name, mart in marts.items()]
+    return reduce(DataFrame.unionByName, results)
+
+
 def summarize(results: DataFrame) -> DataFrame:
     """Suite verdict: (success, evaluated, passed, failed)."""
     return results.agg(

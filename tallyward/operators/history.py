@@ -15,13 +15,16 @@ RUN_LOG_SCHEMA = (
 )
 
 
-def append_run(results: DataFrame, path: str, run_id: str) -> None:
-    """Store the results of a run. Storing the same run again replaces it, so a repeated run is not counted twice."""
+def append_run(results: DataFrame, path: str, run_id: str, parts: Sequence[str] = ()) -> None:
+    """Store the results of a run. Storing the same run again replaces it, so a repeated run is not counted twice.
+
+    ``parts`` names columns by which a run may be stored piece by piece.
+    """
     (
         results.withColumn("run_id", F.lit(run_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
+        .partitionBy("run_id", *parts)
         .parquet(path)
     )
 

@@ -7,10 +7,11 @@ are left to whatever submits the job.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,10 +58,11 @@ class DailyRun:
             "report": self.report,
         }
 
-    def execute(self, only: Iterable[str] | None = None) -> DailyRun:
+    def execute(self, only: Collection[str] | None = None) -> DailyRun:
         """Run all stages, or only the named ones (still in the fixed order)."""
-        wanted = [(name, action) for name, action in self.stages().items() if only is None or name in only]
-        for position, (name, action) in enumerate(wanted, start=1):
+        for position, (name, action) in enumerate(self.stages().items(), start=1):
+            if only is not None and name not in only:
+                continue
             if self.error is not None:
                 self.log.append(history.log_entry(self.run_id, position, name, "skipped", None, None, None))
                 continue
@@ -72,7 +74,7 @@ class DailyRun:
             self.log.append(
                 history.log_entry(self.run_id, position, name, status, rows, started, datetime.now(UTC), detail)
             )
-        self._store("run_log", self.log_frame())
+        self._store("run_log", self.log_frame(), parts=["stage"])
         return self
 
     def log_frame(self) -> DataFrame:
@@ -119,7 +121,8 @@ class DailyRun:
         return self._judge("column_tests", results, "passed", always_raise=True)
 
     def expectations(self) -> int:
-        results = expectations.validate(marts.pandemic_impact(self._base()), expectations.IMPACT_SUITE)
+        base = self._base()
+        results = expectations.validate_marts({name: marts.MARTS[name](base) for name in self.config.suites})
         return self._judge("expectations", results, "success", always_raise=False)
 
     def report(self) -> None:
@@ -139,13 +142,14 @@ class DailyRun:
         self._store("volume", volume)
         self._store("metric_scores", observability.metric_anomalies(daily))
         self._store_drift()
-        if self.verdicts.keys() >= {"column_tests", "expectations"}:
+        tests, rules = self._stored("column_tests"), self._stored("expectations")
+        if tests is not None and rules is not None:
             contract = schemas.contract_status(self._raw().schema, RAW_CONTRACT).values()
             self._store(
                 "report",
                 quality_report(
-                    tests=self.verdicts["column_tests"],
-                    expectations=self.verdicts["expectations"],
+                    tests=tests,
+                    expectations=rules,
                     fresh=self._stored("freshness"),
                     volume=self._stored("volume"),
                     metrics=self._stored("metric_scores"),
@@ -157,7 +161,9 @@ class DailyRun:
 
     def _store_drift(self) -> None:
         """Store what changed in the schema of the raw table since the run before."""
-        snapshots = history.read_history(self.spark, self._folder("schema_snapshot"))
+        snapshots = self._history("schema_snapshot")
+        if snapshots is None:
+            return
         earlier = snapshots.where(F.col("run_id") < self.run_id).agg(F.max("run_id")).first()[0]
         if earlier is not None:
             before = snapshots.where(F.col("run_id") == earlier).drop("run_id")
@@ -199,11 +205,18 @@ class DailyRun:
     def _folder(self, name: str) -> str:
         return f"{self.config.history_path}/{self.config.monitoring_prefix}{name}"
 
-    def _store(self, name: str, results: DataFrame) -> None:
+    def _store(self, name: str, results: DataFrame, parts: Sequence[str] = ()) -> None:
         if self.config.history_path:
-            history.append_run(results, self._folder(name), self.run_id)
+            history.append_run(results, self._folder(name), self.run_id, parts)
+
+    def _history(self, name: str) -> DataFrame | None:
+        """What all runs stored under ``name``, if any did."""
+        try:
+            return history.read_history(self.spark, self._folder(name))
+        except AnalysisException:
+            return None
 
-    def _stored(self, name: str) -> DataFrame:
+    def _stored(self, name: str) -> DataFrame | None:
         """What this run stored under ``name``."""
-        stored = history.read_history(self.spark, self._folder(name))
-        return stored.where(F.col("run_id") == self.run_id).drop("run_id")
+        stored = self._history(name)
+        return None if stored is None else stored.where(F.col("run_id") == self.run_id).drop("run_id")

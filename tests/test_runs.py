@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date, timedelta
 
 import pytest
@@ -136,6 +137,18 @@ def test_tables_and_partitioned_raw_zone(spark, config):
     assert spark.catalog.getTable(f"{database}.mart_pandemic_impact").tableType == "MANAGED"
 
 
+def test_suites_of_all_marts(spark, config):
+    from dataclasses import replace
+
+    from tallyward.operators.expectations import SUITES
+
+    run = DailyRun(spark, replace(config, suites=tuple(SUITES))).execute(["extract", "load", "expectations"])
+    assert run.error is None
+    assert run.log[-1][4] == 35
+    failed = run.verdicts["expectations"].where("not success").select("model", "expectation").collect()
+    assert sorted(tuple(row) for row in failed) == [(name, "table_row_count_between") for name in sorted(SUITES)]
+
+
 def test_load_through_a_connector(spark, config, tmp_path):
     from dataclasses import replace
 
@@ -156,6 +169,13 @@ def test_command_line(spark, config, monkeypatch, capsys):
     monkeypatch.setenv("TALLYWARD_RAW_PATH", config.raw_path)
     monkeypatch.setenv("TALLYWARD_RAW_TABLE", config.raw_table)
     assert main(["run", "--as-of", "2021-03-31"]) == 0
+    monkeypatch.setenv("TALLYWARD_HISTORY_PATH", config.history_path)
+    for stage in STAGES:
+        assert main([stage, "--as-of", "2021-03-31", "--run-id", "one-by-one"]) == 0
+    report = history.read_history(spark, f"{config.history_path}/monitoring_report").where("run_id = 'one-by-one'")
+    assert report.where("area = 'column_tests'").first().checked == 36
+    log = history.read_history(spark, f"{config.history_path}/monitoring_run_log").where("run_id = 'one-by-one'")
+    assert [(r.position, r.stage) for r in log.sort("position").collect()] == list(enumerate(STAGES, start=1))
     assert main(["freshness_gate", "--as-of", "2021-06-30"]) == 1
     assert "day before" in capsys.readouterr().err
 
@@ -235,6 +255,25 @@ def test_stream_refreshes_touched_days_whatever_arrives_late(spark, tmp_path):
     assert second.exceptAll(expected).count() == expected.exceptAll(second).count() == 0
 
 
+def test_a_micro_batch_that_is_run_again_counts_once(spark, tmp_path):
+    """As after a crash between the writes of a batch and its commit."""
+    arrivals, staged_path, base_path, checkpoint = (str(tmp_path / name) for name in ("a", "s", "b", "c"))
+    raw = many_days(spark, last=5)
+    raw.coalesce(1).write.parquet(arrivals)
+
+    def process():
+        stream = daily_stream.staged_stream(spark, arrivals, raw.schema, AS_OF)
+        daily_stream.refresh_on_arrival(stream, staged_path, base_path, checkpoint).awaitTermination()
+        return sorted(spark.read.parquet(base_path).collect(), key=str)
+
+    first = process()
+    assert os.listdir(f"{checkpoint}/offsets") and "0" in os.listdir(f"{checkpoint}/commits")
+    for name in ("0", ".0.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+    assert process() == first
+    assert spark.read.parquet(staged_path).count() == raw.count()
+
+
 def test_stream_of_closed_days(spark, tmp_path):
     arrivals = str(tmp_path / "arrivals")
     raw = many_days(spark)

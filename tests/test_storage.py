@@ -148,11 +148,13 @@ def test_config():
             "TALLYWARD_AS_OF": "2020-12-31",
             "TALLYWARD_DATABASE": "health",
             "TALLYWARD_RAW_PARTITION_BY": "date",
+            "TALLYWARD_SUITES": "mart_pandemic_impact,mart_government_response",
         }
     )
     assert config.as_of == date(2020, 12, 31)
     assert config.table("covid19_raw") == "health.covid19_raw"
     assert config.raw_partition_by == ("date",)
+    assert config.suites == ("mart_pandemic_impact", "mart_government_response")
     connector = Config.from_env(
         env={
             "TALLYWARD_SOURCE_FORMAT": "jdbc",
