@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import exact_search, mixing, packing, privacy, sharding
+from tallyward.llm import exact_search, language, mixing, packing, privacy, sharding
 from tallyward.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_exact_search": _over("embeddings", exact_search.search_embeddings),
     "op2_packing": _over("documents", packing.pack),
+    "op3_language": _over("documents", language.identify_documents),
     "op6_private_data": _over("documents", privacy.private_documents),
     "op7_mixing": _over("documents", mixing.mix_documents),
     "op8_sharding": _over("documents", sharding.shard_documents),
