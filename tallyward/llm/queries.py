@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import exact_search, language, mixing, packing, privacy, sharding
+from tallyward.llm import exact_search, language, mixing, near_duplicates, packing, privacy, sharding
 from tallyward.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op6_private_data": _over("documents", privacy.private_documents),
     "op7_mixing": _over("documents", mixing.mix_documents),
     "op8_sharding": _over("documents", sharding.shard_documents),
+    "op9_near_duplicates": _over("documents", near_duplicates.grouped_documents),
 }
 
 STATEMENTS: dict[str, str] = {
