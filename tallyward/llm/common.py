@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tallyward.sources.storage import new_path
 
-# Of a table that is cut by a hash, one part has about so many rows: small enough for a task, large enough to be worth one.
-ROWS_PER_PART = 50_000
+# Of a table that is cut by a hash, one part has about so many rows: few enough that the parts of a large group spread over all tasks.
+ROWS_PER_PART = 2_048
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
