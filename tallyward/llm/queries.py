@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import exact_search, language, mixing, near_duplicates, packing, privacy, sharding, toxicity
+from tallyward.llm import exact_search, language, mixing, near_duplicates, neighbours, packing, privacy, sharding, toxicity
 from tallyward.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_search": _over("embeddings", exact_search.search_embeddings),
     "op2_packing": _over("documents", packing.pack),
     "op3_language": _over("documents", language.identify_documents),
+    "op4_neighbours": _over("embeddings", neighbours.near_embeddings),
     "op5_toxicity": lambda spark, directory: toxicity.toxic_documents(
         table(spark, directory, "documents"), table(spark, directory, "labels")
     ),
