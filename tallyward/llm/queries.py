@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import exact_search, language, mixing, near_duplicates, neighbours, packing, privacy, sharding, toxicity
+from tallyward.llm import exact_search, language, mixing, near_duplicates, neighbours, packing, privacy, secret_scan, sharding, toxicity
 from tallyward.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {
     "op7_mixing": _over("documents", mixing.mix_documents),
     "op8_sharding": _over("documents", sharding.shard_documents),
     "op9_near_duplicates": _over("documents", near_duplicates.grouped_documents),
+    "op10_secret_scan": _over("documents", secret_scan.scanned_documents),
 }
 
 STATEMENTS: dict[str, str] = {
