@@ -198,14 +198,8 @@ def _text_blocks() -> Column:
     return F.greatest(F.ceil(F.count(F.lit(1)) / TEXT_CELL), F.ceil(F.sum("n") / TEXT_CELL_SHINGLES)).alias("blocks")
 
 
-def duplicate_groups(docs: DataFrame, words: int = 5) -> DataFrame:
-    """For each row ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
-
-    Words are what white space separates, A-Z in lower case. Rows whose sets of shingles have a similarity of 0.8 or more are linked;
-    a text with fewer words than a shingle is one shingle, and one without words, or a missing one, is linked with nothing.
-    ``component_id`` is the least id of the row's component, and a row is ``kept`` if that is its own. Rows with the same id and the
-    same text are both kept. Rows without id are named by the least id in their component; where there is none, they are kept.
-    """
+def _grouped(docs: DataFrame, words: int) -> DataFrame:
+    """Each row's ``doc_id``, ``text_key`` and ``n``, and ``root`` (number) and ``component`` (least id) of its component; none without words."""
     rows = stored(signed(docs, words), "dup-signed")
     # 1. Classes of equal sets, named by their first row.
     named = rows.where("n > 0").groupBy("set_low", "set_high", "n").agg(F.min("row_id").alias("id"), F.min("doc_id").alias("least_id"))
@@ -257,13 +251,23 @@ def duplicate_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     rooted = named.join(final, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component"))
     of_class = rooted.join(least, "root").select(
-        F.col("set_low").alias("low_"), F.col("set_high").alias("high_"), F.col("n").alias("n_"), "component"
+        F.col("set_low").alias("low_"), F.col("set_high").alias("high_"), F.col("n").alias("n_"), "root", "component"
     )
     of_class = stored(of_class, "dup-of-class")
     same = (F.col("set_low") == F.col("low_")) & (F.col("set_high") == F.col("high_")) & (F.col("n") == F.col("n_"))
-    joined = rows.select("doc_id", "n", "set_low", "set_high").join(of_class, same, "left")
+    return rows.select("doc_id", "text_key", "n", "set_low", "set_high").join(of_class, same, "left")
+
+
+def duplicate_groups(docs: DataFrame, words: int = 5) -> DataFrame:
+    """For each row ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
+
+    Words are what white space separates, A-Z in lower case. Rows whose sets of shingles have a similarity of 0.8 or more are linked;
+    a text with fewer words than a shingle is one shingle, and one without words, or a missing one, is linked with nothing.
+    ``component_id`` is the least id of the row's component, and a row is ``kept`` if that is its own. Rows with the same id and the
+    same text are both kept. Rows without id are named by the least id in their component; where there is none, they are kept.
+    """
     component = F.coalesce("component", "doc_id")
-    return joined.select(
+    return _grouped(docs, words).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
@@ -271,6 +275,34 @@ def duplicate_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     )
 
 
+def distinct_documents(documents: DataFrame, words: int = 5) -> DataFrame:
+    """The documents with their columns, one of each group of near duplicates: that with the least id, of equal ids the least hash.
+
+    Texts without words are no duplicates of each other. Of rows that are equal in id and text one stays.
+    """
+    rows = stored(_grouped(documents, words).where("root is not null").select("root", "doc_id", "text_key"), "dup-roots")
+    several = rows.groupBy("root").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
+    )
+    several = several.where("rows > 1").select("root", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"))
+    known = rows.join(several, "root").groupBy("doc_id", "text_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.first(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))).alias("stays")
+    )
+    known = stored(known.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "rows", "stays"), "dup-known")
+
+    def of(some: DataFrame, how: str) -> DataFrame:
+        few = some.count() <= BROADCAST_ROWS
+        keys = some.select("_id", "_key")
+        same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+        return documents.join(F.broadcast(keys) if few else keys, same, how)
+
+    kept = of(known.where("not stays or rows > 1"), "left_anti")
+    repeated = known.where("stays and rows > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.unionByName(of(repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def grouped_documents(documents: DataFrame) -> DataFrame:
     """The contract's columns: shingles of two words."""
     return duplicate_groups(documents, words=2)
