@@ -6,31 +6,61 @@ from tallyward.sources.star_schema import RAW_EXPRESSIONS, ROW_NUMBER
 
 TODAY = "2020-12-31"
 
-RAW = (
-    "raw as (select "
-    + ", ".join(f"{expression} as {name}" for name, expression in RAW_EXPRESSIONS.items())
-    + f" from (select *, {ROW_NUMBER} as k from lineitem"
-    " join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey) as items)"
+_ITEMS = (
+    f"(select *, {ROW_NUMBER} as k from lineitem"
+    " join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey) as items"
+)
+_RAW_COLUMNS = ", ".join(f"{expression} as {name}" for name, expression in RAW_EXPRESSIONS.items())
+RAW = f"raw as (select {_RAW_COLUMNS} from {_ITEMS})"
+# The same with every tenth row corrected: 5 cases more, every hundredth invalid.
+CORRECTED = (
+    f"uncorrected as (select {_RAW_COLUMNS}, k from {_ITEMS}), raw as (select * exclude (k, new_confirmed),"
+    " case when k % 100 = 0 then -1 when k % 10 = 0 then new_confirmed + 5 else new_confirmed end as new_confirmed"
+    " from uncorrected)"
 )
 
-# Measures whose gaps become 0: staged name, and source name where it differs.
-_FILLED = """
-new_confirmed new_deceased new_recovered cumulative_confirmed cumulative_deceased
-new_hospitalized_patients current_hospitalized_patients new_intensive_care_patients
-current_intensive_care_patients current_ventilator_patients
-new_persons_vaccinated cumulative_persons_vaccinated new_persons_fully_vaccinated
-cumulative_persons_fully_vaccinated new_vaccine_doses_administered cumulative_vaccine_doses_administered
-school_closing workplace_closing cancel_public_events restrictions_on_gatherings stay_at_home_requirements
-international_travel_controls stringency_index
-""".split()
-_BRANDS = ("pfizer", "moderna", "janssen")
-FILLED = [*_FILLED, *[f"new_doses_{brand}" for brand in _BRANDS]]
+# Measures whose gaps become 0, by source name.
+FILLED_SOURCES = (
+    "new_confirmed",
+    "new_deceased",
+    "new_recovered",
+    "cumulative_confirmed",
+    "cumulative_deceased",
+    "new_hospitalized_patients",
+    "current_hospitalized_patients",
+    "new_intensive_care_patients",
+    "current_intensive_care_patients",
+    "current_ventilator_patients",
+    "new_persons_vaccinated",
+    "cumulative_persons_vaccinated",
+    "new_persons_fully_vaccinated",
+    "cumulative_persons_fully_vaccinated",
+    "new_vaccine_doses_administered",
+    "cumulative_vaccine_doses_administered",
+    "new_vaccine_doses_administered_pfizer",
+    "new_vaccine_doses_administered_moderna",
+    "new_vaccine_doses_administered_janssen",
+    "school_closing",
+    "workplace_closing",
+    "cancel_public_events",
+    "restrictions_on_gatherings",
+    "stay_at_home_requirements",
+    "international_travel_controls",
+    "stringency_index",
+)
+# Staged name of those that are renamed.
+RENAMED = {
+    "new_vaccine_doses_administered_pfizer": "new_doses_pfizer",
+    "new_vaccine_doses_administered_moderna": "new_doses_moderna",
+    "new_vaccine_doses_administered_janssen": "new_doses_janssen",
+}
+FILLED = [RENAMED.get(name, name) for name in FILLED_SOURCES]
+# Measures whose gaps stay.
 KEPT = ["hospital_beds_per_1000", "population", "gdp_per_capita_usd", "human_development_index"]
 
 
 def staged(today: str = TODAY, name: str = "stg") -> str:
-    filled = [f"coalesce({column}, 0) as {column}" for column in _FILLED]
-    filled += [f"coalesce(new_vaccine_doses_administered_{brand}, 0) as new_doses_{brand}" for brand in _BRANDS]
+    filled = [f"coalesce({source}, 0) as {RENAMED.get(source, source)}" for source in FILLED_SOURCES]
     columns = ["date", "country_code", "country_name", "subregion1_name", *filled, *KEPT]
     return (
         f"{name} as (select {', '.join(columns)} from raw"

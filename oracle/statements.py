@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from oracle.blocks import (
     CAPPED_CFR,
     CFR,
+    CORRECTED,
     COVERAGE,
     FILLED,
     HOSPITALIZATION,
@@ -19,11 +22,12 @@ from oracle.blocks import (
     union,
     with_models,
 )
+from tallyward.operators import marts, staging
 from tallyward.sources.star_schema import RAW_EXPRESSIONS
 
 RUN_DAYS = ("2020-01-15", "2020-06-30", "2020-12-31")
 
-_LOOKBACK = "rows between 14 preceding and 1 preceding"
+_LOOKBACK = "range between interval 14 days preceding and interval 1 day preceding"
 
 
 # --- staging ---------------------------------------------------------------------------------------------------
@@ -55,28 +59,61 @@ REJECTS = with_models(
 
 # --- column tests ----------------------------------------------------------------------------------------------
 
-# Columns tested by model, and the block the model is read from.
+# The block that a model is read from, and its columns that are tested.
 _TESTED = {
     "stg_covid19": (
         "stg",
-        "date country_code country_name new_confirmed new_deceased new_hospitalized_patients"
-        " new_vaccine_doses_administered stringency_index",
+        (
+            "date",
+            "country_code",
+            "country_name",
+            "new_confirmed",
+            "new_deceased",
+            "new_hospitalized_patients",
+            "new_vaccine_doses_administered",
+            "stringency_index",
+        ),
     ),
-    "mart_covid19_country_metrics": ("country", "country_code date total_new_cases"),
+    "mart_covid19_country_metrics": ("country", ("country_code", "date", "total_new_cases")),
     "mart_pandemic_impact": (
         "impact",
-        "date country_code country_name total_new_cases total_new_deaths current_icu_patients"
-        " current_ventilator_patients",
+        (
+            "date",
+            "country_code",
+            "country_name",
+            "total_new_cases",
+            "total_new_deaths",
+            "current_icu_patients",
+            "current_ventilator_patients",
+        ),
     ),
     "mart_vaccination_effectiveness": (
         "vaccination",
-        "date country_code country_name total_new_vaccinated total_new_fully_vaccinated total_doses_pfizer"
-        " total_doses_moderna total_doses_janssen total_new_cases total_new_deaths",
+        (
+            "date",
+            "country_code",
+            "country_name",
+            "total_new_vaccinated",
+            "total_new_fully_vaccinated",
+            "total_doses_pfizer",
+            "total_doses_moderna",
+            "total_doses_janssen",
+            "total_new_cases",
+            "total_new_deaths",
+        ),
     ),
     "mart_government_response": (
         "government",
-        "date country_code country_name school_closing stay_at_home_requirements international_travel_controls"
-        " total_new_cases total_new_deaths",
+        (
+            "date",
+            "country_code",
+            "country_name",
+            "school_closing",
+            "stay_at_home_requirements",
+            "international_travel_controls",
+            "total_new_cases",
+            "total_new_deaths",
+        ),
     ),
 }
 
@@ -92,7 +129,7 @@ def _not_null_parts(model: str) -> list[str]:
     source, columns = _TESTED[model]
     return [
         _test(model, "not_null", column, f"count(*) filter (where {column} is null)", source)
-        for column in columns.split()
+        for column in columns
     ]
 
 
@@ -128,8 +165,7 @@ UNIQUE = with_models(
                 "unique",
                 columns,
                 "count(*)",
-                f"(select 1 from {source} where {' and '.join(f'{c} is not null' for c in columns.split(', '))}"
-                f" group by {columns} having count(*) > 1) as repeats",
+                f"(select 1 from {source} group by {columns} having count(*) > 1) as repeats",
             )
             for model, source, columns in (
                 ("mart_pandemic_impact", "impact", KEYS),
@@ -139,23 +175,21 @@ UNIQUE = with_models(
     )
 )
 
+_COUNTRIES = "(select {0} as country_code, n_name as country_name from nation) as countries".format(RAW_EXPRESSIONS["country_code"])
+
 RELATIONSHIPS = with_models(
     union(
-        _test(
-            "mart_pandemic_impact",
-            "relationships",
-            "country_code",
-            "count(*)",
-            "impact where country_code is not null and not exists"
-            " (select 1 from stg where stg.country_code = impact.country_code)",
-        ),
-        _test(
-            "covid19_raw",
-            "relationships",
-            "date",
-            "count(*)",
-            "raw where date is not null and not exists (select 1 from stg where stg.date = raw.date)",
-        ),
+        *[
+            _test(
+                "stg_covid19",
+                "relationships",
+                column,
+                "count(*)",
+                f"stg where {column} is not null and {column} not in"
+                f" (select {column} from {_COUNTRIES} where {column} is not null)",
+            )
+            for column in ("country_code", "country_name")
+        ]
     )
 )
 
@@ -276,9 +310,9 @@ def government_suite() -> list[str]:
     return suite.values("values_between", "avg_hdi", "avg_hdi between 0 and 1").parts
 
 
-def _runs() -> tuple[str, str]:
-    """Impact suite as of each run day: (with-list, union of the results)."""
-    blocks, results = [RAW], []
+def _runs() -> tuple[list[str], str]:
+    """Impact suite as of each run day: (blocks over raw, union of the results)."""
+    blocks, results = [], []
     for number, today in enumerate(RUN_DAYS):
         blocks.append(staged(today, f"stg{number}"))
         blocks.append(base(f"stg{number}", f"base{number}"))
@@ -286,18 +320,32 @@ def _runs() -> tuple[str, str]:
             f"impact{number} as (select *, {CAPPED_CFR} as case_fatality_rate from base{number})"
         )
         results += impact_suite(f"impact{number}", f"'{today}' as run_id, ")
-    return ", ".join(blocks), union(*results)
+    return blocks, union(*results)
 
 
 _RUN_BLOCKS, _RUN_RESULTS = _runs()
 
-VALIDATION_HISTORY = f"with {_RUN_BLOCKS} {_RUN_RESULTS}"
+_WITH_RUNS = ", ".join([RAW, *_RUN_BLOCKS])
+VALIDATION_HISTORY = f"with {_WITH_RUNS} {_RUN_RESULTS}"
 
-TEST_HISTORY = f"""with {_RUN_BLOCKS}, results as ({_RUN_RESULTS})
-    select rule_id, expectation, column_name, count(*) as runs, count(*) filter (where success) as passes,
+_TEST_HISTORY_ROWS = f"""select rule_id, expectation, column_name, count(*) as runs, count(*) filter (where success) as passes,
         {rounded("cast(count(*) filter (where success) as double) / count(*)", 6)} as pass_rate,
         max(run_id) as last_run, arg_max(success, run_id) as last_passed
-    from results group by rule_id, expectation, column_name"""
+    from ({_RUN_RESULTS}) as results group by rule_id, expectation, column_name"""
+TEST_HISTORY = f"with {_WITH_RUNS} {_TEST_HISTORY_ROWS}"
+
+
+def strict_suite(source: str, model: str, rules: int) -> list[str]:
+    suite = _Suite(source, f"'{model}' as model, ").rows(1000).not_null("country_code")
+    suite.values("values_between", "case_fatality_rate", "case_fatality_rate between 0 and 50")
+    return suite.parts[:rules]
+
+
+def _outcome(mode: str) -> str:
+    rules = union(*strict_suite("impact", "mart_pandemic_impact", 3))
+    failed = "count(*) filter (where not success)"
+    raises = f"{failed} > 0" if mode == "raise" else "false"
+    return f"select '{mode}' as on_bad_data, count(*) as evaluated, {failed} as failed, {raises} as raises from ({rules}) as results"
 
 
 # --- observability ---------------------------------------------------------------------------------------------
@@ -345,42 +393,52 @@ def _scored(source: str, keys: str, bucket: str, value: str, columns: str) -> st
     window = f"(partition by {keys} order by {bucket} {_LOOKBACK})"
     return f"""select {columns}, history_count, {rounded("mean", 6)} as history_mean, anomaly_score,
         coalesce(abs(anomaly_score) > 3, false) as is_anomalous
-    from (select *, case when history_count >= 7 and spread > 0
+    from (select *, case when history_count >= 7 and spread > 1e-9 * greatest(1.0, abs(mean))
             then {rounded(f"({value} - mean) / nullif(spread, 0)", 6)} end as anomaly_score
         from (select *, count({value}) over {window} as history_count, avg({value}) over {window} as mean,
                 stddev_samp({value}) over {window} as spread from ({source}) as series) as windowed) as scored"""
 
 
-_DAILY = union(
-    *[
-        _metric(column, metric, expression.format(column), "stg", "date")
-        for column in (
-            "new_confirmed",
-            "new_deceased",
-            "new_hospitalized_patients",
-            "current_ventilator_patients",
-            "stringency_index",
-        )
-        for metric, expression in (
-            ("average", "avg({0})"),
-            ("standard_deviation", "stddev_samp({0})"),
-            ("zero_count", "count(*) filter (where {0} = 0)"),
-        )
-    ]
-)
+_DOUBLES = ("hospital_beds_per_1000", "stringency_index", "human_development_index")
+
+
+def _daily_metrics(column: str) -> str:
+    """All statistics of a measure by day; the deviation from the sum of squares."""
+    n, total = f"cast(count({column}) as double)", f"cast(sum({column}) as double)"
+    squares = f"sum(cast({column} as double) * cast({column} as double))"
+    variance = f"({n} * {squares} - {total} * {total}) / case when {n} > 1 then {n} * ({n} - 1) end"
+    missing = f"count(*) - count({column})"
+    metrics = {
+        "row_count": "count(*)",
+        "null_count": missing,
+        "null_percent": f"(cast({missing} as double) / nullif(count(*), 0) * 100)",
+        "min": f"min({column})",
+        "max": f"max({column})",
+        "average": f"({total} / nullif({n}, 0))",
+        "standard_deviation": f"case when {n} > 1 then sqrt(greatest({variance}, 0)) end",
+        "zero_count": f"count(*) filter (where {column} = 0)",
+    }
+    return union(*[_metric(column, metric, f"({expression})", "stg", "date") for metric, expression in metrics.items()])
+
+
+_DAILY = union(*[_daily_metrics(column) for column in (*FILLED, *KEPT)])
 
 _METRIC_SCORES = _scored(_DAILY, "column_name, metric", "date", "value", "date, column_name, metric, value")
 METRIC_ANOMALY = with_models(_METRIC_SCORES)
 METRIC_TESTS = with_models(
     f"""select column_name, metric, count(anomaly_score) as scored, count(*) filter (where is_anomalous) as anomalies,
-        count(*) filter (where is_anomalous) = 0 as passed
+        max(date) as last_bucket, not arg_max(is_anomalous, date) as passed
     from ({_METRIC_SCORES}) as scores group by column_name, metric"""
 )
 
-def _volume_scores(counts: str) -> str:
-    """Scores of the daily counts in (table_name, date, row_count)."""
+def _volume_scores(counts: str, until: str) -> str:
+    """Scores of the daily counts in (table_name, date, row_count), with a 0 for each absent day."""
     by_day = "partition by table_name order by date"
-    moved = f"select *, row_count - lag(row_count) over ({by_day}) as change from ({counts}) as daily"
+    daily = f"""select days.table_name, days.date, coalesce(counted.row_count, 0) as row_count
+        from (select table_name, cast(unnest(generate_series(min(date), greatest(max(date), date '{until}'), interval 1 day)) as date) as date
+            from ({counts}) as listed group by table_name) as days
+        left join ({counts}) as counted on counted.table_name = days.table_name and counted.date = days.date"""
+    moved = f"select *, row_count - lag(row_count) over ({by_day}) as change from ({daily}) as daily"
     trend = f"""select table_name, date, row_count, change,
             {rounded("avg(row_count) over recent", 6)} as trailing_mean,
             count(*) filter (where change < 0) over recent = 7 as is_declining
@@ -390,6 +448,11 @@ def _volume_scores(counts: str) -> str:
     )
 
 
+def _newest(scores: str, keys: str) -> str:
+    """The last day of each series."""
+    return f"select * from ({scores}) as scores qualify row_number() over (partition by {keys} order by date desc) = 1"
+
+
 def _freshness(table: str, source: str, key: str, today: str, days: int) -> str:
     behind = f"date_diff('day', max(date), date '{today}')"
     return f"""select '{table}' as table_name, case when grouping({key}) = 1 then 'table' else 'key' end as level,
@@ -398,7 +461,12 @@ def _freshness(table: str, source: str, key: str, today: str, days: int) -> str:
 
 
 _VOLUME_SCORES = _volume_scores(
-    "select 'stg_covid19' as table_name, date, count(*) as row_count from stg group by date"
+    "select 'stg_covid19' as table_name, date, count(*) as row_count from stg group by date", "2020-12-31"
+)
+_OUTAGE_SCORES = _volume_scores(
+    "select 'stg_covid19' as table_name, date, count(*) as row_count from stg"
+    " where date not between date '2020-09-10' and date '2020-09-14' and date <= date '2020-12-28' group by date",
+    "2020-12-31",
 )
 _FRESH = _freshness("stg_covid19", "stg", "country_code", "2020-12-31", 1)
 
@@ -406,7 +474,6 @@ _EVENTS = (
     "with occurred as (select event_id, user_id, event_type, value, props, cast(ts as date) as date from events) "
 )
 
-_DOUBLES = ("hospital_beds_per_1000", "stringency_index", "human_development_index")
 
 
 def _type(column: str) -> str:
@@ -421,78 +488,146 @@ def _drift(column: str, change: str, before: str | None, after: str | None) -> s
     def quoted(text: str | None) -> str:
         return f"'{text}'" if text else "cast(null as varchar)"
 
-    rows = {
-        side: f"(select count({column}) from {source})" if kind else "cast(null as bigint)"
-        for side, source, kind in (("old", "raw", before), ("new", "stg", after))
-    }
     return (
         f"select 'covid19' as table_name, '{column}' as column_name, '{change}' as change,"
         f" {quoted(before)} as previous_type, {quoted(after)} as current_type,"
-        f" {rows['old']} as previous_rows, {rows['new']} as current_rows"
+        " cast(null as bigint) as previous_rows, cast(null as bigint) as current_rows"
     )
 
 
-SCHEMA_CHANGES = with_models(
-    union(
-        _drift("school_closing", "type_changed", "int", "bigint"),
-        *[
-            part
-            for brand in ("pfizer", "moderna", "janssen")
-            for part in (
-                _drift(f"new_vaccine_doses_administered_{brand}", "removed", "bigint", None),
-                _drift(f"new_doses_{brand}", "added", None, "bigint"),
-            )
-        ],
-    )
+_CHANGES = union(
+    _drift("school_closing", "type_changed", "int", "bigint"),
+    *[
+        part
+        for brand in ("pfizer", "moderna", "janssen")
+        for part in (
+            _drift(f"new_vaccine_doses_administered_{brand}", "removed", "bigint", None),
+            _drift(f"new_doses_{brand}", "added", None, "bigint"),
+        )
+    ],
 )
 
-_CONTRACT = union(
-    *[
+
+def _contract_row(name: str) -> str:
+    actual, status = {
+        "population": (None, "missing"),
+        "school_closing": ("int", "ok"),
+        "new_recovered": ("string", "wrong_type"),
+    }.get(name, (_type(name), "ok"))
+    shown = f"'{actual}'" if actual else "cast(null as varchar)"
+    return (
         f"select 'covid19_raw' as table_name, '{name}' as column_name, '{_type(name)}' as expected_type,"
-        f" '{_type(name)}' as actual_type, 'ok' as status, count({name}) as filled_rows from raw"
-        for name in RAW_EXPRESSIONS
-    ]
+        f" {shown} as actual_type, '{status}' as status"
+    )
+
+
+_ODD_CONTRACT = union(
+    *[_contract_row(name) for name in RAW_EXPRESSIONS],
+    "select 'covid19_raw', 'remark', cast(null as varchar), 'string', 'not_in_contract'",
 )
 
+_CONTRACT = union(*[f"select 'ok' as status, count({name}) as filled from raw" for name in RAW_EXPRESSIONS])
+
+_RATES = ("case_fatality_rate", "hospitalization_rate", "vaccination_coverage_pct")
+
+
+def _catalog(model: str, columns: Iterable[str], texts: Mapping[str, str]) -> str:
+    def row(column: str) -> str:
+        kind = "double" if column.startswith("avg_") or column in _RATES else _type(column)
+        text = f"'{texts[column]}'" if column in texts else "cast(null as varchar)"
+        return (
+            f"select '{model}' as model, '{marts.MODEL_DESCRIPTIONS[model]}' as model_description,"
+            f" '{column}' as column_name, '{kind}' as data_type, {text} as description"
+        )
+
+    return union(*[row(column) for column in columns])
+
+
+# The wording is the package's own documentation; which columns a model has, and their types, are said here once more.
+MODEL_CATALOG = union(
+    _catalog(
+        "stg_covid19",
+        ["date", "country_code", "country_name", "subregion1_name", *FILLED, *KEPT],
+        staging.DESCRIPTIONS,
+    ),
+    _catalog("mart_covid19_country_metrics", marts.COUNTRY_METRICS, marts.DESCRIPTIONS),
+    _catalog("mart_pandemic_impact", marts.PANDEMIC_IMPACT, marts.DESCRIPTIONS),
+    _catalog("mart_vaccination_effectiveness", marts.VACCINATION_EFFECTIVENESS, marts.DESCRIPTIONS),
+    _catalog("mart_government_response", marts.GOVERNMENT_RESPONSE, marts.DESCRIPTIONS),
+)
+
+# Runs, stages and times as they are in the events.
+_LOG = """(select printf('%08d', event_id) as run_id, event_type as stage,
+    case when event_id % 10 = 0 then 'failed' else 'succeeded' end as status, ts as started_at,
+    cast(floor(value * 1000) as bigint) / 1000.0 as seconds from events) as log"""
+
+
+def _times(kind: str) -> str:
+    return f"""select stage, '{kind}' as kind, count(*) as runs, count(*) filter (where status = 'failed') as failures,
+        {rounded("avg(cast(seconds as double))", 6)} as mean_seconds, max(cast(seconds as double)) as max_seconds,
+        quantile_disc(cast(seconds as double), 0.5) as median_seconds,
+        arg_max(status = 'failed', (started_at, run_id)) as last_failed
+    from {_LOG} group by stage"""
+
 
 def _area(area: str, source: str, good: str) -> str:
-    bad = f"count(*) filter (where not ({good}))"
-    return f"select '{area}' as area, count(*) as checked, {bad} as failed, {bad} = 0 as passed from ({source}) as results"
+    bad = f"count(*) filter (where not coalesce({good}, false))"
+    return (
+        f"select '{area}' as area, count(*) as checked, {bad} as failed, {bad} = 0 and count(*) > 0 as passed"
+        f" from ({source}) as results"
+    )
 
 
+MODEL_ROWS = union(
+    "select 'stg_covid19' as model, count(*) as row_count from stg",
+    "select 'daily_country_base' as model, count(*) as row_count from base",
+    "select 'mart_covid19_country_metrics' as model, count(*) as row_count from country",
+    "select 'mart_pandemic_impact' as model, count(*) as row_count from impact",
+    "select 'mart_vaccination_effectiveness' as model, count(*) as row_count from vaccination",
+    "select 'mart_government_response' as model, count(*) as row_count from government",
+)
+MODEL_ROW_COUNTS = with_models(MODEL_ROWS)
+
+_ALL_COLUMNS = union(*[f"select '{name}' as column_name" for name in RAW_EXPRESSIONS])
+_DRIFT_STATUS = f"select change from ({_ALL_COLUMNS}) as listed full join ({_CHANGES}) as changes using (column_name)"
+
+# Blocks of the earlier runs lie beside those of this one; raw is common to both.
 REPORT = with_models(
     union(
         _area("column_tests", COLUMN_TESTS, "passed"),
         _area("expectations", union(*impact_suite()), "success"),
         _area("freshness", _FRESH, "is_fresh"),
-        _area("volume_anomalies", _VOLUME_SCORES, "not is_anomalous"),
-        _area("metric_anomalies", _METRIC_SCORES, "not is_anomalous"),
+        _area("volume_anomalies", _newest(_VOLUME_SCORES, "table_name"), "not is_anomalous"),
+        _area("metric_anomalies", _newest(_METRIC_SCORES, "column_name, metric"), "not is_anomalous"),
         _area("schema_contract", _CONTRACT, "status = 'ok'"),
-    )
-)
-
-MODEL_ROW_COUNTS = with_models(
-    union(
-        "select 'stg_covid19' as model, count(*) as row_count from stg",
-        "select 'daily_country_base' as model, count(*) as row_count from base",
-        "select 'mart_covid19_country_metrics' as model, count(*) as row_count from country",
-        "select 'mart_pandemic_impact' as model, count(*) as row_count from impact",
-        "select 'mart_vaccination_effectiveness' as model, count(*) as row_count from vaccination",
-        "select 'mart_government_response' as model, count(*) as row_count from government",
-    )
+        _area("test_history", _TEST_HISTORY_ROWS, "last_passed"),
+        _area("run_log", f"select status from {_LOG}", "status <> 'failed'"),
+        _area("model_row_counts", MODEL_ROWS, "row_count > 0"),
+        _area("run_times", _times("stage"), "not last_failed"),
+        _area("schema_changes", _DRIFT_STATUS, "change is null"),
+    ),
+    *_RUN_BLOCKS,
 )
 
 _STAGES = (
     ("extract", "(select count(*) from raw)"),
     ("load", None),
     ("freshness_gate", None),
-    ("models", None),
+    ("models", "(select count(*) from base)"),
     ("column_tests", "36"),
     ("expectations", "15"),
     ("report", None),
 )
 
 
+_SUMMARY = union(
+    *[
+        f"select {position} as position, '{stage}' as stage, 'succeeded' as status, cast({rows or 'null'} as bigint) as row_count"
+        for position, (stage, rows) in enumerate(_STAGES, start=1)
+    ]
+)
+
+
 # --- dashboards ------------------------------------------------------------------------------------------------
 
 
@@ -574,7 +709,7 @@ STATEMENTS: dict[str, str] = {
     "registered_table": _RAW_ROWS,
     "stg_as_view": with_models("select * from stg"),
     "mart_as_table": with_models("select * from impact"),
-    "validation_sample_count": with_models("select least(count(*), 100000) as row_count from impact"),
+    "validation_sample_count": with_models("select count(*) as row_count from impact"),
     "stg_covid19": with_models("select * from stg"),
     "stg_nulls_filled": _gaps(FILLED),
     "stg_nulls_kept": _gaps(KEPT),
@@ -614,20 +749,49 @@ STATEMENTS: dict[str, str] = {
     "expectations_government": with_models(union(*government_suite())),
     "validation_history": VALIDATION_HISTORY,
     "test_history": TEST_HISTORY,
-    "run_summary": with_models(
+    "suite_replaced": with_models(
+        union(
+            *strict_suite("impact", "mart_pandemic_impact", 3), *strict_suite("country", "mart_covid19_country_metrics", 2)
+        )
+    ),
+    "validation_outcomes": with_models(union(_outcome("report"), _outcome("raise"))),
+    "run_log": with_models(
+        f"select *, cast(null as varchar) as detail, true as in_order from ({_SUMMARY}) as summary"
+    ),
+    "run_summary": with_models(_SUMMARY),
+    "pipeline_summary": with_models(_SUMMARY),
+    "monitoring_tables": with_models(
         union(
             *[
-                f"select {position} as position, '{stage}' as stage, 'succeeded' as status,"
-                f" cast({rows or 'null'} as bigint) as row_count"
-                for position, (stage, rows) in enumerate(_STAGES, start=1)
+                f"select 'watch_{name}' as table_name, cast({rows} as bigint) as row_count"
+                for name, rows in (
+                    ("column_tests", "36"),
+                    ("expectations", "15"),
+                    ("schema_snapshot", "34"),
+                    ("model_log", "5"),
+                    ("model_row_counts", "6"),
+                    ("arrivals", "(select count(*) from (select distinct date, country_code from stg) as pairs)"),
+                    ("report", "11"),
+                )
             ]
         )
     ),
+    "model_run_times": union(_times("stage"), _times("model")),
     "model_row_counts": MODEL_ROW_COUNTS,
     "column_metrics": f"with {RAW} {_column_metrics('raw', list(RAW_EXPRESSIONS), _STRINGS)}",
     "metric_anomaly": METRIC_ANOMALY,
     "metric_anomaly_tests": METRIC_TESTS,
+    "distinct_estimates": f"with {RAW} "
+    + union(
+        *[
+            f"select '{name}' as column_name, count(distinct {name}) as distinct_count, true as is_close from raw"
+            for name in RAW_EXPRESSIONS
+        ]
+    ),
     "volume_anomaly": with_models(_VOLUME_SCORES),
+    "volume_outage": with_models(_OUTAGE_SCORES),
+    "freshness_empty": "select 'stg_covid19' as table_name, 'table' as level, cast(null as varchar) as country_code,"
+    " cast(null as date) as last_date, cast(null as bigint) as days_behind, false as is_fresh",
     "freshness": with_models(_FRESH),
     "events_column_metrics": _EVENTS
     + _column_metrics(
@@ -635,11 +799,20 @@ STATEMENTS: dict[str, str] = {
     ),
     "events_volume_anomaly": _EVENTS
     + _volume_scores(
-        "select event_type as table_name, date, count(*) as row_count from occurred group by event_type, date"
+        "select event_type as table_name, date, count(*) as row_count from occurred group by event_type, date",
+        "2024-02-01",
     ),
     "events_freshness": _EVENTS + _freshness("events", "occurred", "event_type", "2024-02-01", 2),
-    "schema_changes": SCHEMA_CHANGES,
-    "schema_contract": with_models(_CONTRACT),
+    "schema_changes": _CHANGES,
+    "schema_contract": _ODD_CONTRACT,
+    "contract_usage": f"with {RAW} "
+    + union(
+        *[
+            f"select 'covid19_raw' as table_name, '{name}' as column_name, count({name}) as filled_rows from raw"
+            for name in RAW_EXPRESSIONS
+        ]
+    ),
+    "model_catalog": MODEL_CATALOG,
     "dq_report": REPORT,
     "cumulative_by_country": with_models(
         "select country_code, country_name, max(total_cumulative_cases) as total_cumulative_cases"
@@ -694,8 +867,9 @@ STATEMENTS: dict[str, str] = {
     "incremental_refresh": _BASE_ROWS,
     "country_profile_history": _versions(),
     "streaming_refresh": _BASE_ROWS,
-    "streaming_closed_days": with_models(
-        f"select {KEYS}, total_new_cases, total_new_deaths from base"
-        " where date <= (select max(date) from stg) - 7"
+    "incremental_emptied_day": with_models(
+        "select * from base where date not in (date '2020-12-05', date '2020-12-31')"
     ),
+    "streaming_corrections": f"with {CORRECTED}, {staged()}, {base()} select * from base",
+    "streaming_closed_days": with_models("select * from base where date <= (select max(date) from stg) - 7"),
 }

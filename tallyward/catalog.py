@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import UTC, date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,27 +17,42 @@ from tallyward.operators import (
     history,
     marts,
     observability,
+    profile,
     schemas,
     snapshots,
     staging,
 )
 from tallyward.plans import dashboards, incremental, report
-from tallyward.plans.daily_run import PROFILE_METRICS, PROFILED, DailyRun
+from tallyward.plans.daily_run import DailyRun
 from tallyward.plans.models import Models, build_models
 from tallyward.sources import storage
 from tallyward.sources.contract import RAW_CONTRACT
-from tallyward.sources.star_schema import TEST_DAY, raw_observations
+from tallyward.sources.star_schema import RAW_EXPRESSIONS, TEST_DAY, raw_observations
 from tallyward.streaming import daily_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 EVENTS_DAY = date(2024, 2, 1)
+# Orders hold line numbers more than once; these tell the rows apart.
+ROW_KEY = ("l_partkey", "l_suppkey", "l_extendedprice")
 RUN_DAYS = (date(2020, 1, 15), date(2020, 6, 30), TEST_DAY)
 
+
 def _models(spark: SparkSession, directory: str, as_of: date = TEST_DAY) -> Models:
     return build_models(raw_observations(spark, directory), as_of)
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Written once, read by everything that follows from it."""
+    path = storage.new_path(df.sparkSession, purpose)
+    storage.write_counted(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _profiled(spark: SparkSession, directory: str) -> DataFrame:
+    return profile.profiled_base(_models(spark, directory).staged)
+
+
 def _table_name(purpose: str) -> str:
     return f"{purpose}_{uuid.uuid4().hex}"
 
@@ -128,11 +144,11 @@ def test_unique_grain(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def test_relationships(spark: SparkSession, directory: str) -> DataFrame:
-    raw = raw_observations(spark, directory)
-    models = build_models(raw, TEST_DAY)
-    return column_checks.relationships(
-        models.impact, models.staged, "mart_pandemic_impact", "country_code"
-    ).unionByName(column_checks.relationships(raw, models.staged, "covid19_raw", "date"))
+    """Codes and names of the staged rows against the countries there are, a table of its own."""
+    nations = spark.read.parquet(f"{directory}/nation.parquet")
+    countries = nations.selectExpr(f"{RAW_EXPRESSIONS['country_code']} as country_code", "n_name as country_name")
+    parents = {"country_code": (countries, "country_code"), "country_name": (countries, "country_name")}
+    return column_checks.relationships(_models(spark, directory).staged, "stg_covid19", parents)
 
 
 # --- expectations ----------------------------------------------------------------------------------------------
@@ -152,7 +168,8 @@ def _impact_history(spark: SparkSession, directory: str) -> DataFrame:
     path = storage.new_path(spark, "expectations")
     for as_of in RUN_DAYS:
         results = expectations.validate(_models(spark, directory, as_of).impact, expectations.IMPACT_SUITE)
-        history.append_run(results, path, as_of.isoformat())
+        started = datetime(as_of.year, as_of.month, as_of.day, tzinfo=UTC)
+        history.append_run(results, path, as_of.isoformat(), run_started=started)
     return history.read_history(spark, path)
 
 
@@ -161,16 +178,39 @@ def test_history(spark: SparkSession, directory: str) -> DataFrame:
     return history.pass_rates(results, ["rule_id", "expectation", "column_name"], "success")
 
 
+STRICT_SUITE = (
+    expectations.RowCountBetween(min_value=1000),
+    expectations.NotNull("country_code"),
+    expectations.ValuesBetween("case_fatality_rate", min_value=0, max_value=50),
+)
+
+
+def suite_replaced(spark: SparkSession, directory: str) -> DataFrame:
+    """The impact mart under another suite, and a mart that had none under its first."""
+    suites = expectations.bind("mart_pandemic_impact", STRICT_SUITE)
+    suites = expectations.bind("mart_covid19_country_metrics", STRICT_SUITE[:2], suites)
+    models = _models(spark, directory)
+    frames = {"mart_pandemic_impact": models.impact, "mart_covid19_country_metrics": models.country_metrics}
+    return expectations.validate_marts(frames, suites)
+
+
+def validation_outcomes(spark: SparkSession, directory: str) -> DataFrame:
+    """What a run does with the strict suite, by setting."""
+    results = _stored(expectations.validate(_models(spark, directory).impact, STRICT_SUITE), "strict")
+    return expectations.outcome(results, "report").unionByName(expectations.outcome(results, "raise"))
+
+
 # --- runs ------------------------------------------------------------------------------------------------------
 
 
-def _run(spark: SparkSession, directory: str, source: str, history_path: str = "") -> DailyRun:
+def _run(spark: SparkSession, directory: str, history_path: str = "", prefix: str = "monitoring_") -> DailyRun:
     config = Config(
-        source_path=source,
+        source_path=_source_view(spark, directory),
         source_format="table",
         raw_path=storage.new_path(spark, "raw"),
         raw_table=_table_name("covid19_raw"),
         history_path=history_path,
+        monitoring_prefix=prefix,
         as_of=TEST_DAY,
     )
     return DailyRun(spark, config).execute()
@@ -183,32 +223,83 @@ def _source_view(spark: SparkSession, directory: str) -> str:
 
 
 def run_log(spark: SparkSession, directory: str) -> DataFrame:
-    return _run(spark, directory, _source_view(spark, directory)).log_frame()
+    """The log of a run; of its times, whether they are in order."""
+    log = _run(spark, directory).log_frame()
+    return log.select("position", "stage", "status", "row_count", "detail", (F.col("ended_at") >= F.col("started_at")).alias("in_order"))
+
 
+def pipeline_summary(spark: SparkSession, directory: str) -> DataFrame:
+    return _run(spark, directory).log_frame().select("position", "stage", "status", "row_count")
 
-def run_summary(spark: SparkSession, directory: str) -> DataFrame:
-    return run_log(spark, directory).select("position", "stage", "status", "row_count")
+
+def monitoring_tables(spark: SparkSession, directory: str) -> DataFrame:
+    """Tables that a run stores, under a prefix of their own, with their rows."""
+    path = storage.new_path(spark, "history")
+    _run(spark, directory, path, prefix="watch_")
+    frames = [
+        history.read_history(spark, f"{path}/watch_{name}").agg(
+            F.lit(f"watch_{name}").alias("table_name"), F.count(F.lit(1)).alias("row_count")
+        )
+        for name in ("column_tests", "expectations", "schema_snapshot", "model_log", "model_row_counts", "arrivals", "report")
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _event_log(spark: SparkSession, directory: str) -> DataFrame:
+    """A log of runs whose times other engines know too: users as runs, event types as stages, values as seconds."""
+    events = spark.read.parquet(f"{directory}/events.parquet")
+    started = F.col("ts").cast("timestamp")
+    return events.select(
+        F.format_string("%08d", "event_id").alias("run_id"),
+        F.col("event_type").alias("stage"),
+        F.when(F.col("event_id") % 10 == 0, "failed").otherwise("succeeded").alias("status"),
+        started.alias("started_at"),
+        F.timestamp_micros(F.unix_micros(started) + F.floor(F.col("value") * 1000) * 1000).alias("ended_at"),
+    )
 
 
 def model_run_times(spark: SparkSession, directory: str) -> DataFrame:
-    source, path = _source_view(spark, directory), storage.new_path(spark, "history")
-    for _ in range(2):
-        _run(spark, directory, source, path)
-    return history.stage_times(history.read_history(spark, f"{path}/monitoring_run_log"))
+    """Times per stage over the logged runs, and per model where a log names models instead."""
+    log = _event_log(spark, directory)
+    per_stage = history.stage_times(log)
+    per_model = history.stage_times(log.withColumnRenamed("stage", "model"), by="model")
+    return per_stage.withColumn("kind", F.lit("stage")).unionByName(
+        per_model.withColumnRenamed("model", "stage").withColumn("kind", F.lit("model"))
+    )
 
 
 # --- observability ---------------------------------------------------------------------------------------------
 
 
 def metric_anomaly(spark: SparkSession, directory: str) -> DataFrame:
-    staged = _models(spark, directory).staged
-    daily = observability.column_metrics(staged, PROFILED, by=["date"], only=PROFILE_METRICS)
-    return observability.metric_anomalies(daily)
+    """Every statistic of every staged measure, scored by day."""
+    return observability.metric_anomalies(profile.daily_metrics(_stored(_profiled(spark, directory), "profile")))
 
 
 def volume_anomaly(spark: SparkSession, directory: str) -> DataFrame:
     staged = _models(spark, directory).staged
-    return observability.volume_anomalies(observability.daily_volume(staged, "stg_covid19"))
+    daily = observability.daily_volume(staged, "stg_covid19")
+    return observability.volume_anomalies(observability.on_every_day(daily, TEST_DAY))
+
+
+def volume_outage(spark: SparkSession, directory: str) -> DataFrame:
+    """The same after an outage: no rows for five days, and none for the last three."""
+    staged = _models(spark, directory).staged.where(
+        "date not between date '2020-09-10' and date '2020-09-14' and date <= date '2020-12-28'"
+    )
+    daily = observability.daily_volume(staged, "stg_covid19")
+    return observability.volume_anomalies(observability.on_every_day(daily, TEST_DAY))
+
+
+def freshness_empty(spark: SparkSession, directory: str) -> DataFrame:
+    """A table that holds only days still to come has no staged rows."""
+    staged = _models(spark, directory, date(2019, 1, 1)).staged
+    return observability.freshness(staged, "stg_covid19", TEST_DAY)
+
+
+def column_metrics(spark: SparkSession, directory: str) -> DataFrame:
+    """The derived rows are stored first: each pass then reads its own columns of them."""
+    return observability.column_metrics(_stored(raw_observations(spark, directory), "raw"))
 
 
 def _events(spark: SparkSession, directory: str) -> DataFrame:
@@ -220,7 +311,8 @@ def _events(spark: SparkSession, directory: str) -> DataFrame:
 def events_volume_anomaly(spark: SparkSession, directory: str) -> DataFrame:
     """A series of daily counts for each event type."""
     counted = observability.arrivals(_events(spark, directory), key="event_type")
-    return observability.volume_anomalies(counted.withColumnRenamed("event_type", "table_name"))
+    daily = counted.withColumnRenamed("event_type", "table_name")
+    return observability.volume_anomalies(observability.on_every_day(daily, EVENTS_DAY))
 
 
 def events_freshness(spark: SparkSession, directory: str) -> DataFrame:
@@ -228,30 +320,41 @@ def events_freshness(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def schema_changes(spark: SparkSession, directory: str) -> DataFrame:
-    """Drift between the raw table and the staged one, taken as two states of one table."""
+    """Drift between the raw table and the staged one, taken as two states of one table. Schemas only."""
     raw = raw_observations(spark, directory)
+    earlier = raw.withColumn("school_closing", F.col("school_closing").cast("int"))
     return schemas.schema_changes(
-        schemas.schema_snapshot(raw.withColumn("school_closing", F.col("school_closing").cast("int")), "covid19"),
-        schemas.schema_snapshot(staging.stage(raw, TEST_DAY), "covid19"),
+        schemas.schema_only(spark, earlier.schema, "covid19"),
+        schemas.schema_only(spark, staging.stage(raw, TEST_DAY).schema, "covid19"),
     )
 
 
+def schema_contract(spark: SparkSession, directory: str) -> DataFrame:
+    """A raw table with a narrower and a wrong type, one column short and one over."""
+    raw = raw_observations(spark, directory).drop("population").withColumn("school_closing", F.col("school_closing").cast("int"))
+    odd = raw.withColumn("new_recovered", F.col("new_recovered").cast("string")).withColumn("remark", F.lit("x"))
+    return schemas.contract_report(spark, odd.schema, RAW_CONTRACT, "covid19_raw")
+
+
 def dq_report(spark: SparkSession, directory: str) -> DataFrame:
-    """The report, with the base and the arrivals stored once and read by everything that follows from them."""
+    """The report, with the base stored once and everything read off it; times come from a log that other engines know."""
     raw = raw_observations(spark, directory)
-    models = build_models(raw, TEST_DAY)
-    base_path, arrivals_path = storage.new_path(spark, "base"), storage.new_path(spark, "arrivals")
-    storage.write_counted(models.base, base_path)
-    storage.write_counted(observability.arrivals(models.staged), arrivals_path)
-    base, arrivals = spark.read.parquet(base_path), spark.read.parquet(arrivals_path)
-    volume = observability.daily_volume(arrivals, "stg_covid19", "row_count")
+    base = _stored(_profiled(spark, directory), "profile")
+    arrivals = _stored(profile.arrivals(base), "arrivals")
+    volume = observability.on_every_day(observability.daily_volume(arrivals, "stg_covid19", "row_count"), TEST_DAY)
+    log = _event_log(spark, directory)
     return report.quality_report(
-        tests=column_checks.declared_tests(models.staged, base),
+        tests=profile.declared_tests(base),
         expectations=expectations.validate(marts.pandemic_impact(base), expectations.IMPACT_SUITE),
         fresh=observability.freshness(arrivals, "stg_covid19", TEST_DAY),
         volume=observability.volume_anomalies(volume),
-        metrics=metric_anomaly(spark, directory),
-        contract=schemas.contract_report(raw, RAW_CONTRACT, "covid19_raw"),
+        metrics=observability.metric_anomalies(profile.daily_metrics(base)),
+        contract=schemas.contract_report(spark, raw.schema, RAW_CONTRACT, "covid19_raw"),
+        test_history=test_history(spark, directory),
+        run_log=log,
+        row_counts=profile.model_row_counts(base),
+        run_times=history.stage_times(log),
+        drift=schemas.drift_status(schemas.schema_only(spark, raw.schema, "covid19"), schema_changes(spark, directory)),
     )
 
 
@@ -279,51 +382,67 @@ def incremental_refresh(spark: SparkSession, directory: str) -> DataFrame:
     return incremental.read_base(spark, path)
 
 
+def incremental_emptied_day(spark: SparkSession, directory: str) -> DataFrame:
+    """December refreshed after two of its days have lost all their rows."""
+    raw = raw_observations(spark, directory)
+    path = storage.new_path(spark, "base")
+    incremental.refresh_base(raw, path, as_of=TEST_DAY)
+    thinner = raw.where("date is null or date not in (date '2020-12-05', date '2020-12-31')")
+    incremental.refresh_base(thinner, path, date(2020, 12, 1), TEST_DAY, as_of=TEST_DAY)
+    return incremental.read_base(spark, path)
+
+
 def country_profile_history(spark: SparkSession, directory: str) -> DataFrame:
-    """Versions of each country's profile over three runs, each run reading the history the last one wrote."""
-    versions = None
+    """Versions of each country's profile over three runs."""
+    table = snapshots.SnapshotTable(spark, storage.new_path(spark, "profile"), ["country_code", "country_name"])
     for as_of in RUN_DAYS:
-        profile = snapshots.country_profile(_models(spark, directory, as_of).government)
-        versions = (
-            snapshots.first_snapshot(profile, as_of)
-            if versions is None
-            else snapshots.apply_snapshot(versions, profile, ["country_code", "country_name"], as_of)
-        )
-        path = storage.new_path(spark, "profile")
-        storage.write_counted(versions, path)
-        versions = spark.read.parquet(path)
-    return versions
+        table.apply(snapshots.country_profile(_models(spark, directory, as_of).government), as_of)
+    return table.read()
 
 
-def _stream(spark: SparkSession, directory: str) -> DataFrame:
-    path = storage.new_path(spark, "arrivals")
-    raw = raw_observations(spark, directory)
-    storage.write_counted(raw, path)
-    return daily_stream.staged_stream(spark, path, raw.schema, TEST_DAY)
+def _finished(query) -> None:
+    query.awaitTermination()
 
 
 def streaming_refresh(spark: SparkSession, directory: str) -> DataFrame:
-    base_path = storage.new_path(spark, "stream-base")
-    query = daily_stream.refresh_on_arrival(
-        _stream(spark, directory),
-        staged_path=storage.new_path(spark, "stream-staged"),
-        base_path=base_path,
-        checkpoint=storage.new_path(spark, "stream-checkpoint"),
+    """Two arrivals of an append-only source: odd and even orders."""
+    raw = raw_observations(spark, directory)
+    arrivals, partials, base, checkpoint = (
+        storage.new_path(spark, f"stream-{name}") for name in ("arrivals", "partials", "base", "checkpoint")
     )
-    query.awaitTermination()
-    return incremental.read_base(spark, base_path)
+    for half in ("date is null or day(date) % 2 = 0 or new_confirmed % 2 = 0", "date is not null and day(date) % 2 = 1 and coalesce(new_confirmed, 1) % 2 <> 0"):
+        raw.where(half).write.mode("append").parquet(arrivals)
+        stream = daily_stream.raw_stream(spark, arrivals, raw.schema)
+        _finished(daily_stream.refresh_appended(stream, partials, base, checkpoint))
+    return incremental.read_base(spark, base, TEST_DAY)
+
+
+def streaming_corrections(spark: SparkSession, directory: str) -> DataFrame:
+    """All rows arrive, then every tenth again with 5 cases more, and every hundredth without a valid count."""
+    raw = raw_observations(spark, directory, "k", *ROW_KEY)
+    arrivals, rows, base, checkpoint = (
+        storage.new_path(spark, f"stream-{name}") for name in ("arrivals", "rows", "base", "checkpoint")
+    )
+    again = raw.where("k % 10 = 0").withColumn("new_confirmed", F.expr("if(k % 100 = 0, -1, new_confirmed + 5)"))
+    for arriving in (raw, again):
+        arriving.write.mode("append").parquet(arrivals)
+        stream = daily_stream.raw_stream(spark, arrivals, raw.schema)
+        _finished(daily_stream.refresh_corrected(stream, rows, base, checkpoint, ["date", "k", *ROW_KEY]))
+    return incremental.read_base(spark, base, TEST_DAY)
 
 
 def streaming_closed_days(spark: SparkSession, directory: str) -> DataFrame:
-    path = storage.new_path(spark, "stream-closed")
-    query = (
-        daily_stream.closed_days(_stream(spark, directory), lateness_days=7)
+    raw = raw_observations(spark, directory)
+    arrivals, path = storage.new_path(spark, "arrivals"), storage.new_path(spark, "stream-closed")
+    storage.write_counted(raw, arrivals)
+    stream = daily_stream.staged_stream(spark, arrivals, raw.schema, TEST_DAY)
+    _finished(
+        daily_stream.closed_days(stream, lateness_days=7)
         .writeStream.format("parquet")
         .option("checkpointLocation", storage.new_path(spark, "stream-checkpoint"))
         .trigger(availableNow=True)
         .start(path)
     )
-    query.awaitTermination()
     return spark.read.parquet(path)
 
 
@@ -372,25 +491,33 @@ QUERIES: dict[str, Query] = {
     "expectations_government": lambda s, d: expectations.validate(
         _models(s, d).government, expectations.GOVERNMENT_SUITE
     ),
-    "validation_history": _impact_history,
+    "suite_replaced": suite_replaced,
+    "validation_outcomes": validation_outcomes,
+    "validation_history": lambda s, d: _impact_history(s, d).drop("run_started"),
     "test_history": test_history,
     "run_log": run_log,
-    "run_summary": run_summary,
+    "run_summary": pipeline_summary,
+    "pipeline_summary": pipeline_summary,
+    "monitoring_tables": monitoring_tables,
+    "model_catalog": lambda s, d: marts.model_catalog(_models(s, d).staged, _models(s, d).base),
     "model_run_times": model_run_times,
-    "model_row_counts": lambda s, d: observability.model_row_counts(_models(s, d).staged, _models(s, d).base),
-    "column_metrics": lambda s, d: observability.column_metrics(raw_observations(s, d)),
-    "distinct_estimates": lambda s, d: observability.distinct_estimates(raw_observations(s, d)),
+    "model_row_counts": lambda s, d: profile.model_row_counts(_profiled(s, d)),
+    "column_metrics": column_metrics,
+    "distinct_estimates": lambda s, d: observability.distinct_checks(_stored(raw_observations(s, d), "raw")),
     "metric_anomaly": metric_anomaly,
     "metric_anomaly_tests": lambda s, d: observability.anomaly_tests(
         metric_anomaly(s, d), ["column_name", "metric"]
     ),
     "volume_anomaly": volume_anomaly,
+    "volume_outage": volume_outage,
+    "freshness_empty": freshness_empty,
     "freshness": lambda s, d: observability.freshness(_models(s, d).staged, "stg_covid19", TEST_DAY),
     "events_column_metrics": lambda s, d: observability.column_metrics(_events(s, d)),
     "events_volume_anomaly": events_volume_anomaly,
     "events_freshness": events_freshness,
     "schema_changes": schema_changes,
-    "schema_contract": lambda s, d: schemas.contract_report(raw_observations(s, d), RAW_CONTRACT, "covid19_raw"),
+    "schema_contract": schema_contract,
+    "contract_usage": lambda s, d: schemas.contract_usage(raw_observations(s, d), RAW_CONTRACT, "covid19_raw"),
     "dq_report": dq_report,
     "cumulative_by_country": _dashboard(dashboards.cumulative_by_country, "impact"),
     "daily_cases_deaths": _dashboard(dashboards.daily_cases_deaths, "impact"),
@@ -407,7 +534,9 @@ QUERIES: dict[str, Query] = {
     "gdp_vs_coverage": _dashboard(dashboards.gdp_vs_coverage_from_base, "base"),
     "gdp_vs_coverage_joined": gdp_vs_coverage_joined,
     "incremental_refresh": incremental_refresh,
+    "incremental_emptied_day": incremental_emptied_day,
     "country_profile_history": country_profile_history,
     "streaming_refresh": streaming_refresh,
+    "streaming_corrections": streaming_corrections,
     "streaming_closed_days": streaming_closed_days,
 }

@@ -20,11 +20,15 @@ class Config:
     """Where a run reads and writes, and how it treats bad data.
 
     ``raw_path`` must not be empty, nor ``source_path`` unless the options of the connector name the source.
+    ``models_path`` holds the stored base and, as tables, the marts; by default it lies beside the raw zone.
     ``as_of`` replaces today's date everywhere, so that a run can be repeated. ``raw_partition_by=("date",)`` lets the
     gate and refreshes of some days read those days only, for the price of one shuffle of the raw data; by default the
     raw zone is written as it comes. With a ``warehouse_format`` the raw zone is copied out through that connector;
     without, it is registered as a table in place. ``suites`` names the marts whose expectations are run.
-    ``on_bad_data`` says what a failing expectation does: the default only reports it.
+    ``on_bad_data`` says what a failing expectation does: the default only reports it. ``enforce_contract`` says whether a raw table
+    that breaks its contract stops the run. ``profiled`` names the measures whose daily metrics are scored, by default all.
+    ``scan_split`` is the split size of scans that read few columns of wide files, e.g. ``512m``; it does not apply to
+    copies of whole rows.
     """
 
     source_path: str
@@ -32,6 +36,7 @@ class Config:
     source_format: str = "parquet"
     source_options: Mapping[str, str] = field(default_factory=dict)
     history_path: str = ""
+    models_path: str = ""
     raw_table: str = "covid19_raw"
     raw_partition_by: tuple[str, ...] = ()
     warehouse_format: str = ""
@@ -42,6 +47,9 @@ class Config:
     materialized: str = "view"
     on_bad_data: str = "report"
     suites: tuple[str, ...] = ("mart_pandemic_impact",)
+    enforce_contract: bool = True
+    profiled: tuple[str, ...] = ()
+    scan_split: str = ""
 
     def __post_init__(self) -> None:
         if not self.raw_path:
@@ -67,6 +75,8 @@ class Config:
                 "raw_path",
                 "source_format",
                 "history_path",
+                "models_path",
+                "scan_split",
                 "raw_table",
                 "warehouse_format",
                 "database",
@@ -84,13 +94,25 @@ class Config:
         as_of = env.get(prefix + "AS_OF")
         lists = {
             name: tuple(item for item in env[prefix + name.upper()].split(",") if item)
-            for name in ("raw_partition_by", "suites")
+            for name in ("raw_partition_by", "suites", "profiled")
+            if prefix + name.upper() in env
+        }
+        switches = {
+            name: env[prefix + name.upper()].lower() in ("1", "true", "yes")
+            for name in ("enforce_contract",)
             if prefix + name.upper() in env
         }
         return cls(
-            **({"source_path": "", "raw_path": ""} | text | options | lists),
+            **({"source_path": "", "raw_path": ""} | text | options | lists | switches),
             as_of=date.fromisoformat(as_of) if as_of else None,
         )
 
+    @property
+    def base_path(self) -> str:
+        return f"{self.models_path or self.raw_path.rstrip('/') + '_models'}/daily_country_base"
+
+    def mart_path(self, name: str) -> str:
+        return f"{self.models_path or self.raw_path.rstrip('/') + '_models'}/{name}"
+
     def table(self, name: str) -> str:
         return f"{self.database}.{name}" if self.database else name

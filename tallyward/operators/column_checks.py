@@ -7,6 +7,7 @@ All ``not_null`` and ``accepted_values`` tests of a frame run in one aggregate.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ POLICY_LEVELS = {
 }
 
 
-def _verdict(model: Column, test: str, column_name: Column, failures: Column) -> dict[str, Column]:
+def verdict(model: Column, test: str, column_name: Column, failures: Column) -> dict[str, Column]:
     return {
         "model": model,
         "test": F.lit(test),
@@ -83,7 +84,7 @@ def _verdict(model: Column, test: str, column_name: Column, failures: Column) ->
 def not_null_rows(model: str, columns: Iterable[str]) -> list[dict[str, Column]]:
     """The not-null tests of one model as aggregate rows, for :func:`rows_from_aggregate`."""
     return [
-        _verdict(F.lit(model), "not_null", F.lit(name), F.count_if(F.col(name).isNull())) for name in columns
+        verdict(F.lit(model), "not_null", F.lit(name), F.count_if(F.col(name).isNull())) for name in columns
     ]
 
 
@@ -109,7 +110,7 @@ def accepted_values(df: DataFrame, model: str, values: Mapping[str, Iterable]) -
     return rows_from_aggregate(
         df,
         [
-            _verdict(F.lit(model), "accepted_values", F.lit(name), F.count_if(~F.col(name).isin(list(allowed))))
+            verdict(F.lit(model), "accepted_values", F.lit(name), F.count_if(~F.col(name).isin(list(allowed))))
             for name, allowed in values.items()
         ],
     )
@@ -120,32 +121,48 @@ def policy_levels(df: DataFrame, model: str) -> DataFrame:
 
 
 def unique(df: DataFrame, model: str, columns: Iterable[str]) -> DataFrame:
-    """Values that occur more than once. Keys with a NULL are not compared, as in SQL uniqueness."""
+    """Keys that occur more than once. The key is one value: NULLs in it are equal to each other."""
     columns = list(columns)
-    complete = df
-    for name in columns:
-        complete = complete.where(F.col(name).isNotNull())
-    repeats = complete.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    repeats = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
     return rows_from_aggregate(
         repeats,
-        [_verdict(F.lit(model), "unique", F.lit(", ".join(columns)), F.count_if(F.col("copies") > 1))],
+        [verdict(F.lit(model), "unique", F.lit(", ".join(columns)), F.count_if(F.col("copies") > 1))],
     )
 
 
-def relationships(
-    child: DataFrame, parent: DataFrame, model: str, column: str, parent_column: str | None = None
-) -> DataFrame:
-    """Child rows whose value has no parent.
+def relationships(child: DataFrame, model: str, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Child rows whose value has no parent, for several columns: column -> (parent frame, its column).
 
-    Both sides shrink to their distinct values (combined on the map side) before they meet, so a value held by a
-    third of the rows costs the join one row per side.
+    The child is read once: its values are laid out by column, shrink to the distinct ones (combined on the map side), and
+    meet the distinct values of all parents in one join. A value held by a third of the rows costs the join one row.
     """
-    values = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in parents])
+    values = child.select(F.explode(pairs).alias("_pair")).select("_pair.*").groupBy("column_name", "value")
+    values = values.agg(F.count(F.lit(1)).alias("row_count"))
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            parent.select(F.lit(c).alias("column_name"), F.col(name).cast("string").alias("value")).distinct()
+            for c, (parent, name) in parents.items()
+        ],
+    )
+    # A column without orphans has a row too; a missing value is no orphan.
+    found = values.join(known.withColumn("_known", F.lit(True)), ["column_name", "value"], "left")
+    orphan = F.col("value").isNotNull() & F.col("_known").isNull()
+    counted = rows_from_aggregate(
+        found,
+        [
+            {
+                "column_name": F.lit(c),
+                "failures": F.coalesce(F.sum(F.when(orphan & (F.col("column_name") == c), F.col("row_count"))), F.lit(0)),
+            }
+            for c in parents
+        ],
+    )
+    return counted.select(
+        F.lit(model).alias("model"),
+        F.lit("relationships").alias("test"),
+        "column_name",
+        "failures",
+        (F.col("failures") == 0).alias("passed"),
     )
-    known = parent.select(F.col(parent_column or column).alias("value")).distinct()
-    orphans = values.join(known, "value", "left_anti")
-    failures = F.coalesce(F.sum("row_count"), F.lit(0))
-    return rows_from_aggregate(orphans, [_verdict(F.lit(model), "relationships", F.lit(column), failures)])

@@ -239,13 +239,19 @@ GOVERNMENT_SUITE: tuple[Rule, ...] = (
     ValuesBetween("avg_hdi", min_value=0, max_value=1),
 )
 
-SUITES = {
+SUITES: dict[str, tuple[Rule, ...]] = {
     "mart_pandemic_impact": IMPACT_SUITE,
     "mart_vaccination_effectiveness": VACCINATION_SUITE,
     "mart_government_response": GOVERNMENT_SUITE,
 }
 
 
+def bind(name: str, suite: Sequence[Rule], suites: Mapping[str, Sequence[Rule]] | None = None) -> dict[str, tuple[Rule, ...]]:
+    """The bindings with ``name`` bound to ``suite``, added or in place of the one it has. The given ones are left as they are."""
+    given = SUITES if suites is None else suites
+    return {**{mart: tuple(rules) for mart, rules in given.items()}, name: tuple(suite)}
+
+
 def validate(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     """One row per rule: (rule_id, expectation, column_name, success, element_count, missing_count,
     unexpected_count, unexpected_percent, observed).
@@ -270,9 +276,10 @@ def validate(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     return rows_from_aggregate(df, rows)
 
 
-def validate_marts(marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Each mart against the suite bound to its name in :data:`SUITES`; the results carry the ``model``."""
-    results = [validate(mart, SUITES[name]).withColumn("model", F.lit(name)) for name, mart in marts.items()]
+def validate_marts(marts: Mapping[str, DataFrame], suites: Mapping[str, Sequence[Rule]] | None = None) -> DataFrame:
+    """Each mart against the suite bound to its name (in :data:`SUITES` by default); the results carry the ``model``."""
+    bound = SUITES if suites is None else suites
+    results = [validate(mart, bound[name]).withColumn("model", F.lit(name)) for name, mart in marts.items()]
     return reduce(DataFrame.unionByName, results)
 
 
@@ -301,6 +308,16 @@ def require(results: DataFrame) -> None:
         raise ExpectationsFailed("; ".join(failed))
 
 
-def bounded_fetch(df: DataFrame, limit: int = 100_000) -> DataFrame:
-    """At most ``limit`` rows in no particular order, for looking at data; :func:`validate` does not need it."""
-    return df.limit(limit)
+def bounded_fetch(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """All rows, or at most ``limit`` in no particular order, for looking at data; :func:`validate` does not need it."""
+    return df if limit is None else df.limit(limit)
+
+
+def outcome(results: DataFrame, on_bad_data: str = "report") -> DataFrame:
+    """What a run does with the results: (on_bad_data, evaluated, failed, raises)."""
+    return summarize(results).select(
+        F.lit(on_bad_data).alias("on_bad_data"),
+        "evaluated",
+        "failed",
+        (F.lit(on_bad_data == "raise") & (F.col("failed") > 0)).alias("raises"),
+    )

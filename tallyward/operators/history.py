@@ -13,15 +13,19 @@ RUN_LOG_SCHEMA = (
     "run_id string, position int, stage string, status string, row_count bigint,"
     " started_at timestamp, ended_at timestamp, detail string"
 )
+MODEL_LOG_SCHEMA = "run_id string, model string, status string, row_count bigint, started_at timestamp, ended_at timestamp"
 
 
-def append_run(results: DataFrame, path: str, run_id: str, parts: Sequence[str] = ()) -> None:
+def append_run(
+    results: DataFrame, path: str, run_id: str, parts: Sequence[str] = (), run_started: datetime | None = None
+) -> None:
     """Store the results of a run. Storing the same run again replaces it, so a repeated run is not counted twice.
 
-    ``parts`` names columns by which a run may be stored piece by piece.
+    ``parts`` names columns by which a run may be stored piece by piece. ``run_started`` puts runs in order; by default it is now.
     """
+    started = F.current_timestamp() if run_started is None else F.lit(run_started)
     (
-        results.withColumn("run_id", F.lit(run_id))
+        results.withColumns({"run_id": F.lit(run_id), "run_started": started.cast("timestamp")})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id", *parts)
@@ -37,14 +41,15 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pass_rates(history: DataFrame, keys: Sequence[str], passed: str) -> DataFrame:
-    """(*keys, runs, passes, pass_rate, last_run, last_passed) over the stored runs."""
+    """(*keys, runs, passes, pass_rate, last_run, last_passed) over the stored runs; the last is the one that started last."""
     good = F.col(passed)
+    order = F.struct("run_started", "run_id")
     return history.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("runs"),
         F.count_if(good).alias("passes"),
         F.round(F.count_if(good) / F.count(F.lit(1)), 6).alias("pass_rate"),
-        F.max("run_id").alias("last_run"),
-        F.max_by(good, F.col("run_id")).alias("last_passed"),
+        F.max_by("run_id", order).alias("last_run"),
+        F.max_by(good, order).alias("last_passed"),
     )
 
 
@@ -66,14 +71,27 @@ def log_entry(
     return (run_id, position, stage, status, row_count, started_at, ended_at, detail)
 
 
-def stage_times(log: DataFrame) -> DataFrame:
-    """(stage, runs, failures, mean_seconds, max_seconds, median_seconds) over the logged runs."""
+def run_before(history: DataFrame, run_id: str) -> str | None:
+    """The run that started last before ``run_id`` did, of those stored."""
+    runs = history.groupBy("run_id").agg(F.min("run_started").alias("started"))
+    own = runs.where(F.col("run_id") == run_id).select(F.col("started").alias("own"))
+    earlier = runs.where(F.col("run_id") != run_id).join(own, F.col("started") < F.col("own"))
+    return earlier.agg(F.max_by("run_id", F.struct("started", "run_id"))).first()[0]
+
+
+def stage_times(log: DataFrame, by: str = "stage") -> DataFrame:
+    """(stage, runs, failures, mean_seconds, max_seconds, median_seconds, last_failed) over the logged runs.
+
+    ``by="model"`` gives the same per model, from a log of models.
+    """
     seconds = F.unix_micros("ended_at") - F.unix_micros("started_at")
     timed = log.withColumn("_seconds", seconds / 1e6)
-    return timed.groupBy("stage").agg(
+    failed = F.col("status") == "failed"
+    return timed.groupBy(by).agg(
         F.count("_seconds").alias("runs"),
-        F.count_if(F.col("status") == "failed").alias("failures"),
-        F.avg("_seconds").alias("mean_seconds"),
+        F.count_if(failed).alias("failures"),
+        F.round(F.avg("_seconds"), 6).alias("mean_seconds"),
         F.max("_seconds").alias("max_seconds"),
-        F.percentile_approx("_seconds", 0.5).alias("median_seconds"),
+        F.percentile_approx("_seconds", 0.5, 1_000_000).alias("median_seconds"),
+        F.coalesce(F.max_by(failed, F.struct("started_at", "run_id")), F.lit(False)).alias("last_failed"),
     )

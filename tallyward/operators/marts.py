@@ -151,12 +151,16 @@ DESCRIPTIONS = {
 }
 
 
+def measures() -> list[Column]:
+    """All 29 measures as aggregates of the staged columns."""
+    found = [F.sum(source).alias(name) for name, source in SUMS.items()]
+    found += [F.max(source).alias(name) for name, source in MAXIMA.items()]
+    return found + [F.avg(source).alias(name) for name, source in AVERAGES.items()]
+
+
 def daily_country_base(staged: DataFrame) -> DataFrame:
     """All 29 measures per country and day: one scan, one exchange."""
-    measures = [F.sum(source).alias(name) for name, source in SUMS.items()]
-    measures += [F.max(source).alias(name) for name, source in MAXIMA.items()]
-    measures += [F.avg(source).alias(name) for name, source in AVERAGES.items()]
-    return staged.groupBy(*GRAIN).agg(*measures)
+    return staged.groupBy(*GRAIN).agg(*measures())
 
 
 def fatality_rate() -> Column:
@@ -205,6 +209,14 @@ def government_response(base: DataFrame) -> DataFrame:
     return _mart(base, GOVERNMENT_RESPONSE, case_fatality_rate=fatality_rate())
 
 
+MODEL_DESCRIPTIONS = {
+    "stg_covid19": "Cleaned daily rows: valid days and counts only, gaps in reported figures filled with 0",
+    "mart_covid19_country_metrics": "Cases, deaths and fatality rate of each country and day",
+    "mart_pandemic_impact": "Cases and pressure on hospitals of each country and day, fatality rate capped at 100",
+    "mart_vaccination_effectiveness": "Vaccinations, doses by brand and outcomes of each country and day",
+    "mart_government_response": "Strictest policies with outcomes and economic context of each country and day",
+}
+
 # Mart names as their readers know them.
 MARTS = {
     "mart_covid19_country_metrics": country_metrics,
@@ -212,3 +224,19 @@ MARTS = {
     "mart_vaccination_effectiveness": vaccination_effectiveness,
     "mart_government_response": government_response,
 }
+
+
+def model_catalog(staged: DataFrame, base: DataFrame) -> DataFrame:
+    """(model, model_description, column_name, data_type, description): what is documented about each model's columns.
+
+    One row per column, read off the schemas and their comments.
+    """
+    frames = {"stg_covid19": staged, **{name: build(base) for name, build in MARTS.items()}}
+    rows = [
+        (name, MODEL_DESCRIPTIONS[name], f.name, f.dataType.simpleString(), f.metadata.get("comment"))
+        for name, frame in frames.items()
+        for f in frame.schema.fields
+    ]
+    return staged.sparkSession.createDataFrame(
+        rows, "model string, model_description string, column_name string, data_type string, description string"
+    )

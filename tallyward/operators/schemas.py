@@ -59,9 +59,18 @@ def schema_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+# Types that hold every value of the narrower ones.
+WIDER = {
+    "bigint": ("tinyint", "smallint", "int"),
+    "int": ("tinyint", "smallint"),
+    "double": ("float", "tinyint", "smallint", "int"),
+    "timestamp": ("date",),
+}
+
+
 def contract_status(schema: StructType, contract: Mapping[str, str]) -> dict[str, tuple[str | None, str | None, str]]:
     """Column name to (expected type, actual type, status); status is ``ok``, ``missing``, ``wrong_type`` or
-    ``not_in_contract``. Looks at the schema only."""
+    ``not_in_contract``. A type that the expected one holds without loss is ok. Looks at the schema only."""
     actual = {field.name: field.dataType.simpleString() for field in schema.fields}
     found = {}
     for name in [*contract, *[name for name in actual if name not in contract]]:
@@ -70,7 +79,8 @@ def contract_status(schema: StructType, contract: Mapping[str, str]) -> dict[str
         elif name not in contract:
             status = "not_in_contract"
         else:
-            status = "ok" if actual[name] == contract[name] else "wrong_type"
+            fits = actual[name] == contract[name] or actual[name] in WIDER.get(contract[name], ())
+            status = "ok" if fits else "wrong_type"
         found[name] = (contract.get(name), actual.get(name), status)
     return found
 
@@ -84,20 +94,20 @@ def contract_breaches(schema: StructType, contract: Mapping[str, str]) -> list[s
     ]
 
 
-def contract_report(df: DataFrame, contract: Mapping[str, str], table_name: str) -> DataFrame:
-    """Each column with its status and use:
-    (table_name, column_name, expected_type, actual_type, status, filled_rows)."""
-    return rows_from_aggregate(
-        df,
-        [
-            {
-                "table_name": F.lit(table_name),
-                "column_name": F.lit(name),
-                "expected_type": F.lit(expected).cast("string"),
-                "actual_type": F.lit(actual).cast("string"),
-                "status": F.lit(status),
-                "filled_rows": F.count(F.lit(None) if actual is None else F.col(name)),
-            }
-            for name, (expected, actual, status) in contract_status(df.schema, contract).items()
-        ],
+def contract_report(spark: SparkSession, schema: StructType, contract: Mapping[str, str], table_name: str) -> DataFrame:
+    """Each column with its status: (table_name, column_name, expected_type, actual_type, status). No data is read."""
+    rows = [(table_name, name, *status) for name, status in contract_status(schema, contract).items()]
+    return spark.createDataFrame(
+        rows, "table_name string, column_name string, expected_type string, actual_type string, status string"
     )
+
+
+def contract_usage(df: DataFrame, contract: Mapping[str, str], table_name: str) -> DataFrame:
+    """(table_name, column_name, filled_rows): how many rows use each column of the contract. Reads those columns only."""
+    present = [name for name in contract if name in df.columns]
+    return schema_snapshot(df.select(*present), table_name).select("table_name", "column_name", "filled_rows")
+
+
+def drift_status(columns: DataFrame, changes: DataFrame) -> DataFrame:
+    """(column_name, change) for every column of either state, the change NULL where there is none."""
+    return columns.select("column_name").join(changes.select("column_name", "change"), "column_name", "full")

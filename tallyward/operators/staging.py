@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.frames import day, rows_from_aggregate
+from tallyward.sources.contract import RAW_CONTRACT
 
 FIRST_DAY = date(2020, 1, 1)
 
@@ -93,7 +94,7 @@ def validity_rules(as_of: date | None = None) -> dict[str, Column]:
 
 
 def _staged(name: str) -> Column:
-    source = F.col(SOURCE_NAMES.get(name, name))
+    source = F.col(SOURCE_NAMES.get(name, name)).cast(RAW_CONTRACT[SOURCE_NAMES.get(name, name)])
     return (F.coalesce(source, F.lit(0)) if name in ZERO_FILLED else source).alias(
         name, metadata={"comment": DESCRIPTIONS[name]} if name in DESCRIPTIONS else {}
     )

@@ -9,28 +9,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass, field
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.config import Config
-from tallyward.operators import column_checks, expectations, history, marts, observability, schemas
+from tallyward.operators import expectations, history, marts, observability, profile, schemas
 from tallyward.operators.staging import stage
 from tallyward.plans.report import quality_report
-from tallyward.sources import storage
+from tallyward.session import settings
+from tallyward.sources import storage, versions
 from tallyward.sources.contract import RAW_CONTRACT
 
-PROFILED = (
-    "new_confirmed",
-    "new_deceased",
-    "new_hospitalized_patients",
-    "current_ventilator_patients",
-    "stringency_index",
-)
-PROFILE_METRICS = ("average", "standard_deviation", "zero_count")
-
 
 class StageFailed(Exception):
     """A check that gates the run did not pass."""
@@ -46,6 +38,8 @@ class DailyRun:
     log: list[tuple] = field(default_factory=list)
     verdicts: dict[str, DataFrame] = field(default_factory=dict)
     error: Exception | None = None
+    started: datetime = field(default_factory=lambda: datetime.now(UTC))
+    model_log: list[tuple] = field(default_factory=list)
 
     def stages(self) -> dict[str, Callable[[], int | None]]:
         return {
@@ -70,7 +64,7 @@ class DailyRun:
             try:
                 rows, status, detail = action(), "succeeded", None
             except Exception as failure:
-                self.error, rows, status, detail = failure, None, "failed", str(failure)[:1000]
+                self.error, rows, status, detail = failure, None, "failed", str(failure)
             self.log.append(
                 history.log_entry(self.run_id, position, name, status, rows, started, datetime.now(UTC), detail)
             )
@@ -83,42 +77,51 @@ class DailyRun:
     # --- stages: each returns the number of rows it handled, where it has one ------------------------------------
 
     def extract(self) -> int:
-        """Copy the source to the raw zone; the row count comes out of the same pass."""
+        """Copy the source to a new version of the raw zone; the row count comes out of the same pass."""
         config = self.config
         source = storage.read_source(self.spark, config.source_path, config.source_format, config.source_options)
-        return storage.write_counted(source, config.raw_path, partition_by=config.raw_partition_by)
+        return storage.write_version(source, config.raw_path, partition_by=config.raw_partition_by)
 
     def load(self) -> int | None:
         """Publish the raw zone as the raw table if it keeps the contract: in place, or copied by a connector."""
-        raw = storage.register_table(
-            self.spark, self.config.table(self.config.raw_table), self.config.raw_path, self.config.raw_partition_by
-        )
+        version = versions.current(self.spark, self.config.raw_path)
+        table = self.config.table(self.config.raw_table)
+        raw = storage.register_table(self.spark, table, version, self.config.raw_partition_by)
         self._store("schema_snapshot", schemas.schema_only(self.spark, raw.schema, self.config.raw_table))
         breaches = schemas.contract_breaches(raw.schema, RAW_CONTRACT)
-        if breaches:
+        if breaches and self.config.enforce_contract:
             raise StageFailed("; ".join(breaches))
         if self.config.warehouse_format:
             return storage.write_sink(raw, self.config.warehouse_format, self.config.warehouse_options)
         return None
 
     def freshness_gate(self) -> None:
-        if not observability.has_rows_for_yesterday(self._raw(), self.config.as_of).first().passed:
-            raise StageFailed("no rows for the day before")
+        with settings(self.spark, spark__sql__files__maxPartitionBytes=self.config.scan_split):
+            if not observability.has_rows_for_yesterday(self._raw(), self.config.as_of).first().passed:
+                raise StageFailed("no rows for the day before")
 
-    def models(self) -> int | None:
-        """Publish the staging view and the marts.
+    def models(self) -> int:
+        """Store the base, with all that later stages want to know about the staged rows, and publish the marts over it.
 
-        As tables, the base is written once and every mart is projected from it; as views, nothing is read.
+        This is the only pass over the raw rows. As views the marts are projections of the stored base; as tables each is written
+        from it. Either way other sessions read them: :func:`tallyward.plans.models.stored_marts`, or the tables.
         """
-        how = self.config.materialized
         staged = storage.materialize(stage(self._raw(), self.config.as_of), "stg_covid19", "view")
-        base = storage.materialize(marts.daily_country_base(staged), self._name("daily_country_base"), how)
+        with settings(self.spark, spark__sql__files__maxPartitionBytes=self.config.scan_split):
+            rows = self._timed("daily_country_base", lambda: storage.write_version(profile.profiled_base(staged), self.config.base_path))
+        base = self._base()
+        how = self.config.materialized
         for name, mart in marts.MARTS.items():
-            storage.materialize(mart(base), self._name(name), how)
+            if how == "table":
+                self._timed(name, lambda name=name, mart=mart: self._publish(name, mart(base)))
+            else:
+                storage.materialize(mart(base), name, how)
+                self.model_log.append((self.run_id, name, "view", rows, None, None))
+        self._store("model_log", self.spark.createDataFrame(self.model_log, history.MODEL_LOG_SCHEMA))
+        return rows
 
     def column_tests(self) -> int:
-        results = column_checks.declared_tests(self._staged(), self._base())
-        return self._judge("column_tests", results, "passed", always_raise=True)
+        return self._judge("column_tests", profile.declared_tests(self._base()), "passed", always_raise=True)
 
     def expectations(self) -> int:
         base = self._base()
@@ -126,49 +129,59 @@ class DailyRun:
         return self._judge("expectations", results, "success", always_raise=False)
 
     def report(self) -> None:
-        """Store freshness, volume, metric scores, schema drift and, if all checks ran, the report.
-
-        Arrivals are counted once; freshness and volume are read off the stored counts.
-        """
+        """Store freshness, volume, metric scores, schema drift and, if all checks ran, the report. Everything is read off the base."""
         if not self.config.history_path:
             return
-        staged, table = self._staged(), "stg_covid19"
-        self._store("arrivals", observability.arrivals(staged))
+        base, table = self._base(), "stg_covid19"
+        self._store("arrivals", profile.arrivals(base))
         counted = self._stored("arrivals")
-        fresh = observability.freshness(counted, table, self.config.as_of)
-        volume = observability.volume_anomalies(observability.daily_volume(counted, table, "row_count"))
-        daily = observability.column_metrics(staged, PROFILED, by=["date"], only=PROFILE_METRICS)
-        self._store("freshness", fresh)
-        self._store("volume", volume)
+        today = self.config.as_of or datetime.now(UTC).date()
+        volume = observability.on_every_day(observability.daily_volume(counted, table, "row_count"), today - timedelta(days=1))
+        daily = profile.daily_metrics(base)
+        if self.config.profiled:
+            daily = daily.where(F.col("column_name").isin(*self.config.profiled))
+        self._store("freshness", observability.freshness(counted, table, self.config.as_of))
+        self._store("volume", observability.volume_anomalies(volume))
         self._store("metric_scores", observability.metric_anomalies(daily))
-        self._store_drift()
+        self._store("model_row_counts", profile.model_row_counts(base))
+        drift = self._store_drift()
         tests, rules = self._stored("column_tests"), self._stored("expectations")
-        if tests is not None and rules is not None:
-            contract = schemas.contract_status(self._raw().schema, RAW_CONTRACT).values()
-            self._store(
-                "report",
-                quality_report(
-                    tests=tests,
-                    expectations=rules,
-                    fresh=self._stored("freshness"),
-                    volume=self._stored("volume"),
-                    metrics=self._stored("metric_scores"),
-                    contract=self.spark.createDataFrame(
-                        [(status,) for _, _, status in contract if status != "not_in_contract"], "status string"
-                    ),
-                ),
-            )
+        if tests is None or rules is None:
+            return
+        raw = self._raw()
+        contract = schemas.contract_report(self.spark, raw.schema, RAW_CONTRACT, self.config.raw_table)
+        log = self.log_frame() if self.log else self._stored("run_log")
+        logged = self._history("run_log")
+        self._store(
+            "report",
+            quality_report(
+                tests=tests,
+                expectations=rules,
+                fresh=self._stored("freshness"),
+                volume=self._stored("volume"),
+                metrics=self._stored("metric_scores"),
+                contract=contract.where("status <> 'not_in_contract'"),
+                test_history=history.pass_rates(self._history("column_tests"), ["model", "test", "column_name"], "passed"),
+                run_log=log,
+                row_counts=self._stored("model_row_counts"),
+                run_times=history.stage_times(log if logged is None else logged),
+                drift=drift,
+            ),
+        )
 
-    def _store_drift(self) -> None:
-        """Store what changed in the schema of the raw table since the run before."""
+    def _store_drift(self) -> DataFrame | None:
+        """Store what changed in the schema of the raw table since the run before; every column with its change."""
         snapshots = self._history("schema_snapshot")
         if snapshots is None:
-            return
-        earlier = snapshots.where(F.col("run_id") < self.run_id).agg(F.max("run_id")).first()[0]
-        if earlier is not None:
-            before = snapshots.where(F.col("run_id") == earlier).drop("run_id")
-            after = schemas.schema_only(self.spark, self._raw().schema, self.config.raw_table)
-            self._store("schema_changes", schemas.schema_changes(before, after))
+            return None
+        after = schemas.schema_only(self.spark, self._raw().schema, self.config.raw_table)
+        earlier = history.run_before(snapshots, self.run_id)
+        if earlier is None:
+            return after.select("column_name", F.lit(None).cast("string").alias("change"))
+        before = snapshots.where(F.col("run_id") == earlier).drop("run_id", "run_started")
+        changes = schemas.schema_changes(before, after)
+        self._store("schema_changes", changes)
+        return schemas.drift_status(after, changes)
 
     # --- helpers -------------------------------------------------------------------------------------------------
 
@@ -179,18 +192,23 @@ class DailyRun:
             return self.spark.table(name)
         return storage.read_raw_zone(self.spark, self.config.raw_path)
 
-    def _staged(self) -> DataFrame:
-        return stage(self._raw(), self.config.as_of)
-
     def _base(self) -> DataFrame:
-        """The stored base where there is one, else its definition."""
-        name = self._name("daily_country_base")
-        if self.config.materialized == "table" and self.spark.catalog.tableExists(name):
-            return self.spark.table(name)
-        return marts.daily_country_base(self._staged())
-
-    def _name(self, model: str) -> str:
-        return self.config.table(model) if self.config.materialized == "table" else model
+        """The base that the models stage has stored, or its definition before any run has."""
+        if versions.exists(self.spark, self.config.base_path):
+            return storage.read_version(self.spark, self.config.base_path)
+        return profile.profiled_base(stage(self._raw(), self.config.as_of))
+
+    def _publish(self, name: str, mart: DataFrame) -> int:
+        path = self.config.mart_path(name)
+        rows = storage.write_version(mart, path)
+        storage.register_table(self.spark, self.config.table(name), versions.current(self.spark, path))
+        return rows
+
+    def _timed(self, model: str, write: Callable[[], int]) -> int:
+        started = datetime.now(UTC)
+        rows = write()
+        self.model_log.append((self.run_id, model, "succeeded", rows, started, datetime.now(UTC)))
+        return rows
 
     def _judge(self, name: str, results: DataFrame, passed: str, always_raise: bool) -> int:
         """Store the results of the checks and raise if one failed (where the run is set to)."""
@@ -207,7 +225,7 @@ class DailyRun:
 
     def _store(self, name: str, results: DataFrame, parts: Sequence[str] = ()) -> None:
         if self.config.history_path:
-            history.append_run(results, self._folder(name), self.run_id, parts)
+            history.append_run(results, self._folder(name), self.run_id, parts, self.started)
 
     def _history(self, name: str) -> DataFrame | None:
         """What all runs stored under ``name``, if any did."""
@@ -219,4 +237,4 @@ class DailyRun:
     def _stored(self, name: str) -> DataFrame | None:
         """What this run stored under ``name``."""
         stored = self._history(name)
-        return None if stored is None else stored.where(F.col("run_id") == self.run_id).drop("run_id")
+        return None if stored is None else stored.where(F.col("run_id") == self.run_id).drop("run_id", "run_started")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.operators import marts
 from tallyward.operators.staging import stage
+from tallyward.sources import storage
 
 
 @dataclass(frozen=True)
@@ -38,3 +39,9 @@ class Models:
 def build_models(raw: DataFrame, as_of: date | None = None) -> Models:
     staged = stage(raw, as_of)
     return Models(staged, marts.daily_country_base(staged))
+
+
+def stored_marts(spark: SparkSession, base_path: str) -> dict[str, DataFrame]:
+    """The marts by name, over the base that the last run stored: for any session, with or without a lasting catalog."""
+    base = storage.read_version(spark, base_path)
+    return {name: build(base) for name, build in marts.MARTS.items()}

@@ -6,6 +6,9 @@ for speed and for a stable meaning of ``current_date()``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SESSION_DEFAULTS = {
@@ -17,13 +20,6 @@ SESSION_DEFAULTS = {
     # a hot key never costs a second exchange; force it even where the planner is unsure.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The source is ~700 columns wide and the jobs read 34 or fewer of them. A 128 MB split would hold only
-    # a few MB of wanted column chunks; 1 GB splits give tasks of ~50 MB and better map-side aggregation.
-    # Small inputs are still spread over all cores (Spark caps the split at total size / cores). On the largest inputs
-    # the number of map tasks is bounded instead: each task sends a row per group it saw, so on 100 TB that are not
-    # ordered by day, 20,000 tasks send down to a fifth of what 100,000 would, in far fewer shuffle blocks.
-    "spark.sql.files.maxPartitionBytes": "1g",
-    "spark.sql.files.maxPartitionNum": "20000",
     # The JVM does not compile methods above 8000 bytes of bytecode. Projections of some 30 columns can pass that
     # when fused into one method; Spark then had better generate one method per operator (2.9 s against 0.5 s
     # for the 34 staged columns of 600,000 rows).
@@ -61,3 +57,20 @@ def build_session(app_name: str, master: str | None = None, **overrides: str) ->
     for name, value in settings.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for the jobs that are started inside; names use ``__`` in place of dots."""
+    names = {name.replace("__", "."): value for name, value in values.items() if value}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

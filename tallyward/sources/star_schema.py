@@ -65,8 +65,8 @@ RAW_EXPRESSIONS = {
 }
 
 
-def raw_observations(spark: SparkSession, directory: str) -> DataFrame:
-    """The raw table over every line item in ``directory``.
+def raw_observations(spark: SparkSession, directory: str, *more: str) -> DataFrame:
+    """The raw table over every line item in ``directory``, with ``more`` columns of the line items (``k`` numbers them).
 
     The joins are left-deep, so that each dimension keeps the size estimate of its own files: Spark broadcasts
     it while it is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, splitting hot keys
@@ -80,4 +80,4 @@ def raw_observations(spark: SparkSession, directory: str) -> DataFrame:
         .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .withColumn("k", F.expr(ROW_NUMBER))
     )
-    return joined.selectExpr(*[f"{text} as {name}" for name, text in RAW_EXPRESSIONS.items()])
+    return joined.selectExpr(*[f"{text} as {name}" for name, text in RAW_EXPRESSIONS.items()], *more)

@@ -9,6 +9,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.sources import versions
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -23,9 +25,24 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
+_SESSION_FOLDERS: dict[tuple[str, str], str] = {}
+
+
+def session_folder(spark: SparkSession) -> str:
+    """A folder for what is stored on the way, below the shared one; it is deleted when the application ends."""
+    key = (spark.sparkContext.applicationId, shared_folder(spark))
+    if key not in _SESSION_FOLDERS:
+        path = f"{key[1]}/tallyward/{key[0]}-{uuid.uuid4().hex[:8]}"
+        system, place = versions.folder(spark, path)
+        system.mkdirs(place)
+        system.deleteOnExit(place)
+        _SESSION_FOLDERS[key] = path
+    return _SESSION_FOLDERS[key]
+
+
 def new_path(spark: SparkSession, purpose: str) -> str:
-    """A path nobody has written to yet, below the shared folder."""
-    return f"{shared_folder(spark)}/tallyward/{purpose}-{uuid.uuid4().hex}"
+    """A path nobody has written to yet, for an intermediate result."""
+    return f"{session_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def read_source(
@@ -68,7 +85,8 @@ def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (), re
 
 
 def read_raw_zone(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The newest complete version of the raw zone, or the files as they lie there."""
+    return read_version(spark, path)
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None, source_format: str = "parquet") -> int:
@@ -92,23 +110,51 @@ def write_sink(df: DataFrame, sink_format: str, options: Mapping[str, str] | Non
 def register_table(spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Make Parquet files readable as a table without copying them.
 
-    A copy of the raw zone would write the whole data a second time. Replacing the entry never deletes files.
+    A copy of the raw zone would write the whole data a second time. An entry over files with the same columns is pointed to
+    the new files in one step; one with other columns or partitions is made anew. Dropping an entry never deletes files, and a
+    managed table, which would lose its own, is refused.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "MANAGED":
+            raise ValueError(f"{name} is a managed table; registering files in its place would delete its data")
+        if not partition_by and spark.table(name).schema == spark.read.parquet(path).schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            return spark.table(name)
+        spark.sql(f"DROP TABLE {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
     if partition_by:
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
-def materialize(df: DataFrame, name: str, how: str = "view") -> DataFrame:
-    """Publish a model as a temporary view, recomputed on every read, or as a table."""
+def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """Write the next version of the folder; readers switch to it when it is complete. Returns the row count."""
+    spark = df.sparkSession
+    rows = write_counted(df, versions.following(spark, path), partition_by)
+    versions.prune(spark, path)
+    return rows
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(versions.current(spark, path))
+
+
+def materialize(df: DataFrame, name: str, how: str = "view", path: str = "") -> DataFrame:
+    """Publish a model as a temporary view, recomputed on every read, or as a table.
+
+    With a ``path`` the table's files are versions below it, outside the warehouse: another session without a lasting catalog can
+    read and replace them. Without one the catalog manages them.
+    """
     spark = df.sparkSession
     if how == "view":
         view = name.rsplit(".", 1)[-1]
         df.createOrReplaceTempView(view)
         return spark.table(view)
     if how == "table":
+        if path:
+            write_version(df, path)
+            return register_table(spark, name, versions.current(spark, path))
         save_table(df, name)
         return spark.table(name)
     raise ValueError(f"unknown materialization {how!r}")

@@ -1,23 +1,38 @@
-"""Continuous ingestion: new raw files are staged as they arrive and the days they touch are refreshed.
+"""Continuous ingestion: new raw files are taken in as they arrive and the days they touch are refreshed.
 
-Daily figures are corrected long after the day, so :func:`refresh_on_arrival` keeps no state in the stream and has no
-lateness limit: whatever a batch brings, the days it touches are aggregated again from all their staged rows. Where
-only finished days matter, :func:`closed_days` uses a watermark instead.
+Daily figures are corrected long after the day, so nothing here has a lateness limit but :func:`closed_days`. There are two kinds of
+sources. One that only appends is stored as partial aggregates per batch, day and country, which a refresh adds up
+(:func:`refresh_appended`). One that sends a row again to correct it is stored as it arrived, and the newest arrival of each row
+counts (:func:`refresh_corrected`). Both keep rows of days that are still to come; readers of the base say up to which day they read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructType
 
-from tallyward.operators.marts import GRAIN, daily_country_base
-from tallyward.operators.staging import stage
+from tallyward.operators.marts import AVERAGES, GRAIN, MAXIMA, SUMS, daily_country_base, measures
+from tallyward.operators.staging import stage, validity_rules
+from tallyward.sources import versions
 from tallyward.sources.storage import write_counted
 
+FOREVER = date(9999, 12, 31)
+
+
+def raw_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
+    """Rows of the raw files under ``path``, as they arrive."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
+
 
 def staged_stream(
     spark: SparkSession,
@@ -27,61 +42,144 @@ def staged_stream(
     files_per_batch: int | None = None,
 ) -> DataFrame:
     """Staged rows of the raw files under ``path``, as they arrive; the same cleaning as in batch."""
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return stage(reader.parquet(path), as_of)
+    return stage(raw_stream(spark, path, schema, files_per_batch), as_of)
+
+
+# --- append-only sources: partial aggregates ---------------------------------------------------------------------
+
+
+def partial_base(staged: DataFrame) -> DataFrame:
+    """The measures per country and day in a form that adds up: an average as its sum and count."""
+    columns = [F.sum(source).alias(name) for name, source in SUMS.items()]
+    columns += [F.max(source).alias(name) for name, source in MAXIMA.items()]
+    for name, source in AVERAGES.items():
+        columns += [F.sum(F.col(source).cast("double")).alias(f"{name}_sum"), F.count(source).alias(f"{name}_count")]
+    return staged.groupBy(*GRAIN).agg(*columns)
+
+
+def _sums_of_partials() -> list[Column]:
+    columns = [F.sum(name).alias(name) for name in SUMS] + [F.max(name).alias(name) for name in MAXIMA]
+    for name in AVERAGES:
+        columns += [F.sum(f"{name}_sum").alias(f"{name}_sum"), F.sum(f"{name}_count").alias(f"{name}_count")]
+    return columns
+
+
+def merged_base(partials: DataFrame) -> DataFrame:
+    """The base from any number of partial ones."""
+    averages = [F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count")).alias(name) for name in AVERAGES]
+    others = [F.sum(name).alias(name) for name in SUMS] + [F.max(name).alias(name) for name in MAXIMA]
+    return partials.groupBy(*GRAIN).agg(*others, *averages)
 
 
-def rows_of_touched_days(stored: DataFrame, batch_id: int) -> DataFrame:
-    """All stored rows of the days that batch ``batch_id`` brought rows for.
+def of_touched_days(stored: DataFrame, batch_id: int) -> DataFrame:
+    """What is stored of the days that batch ``batch_id`` brought rows for.
 
-    Staging lets only days between its first day and today through, so there are a few thousand at most: they may be
-    broadcast, and as ``date`` partitions the files, Spark prunes the scan by them at run time.
+    ``date`` partitions the files, so where the touched days are few enough for Spark to broadcast, it prunes the scan by them.
     """
     touched = stored.where(F.col("batch_id") == batch_id).select("date").distinct()
-    return stored.join(F.broadcast(touched), "date", "left_semi")
+    return stored.join(touched, "date", "left_semi")
 
 
-def refresh_on_arrival(staged: DataFrame, staged_path: str, base_path: str, checkpoint: str) -> StreamingQuery:
-    """Process what has arrived, then stop. Start again with the same ``checkpoint`` to carry on.
+def _run(stream: DataFrame, refresh, checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    A batch is written to its own (batch_id, date) partitions, so running it again after a failure replaces
-    its rows instead of adding them; the days it touched then replace their partitions of the stored base.
+
+def _stored_schema(frame: DataFrame) -> StructType:
+    return StructType([*frame.schema.fields]).add("batch_id", LongType())
+
+
+def refresh_appended(arriving: DataFrame, partials_path: str, base_path: str, checkpoint: str) -> StreamingQuery:
+    """Add what has arrived to the base, then stop. Start again with the same ``checkpoint`` to carry on.
+
+    For sources that never send a row twice. A batch writes a partial row per country-day it touches, in its own (date, batch_id)
+    partitions, so running it again after a failure replaces them instead of adding them; the days it touched are added up from their
+    partial rows and replace their partitions of the base. :func:`compact` keeps the partial rows few.
     """
-    stored_schema = StructType([*staged.schema.fields, StructField("batch_id", LongType())])
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        write_counted(
-            batch.withColumn("batch_id", F.lit(batch_id)),
-            staged_path,
-            partition_by=["batch_id", "date"],
-            replace="partitions",
-        )
-        stored = batch.sparkSession.read.schema(stored_schema).parquet(staged_path)
-        base = daily_country_base(rows_of_touched_days(stored, batch_id))
-        write_counted(base, base_path, partition_by=["date"], replace="partitions")
+        spark = batch.sparkSession
+        partial = partial_base(stage(batch, FOREVER)).withColumn("batch_id", F.lit(batch_id))
+        write_counted(partial, partials_path, partition_by=["date", "batch_id"], replace="partitions")
+        stored = spark.read.schema(_partial_schema(partial)).parquet(partials_path)
+        write_counted(merged_base(of_touched_days(stored, batch_id)), base_path, partition_by=["date"], replace="partitions")
 
-    return (
-        staged.writeStream.foreachBatch(refresh)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _run(arriving, refresh, checkpoint)
+
+
+def _partial_schema(partial: DataFrame) -> StructType:
+    kept = [field for field in partial.schema.fields if field.name != "batch_id"]
+    return StructType(kept).add("batch_id", LongType())
+
+
+def compact(spark: SparkSession, partials_path: str) -> None:
+    """Add up the partial rows of each day to one file, as those of batch -1. Run it while the stream is stopped.
+
+    The sums are written beside, then each day's folder is exchanged; a day whose exchange was cut off is finished by the next call.
+    """
+    stored = spark.read.parquet(partials_path)
+    beside = f"{partials_path}_compact"
+    if not versions.exists(spark, f"{beside}/_SUCCESS"):
+        first = stored.groupBy(*GRAIN).agg(*_sums_of_partials()).withColumn("batch_id", F.lit(-1).cast("bigint"))
+        write_counted(first, beside, partition_by=["date", "batch_id"])
+    system, place = versions.folder(spark, beside)
+    for entry in system.listStatus(place):
+        name = entry.getPath().getName()
+        if name.startswith("date="):
+            versions.delete(spark, f"{partials_path}/{name}")
+            system.rename(entry.getPath(), versions.folder(spark, f"{partials_path}/{name}")[1])
+    versions.delete(spark, beside)
+
+
+# --- sources that correct: newest arrival of each row --------------------------------------------------------------
+
+
+def newest_arrivals(stored: DataFrame, row_key: Sequence[str]) -> DataFrame:
+    """Of the rows with the same key the one that came with the latest batch; within a batch, the largest."""
+    columns = [name for name in stored.columns if name not in (*row_key, "batch_id")]
+    latest = stored.groupBy(*row_key).agg(F.max(F.struct("batch_id", *columns)).alias("_newest"))
+    return latest.select(*row_key, "_newest.*")
+
+
+def refresh_corrected(
+    arriving: DataFrame, arrivals_path: str, base_path: str, checkpoint: str, row_key: Sequence[str]
+) -> StreamingQuery:
+    """Bring the base up to date with rows that may replace earlier ones; then stop, as :func:`refresh_appended`.
+
+    Rows are stored raw, so that a row that makes an earlier one invalid counts as well; ``row_key`` (which must hold ``date``)
+    names a row. The days that a batch touches are aggregated again from the newest arrival of each of their rows, and a
+    day without a valid row goes.
+    """
+    if "date" not in row_key:
+        raise ValueError("the key of a row must hold its date")
+    schema = _stored_schema(arriving)
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dated = batch.where(F.col("date").isNotNull()).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        write_counted(dated, arrivals_path, partition_by=["date", "batch_id"], replace="partitions")
+        stored = spark.read.schema(schema).parquet(arrivals_path)
+        rows = newest_arrivals(of_touched_days(stored, batch_id), row_key)
+        write_counted(daily_country_base(stage(rows, FOREVER)), base_path, partition_by=["date"], replace="partitions")
+        # Days of the batch (a bounded number of calendar days) whose rows are all invalid now have no partition left to replace.
+        valid = reduce(and_, validity_rules(FOREVER).values())
+        days = rows.groupBy("date").agg(F.count_if(valid).alias("valid")).where("valid = 0")
+        for row in days.select(F.col("date").cast("string").alias("day")).collect():
+            versions.delete(spark, f"{base_path}/date={row['day']}")
+
+    return _run(arriving, refresh, checkpoint)
 
 
 def closed_days(staged: DataFrame, lateness_days: int) -> DataFrame:
-    """Case and death totals of each country-day once no later than ``lateness_days`` behind the newest day.
+    """The base of each country-day, all measures, once it is no later than ``lateness_days`` behind the newest day.
 
     State is bounded by countries times lateness, so few state partitions will do (``spark.sql.shuffle.partitions`` when
-    the stream is first started). Rows later than that are not counted; use
-    :func:`refresh_on_arrival` where every correction must count.
+    the stream is first started). Rows later than that are not counted; use the functions above where every correction must count.
     """
     reported = staged.withColumn("reported_at", F.col("date").cast("timestamp"))
     return (
         reported.withWatermark("reported_at", f"{lateness_days} days")
         .groupBy("reported_at", *[name for name in GRAIN if name != "date"])
-        .agg(F.sum("new_confirmed").alias("total_new_cases"), F.sum("new_deceased").alias("total_new_deaths"))
+        .agg(*measures())
         .withColumn("date", F.to_date("reported_at"))
-        .select(*GRAIN, "total_new_cases", "total_new_deaths")
+        .drop("reported_at")
     )

@@ -52,16 +52,32 @@ def test_accepted_values(spark):
 
 def test_unique(spark):
     frame = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, None), (2, None)], "k int, v string")
-    assert checks.unique(frame, "m", ["k", "v"]).first().failures == 1
+    assert checks.unique(frame, "m", ["k", "v"]).first().failures == 2
     assert checks.unique(frame, "m", ["k"]).first().failures == 2
 
 
 def test_relationships(spark):
     child = spark.createDataFrame([(1,), (1,), (3,), (3,), (3,), (None,)], "k int")
     parent = spark.createDataFrame([(1,), (2,), (None,)], "id int")
-    result = checks.relationships(child, parent, "m", "k", "id").first()
-    assert (result.failures, result.passed) == (3, False)
-    assert checks.relationships(child.where("k = 1"), parent, "m", "k", "id").first().failures == 0
+    result = checks.relationships(child, "m", {"k": (parent, "id")}).first()
+    assert (result.column_name, result.failures, result.passed) == ("k", 3, False)
+    assert checks.relationships(child.where("k = 1"), "m", {"k": (parent, "id")}).first().failures == 0
+
+
+def test_relationships_of_several_columns_read_the_child_once(spark, tmp_path):
+    spark.createDataFrame([(1, "x"), (2, None), (9, "y")], "k int, v string").write.parquet(str(tmp_path / "child"))
+    child = spark.read.parquet(str(tmp_path / "child"))
+    numbers = spark.createDataFrame([(1,), (2,)], "id int")
+    letters = spark.createDataFrame([("x",), ("y",)], "letter string")
+    results = checks.relationships(child, "m", {"k": (numbers, "id"), "v": (letters, "letter")})
+    assert results._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {(r.column_name, r.failures) for r in results.collect()} == {("k", 1), ("v", 0)}
+
+
+def test_identical_rows_without_a_subregion_are_no_unique_key(spark):
+    frame = spark.createDataFrame([(MARCH, "AA", None)] * 3, "date date, country_code string, subregion1_name string")
+    result = checks.unique(frame, "stg_covid19", ["date", "country_code", "subregion1_name"]).first()
+    assert (result.failures, result.passed) == (1, False)
 
 
 IMPACT = (
@@ -174,3 +190,22 @@ def test_bounded_fetch(spark):
     frame = spark.range(50)
     assert ex.bounded_fetch(frame, 20).count() == 20
     assert ex.bounded_fetch(frame).count() == 50
+    assert ex.bounded_fetch(spark.range(100_001)).count() == 100_001
+
+
+def test_bindings_are_added_and_replaced(spark):
+    suites = ex.bind("mart_pandemic_impact", (ex.RowCountBetween(min_value=1),))
+    suites = ex.bind("another", (ex.NotNull("date"), ex.ColumnExists("absent")), suites)
+    results = ex.validate_marts({"mart_pandemic_impact": impact(spark, 5), "another": impact(spark, 5)}, suites)
+    assert sorted((r.model, r.expectation, r.success) for r in results.collect()) == [
+        ("another", "column_exists", False),
+        ("another", "values_not_null", True),
+        ("mart_pandemic_impact", "table_row_count_between", True),
+    ]
+    assert len(ex.SUITES["mart_pandemic_impact"]) == 15 and "another" not in ex.SUITES
+
+
+def test_outcomes(spark):
+    results = ex.validate(impact(spark, 3), ex.IMPACT_SUITE)
+    assert tuple(ex.outcome(results).first()) == ("report", 15, 1, False)
+    assert tuple(ex.outcome(results, "raise").first()) == ("raise", 15, 1, True)

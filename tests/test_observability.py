@@ -91,6 +91,69 @@ def test_freshness(spark):
     }
 
 
+def test_an_empty_table_is_not_fresh(spark):
+    frame = spark.createDataFrame([], "date date, country_code string")
+    rows = obs.freshness(frame, "t", date(2020, 12, 31)).collect()
+    assert [(r.level, r.last_date, r.days_behind, r.is_fresh) for r in rows] == [("table", None, None, False)]
+
+
+def test_a_key_that_is_missing_stays_beside_the_table(spark):
+    frame = spark.createDataFrame([(date(2020, 12, 30), None), (date(2020, 12, 1), "AA")], "date date, country_code string")
+    rows = {(r.level, r.country_code): r.days_behind for r in obs.freshness(frame, "t", date(2020, 12, 31)).collect()}
+    assert rows == {("table", None): 1, ("key", None): 1, ("key", "AA"): 30}
+
+
+def test_an_outage_is_seen(spark):
+    """40 days of which three are absent in the middle and two at the end."""
+    values = [(n, 100 + n % 5) for n in range(40) if n not in (20, 21, 22, 38, 39)]
+    rows = [("t", START + timedelta(days=n), v) for n, v in values]
+    counts = spark.createDataFrame(rows, "table_name string, date date, row_count bigint")
+    scored = obs.volume_anomalies(obs.on_every_day(counts, START + timedelta(days=39))).sort("date").collect()
+    assert len(scored) == 40
+    assert {n for n, row in enumerate(scored) if row.is_anomalous} >= {20, 38}
+    assert [scored[n].row_count for n in (20, 21, 22, 38, 39)] == [0] * 5
+
+
+def test_scores_look_back_days_not_rows(spark):
+    """A gap of a month leaves no history."""
+    rows = [("t", START + timedelta(days=n + (30 if n >= 10 else 0)), n % 4) for n in range(20)]
+    series_ = spark.createDataFrame(rows, "table_name string, date date, row_count bigint")
+    scored = obs.anomaly_scores(series_, ["table_name"], "date", "row_count").sort("date").collect()
+    assert [row.history_count for row in scored] == [*range(10), *range(10)]
+
+
+def test_the_newest_day_is_judged(spark):
+    values = [10 + n % 3 for n in range(30)]
+    values[15] = 500
+    scored = obs.volume_anomalies(series(spark, values))
+    verdict = obs.anomaly_tests(scored, ["table_name"]).first()
+    assert (verdict.anomalies, verdict.passed, verdict.last_bucket) == (1, True, START + timedelta(days=29))
+    bad = obs.volume_anomalies(series(spark, [*values, 900]))
+    assert obs.anomaly_tests(bad, ["table_name"]).first().passed is False
+    assert obs.newest(bad, ["table_name"]).first().row_count == 900
+
+
+def test_profile_of_the_base_has_the_metrics_of_the_rows(spark):
+    from tallyward.operators import profile
+    from tallyward.operators.staging import stage
+    from tests.frames import AS_OF, edge_rows
+
+    staged = stage(edge_rows(spark), AS_OF)
+    base = profile.profiled_base(staged)
+    found = {(r.date, r.column_name, r.metric): r.value for r in profile.daily_metrics(base).collect()}
+    direct = obs.column_metrics(staged, profile.MEASURES, by=["date"])
+    expected = {(r.date, r.column_name, r.metric): r.value for r in direct.collect()}
+    assert found == expected
+    assert len({name for _, name, _ in found}) == 30
+    assert obs.arrivals(staged).exceptAll(profile.arrivals(base)).count() == 0
+
+
+def test_exact_and_estimated_distinct_counts(spark):
+    frame = spark.range(5000).selectExpr("id as a", "id % 10 as b", "if(id < 0, id, null) as c")
+    rows = {r.column_name: (r.distinct_count, r.is_close) for r in obs.distinct_checks(frame).collect()}
+    assert rows == {"a": (5000, True), "b": (10, True), "c": (0, True)}
+
+
 def test_gate(spark):
     frame = spark.createDataFrame([(date(2021, 12, 30),)], "date date")
     assert obs.has_rows_for_yesterday(frame, date(2021, 12, 31)).first().passed is True
@@ -98,15 +161,18 @@ def test_gate(spark):
     assert obs.has_rows_for_yesterday(frame).first().passed is False
 
 
-def test_report_of_nothing_passes(spark):
+def test_report(spark):
     tests = spark.createDataFrame([], "passed boolean")
     rules = spark.createDataFrame([(False,)], "success boolean")
     fresh = spark.createDataFrame([(True,)], "is_fresh boolean")
-    scores = spark.createDataFrame([(True,), (False,)], "is_anomalous boolean")
+    scores = spark.createDataFrame(
+        [("t", "c", "m", START, True), ("t", "c", "m", START + timedelta(days=1), False), ("u", "d", "m", START, True)],
+        "table_name string, column_name string, metric string, date date, is_anomalous boolean",
+    )
     contract = spark.createDataFrame([("ok",)], "status string")
     areas = {r.area: (r.checked, r.failed, r.passed) for r in quality_report(tests, rules, fresh, scores, scores, contract).collect()}
     assert areas == {
-        "column_tests": (0, 0, True),
+        "column_tests": (0, 0, False),
         "expectations": (1, 1, False),
         "freshness": (1, 0, True),
         "volume_anomalies": (2, 1, False),

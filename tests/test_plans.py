@@ -10,7 +10,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import column_checks, expectations
+from tallyward.operators import column_checks, expectations, profile
 from tallyward.plans import dashboards
 from tallyward.plans.models import build_models
 from tallyward.sources import storage
@@ -109,6 +109,15 @@ def test_all_checks_of_a_frame_are_one_aggregate(models):
     assert exchanges(rules) == ["SinglePartition", "hashpartitioning"]
 
 
+def test_the_profile_of_a_run_is_one_scan_and_one_exchange(models):
+    base = profile.profiled_base(models.staged)
+    assert executed(base).count("FileScan") == 1
+    assert exchanges(base) == ["hashpartitioning"]
+    counts = executed(profile.model_row_counts(base))
+    assert counts.count("FileScan") == 1 and "sum(cast" not in counts
+    assert executed(profile.declared_tests(base)).count("FileScan") == 1
+
+
 def test_uniqueness_of_the_grain_needs_no_second_shuffle(models):
     """The mart is already partitioned by its grain; only the one-row total is exchanged again."""
     grain = column_checks.unique(models.impact, "mart_pandemic_impact", ["date", "country_code", "country_name"])
@@ -141,8 +150,8 @@ def test_stream_refresh_prunes_to_the_touched_days(spark, models, tmp_path):
     batches = models.staged.selectExpr("*", "0L as batch_id").unionByName(
         models.staged.where("date = date '2020-05-05'").selectExpr("*", "1L as batch_id")
     )
-    storage.write_counted(batches, path, partition_by=["batch_id", "date"])
-    touched = daily_stream.rows_of_touched_days(spark.read.parquet(path), 1)
+    storage.write_counted(batches, path, partition_by=["date", "batch_id"])
+    touched = daily_stream.of_touched_days(spark.read.parquet(path), 1)
     assert "dynamicpruningexpression(date" in formatted(touched)
     assert [r.date for r in touched.select("date").distinct().collect()] == [date(2020, 5, 5)]
     assert touched.count() == 2 * models.staged.where("date = date '2020-05-05'").count()

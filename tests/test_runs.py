@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 from datetime import date, timedelta
 
 import pytest
@@ -11,6 +13,7 @@ from tallyward.operators import history, marts, snapshots
 from tallyward.plans import dashboards, incremental
 from tallyward.plans.daily_run import DailyRun
 from tallyward.plans.models import build_models
+from tallyward.sources import versions
 from tallyward.streaming import daily_stream
 from tests.frames import MARCH, raw_rows, row
 
@@ -53,7 +56,7 @@ def test_whole_run(spark, config):
         "extract": 60,
         "load": None,
         "freshness_gate": None,
-        "models": None,
+        "models": 60,
         "column_tests": 36,
         "expectations": 15,
         "report": None,
@@ -66,6 +69,78 @@ def test_whole_run(spark, config):
     assert (report["expectations"].checked, report["expectations"].failed) == (15, 1)
     assert (report["schema_contract"].checked, report["schema_contract"].failed) == (34, 0)
     assert report["freshness"].checked == 3
+    assert {"test_history", "run_log", "model_row_counts", "run_times", "schema_changes"} < set(report)
+    assert (report["model_row_counts"].checked, report["model_row_counts"].passed) == (6, True)
+    models = history.read_history(spark, f"{config.history_path}/monitoring_model_log").collect()
+    assert {(m.model, m.row_count) for m in models} == {(name, 60) for name in ("daily_country_base", *marts.MARTS)}
+    scored = history.read_history(spark, f"{config.history_path}/monitoring_metric_scores")
+    assert scored.select("column_name", "metric").distinct().count() == 240
+
+
+def test_the_raw_zone_is_read_twice_after_the_extract(spark, config, tmp_path, monkeypatch):
+    """By the gate and by the base; the checks and the report read the stored base, even where the raw files are gone."""
+    run = DailyRun(spark, config)
+    run.execute(["extract", "load", "freshness_gate"])
+    reads = []
+    original = DailyRun._raw
+    monkeypatch.setattr(DailyRun, "_raw", lambda self: reads.append(1) or original(self))
+    run.execute(["models"])
+    assert run.error is None and len(reads) == 1
+    version = versions.current(spark, config.raw_path)
+    system, place = versions.folder(spark, version)
+    system.rename(place, versions.folder(spark, str(tmp_path / "away"))[1])
+    run.execute(["column_tests", "expectations"])
+    assert run.error is None and len(reads) == 1
+    assert run._base().groupBy().sum("row_count").first()[0] == 60
+
+
+def test_another_session_reads_and_repeats_the_run(spark, config, tmp_path):
+    """Without a lasting catalog, from the files alone."""
+    DailyRun(spark, config).execute()
+    program = f"""
+import sys
+sys.path.insert(0, {os.getcwd()!r})
+from datetime import date
+from tallyward.config import Config
+from tallyward.plans.daily_run import DailyRun
+from tallyward.plans.models import stored_marts
+from tallyward.session import build_session, local_sizes
+spark = build_session("again", master="local[2]", **local_sizes(2), spark__checkpoint__dir={str(tmp_path / 'shared')!r},
+    spark__sql__warehouse__dir={str(tmp_path / 'warehouse')!r})
+config = Config(source_path={config.source_path!r}, raw_path={config.raw_path!r}, as_of=date(2021, 3, 31), materialized="table")
+before = {{name: mart.count() for name, mart in stored_marts(spark, config.base_path).items()}}
+errors = [DailyRun(spark, config).execute().error for _ in range(2)]
+after = {{name: spark.table(name).count() for name in before}}
+print("RESULT", before == after, errors, sorted(set(after.values())))
+"""
+    out = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, timeout=300)
+    assert "RESULT True [None, None] [60]" in out.stdout, out.stderr[-2000:]
+
+
+def test_a_contract_that_is_not_enforced_is_reported(spark, config, tmp_path):
+    from dataclasses import replace
+
+    many_days(spark).withColumn("remark", F.lit(1)).withColumn("gdp_per_capita_usd", F.lit(1.5)).write.parquet(str(tmp_path / "odd"))
+    run = DailyRun(spark, replace(config, source_path=str(tmp_path / "odd"), enforce_contract=False)).execute()
+    assert run.error is None
+    report = {r.area: r for r in history.read_history(spark, f"{config.history_path}/monitoring_report").collect()}
+    assert (report["schema_contract"].checked, report["schema_contract"].failed) == (34, 1)
+
+
+def test_errors_are_stored_whole(spark, config):
+    run = DailyRun(spark, config)
+    run.extract = lambda: (_ for _ in ()).throw(ValueError("x" * 5000))
+    run.execute()
+    log = history.read_history(spark, f"{config.history_path}/monitoring_run_log").where("stage = 'extract'").first()
+    assert len(log.detail) == 5000
+
+
+def test_profiled_measures_can_be_named(spark, config):
+    from dataclasses import replace
+
+    DailyRun(spark, replace(config, profiled=("new_confirmed",), scan_split="64m")).execute()
+    scored = history.read_history(spark, f"{config.history_path}/monitoring_metric_scores")
+    assert [r.column_name for r in scored.select("column_name").distinct().collect()] == ["new_confirmed"]
 
 
 def test_schema_drift_between_runs(spark, config, tmp_path):
@@ -134,7 +209,7 @@ def test_tables_and_partitioned_raw_zone(spark, config):
     assert run.error is None
     for name in marts.MARTS:
         assert spark.table(f"{database}.{name}").count() == 60
-    assert spark.catalog.getTable(f"{database}.mart_pandemic_impact").tableType == "MANAGED"
+    assert spark.catalog.getTable(f"{database}.mart_pandemic_impact").tableType == "EXTERNAL"
 
 
 def test_suites_of_all_marts(spark, config):
@@ -202,12 +277,16 @@ def test_refresh_of_some_days(spark, tmp_path):
     assert both.exceptAll(expected).count() == expected.exceptAll(both).count() == 0
 
 
-def test_refresh_notices_days_that_vanished(spark, tmp_path):
+def test_refresh_removes_days_that_vanished(spark, tmp_path):
     path = str(tmp_path / "base")
     incremental.refresh_base(many_days(spark), path, as_of=AS_OF)
-    thinner = many_days(spark).where("date <> '2021-03-12'")
-    with pytest.raises(incremental.StaleDays, match="2021-03-12"):
-        incremental.refresh_base(thinner, path, date(2021, 3, 10), date(2021, 3, 20), AS_OF)
+    thinner = many_days(spark).where("date <> '2021-03-12' and date <> '2021-03-25'")
+    incremental.refresh_base(thinner, path, date(2021, 3, 10), date(2021, 3, 20), AS_OF)
+    days = incremental.stored_days(spark, path)
+    assert "2021-03-12" not in days and "2021-03-25" in days and len(days) == 29
+    assert incremental.read_base(spark, path).where("date = '2021-03-12'").count() == 0
+    incremental.refresh_base(many_days(spark).where("false"), path, date(2021, 3, 1), date(2021, 3, 2), AS_OF)
+    assert len(incremental.stored_days(spark, path)) == 27
 
 
 def test_versions(spark):
@@ -235,35 +314,94 @@ def test_versions(spark):
     )
 
 
-def test_stream_refreshes_touched_days_whatever_arrives_late(spark, tmp_path):
-    arrivals, staged_path, base_path = (str(tmp_path / name) for name in ("arrivals", "staged", "base"))
+def same(left, right):
+    return left.exceptAll(right).count() == right.exceptAll(left).count() == 0
+
+
+def test_snapshot_table_leaves_closed_versions_alone(spark, tmp_path):
+    def state(*rows):
+        return spark.createDataFrame(rows, "code string, level bigint")
+
+    table = snapshots.SnapshotTable(spark, str(tmp_path / "profile"), ["code"])
+    days = [date(2020, 1, 1), date(2020, 2, 1), date(2020, 3, 1)]
+    states = [state(("A", 1), ("B", 1)), state(("A", 2), ("B", 1)), state(("A", 2), ("B", 5))]
+    for day, current in zip(days, states, strict=True):
+        table.apply(current, day)
+        if day == days[1]:
+            closed = {p: p.stat().st_mtime_ns for p in (tmp_path / "profile/closed").rglob("*.parquet")}
+    expected = [("A", 1, days[0], days[1]), ("A", 2, days[1], None), ("B", 1, days[0], days[2]), ("B", 5, days[2], None)]
+    assert sorted((tuple(v) for v in table.read().collect()), key=str) == sorted(expected, key=str)
+    assert closed and all(p.stat().st_mtime_ns == at for p, at in closed.items())
+    table.apply(states[2], days[2])
+    assert table.read().count() == 4
+
+
+def test_appended_rows_are_added_whatever_arrives_late(spark, tmp_path):
+    arrivals, partials, base_path = (str(tmp_path / name) for name in ("arrivals", "partials", "base"))
     raw = many_days(spark)
     late = raw_rows(spark, row(MARCH, "AA", "aa", 500, 1, subregion1_name="late"))
+    ahead = raw_rows(spark, row(date(2021, 4, 2), "AA", "aa", 7, 1))
 
-    def process():
-        stream = daily_stream.staged_stream(spark, arrivals, raw.schema, AS_OF, files_per_batch=1)
-        daily_stream.refresh_on_arrival(stream, staged_path, base_path, str(tmp_path / "checkpoint")).awaitTermination()
-        return spark.read.parquet(base_path)
+    def process(as_of=AS_OF):
+        stream = daily_stream.raw_stream(spark, arrivals, raw.schema, files_per_batch=1)
+        daily_stream.refresh_appended(stream, partials, base_path, str(tmp_path / "checkpoint")).awaitTermination()
+        return incremental.read_base(spark, base_path, as_of)
 
     raw.coalesce(2).write.mode("append").parquet(arrivals)
     first = process()
-    expected = build_models(raw, AS_OF).base.select(*first.columns)
-    assert first.exceptAll(expected).count() == expected.exceptAll(first).count() == 0
-    late.write.mode("append").parquet(arrivals)
+    assert same(first, build_models(raw, AS_OF).base.select(*first.columns))
+    late.unionByName(ahead).write.mode("append").parquet(arrivals)
     second = process()
-    expected = build_models(raw.unionByName(late), AS_OF).base.select(*second.columns)
-    assert second.exceptAll(expected).count() == expected.exceptAll(second).count() == 0
+    everything = raw.unionByName(late).unionByName(ahead)
+    assert same(second, build_models(everything, AS_OF).base.select(*second.columns))
+    next_month = date(2021, 4, 5)
+    assert same(process(next_month), build_models(everything, next_month).base.select(*second.columns))
+    before = spark.read.parquet(partials).count()
+    daily_stream.compact(spark, partials)
+    assert spark.read.parquet(partials).count() < before
+    late.write.mode("append").parquet(arrivals)
+    again = process(next_month)
+    assert same(again, build_models(everything.unionByName(late), next_month).base.select(*again.columns))
+
+
+def test_corrections_replace_the_row_they_correct(spark, tmp_path):
+    arrivals, stored, base_path = (str(tmp_path / name) for name in ("arrivals", "stored", "base"))
+
+    def rows(*cells):
+        frame = raw_rows(spark, *[row(MARCH + timedelta(days=day), "AA", "aa", cases) for day, _, cases in cells])
+        keys = spark.createDataFrame([(n, key) for n, (_, key, _) in enumerate(cells)], "n int, place string")
+        numbered = frame.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])).toDF(frame.schema.add("n", "long"))
+        return numbered.join(keys, "n").drop("n")
+
+    def process():
+        stream = daily_stream.raw_stream(spark, arrivals, schema)
+        query = daily_stream.refresh_corrected(stream, stored, base_path, str(tmp_path / "checkpoint"), ["date", "place"])
+        query.awaitTermination()
+        found = incremental.read_base(spark, base_path, AS_OF).collect()
+        return {(r.date - MARCH).days: r.total_new_cases for r in found}
+
+    first = rows((0, "x", 100), (0, "y", 1), (1, "x", 7), (60, "x", 9))
+    schema = first.schema
+    first.write.parquet(arrivals)
+    assert process() == {0: 101, 1: 7}
+    rows((0, "x", 110)).write.mode("append").parquet(arrivals)
+    assert process() == {0: 111, 1: 7}
+    rows((1, "x", -1)).write.mode("append").parquet(arrivals)
+    assert process() == {0: 111}
+    assert incremental.read_base(spark, base_path, date(2021, 5, 1)).count() == 2
+    with pytest.raises(ValueError, match="date"):
+        daily_stream.refresh_corrected(first, stored, base_path, "c", ["place"])
 
 
 def test_a_micro_batch_that_is_run_again_counts_once(spark, tmp_path):
     """As after a crash between the writes of a batch and its commit."""
-    arrivals, staged_path, base_path, checkpoint = (str(tmp_path / name) for name in ("a", "s", "b", "c"))
+    arrivals, partials, base_path, checkpoint = (str(tmp_path / name) for name in ("a", "p", "b", "c"))
     raw = many_days(spark, last=5)
     raw.coalesce(1).write.parquet(arrivals)
 
     def process():
-        stream = daily_stream.staged_stream(spark, arrivals, raw.schema, AS_OF)
-        daily_stream.refresh_on_arrival(stream, staged_path, base_path, checkpoint).awaitTermination()
+        stream = daily_stream.raw_stream(spark, arrivals, raw.schema)
+        daily_stream.refresh_appended(stream, partials, base_path, checkpoint).awaitTermination()
         return sorted(spark.read.parquet(base_path).collect(), key=str)
 
     first = process()
@@ -271,7 +409,7 @@ def test_a_micro_batch_that_is_run_again_counts_once(spark, tmp_path):
     for name in ("0", ".0.crc"):
         os.remove(f"{checkpoint}/commits/{name}")
     assert process() == first
-    assert spark.read.parquet(staged_path).count() == raw.count()
+    assert spark.read.parquet(partials).count() == 10
 
 
 def test_stream_of_closed_days(spark, tmp_path):
@@ -284,6 +422,7 @@ def test_stream_of_closed_days(spark, tmp_path):
         availableNow=True
     ).start(out).awaitTermination()
     rows = spark.read.parquet(out)
+    assert set(rows.columns) == set(build_models(raw, AS_OF).base.columns)
     assert rows.agg(F.max("date"), F.count("*")).first()[:] == (date(2021, 3, 27), 54)
 
 

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 
 from tallyward.config import Config
 from tallyward.operators import history, schemas
-from tallyward.sources import storage
+from tallyward.operators.staging import stage
+from tallyward.sources import storage, versions
 from tallyward.sources.contract import RAW_CONTRACT
 from tests.frames import edge_rows, raw_rows, row
 
@@ -48,11 +49,51 @@ def test_table_and_registered_table(spark, tmp_path):
     assert again.count() == raw.count()
 
 
+def test_a_registered_table_is_pointed_to_new_files(spark, tmp_path):
+    for name, rows in (("one", 3), ("two", 5)):
+        spark.range(rows).write.parquet(str(tmp_path / name))
+        assert storage.register_table(spark, "moving", str(tmp_path / name)).count() == rows
+    spark.range(2).selectExpr("id", "'x' as more").write.parquet(str(tmp_path / "three"))
+    assert storage.register_table(spark, "moving", str(tmp_path / "three")).columns == ["id", "more"]
+    assert spark.read.parquet(str(tmp_path / "one")).count() == 3
+
+
+def test_a_managed_table_is_not_registered_over(spark, tmp_path):
+    spark.range(4).write.saveAsTable("kept_by_the_catalog")
+    spark.range(1).write.parquet(str(tmp_path / "zone"))
+    with pytest.raises(ValueError, match="managed"):
+        storage.register_table(spark, "kept_by_the_catalog", str(tmp_path / "zone"))
+    assert spark.table("kept_by_the_catalog").count() == 4
+
+
+def test_versions_switch_when_they_are_complete(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    assert versions.current(spark, path) == path
+    assert storage.write_version(spark.range(3), path) == 3
+    broken = versions.following(spark, path)
+    spark.range(9).write.parquet(broken)
+    versions.delete(spark, f"{broken}/_SUCCESS")
+    assert storage.read_version(spark, path).count() == 3
+    for rows in (5, 6, 7):
+        storage.write_version(spark.range(rows), path)
+        assert storage.read_version(spark, path).count() == rows
+    assert sorted(p.name for p in tmp_path.glob("zone/v=*")) == ["v=4", "v=5"]
+
+
+def test_intermediate_results_lie_in_a_folder_of_the_application(spark):
+    first, second = storage.new_path(spark, "a"), storage.new_path(spark, "a")
+    assert first != second and first.startswith(storage.session_folder(spark))
+    assert spark.sparkContext.applicationId in first
+
+
 def test_materialize(spark, tmp_path):
     frame = spark.range(3)
     assert storage.materialize(frame, "three", "view").count() == 3
     assert storage.materialize(frame, "three_stored", "table").count() == 3
     assert spark.catalog.getTable("three_stored").tableType == "MANAGED"
+    for rows in (2, 6):
+        assert storage.materialize(spark.range(rows), "three_beside", "table", str(tmp_path / "beside")).count() == rows
+    assert spark.catalog.getTable("three_beside").tableType == "EXTERNAL"
     with pytest.raises(ValueError, match="materialization"):
         storage.materialize(frame, "three", "cube")
 
@@ -98,10 +139,31 @@ def test_history_keeps_run_ids_as_text_and_replaces_a_repeated_run(spark, tmp_pa
         history.append_run(spark.createDataFrame([("t", passed)], "test string, passed boolean"), path, run_id)
     stored = history.read_history(spark, path)
     assert sorted(r.run_id for r in stored.collect()) == ["001", "002", "003"]
+    assert history.run_before(stored, "003") == "002" and history.run_before(stored, "001") is None
     rates = history.pass_rates(stored, ["test"], "passed").first()
     assert (rates.runs, rates.passes, rates.pass_rate, rates.last_run, rates.last_passed) == (3, 2, 0.666667, "003", True)
 
 
+def test_the_last_run_is_the_one_that_started_last(spark, tmp_path):
+    path = str(tmp_path / "history")
+    for run_id, hour, passed in (("9", 9, True), ("10", 10, False)):
+        frame = spark.createDataFrame([("t", passed)], "test string, passed boolean")
+        history.append_run(frame, path, run_id, run_started=datetime(2024, 1, 1, hour))
+    stored = history.read_history(spark, path)
+    rates = history.pass_rates(stored, ["test"], "passed").first()
+    assert (rates.last_run, rates.last_passed) == ("10", False)
+    assert history.run_before(stored, "10") == "9"
+
+
+def test_stage_times(spark):
+    rows = [("1", "a", "succeeded", 0, 4), ("2", "a", "failed", 10, 12), ("2", "b", "skipped", None, None)]
+    at = [(r, s, status, None if b is None else datetime(2024, 1, 1, 0, 0, b), None if e is None else datetime(2024, 1, 1, 0, 0, e)) for r, s, status, b, e in rows]
+    log = spark.createDataFrame(at, "run_id string, stage string, status string, started_at timestamp, ended_at timestamp")
+    times = {r.stage: tuple(r)[1:] for r in history.stage_times(log).collect()}
+    assert times["a"] == (2, 1, 3.0, 4.0, 2.0, True)
+    assert times["b"] == (0, 0, None, None, None, False)
+
+
 def test_schema_changes(spark):
     before = spark.createDataFrame([(1, "x", 2.0)], "a int, b string, c double")
     after = spark.createDataFrame([(1, "x", "y")], "a bigint, b string, d string")
@@ -126,10 +188,21 @@ def test_contract(spark):
     assert schemas.contract_breaches(raw.schema, RAW_CONTRACT) == []
     odd = raw.drop("population").selectExpr("*", "1 as extra").withColumn("new_recovered", raw.new_recovered.cast("double"))
     assert sorted(schemas.contract_breaches(odd.schema, RAW_CONTRACT)) == ["new_recovered: wrong_type", "population: missing"]
-    statuses = {r.column_name: r.status for r in schemas.contract_report(odd, RAW_CONTRACT, "raw").collect()}
+    statuses = {r.column_name: r.status for r in schemas.contract_report(spark, odd.schema, RAW_CONTRACT, "raw").collect()}
     assert statuses["extra"] == "not_in_contract"
     assert statuses["population"] == "missing"
     assert statuses["date"] == "ok"
+    usage = {r.column_name: r.filled_rows for r in schemas.contract_usage(odd, RAW_CONTRACT, "raw").collect()}
+    assert usage["country_code"] == 1 and usage["new_deceased"] == 1 and "extra" not in usage
+
+
+def test_narrower_types_keep_the_contract(spark):
+    raw = raw_rows(spark, row(date(2021, 3, 1), "AA", "Alpha", school_closing=2))
+    narrow = raw.withColumn("school_closing", raw.school_closing.cast("int")).withColumn("stringency_index", raw.stringency_index.cast("float"))
+    assert schemas.contract_breaches(narrow.schema, RAW_CONTRACT) == []
+    staged = stage(narrow, date(2021, 12, 31))
+    assert dict(staged.dtypes)["school_closing"] == "bigint" and dict(staged.dtypes)["stringency_index"] == "double"
+    assert staged.first().school_closing == 2
 
 
 def test_config():
