@@ -69,7 +69,7 @@ def raw_row_count(spark: SparkSession, directory: str) -> DataFrame:
 
 def raw_zone_roundtrip(spark: SparkSession, directory: str) -> DataFrame:
     path = storage.new_path(spark, "raw")
-    storage.write_counted(raw_observations(spark, directory), path)
+    storage.write_version(raw_observations(spark, directory), path)
     return storage.read_raw_zone(spark, path)
 
 
@@ -77,7 +77,7 @@ def raw_zone_by_day(spark: SparkSession, directory: str) -> DataFrame:
     raw = raw_observations(spark, directory)
     path = storage.new_path(spark, "raw-by-day")
     storage.write_counted(raw, path, partition_by=["date"])
-    return storage.read_raw_zone(spark, path).select(*raw.columns)
+    return storage.read_source(spark, path, "parquet").select(*raw.columns)
 
 
 def table_roundtrip(spark: SparkSession, directory: str) -> DataFrame:
@@ -447,7 +447,7 @@ def streaming_closed_days(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "raw_scan": raw_observations,
+    "raw_scan": lambda s, d: storage.read_source(s, _source_view(s, d), "table"),
     "raw_row_count": raw_row_count,
     "raw_zone_roundtrip": raw_zone_roundtrip,
     "raw_zone_by_day": raw_zone_by_day,

@@ -40,6 +40,12 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(as_text).parquet(path)
 
 
+def read_run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """What one run stored; only its folder is listed, however many runs there are."""
+    found = spark.read.option("basePath", path).parquet(f"{path}/run_id={run_id}")
+    return found.drop("run_id", "run_started")
+
+
 def pass_rates(history: DataFrame, keys: Sequence[str], passed: str) -> DataFrame:
     """(*keys, runs, passes, pass_rate, last_run, last_passed) over the stored runs; the last is the one that started last."""
     good = F.col(passed)

@@ -236,5 +236,7 @@ class DailyRun:
 
     def _stored(self, name: str) -> DataFrame | None:
         """What this run stored under ``name``."""
-        stored = self._history(name)
-        return None if stored is None else stored.where(F.col("run_id") == self.run_id).drop("run_id", "run_started")
+        try:
+            return history.read_run(self.spark, self._folder(name), self.run_id)
+        except AnalysisException:
+            return None
