@@ -40,6 +40,14 @@ PROVIDERS = {
     "signed_token": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
     "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
 }
+# What a text must hold for the pattern to be tried.
+SIGNS = {
+    "access_key": ("AKIA", "ASIA"),
+    "hosting_token": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"),
+    "chat_token": ("xox",),
+    "signed_token": ("eyJ",),
+    "private_key": ("-----BEGIN",),
+}
 KEYWORDS = r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential)s?"
 ASSIGNED = re.compile(rf"(?i){KEYWORDS}[\"']?[ \t]{{0,3}}[:=][ \t]{{0,3}}[\"']?([^\s\"',;]{{6,}})")
 RUN = re.compile(r"[A-Za-z0-9+/_.~-]{12,}={0,2}")
@@ -57,9 +65,14 @@ HARMLESS = re.compile(
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(start, end, rule) in code points, by start; of proposals that overlap the first rule in the order of ``RULES`` stays."""
-    found = [(m.start(), m.end(), name) for name, pattern in FORMATS.items() for m in pattern.finditer(text)]
-    found += [(*m.span(1), "assigned") for m in ASSIGNED.finditer(text)]
-    found += [(*m.span(), "run") for m in RUN.finditer(text) if DIGIT.search(m[0])]
+    found = []
+    for name, pattern in FORMATS.items():
+        if any(sign in text for sign in SIGNS[name]):
+            found += [(m.start(), m.end(), name) for m in pattern.finditer(text)]
+    if "=" in text or ":" in text:
+        found += [(*m.span(1), "assigned") for m in ASSIGNED.finditer(text)]
+    if DIGIT.search(text):
+        found += [(*m.span(), "run") for m in RUN.finditer(text) if DIGIT.search(m[0])]
     found.sort(key=lambda x: (RULES.index(x[2]), x[0]))
     taken: list[tuple[int, int, str]] = []
     if len(found) > 1:
