@@ -138,7 +138,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", documents: i
         order = np.array(sorted(range(len(ids)), key=lambda i: (zlib.crc32(f"order:{ids[i]}".encode()), ids[i])), int)
         lists = group.column("found").combine_chunks()
         offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-        found = [values[offsets[i] : offsets[i + 1]].astype(np.int64) for i in order]
+        found = [values[offsets[i] : offsets[i + 1]] for i in order]
         model = fit(found, group.column("label").to_numpy()[order])
         return pa.table(
             {"place": pa.array([*model.places.tolist(), -1], pa.int64()), "weight": pa.array([*model.weights.tolist(), model.bias], pa.float64())}
