@@ -7,6 +7,7 @@ import pytest
 from tallyward.config import Config
 from tallyward.operators import history, schemas
 from tallyward.operators.staging import stage
+from tallyward.session import settings
 from tallyward.sources import storage, versions
 from tallyward.sources.contract import RAW_CONTRACT
 from tests.frames import edge_rows, raw_rows, row
@@ -111,6 +112,18 @@ def test_sink_by_options(spark, tmp_path):
     assert storage.read_source(spark, "", "orc", target).count() == 7
 
 
+def test_settings_hold_inside_only(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with settings(spark, spark__sql__files__maxPartitionBytes="7m", spark__sql__shuffle__partitions=""):
+        assert spark.conf.get(name) == "7m"
+    assert spark.conf.get(name) == before
+    with pytest.raises(ValueError), settings(spark, spark__tallyward__unknown="1"):
+        assert spark.conf.get("spark.tallyward.unknown") == "1"
+        raise ValueError
+    assert spark.conf.get("spark.tallyward.unknown", None) is None
+
+
 def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert storage.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
@@ -222,8 +235,15 @@ def test_config():
             "TALLYWARD_DATABASE": "health",
             "TALLYWARD_RAW_PARTITION_BY": "date",
             "TALLYWARD_SUITES": "mart_pandemic_impact,mart_government_response",
+            "TALLYWARD_ENFORCE_CONTRACT": "no",
+            "TALLYWARD_PROFILED": "new_confirmed",
+            "TALLYWARD_SCAN_SPLIT": "512m",
+            "TALLYWARD_MODELS_PATH": "m",
         }
     )
+    assert (config.enforce_contract, config.profiled, config.scan_split) == (False, ("new_confirmed",), "512m")
+    assert (config.base_path, config.mart_path("x")) == ("m/daily_country_base", "m/x")
+    assert Config("s", "r/").base_path == "r_models/daily_country_base"
     assert config.as_of == date(2020, 12, 31)
     assert config.table("covid19_raw") == "health.covid19_raw"
     assert config.raw_partition_by == ("date",)
