@@ -110,3 +110,20 @@ def test_empty_tables_pass_all_stages(spark, tables):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, DIRECTORY), "pipeline-test")
     assert docs.count() == 0
+
+
+def test_columns_with_names_that_the_stages_use(spark):
+    names = ["row", "rows", "key", "part", "size", "score", "taken", "copies", "n", "id", "spans", "identity", "batch"]
+    docs = spark.createDataFrame(
+        [(i, f"some words of document {i} and the mail a{i}@b.cd", "en", f"s{i % 3}", None) for i in range(30)]
+        + [(None, None, None, None, None), (7, "some words of document 7 and the mail a7@b.cd", "en", "s1", None)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    for i, name in enumerate(names):
+        docs = docs.selectExpr("*", f"{i} as {name}")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, DIRECTORY), "pipeline-test")
+        assert docs.columns == [*COLUMNS, *names]
+        assert {tuple(r)[5:] for r in docs.collect()} == {tuple(range(len(names)))}
+    assert all("[EMAIL]" in r.text for r in docs.collect())
+    assert corpus_pipeline.pack(spark, docs, DIRECTORY).count() > 0
