@@ -24,6 +24,7 @@ from tallyward.sources import versions
 from tallyward.sources.storage import write_counted
 
 FOREVER = date(9999, 12, 31)
+MONTH = "year(date) * 100 + month(date)"
 
 
 def raw_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -71,13 +72,14 @@ def merged_base(partials: DataFrame) -> DataFrame:
     return partials.groupBy(*GRAIN).agg(*others, *averages)
 
 
-def of_touched_days(stored: DataFrame, batch_id: int) -> DataFrame:
+def of_touched_days(stored: DataFrame, batch_id: int, by: Sequence[str] = ("date",)) -> DataFrame:
     """What is stored of the days that batch ``batch_id`` brought rows for.
 
-    ``date`` partitions the files, so where the touched days are few enough for Spark to broadcast, it prunes the scan by them.
+    ``by`` holds the column that partitions the files, so where the touched days are few enough for Spark to broadcast, it prunes
+    the scan by them.
     """
-    touched = stored.where(F.col("batch_id") == batch_id).select("date").distinct()
-    return stored.join(touched, "date", "left_semi")
+    touched = stored.where(F.col("batch_id") == batch_id).select(*by).distinct()
+    return stored.join(touched, list(by), "left_semi")
 
 
 def _run(stream: DataFrame, refresh, checkpoint: str) -> StreamingQuery:
@@ -91,40 +93,38 @@ def _stored_schema(frame: DataFrame) -> StructType:
 def refresh_appended(arriving: DataFrame, partials_path: str, base_path: str, checkpoint: str) -> StreamingQuery:
     """Add what has arrived to the base, then stop. Start again with the same ``checkpoint`` to carry on.
 
-    For sources that never send a row twice. A batch writes a partial row per country-day it touches, in its own (date, batch_id)
-    partitions, so running it again after a failure replaces them instead of adding them; the days it touched are added up from their
-    partial rows and replace their partitions of the base. :func:`compact` keeps the partial rows few.
+    For sources that never send a row twice. A batch writes a partial row per country-day it touches, in its own (month, batch_id)
+    partitions (a day's partial rows alone would be a very small file), so running it again after a failure replaces them instead of
+    adding them; the days it touched are added up from their partial rows and replace their partitions of the base.
+    :func:`compact` keeps the partial rows few.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        partial = partial_base(stage(batch, FOREVER)).withColumn("batch_id", F.lit(batch_id))
-        write_counted(partial, partials_path, partition_by=["date", "batch_id"], replace="partitions")
-        stored = spark.read.schema(_partial_schema(partial)).parquet(partials_path)
-        write_counted(merged_base(of_touched_days(stored, batch_id)), base_path, partition_by=["date"], replace="partitions")
+        partial = partial_base(stage(batch, FOREVER)).withColumns({"month": F.expr(MONTH), "batch_id": F.lit(batch_id).cast("bigint")})
+        write_counted(partial, partials_path, partition_by=["month", "batch_id"], replace="partitions")
+        stored = spark.read.schema(partial.schema).parquet(partials_path)
+        touched = of_touched_days(stored, batch_id, ["month", "date"])
+        write_counted(merged_base(touched), base_path, partition_by=["date"], replace="partitions")
 
     return _run(arriving, refresh, checkpoint)
 
 
-def _partial_schema(partial: DataFrame) -> StructType:
-    kept = [field for field in partial.schema.fields if field.name != "batch_id"]
-    return StructType(kept).add("batch_id", LongType())
-
-
 def compact(spark: SparkSession, partials_path: str) -> None:
-    """Add up the partial rows of each day to one file, as those of batch -1. Run it while the stream is stopped.
+    """Add up the partial rows of each month to one file, as those of batch -1. Run it while the stream is stopped.
 
-    The sums are written beside, then each day's folder is exchanged; a day whose exchange was cut off is finished by the next call.
+    The sums are written beside, then each month's folder is exchanged; an exchange that was cut off is finished by the next call.
     """
     stored = spark.read.parquet(partials_path)
     beside = f"{partials_path}_compact"
     if not versions.exists(spark, f"{beside}/_SUCCESS"):
-        first = stored.groupBy(*GRAIN).agg(*_sums_of_partials()).withColumn("batch_id", F.lit(-1).cast("bigint"))
-        write_counted(first, beside, partition_by=["date", "batch_id"])
+        first = stored.groupBy(*GRAIN).agg(*_sums_of_partials())
+        first = first.withColumns({"month": F.expr(MONTH), "batch_id": F.lit(-1).cast("bigint")})
+        write_counted(first, beside, partition_by=["month", "batch_id"])
     system, place = versions.folder(spark, beside)
     for entry in system.listStatus(place):
         name = entry.getPath().getName()
-        if name.startswith("date="):
+        if name.startswith("month="):
             versions.delete(spark, f"{partials_path}/{name}")
             system.rename(entry.getPath(), versions.folder(spark, f"{partials_path}/{name}")[1])
     versions.delete(spark, beside)
