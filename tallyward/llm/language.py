@@ -25,7 +25,7 @@ LANGUAGES = 256
 UNKNOWN = "und"
 # Text in any learned language is well above this, text in another script or without words near 0.
 LEAST_SCORE = 0.2
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 BITS = 21  # of a code point
 GAP = 0x110000  # between words; no code point
 
@@ -155,5 +155,11 @@ def recognised_documents(documents: DataFrame, least: float = LEAST_SCORE) -> Da
 
     Rejected are ``und`` and texts whose n-grams are so far out of place in every profile that the score is below ``least``.
     """
-    found = predicted(documents, learn(documents), documents.columns)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    profiles = learn(documents)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces_of(batches, "text", PIECE_BYTES):
+            found = (profiles.predict(x.as_py()) for x in batch.column("text"))
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)
