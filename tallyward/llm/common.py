@@ -68,7 +68,10 @@ def with_running_total(
 
 
 def pieces_of(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the texts of a piece have at most ``limit`` bytes together; a longer text is a piece of its own."""
+    """Cut batches so that the texts of a piece have at most ``limit`` bytes together; a longer text is a piece of its own.
+
+    Memory that a batch leaves unused goes back to the system, as a worker shares it with the executor's.
+    """
     for batch in batches:
         texts = batch.column(column)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
@@ -80,3 +83,5 @@ def pieces_of(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Ite
             total += size
         if start < len(sizes):
             yield batch.slice(start)
+        del batch, texts, sizes
+        pa.default_memory_pool().release_unused()

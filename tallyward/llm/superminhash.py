@@ -13,7 +13,7 @@ from tallyward.llm.shingles import mix
 
 _U = np.uint64
 FRACTION = _U(32)
-SLICE = 1 << 17
+SLICE = 1 << 16
 
 
 def signatures(elements: np.ndarray, offsets: np.ndarray, components: int) -> np.ndarray:
