@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import stored
@@ -25,15 +25,21 @@ def _towards_least(edges: DataFrame, reverse: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
+def _noted(edges: DataFrame, purpose: str) -> tuple[DataFrame, dict]:
+    """The edges, stored, with their number and the sum of their hashes, taken in the same pass."""
+    seen = Observation()
+    hashes = F.sum((F.xxhash64("a", "b") % 2**31).cast("decimal(38,0)"))
+    table = stored(edges.observe(seen, F.count(F.lit(1)).alias("edges"), hashes.alias("hashes")), purpose)
+    return table, dict(seen.get)
+
+
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """``node``, ``root`` for each node of the edges ``a``, ``b`` (longs): the root is the least node that it is connected to."""
     larger_first = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    current, before = stored(larger_first, purpose), None
-    while True:
-        state = current.agg(F.count(F.lit(1)), F.sum((F.xxhash64("a", "b") % 2**31).cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
+    current, state = _noted(larger_first, purpose)
+    before = None
+    while state["edges"] and state != before:
         before = state
-        current = stored(_towards_least(_towards_least(current, True), False), purpose)
+        current, state = _noted(_towards_least(_towards_least(current, True), False), purpose)
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
