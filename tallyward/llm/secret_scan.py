@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from tallyward.llm.common import pieces_of, stored
 from tallyward.llm.language import held_out
 from tallyward.llm.shingles import hashed_words, text_bytes
 from tallyward.llm.toxicity import NO_LETTER
+from tallyward.sources.storage import new_path
 
 PIECE_BYTES = 2 << 20
 # The dictionary holds the most frequent words of the corpus, as hashes.
@@ -221,7 +222,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, findings: int = LEA
     forest = RandomForestClassifier(
         featuresCol="vector", numTrees=TREES, maxDepth=DEPTH, seed=29, probabilityCol="shares", rawPredictionCol="votes", predictionCol="chosen"
     ).fit(sample.select("label", "vector"))
-    judged = forest.transform(found.withColumn("vector", array_to_vector("features")))
+    # A fitted model holds on to the session through its summary, which tasks cannot be sent; a stored one is trees only.
+    path = new_path(docs.sparkSession, "secret-forest")
+    forest.write().save(path)
+    judged = RandomForestClassificationModel.load(path).transform(found.withColumn("vector", array_to_vector("features")))
     judged = judged.withColumn("score", vector_to_array("shares")[1])
     return judged.select(*columns, "score", (F.col("score") >= 0.5).cast("int").alias("secret"))
 

@@ -8,6 +8,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from tallyward.llm import secret_scan
 from tallyward.llm.queries import QUERIES
@@ -58,6 +60,16 @@ def test_held_out_findings(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in found)
 
 
+def test_scan_in_a_session_that_has_observed(spark):
+    """Whoever has used an observation before must be able to run the forest's tasks."""
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 5
+    found = QUERIES["op10_secret_scan"](spark, "/root/testdata/sf0.1")
+    found.write.format("noop").mode("overwrite").save()
+    assert found.where("secret = 1").count() > 0
+
+
 def test_labelled_findings_teach_what_is_false(spark):
     """Values after the same keyword: people have found that short words are no secrets."""
     rng = np.random.default_rng(8)
