@@ -103,10 +103,13 @@ class Rounds:
         self.rounds = int(np.ceil(self.times[-1]))
 
     def before(self, queue: int, rounds: np.ndarray) -> np.ndarray:
-        """Tokens that the queue has given before each of the rounds: whole quanta, or all it has."""
+        """Tokens that the queue has given before each of the rounds: whole quanta, or all it has.
+
+        What is a whole quantum but for the rounding of the arithmetic counts as one.
+        """
         total = self.totals[queue]
         earned = np.interp(rounds, self.times, self.corners[:, queue])
-        whole = np.floor(earned / self.quantum) * self.quantum
+        whole = np.floor(earned / self.quantum + 1e-9) * self.quantum
         return np.where((earned >= total) | (rounds >= self.rounds), total, whole).astype(np.int64)
 
     def round_of(self, queue: int, tokens: np.ndarray) -> np.ndarray:
