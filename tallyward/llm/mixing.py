@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from tallyward.llm.common import part_of_key, parts_for, shuffle_key, stored, with_running_total
 
-# The schedule has about so many slots; a block holds the total divided by it, but at least LEAST_BLOCK words.
+# The schedule has about so many slots, and up to three for each source of few words; a block holds the total divided by it, but at least LEAST_BLOCK words.
 SLOTS = 2**20
 LEAST_BLOCK = 16
 # Words of a source are used at most so often.
 REPEATS = 3
-# Fixed-point golden ratio: (sqrt(5) - 1) / 2 of POINTS.
-POINTS = 2**32
-GOLDEN = 2654435769
+# Golden ratio as a fraction GOLDEN / POINTS of two Fibonacci numbers: of N < POINTS points the largest gap is below 2 / N.
+POINTS = 2971215073
+GOLDEN = 1836311903
 # Intervals of the weights are found by their upper bits.
 CELL = 2**20
 
@@ -57,16 +57,18 @@ def targets(sizes: DataFrame, repeats: int = REPEATS) -> DataFrame:
     return sources.select("source", "number", "source_size", "total", target.alias("target"))
 
 
-def _schedule(sources: DataFrame, count: int, block: int) -> DataFrame:
+def _schedule(sources: DataFrame, block: int) -> DataFrame:
     """Rows ``slot``, ``number`` (of the source), ``rank`` (of the slot in its source, from 0).
 
-    An interval is at least three blocks long, so that the points, whose largest gap is less, meet every source.
+    An interval is at least three blocks long and there is a slot for each block of all intervals, so that the points, whose largest
+    gap is less, meet every source.
     """
     up_to = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
     whole = F.floor("target").cast("bigint")
+    sources = sources.withColumn("width", F.when(whole > 0, F.greatest(whole, F.lit(3 * block))).otherwise(0))
+    count = -(-(sources.agg(F.sum("width")).first()[0] or 0) // block)
     intervals = (
-        sources.withColumn("width", F.when(whole > 0, F.greatest(whole, F.lit(3 * block))).otherwise(0))
-        .withColumn("end", F.sum("width").over(up_to))
+        sources.withColumn("end", F.sum("width").over(up_to))
         .withColumn("all", F.sum("width").over(Window.partitionBy()))
         .where("width > 0")
         .withColumn("low", F.floor((F.col("end") - F.col("width")) / F.col("all") * POINTS).cast("bigint"))
@@ -98,7 +100,7 @@ def mix(
     First frame: ``row_id``, ``row`` (struct of ``carry``), ``size``, ``source_size``, ``target``. Second frame: a row for each piece of
     a document in a slot: ``slot``, ``number`` (of the source), ``row_id``, ``start`` (words of the document before), ``length``; slots
     in order are the mix. Each source gives the whole words of its target, none more than ``REPEATS`` times. Rows without words
-    are in no slot. Equal rows are interchangeable. Up to ``2**30`` slots.
+    are in no slot. Equal rows are interchangeable. Up to ``2**30`` slots, and three more for each source of few words.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
@@ -113,8 +115,7 @@ def mix(
     found = sizes.agg(F.sum("source_size").alias("words"), F.sum("rows").alias("rows")).first()
     words, total = found["words"] or 0, found["rows"] or 0
     block = max(LEAST_BLOCK, -(-words // slots))
-    schedule = _schedule(sources, -(-words // block), block)
-    schedule = stored(schedule, "mix-schedule")
+    schedule = stored(_schedule(sources, block), "mix-schedule")
 
     # Blocks: the stream of a source, gone through again and again up to its target, in as many equal blocks as it has slots.
     of_source = schedule.groupBy("number").agg(F.count(F.lit(1)).alias("blocks"))

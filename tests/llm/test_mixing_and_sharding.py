@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +102,20 @@ def test_schedule_is_even(spark):
         assert max(counts) - min(counts) <= 1
 
 
+@pytest.mark.parametrize(("sources", "size"), [(4, 5), (1000, 20)])
+def test_sources_of_few_words_are_all_met(spark, sources, size):
+    docs = spark.createDataFrame([(i, "w " * size, f"s{i:04}") for i in range(sources)], "doc_id long, text string, source string")
+    found = mixing.mix_documents(docs).collect()
+    targets = plain_targets({f"s{i:04}": size for i in range(sources)})
+    assert {r.doc_id: r.taken for r in found} == {i: int(targets[f"s{i:04}"] + 1e-9) for i in range(sources)}
+
+
+@pytest.mark.parametrize("count", [1, 2, 5, 1000, 2**20, 3 * 2**20, 2**22])
+def test_points_leave_no_gap_of_three_blocks(count):
+    points = np.sort(np.arange(count) * mixing.GOLDEN % mixing.POINTS)
+    assert np.diff(points, append=mixing.POINTS).max() * count <= 2 * mixing.POINTS
+
+
 def test_documents_of_the_mix(spark):
     docs = spark.createDataFrame(CASES[0], "doc_id long, text string, source string").withColumn("extra", F.lit(1))
     mixed = mixing.mixed_documents(docs)
