@@ -28,6 +28,8 @@ AXES = 8
 AXIS_BITS = 7
 # Projections are scaled and windows are set on about so many vectors, chosen by a hash.
 SAMPLE = 4096
+# So many of the sample ask when a window is set, drawn at random whatever the sample's order.
+ASKING = 512
 # Share of the sample's nearest neighbours that the windows have to meet.
 AIM = 0.96
 # A cell holds the candidates of so many ranks at most, and the queries of so many.
@@ -111,9 +113,10 @@ class Curves:
         if size <= k + 1:
             return total
         nearest = min(size - 1, max(1, math.ceil(k * size / total)))
-        asked = sample[: min(size, 512)]
+        asking = np.random.default_rng(23).permutation(size)[:ASKING]
+        asked = sample[asking]
         scores = asked @ sample.T
-        scores[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
+        scores[np.arange(len(asked)), asking] = -np.inf
         best = np.argpartition(-scores, nearest - 1, axis=1)[:, :nearest]
         least = np.full(best.shape, size)
         for given, wanted in zip(self.keys(sample, False), self.keys(asked, True), strict=True):

@@ -120,6 +120,25 @@ def test_windows_are_small_where_vectors_lie_in_groups():
     assert curves.window(spread, 20, 100 * len(spread)) < 0.05 * 100 * len(spread)
 
 
+def test_recall_where_the_first_rows_lie_in_groups(spark):
+    """Windows that the tight groups at the table's beginning need are too small for the rest."""
+    rng = np.random.default_rng(9)
+    groups = (rng.normal(size=(25, 1, 32)) + rng.normal(size=(25, 40, 32)) * 0.01).reshape(-1, 32)
+    points = np.concatenate([groups, rng.normal(size=(3000, 32))])
+    points /= np.sqrt((points**2).sum(axis=1, keepdims=True))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>").coalesce(1)
+    found: dict[int, set] = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0, 20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    met = {}
+    for query in range(0, len(points), 20):
+        products = points @ points[query]
+        products[query] = -np.inf
+        met[query] = len(set(np.argsort(-products)[:20].tolist()) & found[query]) / 20
+    assert np.mean(list(met.values())) >= 0.9
+    assert np.mean([x for query, x in met.items() if query >= len(groups)]) >= 0.9
+
+
 @pytest.mark.parametrize("rows", [ODD, [], [(0, [1.0])]])
 def test_approximate_search_of_odd_rows(spark, rows):
     """So few vectors are all within the window."""
