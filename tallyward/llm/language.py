@@ -20,8 +20,6 @@ from tallyward.llm.common import pieces_of
 PROFILE = 300
 # Profiles are learned from about so many documents of each language, chosen by a hash.
 LEARN_DOCUMENTS = 2000
-# So many languages at most, the most frequent ones, have profiles.
-LANGUAGES = 256
 UNKNOWN = "und"
 # Text in any learned language is well above this, text in another script or without words near 0.
 LEAST_SCORE = 0.2
@@ -69,25 +67,37 @@ def held_out(identity: str = "doc_id") -> Column:
 
 
 class Profiles:
-    """The learned languages in the order of their names; ``places`` has the rank of each known n-gram in each of them."""
+    """The learned languages in the order of their names, and the known n-grams in ascending order.
+
+    The profiles that hold the i-th known n-gram, and its rank in each, are the entries ``starts[i]`` to ``starts[i + 1]`` of ``langs``
+    and ``places``: as many entries as the profiles have together, for any number of languages.
+    """
 
     def __init__(self, lists: dict[str, list[int]], size: int = PROFILE):
         self.names = sorted(lists)
         self.size = size
-        self.known = np.unique(np.concatenate([np.array(lists[name], np.int64) for name in self.names])) if lists else None
-        if lists:
-            self.places = np.full((len(self.known), len(self.names)), -1, np.int64)
-            for column, name in enumerate(self.names):
-                self.places[np.searchsorted(self.known, lists[name]), column] = np.arange(len(lists[name]))
+        listed = [np.array(lists[name], np.int64) for name in self.names]
+        sizes = [len(x) for x in listed]
+        every = np.concatenate([np.empty(0, np.int64), *listed])
+        order = np.argsort(every, kind="stable")
+        self.known, starts = np.unique(every[order], return_index=True)
+        self.starts = np.append(starts, len(every))
+        self.langs = np.repeat(np.arange(len(listed), dtype=np.int32), sizes)[order]
+        self.places = np.concatenate([np.empty(0, np.int32), *(np.arange(n, dtype=np.int32) for n in sizes)])[order]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and closeness: 1 if every n-gram is in its place, 0 if none is in the profile. The first name wins a tie."""
         mine = ranked(text or "", self.size)
-        if not len(mine) or self.known is None:
+        if not len(mine) or not len(self.known):
             return UNKNOWN, 0.0
         at = np.searchsorted(self.known, mine).clip(max=len(self.known) - 1)
-        places = np.where((self.known[at] == mine)[:, None], self.places[at], -1)
-        away = np.where(places < 0, self.size, np.abs(places - np.arange(len(mine))[:, None])).sum(axis=0)
+        rank = np.flatnonzero(self.known[at] == mine)
+        first, last = self.starts[at[rank]], self.starts[at[rank] + 1]
+        holding = last - first
+        entries = np.arange(holding.sum()) + np.repeat(last - np.cumsum(holding), holding)
+        closer = self.size - np.abs(self.places[entries] - np.repeat(rank, holding))
+        # Sums of whole numbers, exact in doubles.
+        away = len(mine) * self.size - np.bincount(self.langs[entries], closer, len(self.names))
         best = int(np.argmin(away))
         return self.names[best], 1.0 - float(away[best]) / (len(mine) * self.size)
 
@@ -97,12 +107,11 @@ def learn(
 ) -> Profiles:
     """Profiles from the documents that are not held out and have a language.
 
-    Of each language about ``documents`` are used, chosen by a hash of the id. Only the profiles, ``PROFILE`` numbers for each of
-    ``LANGUAGES`` at most, come to the driver.
+    Every language has a profile. Of each about ``documents`` are used, chosen by a hash of the id. Only the profiles, ``PROFILE``
+    numbers for each language at most, come to the driver.
     """
     labelled = docs.where(F.col(identity).isNotNull() & ~held_out(identity) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     per_lang = labelled.groupBy(F.col(lang).alias("learned")).agg(F.count(F.lit(1)).alias("n"))
-    per_lang = per_lang.orderBy(F.desc("n"), "learned").limit(LANGUAGES)
     labelled = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(identity).alias("identity"))
     # The row hash is spread evenly over the range, so comparing it with a share of the range keeps that share of the rows.
     chance = F.crc32(F.concat(F.lit("profile:"), F.col("identity").cast("string"))) / F.lit(2**32)
@@ -110,9 +119,11 @@ def learn(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, "text", PIECE_BYTES):
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            for name in sorted(set(langs)):
-                texts = " ".join(batch.column("text")[int(i)].as_py() for i in np.flatnonzero(langs == name))
+            of_lang: dict[str, list[str]] = {}
+            for name, words in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                of_lang.setdefault(name, []).append(words)
+            for name in sorted(of_lang):
+                texts = " ".join(of_lang[name])
                 distinct, counts = counted(texts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(distinct), pa.string()), pa.array(distinct), pa.array(counts, pa.int64())],
@@ -123,10 +134,8 @@ def learn(
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= PROFILE)
-    lists: dict[str, list[tuple[int, int]]] = {}
-    for row in top.select("lang", "place", "gram").collect():
-        lists.setdefault(row["lang"], []).append((row["place"], row["gram"]))
-    return Profiles({name: [gram for _, gram in sorted(places)] for name, places in lists.items()})
+    lists = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "gram")))["gram"].alias("grams"))
+    return Profiles({row["lang"]: row["grams"] for row in lists.collect()})
 
 
 def predicted(docs: DataFrame, profiles: Profiles, columns: list[str], text: str = "text") -> DataFrame:

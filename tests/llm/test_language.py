@@ -78,6 +78,20 @@ def test_nothing_of_a_held_out_document_is_learned(spark):
     assert {(r.lang_pred, r.score) for r in language.identify_documents(docs).collect()} == {("und", 0.0)}
 
 
+def test_every_language_has_a_profile(spark):
+    """The rarest of 301 languages, each with letters of its own."""
+
+    def words(lang):
+        return " ".join(chr(0x4E00 + 40 * lang + i) * 2 for i in range(40))
+
+    fine = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(fine[3 * lang + i], words(lang), f"l{lang:03}") for lang in range(300) for i in range(3)] + [(fine[900], words(300), "rare")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify_documents(docs).collect()}
+    assert found == {i: (lang, 1.0) for i, _, lang in rows}
+    assert language.recognised_documents(docs).count() == len(rows)
+
+
 def test_odd_rows(spark):
     rows = [(i, "the cat and the dog", "en") for i in range(20)] + [(i, "der hund und die katze", "de") for i in range(20, 40)]
     rows += [(100, None, "en"), (101, "", None), (102, "12 !?", "en"), (None, "the dog", None), (103, "the " * 100_000, None), (103, "Ω" * 50, None)]
