@@ -98,8 +98,8 @@ def mix(
     """The documents with a row number and their source's target, and the schedule.
 
     First frame: ``row_id``, ``row`` (struct of ``carry``), ``size``, ``source_size``, ``target``. Second frame: a row for each piece of
-    a document in a slot: ``slot``, ``number`` (of the source), ``row_id``, ``start`` (words of the document before), ``length``; slots
-    in order are the mix. Each source gives the whole words of its target, none more than ``REPEATS`` times. Rows without words
+    a document in a slot: ``slot``, ``number`` (of the source), ``row_id``, ``round`` (how often its source was gone through before),
+    ``start`` (words of the document before), ``length``; slots in order are the mix. Each source gives the whole words of its target, none more than ``REPEATS`` times. Rows without words
     are in no slot. Equal rows are interchangeable. Up to ``2**30`` slots, and three more for each source of few words.
     """
     rows = docs.select(
@@ -157,10 +157,11 @@ def mix(
         "number",
         "rank",
         "row_id",
+        "round",
         (F.col("begin") - F.col("low")).alias("start"),
         (F.col("end") - F.col("begin")).alias("length"),
     )
-    mixed = schedule.join(pieces, ["number", "rank"]).select("slot", "number", "row_id", "start", "length")
+    mixed = schedule.join(pieces, ["number", "rank"]).select("slot", "number", "row_id", "round", "start", "length")
     return joined.select("row_id", "row", "size", "source_size", "target"), mixed
 
 
@@ -184,15 +185,17 @@ def mix_documents(documents: DataFrame) -> DataFrame:
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The documents of the mix, with their columns: each as often as the words taken from it amount to, rounded.
+    """The documents of the mix, with their columns, in its order: each as often as the words taken from it amount to, rounded.
 
-    A document without words is not in the mix.
+    A copy stands for one round of its source and comes by the first slot that it has words in. A document that alone gives all the
+    words of its source comes once, however few they are, so that no source with a target is left out. A document without words is
+    not in the mix.
     """
     columns = documents.columns
     docs, mixed = mix(counted(documents), "_words", identity=("doc_id", "_digest"), carry=columns)
-    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + F.lit(0.5))).otherwise(0).cast("int")
-    rows = taken(docs, mixed).withColumn("copies", copies).where("copies > 0")
-    return rows.withColumn("copy", F.explode(F.expr("sequence(1, copies)"))).select("row.*")
+    copies = mixed.groupBy("row_id", "round").agg(F.sum("length").alias("taken"), F.min("slot").alias("slot"))
+    rows = docs.join(copies, "row_id").where((2 * F.col("taken") >= F.col("size")) | (F.col("taken") == F.floor("target")))
+    return rows.orderBy("slot", "row_id", "round").select("row.*")
 
 
 MIX_SQL = r"""

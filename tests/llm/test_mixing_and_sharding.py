@@ -126,6 +126,26 @@ def test_documents_of_the_mix(spark):
     assert Counter(r.doc_id for r in mixed.collect()) == +expected
 
 
+def test_a_source_of_one_long_document_stays(spark):
+    """Its target is below half of the document."""
+    rows = [(0, "w " * 1200, "a"), *((i, "w " * 10, "bc"[i % 2]) for i in range(1, 201))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert 0 < next(r.taken for r in mixing.mix_documents(docs).collect() if r.doc_id == 0) < 600
+    assert [r.doc_id for r in mixing.mixed_documents(docs).collect() if r.source == "a"] == [0]
+
+
+def test_documents_come_in_the_order_of_the_mix(spark):
+    docs = spark.createDataFrame([(i, "w " * (20 + i % 9), f"s{i % 5}") for i in range(500)], "doc_id long, text string, source string")
+    frame, mixed = mixing.mix(mixing.counted(docs), "_words", identity=("doc_id", "_digest"), carry=("doc_id",))
+    doc = {r.row_id: (r.doc_id, r.size) for r in frame.select("row_id", "row.doc_id", "size").collect()}
+    pieces: dict = defaultdict(list)
+    for p in mixed.collect():
+        pieces[p.row_id, p["round"]].append((p.slot, p.length))
+    fine = [key for key, own in pieces.items() if 2 * sum(n for _, n in own) >= doc[key[0]][1]]
+    fine.sort(key=lambda key: (min(pieces[key])[0], *key))
+    assert [r.doc_id for r in mixing.mixed_documents(docs).collect()] == [doc[row][0] for row, _ in fine]
+
+
 def plain_shards(rows, shards):
     """Sort by fractional rank and cut into equal counts."""
 
