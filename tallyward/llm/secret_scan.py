@@ -62,6 +62,10 @@ HEX = re.compile(r"[0-9a-fA-F]+")
 HARMLESS = re.compile(
     r"[0-9.+-]+|[^0-9]+|(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}|(?:[\w.-]*/){2,}[\w.-]*|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
 )
+# Of values that are assigned to a credential, what is plainly a number or a path, and what may be words.
+PLAIN = re.compile(r"[0-9.+-]+|(?:~|\.{1,2})?(?:/[a-z_.-]+[0-9]{0,4}(?:\.[a-z0-9]{1,5})?)+/?")
+WORD = r"(?:[A-Z]?[a-z]{2,}|[A-Z]{3,})"
+WORDS = re.compile(rf"{WORD}(?:[ _./-]{WORD})*[.!?)]*")
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
@@ -96,6 +100,16 @@ NAMES = (
 ).split()
 
 
+def known_words(found: str, dictionary: np.ndarray) -> list[tuple[str, bool]]:
+    """The words of a candidate (three letters and more) and whether the dictionary has them."""
+    words = pa.array(re.findall(r"[A-Za-z]{3,}", found), pa.string())
+    if not len(words) or not len(dictionary):
+        return [(w, False) for w in words.to_pylist()]
+    hashes, _ = hashed_words(*text_bytes(words), NO_LETTER)
+    known = dictionary[np.searchsorted(dictionary, hashes).clip(max=len(dictionary) - 1)] == hashes
+    return list(zip(words.to_pylist(), known.tolist(), strict=True))
+
+
 def describe(text: str, start: int, end: int, rule: str, dictionary: np.ndarray) -> list[float]:
     """The features of a candidate, in the order of ``NAMES``."""
     found, size = text[start:end], end - start
@@ -106,12 +120,7 @@ def describe(text: str, start: int, end: int, rule: str, dictionary: np.ndarray)
     bounds = [0, *changes, size]
     letters = Counter(found)
     entropy = -sum(n / size * math.log2(n / size) for n in letters.values())
-    words = pa.array(re.findall(r"[A-Za-z]{3,}", found), pa.string())
-    covered = 0
-    if len(words):
-        hashes, _ = hashed_words(*text_bytes(words), NO_LETTER)
-        known = dictionary[np.searchsorted(dictionary, hashes).clip(max=max(len(dictionary) - 1, 0))] == hashes if len(dictionary) else hashes < 0
-        covered = sum(len(w) for w, k in zip(words.to_pylist(), known.tolist(), strict=True) if k)
+    covered = sum(len(w) for w, k in known_words(found, dictionary) if k)
     last = before.rstrip(" \t\"'")[-1:]
     return [
         math.log2(size),
@@ -133,27 +142,43 @@ def describe(text: str, start: int, end: int, rule: str, dictionary: np.ndarray)
     ]
 
 
-def rule_label(text: str, start: int, end: int, rule: str) -> int | None:
+def rule_label(text: str, start: int, end: int, rule: str, dictionary: np.ndarray | None = None) -> int | None:
     """The label that a finding has by its form alone, for training without findings that people have labelled.
 
     Providers' formats, and values with digits that are assigned to a credential, are secrets; numbers, addresses, paths, words without
-    a digit and identifiers are not. Everything else is unlabelled.
+    a digit and identifiers are not. Of assigned values with a form that is otherwise harmless only numbers, paths in small letters and
+    words of the dictionary are not secrets: a key may be letters only or hold slashes. Everything else is unlabelled.
     """
     found = text[start:end]
     if rule in PROVIDERS:
         return 1
-    if HARMLESS.fullmatch(found) or "@" in text[max(0, start - 1) : end + 1]:
+    if "@" in text[max(0, start - 1) : end + 1]:
         return 0
+    if HARMLESS.fullmatch(found):
+        if rule != "assigned" or PLAIN.fullmatch(found):
+            return 0
+        words = known_words(found, dictionary) if dictionary is not None and WORDS.fullmatch(found) else []
+        return 0 if words and all(known for _, known in words) else None
     return 1 if rule == "assigned" and len(found) >= 8 else None
 
 
+def unassigned(text: str | None) -> str | None:
+    """The text without the values that are assigned to a credential."""
+    if text is None or not ("=" in text or ":" in text):
+        return text
+    return ASSIGNED.sub(lambda m: m[0][: m.start(1) - m.start()], text)
+
+
 def frequent_words(docs: DataFrame, size: int = DICTIONARY) -> np.ndarray:
-    """Hashes of the most frequent words of all documents (three letters and more do for describing), ascending."""
+    """Hashes of the most frequent words of all documents (three letters and more do for describing), ascending.
+
+    What is assigned to a credential does not count, so that in a small corpus a key of letters is no word.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in pieces_of(batches, "text", PIECE_BYTES):
-            words, _ = hashed_words(*text_bytes(batch.column("text")), NO_LETTER)
+            words, _ = hashed_words(*text_bytes(pa.array([unassigned(x.as_py()) for x in batch.column("text")], pa.string())), NO_LETTER)
             distinct, counts = np.unique(words, return_counts=True)
             merged, place = np.unique(np.concatenate([held, distinct]), return_inverse=True)
             held_counts = np.bincount(place, np.concatenate([held_counts, counts]), len(merged)).astype(np.int64)
@@ -184,7 +209,7 @@ def proposed(docs: DataFrame, dictionary: np.ndarray) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 for start, end, rule in candidates(text or ""):
-                    rows.append((doc_id, start, end, rule, rule_label(text, start, end, rule), describe(text, start, end, rule, dictionary)))
+                    rows.append((doc_id, start, end, rule, rule_label(text, start, end, rule, dictionary), describe(text, start, end, rule, dictionary)))
             if rows:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.float64()))
                 arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]

@@ -47,6 +47,45 @@ def test_dictionary_covers_frequent_words(spark):
     assert row["words"] == pytest.approx(15 / 20)
 
 
+@pytest.mark.parametrize(
+    ("value", "label"),
+    [
+        ("QxZtPlmWerAbKuIoVnHs", None),
+        ("correcthorsebattery", None),
+        ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzAbCdEfGh", None),
+        ("/Jalr7XUtnFEMI/bPxRfiCY", None),
+        ("common-words", 0),
+        ("/usr/lib/key.pem", 0),
+        ("1234567", 0),
+        ("1beb58b8af68854f", 1),
+    ],
+)
+def test_labels_of_assigned_values(spark, value, label):
+    text = f"common words here token: {value}"
+    known = secret_scan.frequent_words(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    (found,) = [x for x in secret_scan.candidates(text) if x[2] == "assigned"]
+    assert text[found[0] : found[1]] == value
+    assert secret_scan.rule_label(text, *found, known) == label
+
+
+def test_keys_of_letters_or_with_slashes_are_found(spark):
+    """Beside assigned words, paths and keys with digits."""
+    rng = np.random.default_rng(12)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    docs, keys = [], set()
+    for i in range(600):
+        key = "".join(rng.choice([*letters, *"0123456789"] if i % 5 else letters, 40))
+        if i % 5 == 1:
+            key = f"{key[:12]}/{key[13:25]}/{key[26:]}"
+        value = key if i % 2 else ["required", "see-manual", "/usr/lib/keys.pem"][i % 3]
+        docs.append((i, f"the manual is required, see it; token: {value} is what counts"))
+        if i % 2 and i % 5 < 2:
+            keys.add(i)
+    found = {r.doc_id: r.secret for r in secret_scan.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert sum(found[i] for i in keys) >= 0.95 * len(keys)
+    assert sum(found[i] for i in range(0, 600, 2)) <= 0.05 * 300
+
+
 def test_held_out_findings(spark):
     directory = "/root/testdata/sf0.1"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{directory}/documents.parquet").collect()}
