@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import exact_search, language, mixing, near_duplicates, neighbours, packing, privacy, secret_scan, sharding, toxicity
+from tallyward.llm import (
+    exact_search,
+    language,
+    mixing,
+    near_duplicates,
+    neighbours,
+    packing,
+    periodic_runs,
+    privacy,
+    secret_scan,
+    sharding,
+    toxicity,
+)
 from tallyward.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": _over("documents", sharding.shard_documents),
     "op9_near_duplicates": _over("documents", near_duplicates.grouped_documents),
     "op10_secret_scan": _over("documents", secret_scan.scanned_documents),
+    "op11_periodic_runs": _over("documents", periodic_runs.run_documents),
 }
 
 STATEMENTS: dict[str, str] = {
