@@ -17,6 +17,7 @@ from tallyward.llm import (
     privacy,
     secret_scan,
     sharding,
+    target_resampling,
     toxicity,
 )
 from tallyward.llm.common import table
@@ -42,10 +43,14 @@ QUERIES: dict[str, Query] = {
     "op9_near_duplicates": _over("documents", near_duplicates.grouped_documents),
     "op10_secret_scan": _over("documents", secret_scan.scanned_documents),
     "op11_periodic_runs": _over("documents", periodic_runs.run_documents),
+    "op13_target_resampling": lambda spark, directory: target_resampling.resampled_documents(
+        table(spark, directory, "documents"), table(spark, directory, "benchmark")
+    ),
 }
 
 STATEMENTS: dict[str, str] = {
     "op1_exact_search": exact_search.SEARCH_SQL,
     "op7_mixing": mixing.MIX_SQL,
     "op8_sharding": sharding.SHARD_SQL,
+    "op13_target_resampling": target_resampling.RESAMPLE_SQL,
 }
