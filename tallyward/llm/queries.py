@@ -18,6 +18,7 @@ from tallyward.llm import (
     secret_scan,
     sharding,
     target_resampling,
+    token_files,
     toxicity,
 )
 from tallyward.llm.common import table
@@ -43,6 +44,7 @@ QUERIES: dict[str, Query] = {
     "op9_near_duplicates": _over("documents", near_duplicates.grouped_documents),
     "op10_secret_scan": _over("documents", secret_scan.scanned_documents),
     "op11_periodic_runs": _over("documents", periodic_runs.run_documents),
+    "op12_token_files": _over("documents", token_files.filed_documents),
     "op13_target_resampling": lambda spark, directory: target_resampling.resampled_documents(
         table(spark, directory, "documents"), table(spark, directory, "benchmark")
     ),
