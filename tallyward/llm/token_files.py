@@ -89,24 +89,28 @@ class Encoder:
         self.ids = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.words, self.pieces = Remembered(self._word), Remembered(self._piece)
 
-    def _piece(self, piece: str) -> bytes:
-        if not (piece.isascii() and piece.isprintable()):
-            piece = piece.encode().decode("latin-1").translate(BYTE_LEVEL)
-        return b"".join([self.ids[token.id] for token in self.model.tokenize(piece)])
+    def _piece(self, piece: bytes) -> bytes:
+        text = piece.decode() if piece.isalpha() else piece.decode("latin-1").translate(BYTE_LEVEL)
+        return b"".join([self.ids[token.id] for token in self.model.tokenize(text)])
 
     def _word(self, word: bytes) -> bytes:
+        letters = word.rstrip(b".,;:!?")
+        if letters.isalpha():  # of ASCII
+            ids = self.pieces[letters.lower()]
+            return ids + self.pieces[word[len(letters) :]] if len(letters) < len(word) else ids
         text = word.decode()
         if not text.isascii() and max(text) > LAST_LATIN or SPECIAL in text:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         text = text.lower()
-        letters = text.rstrip(".,;:!?")
-        if letters.isalpha():
-            ids = self.pieces[letters]
-            return ids + self.pieces[text[len(letters) :]] if len(letters) < len(text) else ids
-        return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
+        if text.isalpha():
+            return self.pieces[text.encode()]
+        return b"".join([self.pieces[piece.encode()] for piece in PIECES.findall(text)])
 
     def encode(self, text: bytes | None) -> np.ndarray:
-        ids = b"".join(map(self.words.__getitem__, (text or b"").split()))
+        text = text or b""
+        if SPECIAL.encode() not in text:
+            text = text.lower()
+        ids = b"".join(map(self.words.__getitem__, text.split()))
         self.words.tidy(), self.pieces.tidy()
         return np.frombuffer(ids, "<u4")
 
