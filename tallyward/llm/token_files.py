@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -44,7 +44,7 @@ PIECE_BYTES = 1 << 20
 RECORD_IDS = 1 << 18
 RECORDS_PER_FILE = 64
 RECORDS_PER_PART = 16
-CACHED_WORDS = 1 << 17
+CACHED_WORDS = 1 << 18
 
 # Fixed values of the vocabulary: its split pattern, its special tokens' beginning, and the characters that stand for bytes (printable
 # ones of Latin-1 for themselves, the others from 256 on).
@@ -56,62 +56,53 @@ BYTE_LEVEL = {b: b if b in _OWN else 256 + sum(x not in _OWN for x in range(b))
 LAST_LATIN = "\u024f"
 
 
-class Remembered(dict):
-    """Results of a function. Beyond ``limit`` of them those that were not asked for since the last time are forgotten."""
-
-    def __init__(self, compute: Callable[[bytes], bytes] | Callable[[str], bytes], limit: int = CACHED_WORDS):
-        self.compute, self.limit, self.older = compute, limit, {}
-
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.compute(key)
-        self[key] = value
-        return value
-
-    def tidy(self) -> None:
-        if len(self) > self.limit:
-            self.older = dict(self)
-            self.clear()
-
-
-class Encoder:
-    """Ids of texts, 32 bits each.
+class Encoder(dict):
+    """Ids of texts, 32 bits each, and those of words that were met, as bytes.
 
     The vocabulary drops white space before it splits words, and nothing in it joins what white space separates, so the ids of a text are
-    those of its words in a row. A word of Latin letters is split as the vocabulary's own pattern does, and its pieces go
-    straight to the library's model; any other word goes through the whole of it. Words and pieces are remembered.
+    those of its words in a row. A word of Latin letters is split as the vocabulary's own pattern does, and its pieces, words of their
+    own, go straight to the library's model; any other word goes through the whole of it. Beyond ``limit`` words those that were not
+    met since the last time are forgotten.
     """
 
-    def __init__(self, vocabulary: str = VOCABULARY):
+    def __init__(self, vocabulary: str = VOCABULARY, limit: int = CACHED_WORDS):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.model = self.tokenizer.model
         self.ids = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.words, self.pieces = Remembered(self._word), Remembered(self._piece)
+        self.limit, self.older = limit, {}
 
-    def _piece(self, piece: bytes) -> bytes:
-        text = piece.decode() if piece.isalpha() else piece.decode("latin-1").translate(BYTE_LEVEL)
+    def _piece(self, text: str) -> bytes:
         return b"".join([self.ids[token.id] for token in self.model.tokenize(text)])
 
     def _word(self, word: bytes) -> bytes:
         letters = word.rstrip(b".,;:!?")
         if letters.isalpha():  # of ASCII
-            ids = self.pieces[letters.lower()]
-            return ids + self.pieces[word[len(letters) :]] if len(letters) < len(word) else ids
+            if len(letters) == len(word):
+                return self._piece(word.decode().lower())
+            return self[letters] + self[word[len(letters) :]]
         text = word.decode()
         if not text.isascii() and max(text) > LAST_LATIN or SPECIAL in text:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        text = text.lower()
-        if text.isalpha():
-            return self.pieces[text.encode()]
-        return b"".join([self.pieces[piece.encode()] for piece in PIECES.findall(text)])
+        pieces = PIECES.findall(text.lower())
+        if len(pieces) == 1:
+            return self._piece(pieces[0].encode().decode("latin-1").translate(BYTE_LEVEL))
+        return b"".join([self[piece.encode()] for piece in pieces])
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._word(word)
+        self[word] = ids
+        return ids
 
     def encode(self, text: bytes | None) -> np.ndarray:
         text = text or b""
         if SPECIAL.encode() not in text:
             text = text.lower()
-        ids = b"".join(map(self.words.__getitem__, text.split()))
-        self.words.tidy(), self.pieces.tidy()
+        ids = b"".join(map(self.__getitem__, text.split()))
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
         return np.frombuffer(ids, "<u4")
 
 

@@ -42,12 +42,11 @@ def test_ids_equal_those_of_the_tokenizer(text):
     assert encoded(text) == expected_ids(text)
 
 
-def test_words_are_forgotten_and_computed_again():
-    known = token_files.Remembered(lambda key: key + key, limit=3)
-    for key in ["a", "b", "c", "d", "a", "e", "f", "g", "h", "a"] * 3:
-        assert known[key] == key + key
-        known.tidy()
-        assert len(known) <= 4 and len(known.older) <= 4
+def test_words_are_forgotten_and_encoded_again():
+    small = token_files.Encoder(limit=3)
+    for text in ["a b, c d", "A B. c", "é-x e'll 12 <|endoftext|> D", "", "b b b b b"] * 3:
+        assert [*small.encode(text.encode()).tolist(), 2] == expected_ids(text)
+        assert len(small) <= 3
 
 
 numbers = st.one_of(st.integers(0, 1), st.integers(0, 49407), st.integers(0, 2**60 + 5), st.integers(0, 2**64 - 1))
