@@ -341,6 +341,31 @@ def strict_suite(source: str, model: str, rules: int) -> list[str]:
     return suite.parts[:rules]
 
 
+def _evidence(rule: int, name: str, column: str, breaks: str) -> str:
+    return (
+        f"select {rule} as rule_id, '{name}' as expectation, '{column}' as column_name, cast({column} as varchar) as value,"
+        " count(*) as row_count, min('date=' || coalesce(cast(date as varchar), 'NULL') || ', country_code='"
+        " || coalesce(country_code, 'NULL') || ', country_name=' || coalesce(country_name, 'NULL')) as example"
+        f" from impact where {breaks} group by {column}"
+    )
+
+
+_BROKEN = union(
+    _evidence(3, "values_not_null", "avg_hospital_beds_per_1000", "avg_hospital_beds_per_1000 is null"),
+    _evidence(4, "value_lengths_between", "country_name", "length(country_name) > 7"),
+    _evidence(5, "values_match_regex", "country_code", "not regexp_matches(country_code, '^[A-M][A-Z]$')"),
+    _evidence(6, "values_between", "case_fatality_rate", "case_fatality_rate not between 0 and 20"),
+    _evidence(7, "column_min_between", "total_new_cases", "total_new_cases < 30"),
+    _evidence(8, "column_max_between", "total_new_deaths", "total_new_deaths > 10"),
+    _evidence(9, "values_not_null", "date", "date is null"),
+)
+EVIDENCE = with_models(
+    f"""select rule_id, expectation, column_name, cast(position as integer) as position, value, row_count, example
+        from (select *, row_number() over (partition by rule_id order by md5(coalesce(value, '')), value nulls first) as position
+            from ({_BROKEN}) as broken) as ranked where position <= 5"""
+)
+
+
 def _outcome(mode: str) -> str:
     rules = union(*strict_suite("impact", "mart_pandemic_impact", 3))
     failed = "count(*) filter (where not success)"
@@ -745,6 +770,7 @@ STATEMENTS: dict[str, str] = {
     "expectations_failures": with_models(
         f"select * from ({union(*impact_suite('country', hospital=False))}) as results where not success"
     ),
+    "expectations_evidence": EVIDENCE,
     "expectations_vaccination": with_models(union(*vaccination_suite())),
     "expectations_government": with_models(union(*government_suite())),
     "validation_history": VALIDATION_HISTORY,

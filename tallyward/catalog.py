@@ -185,6 +185,25 @@ STRICT_SUITE = (
 )
 
 
+# Rules of every kind, most of them broken by some rows.
+STRAINED_SUITE = (
+    expectations.RowCountBetween(min_value=1000),
+    expectations.ColumnExists("no_such_column"),
+    expectations.NotNull("avg_hospital_beds_per_1000"),
+    expectations.LengthsBetween("country_name", max_value=7),
+    expectations.MatchesRegex("country_code", regex="^[A-M][A-Z]$"),
+    expectations.ValuesBetween("case_fatality_rate", min_value=0, max_value=20),
+    expectations.MinBetween("total_new_cases", min_value=30),
+    expectations.MaxBetween("total_new_deaths", max_value=10),
+    expectations.NotNull("date"),
+)
+
+
+def expectations_evidence(spark: SparkSession, directory: str) -> DataFrame:
+    """The values behind the failing rules, five for each at most."""
+    return expectations.evidence(_models(spark, directory).impact, STRAINED_SUITE, marts.GRAIN, limit=5)
+
+
 def suite_replaced(spark: SparkSession, directory: str) -> DataFrame:
     """The impact mart under another suite, and a mart that had none under its first."""
     suites = expectations.bind("mart_pandemic_impact", STRICT_SUITE)
@@ -485,6 +504,7 @@ QUERIES: dict[str, Query] = {
     "expectations_impact": expectations_impact,
     "expectations_summary": lambda s, d: expectations.summarize(expectations_impact(s, d)),
     "expectations_failures": expectations_failures,
+    "expectations_evidence": expectations_evidence,
     "expectations_vaccination": lambda s, d: expectations.validate(
         _models(s, d).vaccination, expectations.VACCINATION_SUITE
     ),

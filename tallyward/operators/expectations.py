@@ -8,11 +8,11 @@ values at all); rules on an aggregate fail when the aggregate is NULL.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,6 +37,10 @@ class Rule:
         """Aggregates for: success, missing_count, unexpected_count, unexpected_percent, observed."""
         raise NotImplementedError
 
+    def unexpected(self, value: Column) -> Column | None:
+        """Whether a value of the column breaks the rule; None for rules that no single value can break."""
+        return None
+
 
 def _outcome(
     success: Column,
@@ -105,10 +109,13 @@ class ValueRule(Rule):
     def good(self, value: Column) -> Column:
         raise NotImplementedError
 
+    def unexpected(self, value: Column) -> Column:
+        return value.isNotNull() & ~self.good(value)
+
     def outcome(self, schema: StructType) -> dict[str, Column]:
         value = F.col(self.column)
         values = F.count(value)
-        bad = F.count_if(value.isNotNull() & ~self.good(value))
+        bad = F.count_if(self.unexpected(value))
         share_good = F.try_divide(values - bad, values)
         return _outcome(
             F.coalesce(share_good >= self.mostly, F.lit(True)),
@@ -122,6 +129,9 @@ class ValueRule(Rule):
 class NotNull(ValueRule):
     name = "values_not_null"
 
+    def unexpected(self, value: Column) -> Column:
+        return value.isNull()
+
     def outcome(self, schema: StructType) -> dict[str, Column]:
         rows = F.count(F.lit(1))
         missing = rows - F.count(F.col(self.column))
@@ -185,6 +195,9 @@ class MinBetween(AggregateBetween):
     def observed(self, value: Column) -> Column:
         return F.min(value)
 
+    def unexpected(self, value: Column) -> Column | None:
+        return None if self.min_value is None else value < self.min_value
+
 
 @dataclass(frozen=True)
 class MaxBetween(AggregateBetween):
@@ -193,6 +206,9 @@ class MaxBetween(AggregateBetween):
     def observed(self, value: Column) -> Column:
         return F.max(value)
 
+    def unexpected(self, value: Column) -> Column | None:
+        return None if self.max_value is None else value > self.max_value
+
 
 # The rules of the impact suite, in order.
 IMPACT_SUITE: tuple[Rule, ...] = (
@@ -298,6 +314,47 @@ def failures(results: DataFrame) -> DataFrame:
     return results.where(~F.col("success"))
 
 
+def evidence(
+    df: DataFrame,
+    suite: Sequence[Rule],
+    keys: Sequence[str] = (),
+    limit: int = 20,
+    only: Collection[int] | None = None,
+) -> DataFrame:
+    """The values that break the rules: (rule_id, expectation, column_name, position, value, row_count, example).
+
+    All rules (or those in ``only``, by their ids) look at the rows in one scan. A rule shows at most ``limit`` different values, with
+    all of their rows counted: those with the smallest hashes, so that the choice is the same in each run and does not favour any
+    kind of value. ``example`` names, by ``keys``, the first of the rows that hold the value. Rules that no single value breaks (row
+    counts, columns and their types, a minimum that is too high) have no evidence.
+
+    Equal values are counted before they are exchanged, and each task sends on only the ``limit`` that can still be shown.
+    """
+    shown, names = [], {}
+    for number, rule in enumerate(suite, start=1):
+        if rule.column not in df.columns or (only is not None and number not in only):
+            continue
+        value = F.col(rule.column)
+        if (breaks := rule.unexpected(value)) is not None:
+            shown.append(F.when(breaks, F.struct(F.lit(number).alias("rule_id"), value.cast("string").alias("value"))))
+            names[number] = (rule.name, rule.column)
+    schema = "rule_id int, expectation string, column_name string, position int, value string, row_count bigint, example string"
+    if not shown:
+        return df.sparkSession.createDataFrame([], schema)
+    row = F.concat_ws(", ", *[F.concat(F.lit(f"{key}="), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))) for key in keys])
+    found = df.select(row.alias("example"), F.explode(F.array_compact(F.array(*shown))).alias("_found"))
+    counted = found.groupBy("_found").agg(F.count(F.lit(1)).alias("row_count"), F.min("example").alias("example"))
+    chosen = Window.partitionBy("rule_id").orderBy(F.md5(F.coalesce("value", F.lit(""))), F.col("value").asc_nulls_first())
+    ranked = counted.select("_found.*", "row_count", "example").withColumn("position", F.row_number().over(chosen))
+
+    def named(place: int) -> Column:
+        texts = F.create_map(*[F.lit(x) for number, name in names.items() for x in (number, name[place])])
+        return F.element_at(texts, F.col("rule_id"))
+
+    kept = ranked.where(F.col("position") <= limit)
+    return kept.select("rule_id", named(0).alias("expectation"), named(1).alias("column_name"), "position", "value", "row_count", "example")
+
+
 def require(results: DataFrame) -> None:
     """Raise :class:`ExpectationsFailed` when a rule failed. ``results`` holds one small row per rule."""
     failed = [

@@ -10,9 +10,10 @@ import uuid
 from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.config import Config
@@ -125,8 +126,9 @@ class DailyRun:
 
     def expectations(self) -> int:
         base = self._base()
-        results = expectations.validate_marts({name: marts.MARTS[name](base) for name in self.config.suites})
-        return self._judge("expectations", results, "success", always_raise=False)
+        frames = {name: marts.MARTS[name](base) for name in self.config.suites}
+        results = expectations.validate_marts(frames)
+        return self._judge("expectations", results, "success", False, lambda failed: self._store_evidence(frames, failed))
 
     def report(self) -> None:
         """Store freshness, volume, metric scores, schema drift and, if all checks ran, the report. Everything is read off the base."""
@@ -210,12 +212,30 @@ class DailyRun:
         self.model_log.append((self.run_id, model, "succeeded", rows, started, datetime.now(UTC)))
         return rows
 
-    def _judge(self, name: str, results: DataFrame, passed: str, always_raise: bool) -> int:
-        """Store the results of the checks and raise if one failed (where the run is set to)."""
+    def _store_evidence(self, frames: dict[str, DataFrame], failed: Sequence[Row]) -> None:
+        """Store the values behind the failing rules; only the marts that have some are read again."""
+        shown = []
+        for name in {row["model"]: None for row in failed}:
+            rules = [row["rule_id"] for row in failed if row["model"] == name]
+            found = expectations.evidence(frames[name], expectations.SUITES[name], marts.GRAIN, only=rules)
+            shown.append(found.select(F.lit(name).alias("model"), "*"))
+        self._store("evidence", reduce(DataFrame.unionByName, shown))
+
+    def _judge(
+        self,
+        name: str,
+        results: DataFrame,
+        passed: str,
+        always_raise: bool,
+        explain: Callable[[Sequence[Row]], None] | None = None,
+    ) -> int:
+        """Store the results of the checks, let ``explain`` look at those that failed, and raise if the run is set to."""
         rows = results.collect()  # one row per declared check
         self.verdicts[name] = self.spark.createDataFrame(rows, results.schema)
         self._store(name, self.verdicts[name])
         failed = [row for row in rows if not row[passed]]
+        if failed and explain is not None:
+            explain(failed)
         if failed and (always_raise or self.config.on_bad_data == "raise"):
             raise StageFailed(f"{len(failed)} of {len(rows)} checks failed")
         return len(rows)

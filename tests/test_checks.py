@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 
 from tallyward.operators import column_checks as checks
@@ -181,6 +183,52 @@ def test_require(spark):
         ex.require(ex.validate(impact(spark, 3), ex.IMPACT_SUITE))
 
 
+def evidence(frame, suite, keys=("date", "country_code"), **options):
+    return sorted(tuple(row) for row in ex.evidence(frame, suite, keys, **options).collect())
+
+
+def test_evidence_holds_the_values_that_break_a_rule(spark):
+    frame = impact(
+        spark,
+        20,
+        country_code=lambda n: None if n in (3, 4) else "usa" if n % 2 else "US",
+        total_new_cases=lambda n: -n if n > 17 else n,
+        case_fatality_rate=lambda n: None if n == 0 else 2000.5 if n == 1 else 1.0,
+    )
+    nulls, lengths, regex = ("values_not_null", "country_code"), ("value_lengths_between", "country_code"), ("values_match_regex", "country_code")
+    # The codes of rows 3 and 4 are missing, which no rule on values counts; odd rows but row 3 hold the long code.
+    assert evidence(frame, ex.IMPACT_SUITE) == [
+        (8, *nulls, 1, None, 2, "date=2021-03-01, country_code=NULL"),
+        (9, *lengths, 1, "usa", 9, "date=2021-03-01, country_code=usa"),
+        (10, *regex, 1, "usa", 9, "date=2021-03-01, country_code=usa"),
+        *[(11, "column_min_between", "total_new_cases", n, *rest) for n, rest in enumerate(by_hash("-18", "-19"), 1)],
+        (13, "values_between", "case_fatality_rate", 1, "2000.5", 1, "date=2021-03-01, country_code=usa"),
+    ]
+    assert [row[0] for row in evidence(frame, ex.IMPACT_SUITE, only=[8, 13])] == [8, 13]
+    assert evidence(frame, ex.IMPACT_SUITE[:6]) == []
+    assert evidence(frame.limit(0), ex.IMPACT_SUITE) == []
+    assert evidence(frame, ex.IMPACT_SUITE, keys=())[0][-1] == ""
+
+
+def by_hash(*values):
+    codes = {"-18": "US", "-19": "usa"}
+    ordered = sorted(values, key=lambda value: hashlib.md5(value.encode()).hexdigest())
+    return [(value, 1, f"date=2021-03-01, country_code={codes[value]}") for value in ordered]
+
+
+def test_evidence_is_bounded_whatever_breaks_the_rule(spark):
+    """A value in most rows, and thousands of different ones: both show as one line each, the rows are all counted."""
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, id, -1) as v", "id as k")
+    suite = (ex.ValuesBetween("v", min_value=30_000), ex.MaxBetween("v", max_value=-2), ex.MinBetween("v", max_value=-5))
+    found = evidence(rows, suite, ["k"], limit=7)
+    values = ["-1", *map(str, range(0, 30_000, 3))]
+    smallest = sorted(values, key=lambda value: hashlib.md5(value.encode()).hexdigest())[:7]
+    assert [row[4] for row in found] == smallest * 2 and [row[0] for row in found] == [1] * 7 + [2] * 7
+    assert all(row[5] == (20_000 if row[4] == "-1" else 1) for row in found)
+    assert [row[4] for row in evidence(rows.repartition(13), suite, ["k"], limit=7)] == smallest * 2
+    assert [row[5:] for row in evidence(rows, (ex.ValuesBetween("v", min_value=0),), ["k"])] == [(20_000, "k=1")]
+
+
 def test_empty_frame(spark):
     results = {r.rule_id: r.success for r in ex.validate(impact(spark).where("false"), ex.IMPACT_SUITE).collect()}
     assert [number for number, success in results.items() if not success] == [1, 11, 12, 14, 15]

@@ -109,6 +109,12 @@ def test_all_checks_of_a_frame_are_one_aggregate(models):
     assert exchanges(rules) == ["SinglePartition", "hashpartitioning"]
 
 
+def test_evidence_of_all_rules_is_one_scan_cut_before_it_is_exchanged(models):
+    found = executed(expectations.evidence(models.impact, expectations.IMPACT_SUITE, limit=3))
+    assert found.count("FileScan") == 1
+    assert found.count("WindowGroupLimit") == 2
+
+
 def test_the_profile_of_a_run_is_one_scan_and_one_exchange(models):
     base = profile.profiled_base(models.staged)
     assert executed(base).count("FileScan") == 1

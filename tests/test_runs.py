@@ -190,6 +190,24 @@ def test_bad_data_is_reported_or_raised(spark, config):
     assert statuses(failed)["report"] == "skipped"
 
 
+def test_the_values_behind_a_failing_rule_are_stored(spark, config, tmp_path):
+    from dataclasses import replace
+
+    source = str(tmp_path / "odd")
+    raw_rows(
+        spark,
+        *[row(MARCH + timedelta(days=n), code, "Long", 10, 1) for n in range(30) for code in ("AAA", "BB")],
+    ).write.parquet(source)
+    run = DailyRun(spark, replace(config, source_path=source, on_bad_data="raise")).execute()
+    assert statuses(run)["expectations"] == "failed"
+    stored = history.read_run(spark, f"{config.history_path}/monitoring_evidence", run.run_id).sort("rule_id").collect()
+    assert [(r.model, r.rule_id, r.value, r.row_count) for r in stored] == [
+        ("mart_pandemic_impact", 9, "AAA", 30),
+        ("mart_pandemic_impact", 10, "AAA", 30),
+    ]
+    assert stored[0].example == "date=2021-03-01, country_code=AAA, country_name=Long"
+
+
 def test_broken_contract_stops_the_run(spark, config, tmp_path):
     from dataclasses import replace
 
