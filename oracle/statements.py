@@ -456,6 +456,86 @@ METRIC_TESTS = with_models(
     from ({_METRIC_SCORES}) as scores group by column_name, metric"""
 )
 
+# Columns whose distributions are watched: texts, and numbers.
+_WATCHED_TEXTS = ("subregion1_name",)
+_WATCHED = ("new_confirmed", "cumulative_confirmed", "current_hospitalized_patients", "stringency_index", "population")
+_PERIODS = {"day": "date", "month": "cast(date_trunc('month', date) as date)"}
+
+
+def _by_period(select: str, columns: Iterable[str]) -> str:
+    """A select per kind of period and column, with {column} in its place."""
+    return union(
+        *[
+            f"select '{kind}' as kind, {period} as period, '{column}' as column_name, {select.format(column=column)} from stg group by {period}"
+            for kind, period in _PERIODS.items()
+            for column in columns
+        ]
+    )
+
+
+DAILY_DISTINCT = with_models(_by_period("count(distinct {column}) as distinct_count, true as is_close", [*_WATCHED_TEXTS, *_WATCHED]))
+_QUANTILES = union(
+    *[
+        _by_period(
+            f"cast({quantile} as double) as quantile, count({{column}}) as value_count, {extreme} as extreme, true as is_close", _WATCHED
+        )
+        for quantile, extreme in (
+            (0.0, "cast(min({column}) as double)"),
+            (0.25, "cast(null as double)"),
+            (0.5, "cast(null as double)"),
+            (0.75, "cast(null as double)"),
+            (0.95, "cast(null as double)"),
+            (1.0, "cast(max({column}) as double)"),
+        )
+    ]
+)
+DAILY_QUANTILES = with_models(f"select * from ({_QUANTILES}) as quantiles where value_count > 0")
+DAILY_LENGTHS = with_models(
+    union(
+        *[
+            _by_period(f"'{metric}' as metric, {rounded(f'cast({value} as double)', 6)} as value", _WATCHED_TEXTS)
+            for metric, value in {
+                "value_count": "count({column})",
+                "empty_count": "count(*) filter (where {column} = '')",
+                "min_length": "min(length({column}))",
+                "max_length": "max(length({column}))",
+                "average_length": "avg(length({column}))",
+            }.items()
+        ]
+    )
+)
+
+_CLASSES = union(
+    *[
+        f"""select date, '{column}' as column_name, classes.class, count({column}) filter (where class_of = classes.class) as n
+            from (select date, {column}, case when {column} < 1 then 0
+                when {column} >= 16384 then 15 else cast(floor(log2({column})) as integer) + 1 end as class_of from turned) as classed,
+                (select unnest(range(16)) as class) as classes
+            group by date, classes.class"""
+        for column in _WATCHED
+    ]
+)
+DISTRIBUTION_ANOMALY = with_models(
+    f"""select date, column_name, cast(value_count as bigint) as value_count, history_days, cast(history_count as bigint) as history_count,
+            case when history_days >= 7 then psi end as psi, case when history_days >= 7 then ks end as ks,
+            coalesce(history_days >= 7 and psi > 0.2
+                and ks > 1.63 * sqrt((value_count + history_count) / nullif(cast(value_count as double) * history_count, 0)), false) as is_anomalous
+        from (select date, column_name, any_value(total) as value_count, any_value(days) as history_days, any_value(total_before) as history_count,
+                {rounded("sum((now - past) * ln(now / past))", 6)} as psi, {rounded("max(abs(share - share_before))", 6)} as ks
+            from (select *, (n + 0.5) / (total + 8.0) as now, (before + 0.5) / (total_before + 8.0) as past,
+                    cast(sum(n) over upto as double) / nullif(total, 0) as share,
+                    cast(sum(before) over upto as double) / nullif(total_before, 0) as share_before
+                from (select *, cast(sum(n) over day as double) as total, cast(sum(before) over day as double) as total_before
+                    from (select *, coalesce(sum(n) over earlier, 0) as before, count(n) over earlier as days from ({_CLASSES}) as classes
+                        window earlier as (partition by column_name, class order by date {_LOOKBACK})) as moved
+                    window day as (partition by column_name, date)) as totals
+                window upto as (partition by column_name, date order by class)) as shares
+            group by date, column_name) as compared""",
+    "turned as (select * replace (case when date between date '2020-09-10' and date '2020-09-14' then 50 - new_confirmed"
+    " else new_confirmed end as new_confirmed) from stg)",
+)
+
+
 def _volume_scores(counts: str, until: str) -> str:
     """Scores of the daily counts in (table_name, date, row_count), with a 0 for each absent day."""
     by_day = "partition by table_name order by date"
@@ -814,6 +894,10 @@ STATEMENTS: dict[str, str] = {
             for name in RAW_EXPRESSIONS
         ]
     ),
+    "daily_distinct": DAILY_DISTINCT,
+    "daily_quantiles": DAILY_QUANTILES,
+    "daily_lengths": DAILY_LENGTHS,
+    "distribution_anomaly": DISTRIBUTION_ANOMALY,
     "volume_anomaly": with_models(_VOLUME_SCORES),
     "volume_outage": with_models(_OUTAGE_SCORES),
     "freshness_empty": "select 'stg_covid19' as table_name, 'table' as level, cast(null as varchar) as country_code,"

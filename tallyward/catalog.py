@@ -19,6 +19,7 @@ from tallyward.operators import (
     observability,
     profile,
     schemas,
+    sketches,
     snapshots,
     staging,
 )
@@ -338,6 +339,41 @@ def events_freshness(spark: SparkSession, directory: str) -> DataFrame:
     return observability.freshness(_events(spark, directory), "events", EVENTS_DAY, max_days=2, key="event_type")
 
 
+SKETCHED = ("subregion1_name", "new_confirmed", "cumulative_confirmed", "current_hospitalized_patients", "stringency_index", "population")
+
+
+def _sketched(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
+    """The base with sketches, stored, and the staged rows that it is checked against."""
+    staged = _models(spark, directory).staged
+    return _stored(profile.profiled_base(staged, SKETCHED), "sketches"), staged
+
+
+def daily_distinct(spark: SparkSession, directory: str) -> DataFrame:
+    """Distinct counts of days, and of months merged from the same sketches."""
+    base, staged = _sketched(spark, directory)
+    return sketches.by_periods({kind: sketches.distinct_checks_by(base, staged, kind) for kind in sketches.PERIODS})
+
+
+def daily_quantiles(spark: SparkSession, directory: str) -> DataFrame:
+    """Quantiles of days, and of months merged from the same sketches."""
+    base, staged = _sketched(spark, directory)
+    return sketches.by_periods({kind: sketches.quantile_checks_by(base, staged, kind) for kind in sketches.PERIODS})
+
+
+def daily_lengths(spark: SparkSession, directory: str) -> DataFrame:
+    base, _ = _sketched(spark, directory)
+    return sketches.by_periods({kind: sketches.lengths_by(base, kind) for kind in sketches.PERIODS})
+
+
+def distribution_anomaly(spark: SparkSession, directory: str) -> DataFrame:
+    """Drift of distributions, with five days of September on which the case counts are turned upside down."""
+    odd = "date between date '2020-09-10' and date '2020-09-14'"
+    staged = _models(spark, directory).staged
+    turned = staged.withColumn("new_confirmed", F.expr(f"if({odd}, 50 - new_confirmed, new_confirmed)"))
+    base = _stored(profile.profiled_base(turned, SKETCHED), "sketches")
+    return sketches.distribution_anomalies(sketches.histograms_by(base))
+
+
 def schema_changes(spark: SparkSession, directory: str) -> DataFrame:
     """Drift between the raw table and the staged one, taken as two states of one table. Schemas only."""
     raw = raw_observations(spark, directory)
@@ -528,6 +564,10 @@ QUERIES: dict[str, Query] = {
     "metric_anomaly_tests": lambda s, d: observability.anomaly_tests(
         metric_anomaly(s, d), ["column_name", "metric"]
     ),
+    "daily_distinct": daily_distinct,
+    "daily_quantiles": daily_quantiles,
+    "daily_lengths": daily_lengths,
+    "distribution_anomaly": distribution_anomaly,
     "volume_anomaly": volume_anomaly,
     "volume_outage": volume_outage,
     "freshness_empty": freshness_empty,

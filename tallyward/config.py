@@ -27,7 +27,8 @@ class Config:
     without, it is registered as a table in place. ``suites`` names the marts whose expectations are run.
     ``on_bad_data`` says what a failing expectation does: the default only reports it. ``enforce_contract`` says whether a raw table
     that breaks its contract stops the run. ``profiled`` names the measures whose daily metrics are scored, by default all.
-    ``scan_split`` is the split size of scans that read few columns of wide files, e.g. ``512m``; it does not apply to
+    ``sketches`` names staged columns whose distinct counts, quantiles, distributions or text lengths a run watches by day; the base holds
+    them, so that days add up to any period. ``scan_split`` is the split size of scans that read few columns of wide files, e.g. ``512m``; it does not apply to
     copies of whole rows.
     """
 
@@ -49,6 +50,7 @@ class Config:
     suites: tuple[str, ...] = ("mart_pandemic_impact",)
     enforce_contract: bool = True
     profiled: tuple[str, ...] = ()
+    sketches: tuple[str, ...] = ()
     scan_split: str = ""
 
     def __post_init__(self) -> None:
@@ -94,7 +96,7 @@ class Config:
         as_of = env.get(prefix + "AS_OF")
         lists = {
             name: tuple(item for item in env[prefix + name.upper()].split(",") if item)
-            for name in ("raw_partition_by", "suites", "profiled")
+            for name in ("raw_partition_by", "suites", "profiled", "sketches")
             if prefix + name.upper() in env
         }
         switches = {

@@ -7,6 +7,8 @@ arrivals, row counts and metrics, so that a run reads the raw rows only once for
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from tallyward.functions.frames import rows_from_aggregate
 from tallyward.operators.column_checks import NOT_NULL, not_null_rows, verdict
 from tallyward.operators.marts import GRAIN, MARTS, measures
 from tallyward.operators.observability import number
+from tallyward.operators.sketches import sketch_columns
 from tallyward.operators.staging import IDENTIFIERS, STAGED_COLUMNS
 
 MEASURES = tuple(name for name in STAGED_COLUMNS if name not in IDENTIFIERS)
@@ -36,12 +39,16 @@ def _partials(name: str) -> dict[str, Column]:
     }
 
 
-def profiled_base(staged: DataFrame) -> DataFrame:
-    """The base with ``row_count``, ``gaps_<column>`` and ``<statistic>_<measure>``. Catalyst drops what is not asked for."""
+def profiled_base(staged: DataFrame, sketches: Iterable[str] = ()) -> DataFrame:
+    """The base with ``row_count``, ``gaps_<column>`` and ``<statistic>_<measure>``. Catalyst drops what is not asked for.
+
+    ``sketches`` names staged columns whose distinct counts, quantiles, histograms or lengths it holds as well
+    (:mod:`tallyward.operators.sketches`), from the same pass.
+    """
     columns = [F.count(F.lit(1)).alias("row_count")]
     columns += [F.count_if(F.col(name).isNull()).alias(f"gaps_{name}") for name in TESTED]
     columns += [value.alias(f"{kind}_{name}") for name in MEASURES for kind, value in _partials(name).items()]
-    return staged.groupBy(*GRAIN).agg(*measures(), *columns)
+    return staged.groupBy(*GRAIN).agg(*measures(), *columns, *sketch_columns(staged.schema, sketches))
 
 
 def _merged(name: str) -> dict[str, Column]:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.config import Config
-from tallyward.operators import expectations, history, marts, observability, profile, schemas
+from tallyward.operators import expectations, history, marts, observability, profile, schemas, sketches
 from tallyward.operators.staging import stage
 from tallyward.plans.report import quality_report
 from tallyward.session import settings
@@ -109,7 +109,8 @@ class DailyRun:
         """
         staged = storage.materialize(stage(self._raw(), self.config.as_of), "stg_covid19", "view")
         with settings(self.spark, spark__sql__files__maxPartitionBytes=self.config.scan_split):
-            rows = self._timed("daily_country_base", lambda: storage.write_version(profile.profiled_base(staged), self.config.base_path))
+            base = profile.profiled_base(staged, self.config.sketches)
+            rows = self._timed("daily_country_base", lambda: storage.write_version(base, self.config.base_path))
         base = self._base()
         how = self.config.materialized
         for name, mart in marts.MARTS.items():
@@ -146,6 +147,7 @@ class DailyRun:
         self._store("volume", observability.volume_anomalies(volume))
         self._store("metric_scores", observability.metric_anomalies(daily))
         self._store("model_row_counts", profile.model_row_counts(base))
+        self._store_sketches(base)
         drift = self._store_drift()
         tests, rules = self._stored("column_tests"), self._stored("expectations")
         if tests is None or rules is None:
@@ -171,6 +173,18 @@ class DailyRun:
             ),
         )
 
+    def _store_sketches(self, base: DataFrame) -> None:
+        """Store what the sketches of the base say by day, of each kind that it holds."""
+        readers = {
+            "distinct": lambda: sketches.distinct_by(base),
+            "quantiles": lambda: sketches.quantiles_by(base),
+            "lengths": lambda: sketches.lengths_by(base),
+            "tails": lambda: sketches.distribution_anomalies(sketches.histograms_by(base)),
+        }
+        for kind, read in readers.items():
+            if sketches.sketched(base, kind):
+                self._store("distributions" if kind == "tails" else kind, read())
+
     def _store_drift(self) -> DataFrame | None:
         """Store what changed in the schema of the raw table since the run before; every column with its change."""
         snapshots = self._history("schema_snapshot")
@@ -198,7 +212,7 @@ class DailyRun:
         """The base that the models stage has stored, or its definition before any run has."""
         if versions.exists(self.spark, self.config.base_path):
             return storage.read_version(self.spark, self.config.base_path)
-        return profile.profiled_base(stage(self._raw(), self.config.as_of))
+        return profile.profiled_base(stage(self._raw(), self.config.as_of), self.config.sketches)
 
     def _publish(self, name: str, mart: DataFrame) -> int:
         path = self.config.mart_path(name)
