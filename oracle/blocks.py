@@ -12,6 +12,7 @@ _ITEMS = (
 )
 _RAW_COLUMNS = ", ".join(f"{expression} as {name}" for name, expression in RAW_EXPRESSIONS.items())
 RAW = f"raw as (select {_RAW_COLUMNS} from {_ITEMS})"
+RAW_WITH_K = f"uncut as (select {_RAW_COLUMNS}, k from {_ITEMS})"
 # The same with every tenth row corrected: 5 cases more, every hundredth invalid.
 CORRECTED = (
     f"uncorrected as (select {_RAW_COLUMNS}, k from {_ITEMS}), raw as (select * exclude (k, new_confirmed),"

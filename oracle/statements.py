@@ -14,6 +14,7 @@ from oracle.blocks import (
     KEPT,
     KEYS,
     RAW,
+    RAW_WITH_K,
     base,
     capped_pct,
     pct,
@@ -553,6 +554,50 @@ def _volume_scores(counts: str, until: str) -> str:
     )
 
 
+def _every_day(counts: str, until: str) -> str:
+    return f"""select days.table_name, days.date, coalesce(counted.row_count, 0) as row_count
+        from (select table_name, cast(unnest(generate_series(min(date), greatest(max(date), date '{until}'), interval 1 day)) as date) as date
+            from ({counts}) as listed group by table_name) as days
+        left join ({counts}) as counted on counted.table_name = days.table_name and counted.date = days.date"""
+
+
+# The cut-off sums step by step, a day after the other.
+_DECLINING = """thinned as (select * from uncut where date is not null
+        and k % 1000 < floor(1000 * pow(cast(0.97 as double), greatest(0, date_diff('day', date '2020-09-30', date))))
+        and (date_diff('day', date '2020-01-06', date) % 7 < 5 or k % 10 < 6))"""
+
+
+def _change_points() -> str:
+    counts = "select 'stg_covid19' as table_name, date, count(*) as row_count from stg group by date"
+    return f"""with recursive {RAW_WITH_K}, {_DECLINING}, raw as (select * exclude (k) from thinned), {staged()},
+        days as ({_every_day(counts, "2020-12-31")}),
+        expected as (select *, avg(row_count) over (partition by table_name, dayofweek(date) order by date
+            rows between 4 preceding and 1 preceding) as expected from days),
+        differing as (select *, (row_count - expected) / greatest(expected, 1.0) as deviation from expected),
+        spreads as (select *, stddev_samp(deviation) over before as spread, count(deviation) over before as usual,
+                row_number() over (partition by table_name order by date) as day
+            from differing window before as (partition by table_name order by date rows between 28 preceding and 1 preceding)),
+        scored as (select *, case when usual >= 14 then cast(greatest(-3000000, least(3000000,
+            round(deviation / greatest(spread, 0.01) * 1000000))) as bigint) end as score from spreads),
+        sums as (
+            select table_name, day, date, greatest(0, coalesce(-score - 1000000, 0)) as fall, greatest(0, coalesce(score - 1000000, 0)) as rise,
+                case when coalesce(-score - 1000000, 0) > 0 then date else date + 1 end as fell,
+                case when coalesce(score - 1000000, 0) > 0 then date else date + 1 end as rose
+            from scored where day = 1
+            union all
+            select scored.table_name, scored.day, scored.date,
+                greatest(0, sums.fall + coalesce(-score - 1000000, 0)), greatest(0, sums.rise + coalesce(score - 1000000, 0)),
+                case when sums.fall + coalesce(-score - 1000000, 0) <= 0 then scored.date + 1 else sums.fell end,
+                case when sums.rise + coalesce(score - 1000000, 0) <= 0 then scored.date + 1 else sums.rose end
+            from sums join scored on scored.table_name = sums.table_name and scored.day = sums.day + 1),
+        points as (select scored.*, sums.fall, sums.rise, fell, rose,
+                case when fall >= 5000000 and fall >= rise then 'fall' when rise >= 5000000 then 'rise' end as change
+            from scored join sums using (table_name, day))
+        select table_name, points.date, row_count, {rounded("expected", 6)} as expected, score / 1000000.0::double as score,
+            fall / 1000000.0::double as fall, rise / 1000000.0::double as rise, change,
+            cast(case change when 'fall' then fell when 'rise' then rose end as date) as began from points"""
+
+
 def _newest(scores: str, keys: str) -> str:
     """The last day of each series."""
     return f"select * from ({scores}) as scores qualify row_number() over (partition by {keys} order by date desc) = 1"
@@ -877,7 +922,7 @@ STATEMENTS: dict[str, str] = {
                     ("model_log", "5"),
                     ("model_row_counts", "6"),
                     ("arrivals", "(select count(*) from (select distinct date, country_code from stg) as pairs)"),
-                    ("report", "11"),
+                    ("report", "12"),
                 )
             ]
         )
@@ -900,6 +945,10 @@ STATEMENTS: dict[str, str] = {
     "distribution_anomaly": DISTRIBUTION_ANOMALY,
     "volume_anomaly": with_models(_VOLUME_SCORES),
     "volume_outage": with_models(_OUTAGE_SCORES),
+    "volume_change_point": _change_points(),
+    "volume_change_episodes": "select table_name, change, began, min(date) as found, max(date) as last_day, count(*) as days,"
+    f" min(row_count) as lowest, max(row_count) as highest from ({_change_points()}) as points"
+    " where change is not null group by table_name, change, began",
     "freshness_empty": "select 'stg_covid19' as table_name, 'table' as level, cast(null as varchar) as country_code,"
     " cast(null as date) as last_date, cast(null as bigint) as days_behind, false as is_fresh",
     "freshness": with_models(_FRESH),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyward.config import Config
 from tallyward.operators import (
+    change_points,
     column_checks,
     expectations,
     history,
@@ -311,6 +312,20 @@ def volume_outage(spark: SparkSession, directory: str) -> DataFrame:
     return observability.volume_anomalies(observability.on_every_day(daily, TEST_DAY))
 
 
+def _declining_volume(spark: SparkSession, directory: str) -> DataFrame:
+    """Daily counts of the staged rows if weekends had fewer, and if from October on each day had lost 3 % more of its rows."""
+    raw = raw_observations(spark, directory, "k")
+    weekday = "datediff(date, date '2020-01-06') % 7"
+    kept = "floor(1000 * pow(0.97, greatest(0, datediff(date, date '2020-09-30'))))"
+    thinned = raw.where(f"k % 1000 < {kept} and ({weekday} < 5 or k % 10 < 6)").drop("k")
+    return observability.daily_volume(staging.stage(thinned, TEST_DAY), "stg_covid19")
+
+
+def volume_change_point(spark: SparkSession, directory: str) -> DataFrame:
+    """A decline of 3 % a day, which no day's score shows."""
+    return change_points.change_points(observability.on_every_day(_declining_volume(spark, directory), TEST_DAY))
+
+
 def freshness_empty(spark: SparkSession, directory: str) -> DataFrame:
     """A table that holds only days still to come has no staged rows."""
     staged = _models(spark, directory, date(2019, 1, 1)).staged
@@ -570,6 +585,8 @@ QUERIES: dict[str, Query] = {
     "distribution_anomaly": distribution_anomaly,
     "volume_anomaly": volume_anomaly,
     "volume_outage": volume_outage,
+    "volume_change_point": volume_change_point,
+    "volume_change_episodes": lambda s, d: change_points.change_episodes(volume_change_point(s, d)),
     "freshness_empty": freshness_empty,
     "freshness": lambda s, d: observability.freshness(_models(s, d).staged, "stg_covid19", TEST_DAY),
     "events_column_metrics": lambda s, d: observability.column_metrics(_events(s, d)),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.config import Config
-from tallyward.operators import expectations, history, marts, observability, profile, schemas, sketches
+from tallyward.operators import change_points, expectations, history, marts, observability, profile, schemas, sketches
 from tallyward.operators.staging import stage
 from tallyward.plans.report import quality_report
 from tallyward.session import settings
@@ -145,6 +145,7 @@ class DailyRun:
             daily = daily.where(F.col("column_name").isin(*self.config.profiled))
         self._store("freshness", observability.freshness(counted, table, self.config.as_of))
         self._store("volume", observability.volume_anomalies(volume))
+        self._store("volume_changes", change_points.change_points(volume))
         self._store("metric_scores", observability.metric_anomalies(daily))
         self._store("model_row_counts", profile.model_row_counts(base))
         self._store_sketches(base)
@@ -170,6 +171,8 @@ class DailyRun:
                 row_counts=self._stored("model_row_counts"),
                 run_times=history.stage_times(log if logged is None else logged),
                 drift=drift,
+                changes=self._stored("volume_changes"),
+                distributions=self._stored("distributions"),
             ),
         )
 

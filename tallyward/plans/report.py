@@ -34,11 +34,14 @@ def quality_report(
     row_counts: DataFrame | None = None,
     run_times: DataFrame | None = None,
     drift: DataFrame | None = None,
+    changes: DataFrame | None = None,
+    distributions: DataFrame | None = None,
 ) -> DataFrame:
     """One row per area. Anomalies are judged by the newest day of each series; the rest of the series is history.
 
     The areas of run history are there where their frames are given: pass rates per test (the last run decides), the log of this
-    run, rows per model (none is a failure), times per stage (a failure in the last run), and columns with their change since the run before.
+    run, rows per model (none is a failure), times per stage (a failure in the last run), and columns with their change since the run before. So are those of slow changes of the
+    volume (one that goes on) and of distributions (the newest day).
     """
     areas = [
         area(tests, "column_tests", F.col("passed")),
@@ -58,4 +61,8 @@ def quality_report(
         areas.append(area(run_times, "run_times", ~F.col("last_failed")))
     if drift is not None:
         areas.append(area(drift, "schema_changes", F.col("change").isNull()))
+    if changes is not None:
+        areas.append(area(newest(changes, ["table_name"]), "volume_changes", F.col("change").isNull()))
+    if distributions is not None:
+        areas.append(area(newest(distributions, ["column_name"]), "distributions", ~F.col("is_anomalous")))
     return reduce(DataFrame.unionByName, areas)

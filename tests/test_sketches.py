@@ -158,6 +158,8 @@ def test_a_run_stores_what_the_sketches_say(spark, config):  # noqa: F811
     assert run.error is None
     for name, rows in (("distinct", 60), ("quantiles", 180), ("lengths", 150), ("distributions", 30)):
         assert history.read_run(spark, f"{config.history_path}/monitoring_{name}", run.run_id).count() == rows, name
+    areas = {r.area: r.checked for r in history.read_run(spark, f"{config.history_path}/monitoring_report", run.run_id).collect()}
+    assert areas["distributions"] == 1 and areas["volume_changes"] == 1
     plain = DailyRun(spark, config).execute()
     assert plain.error is None
     assert set(r.run_id for r in history.read_history(spark, f"{config.history_path}/monitoring_distinct").collect()) == {run.run_id}
