@@ -843,6 +843,18 @@ def _versions() -> str:
         from changes"""
 
 
+def _as_of() -> str:
+    """Each row of the impact mart beside the version that holds on its day."""
+    return with_models(
+        f"""select impact.date, impact.country_code, impact.country_name, total_new_cases, total_new_deaths, school_closing,
+            stay_at_home_requirements, international_travel_controls, versions.population as profile_population, valid_from, valid_to
+        from impact left join ({_versions()}) as versions
+            on impact.country_code is not distinct from versions.country_code
+            and impact.country_name is not distinct from versions.country_name
+            and impact.date >= versions.valid_from and (versions.valid_to is null or impact.date < versions.valid_to)"""
+    )
+
+
 def _rate(expression: str) -> str:
     return with_models(f"select {KEYS}, {expression} as rate from base")
 
@@ -1025,6 +1037,7 @@ STATEMENTS: dict[str, str] = {
     "gdp_vs_coverage_joined": _GDP,
     "incremental_refresh": _BASE_ROWS,
     "country_profile_history": _versions(),
+    "impact_with_profile_as_of": _as_of(),
     "streaming_refresh": _BASE_ROWS,
     "incremental_emptied_day": with_models(
         "select * from base where date not in (date '2020-12-05', date '2020-12-31')"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyward.config import Config
 from tallyward.operators import (
+    as_of,
     change_points,
     column_checks,
     expectations,
@@ -470,6 +471,13 @@ def country_profile_history(spark: SparkSession, directory: str) -> DataFrame:
     return table.read()
 
 
+def impact_with_profile_as_of(spark: SparkSession, directory: str) -> DataFrame:
+    """Cases and deaths of each country and day under the policy levels that the profile then had."""
+    impact = _models(spark, directory).impact.select(*marts.GRAIN, "total_new_cases", "total_new_deaths")
+    profiles = country_profile_history(spark, directory).withColumnRenamed("population", "profile_population")
+    return as_of.as_of_join(impact, profiles, ["country_code", "country_name"], "date")
+
+
 def _finished(query) -> None:
     query.awaitTermination()
 
@@ -613,6 +621,7 @@ QUERIES: dict[str, Query] = {
     "incremental_refresh": incremental_refresh,
     "incremental_emptied_day": incremental_emptied_day,
     "country_profile_history": country_profile_history,
+    "impact_with_profile_as_of": impact_with_profile_as_of,
     "streaming_refresh": streaming_refresh,
     "streaming_corrections": streaming_corrections,
     "streaming_closed_days": streaming_closed_days,
