@@ -855,6 +855,20 @@ def _as_of() -> str:
     )
 
 
+# Gaps between the closed days of each country, and the silence that goes on at the end.
+OUTAGES = with_models(
+    """select country_code, kind, last_day, cast(case kind when 'silent' then last_day + 6 else following end as date) as day
+        from gaps, (select unnest(['silent', 'back']) as kind) as kinds
+        where (kind = 'silent' and (following > last_day + 5 or (following is null and last_day + 6 <= closed)))
+            or (kind = 'back' and following > last_day + 5)""",
+    """present as (select distinct country_code, date from stg
+            where not (country_code = 'AN' and date between date '2020-05-10' and date '2020-05-25')
+                and not (country_code = 'BO' and date >= date '2020-11-20')),
+        gaps as (select country_code, date as last_day, lead(date) over (partition by country_code order by date) as following, closed
+            from present, (select max(date) - 7 as closed from present) as closing where date <= closed)""",
+)
+
+
 def _rate(expression: str) -> str:
     return with_models(f"select {KEYS}, {expression} as rate from base")
 
@@ -1043,5 +1057,6 @@ STATEMENTS: dict[str, str] = {
         "select * from base where date not in (date '2020-12-05', date '2020-12-31')"
     ),
     "streaming_corrections": f"with {CORRECTED}, {staged()}, {base()} select * from base",
+    "streaming_outage": OUTAGES,
     "streaming_closed_days": with_models("select * from base where date <= (select max(date) from stg) - 7"),
 }

@@ -31,7 +31,7 @@ from tallyward.plans.models import Models, build_models
 from tallyward.sources import storage
 from tallyward.sources.contract import RAW_CONTRACT
 from tallyward.sources.star_schema import RAW_EXPRESSIONS, TEST_DAY, raw_observations
-from tallyward.streaming import daily_stream
+from tallyward.streaming import daily_stream, outages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -524,6 +524,20 @@ def streaming_closed_days(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def streaming_outage(spark: SparkSession, directory: str) -> DataFrame:
+    """Alarms of a year that arrives in three parts, with a country that falls silent for a while and one that does for good."""
+    raw = raw_observations(spark, directory).where(
+        "not (country_code = 'AN' and date between date '2020-05-10' and date '2020-05-25')"
+        " and not (country_code = 'BO' and date >= date '2020-11-20')"
+    )
+    arrivals, path, checkpoint = (storage.new_path(spark, f"outages-{name}") for name in ("arrivals", "alarms", "checkpoint"))
+    for part in ("date < date '2020-05-12'", "date between date '2020-05-12' and date '2020-09-30'", "date > date '2020-09-30'"):
+        raw.where(part).write.mode("append").parquet(arrivals)
+        stream = daily_stream.staged_stream(spark, arrivals, raw.schema, TEST_DAY)
+        _finished(outages.watch_outages(stream, path, checkpoint))
+    return spark.read.schema(outages.ALARMS).parquet(path)
+
+
 QUERIES: dict[str, Query] = {
     "raw_scan": lambda s, d: storage.read_source(s, _source_view(s, d), "table"),
     "raw_row_count": raw_row_count,
@@ -625,4 +639,5 @@ QUERIES: dict[str, Query] = {
     "streaming_refresh": streaming_refresh,
     "streaming_corrections": streaming_corrections,
     "streaming_closed_days": streaming_closed_days,
+    "streaming_outage": streaming_outage,
 }
