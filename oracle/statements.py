@@ -176,6 +176,14 @@ UNIQUE = with_models(
     )
 )
 
+_KEY = "date, country_code, subregion1_name"
+INCREMENTAL_UNIQUE = f"""with {RAW_WITH_K}, raw as (select * from uncut),
+    valid as (select {_KEY}, k % 3 as batch from raw where country_code is not null
+        and date between date '2020-01-01' and date '2020-12-31' and new_confirmed >= 0 and new_deceased >= 0),
+    keyed as (select {_KEY}, batch, count(*) as n, min(batch) over (partition by {_KEY}) < batch as known from valid group by {_KEY}, batch)
+    select batch, cast(sum(n) as bigint) as row_count, count(*) as key_count, count(*) filter (where n > 1) as repeated,
+        count(*) filter (where known) as seen_before, count(*) filter (where n > 1 or known) = 0 as passed from keyed group by batch"""
+
 _COUNTRIES = "(select {0} as country_code, n_name as country_name from nation) as countries".format(RAW_EXPRESSIONS["country_code"])
 
 RELATIONSHIPS = with_models(
@@ -911,6 +919,7 @@ STATEMENTS: dict[str, str] = {
     "not_null_government": with_models(union(*_not_null_parts("mart_government_response"))),
     "column_tests": with_models(COLUMN_TESTS),
     "test_unique_grain": UNIQUE,
+    "incremental_unique": INCREMENTAL_UNIQUE,
     "test_policy_levels": POLICY_LEVELS,
     "test_relationships": RELATIONSHIPS,
     "expectations_impact": with_models(union(*impact_suite())),

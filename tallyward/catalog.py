@@ -24,6 +24,7 @@ from tallyward.operators import (
     sketches,
     snapshots,
     staging,
+    unique_index,
 )
 from tallyward.plans import dashboards, incremental, report
 from tallyward.plans.daily_run import DailyRun
@@ -146,6 +147,18 @@ def test_unique_grain(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def incremental_unique(spark: SparkSession, directory: str) -> DataFrame:
+    """Three increments of the staged rows, each checked against those before it; the second is run twice."""
+    raw = raw_observations(spark, directory, "k")
+    keys = ["date", "country_code", "subregion1_name"]
+    index = unique_index.KeyIndex(spark, _table_name("stg_keys"), storage.new_path(spark, "keys"), keys, buckets=8)
+    results = []
+    for batch in (0, 1, 1, 2):
+        staged = staging.stage(raw.where(f"k % 3 = {batch}").drop("k"), TEST_DAY)
+        results.append(index.add(staged, batch))
+    return spark.createDataFrame([tuple(row) for row in (results[0], *results[2:])], unique_index.SUMMARY)
+
+
 def test_relationships(spark: SparkSession, directory: str) -> DataFrame:
     """Codes and names of the staged rows against the countries there are, a table of its own."""
     nations = spark.read.parquet(f"{directory}/nation.parquet")
@@ -570,6 +583,7 @@ QUERIES: dict[str, Query] = {
     "not_null_government": _not_null("mart_government_response", "government"),
     "column_tests": column_tests,
     "test_unique_grain": test_unique_grain,
+    "incremental_unique": incremental_unique,
     "test_policy_levels": lambda s, d: column_checks.policy_levels(
         _models(s, d).government, "mart_government_response"
     ),

@@ -49,6 +49,12 @@ def current(spark: SparkSession, path: str) -> str:
     return f"{path}/{PREFIX}{numbers[-1]}" if numbers else path
 
 
+def complete(spark: SparkSession, path: str) -> None:
+    """Say that a version is complete where its writer has not: one that replaced partitions of it."""
+    system, place = folder(spark, f"{path}/_SUCCESS")
+    system.create(place, True).close()
+
+
 def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete all versions but the newest ``keep`` complete ones; readers of the one before the current can finish."""
     kept = _numbers(spark, path, complete=True)[-keep:]
