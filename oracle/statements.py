@@ -666,6 +666,33 @@ _CHANGES = union(
 )
 
 
+_LATER = {
+    "deaths": "total_new_deaths",
+    "icu_patients": "current_icu_patients",
+    "cases_of_next_week": "total_new_cases + 1",
+    "week": "extract(week from date)",
+}
+
+
+def _renames() -> str:
+    """Exact shares of equal values of the same rows; each is far from the limit."""
+    pairs = [(old, new) for old in ("total_new_deaths", "current_icu_patients", "population") for new in _LATER]
+    shares = union(
+        *[
+            f"""select '{old}' as removed, '{new}' as added, count(*) filter (where later and {old} = {_LATER[new]}) / cast(
+                    least(count({old}), count({_LATER[new]}) filter (where later)) as double) as common
+                from (select *, date < date '2020-12-01' as later from impact) as states"""
+            for old, new in pairs
+        ]
+    )
+    return with_models(
+        f"""select removed, added, 'number' as kind, common >= 0.9
+                and row_number() over (partition by removed order by common desc, added) = 1
+                and row_number() over (partition by added order by common desc, removed) = 1 as is_rename
+            from ({shares}) as shares"""
+    )
+
+
 def _contract_row(name: str) -> str:
     actual, status = {
         "population": (None, "missing"),
@@ -998,6 +1025,7 @@ STATEMENTS: dict[str, str] = {
     ),
     "events_freshness": _EVENTS + _freshness("events", "occurred", "event_type", "2024-02-01", 2),
     "schema_changes": _CHANGES,
+    "schema_renames": _renames(),
     "schema_contract": _ODD_CONTRACT,
     "contract_usage": f"with {RAW} "
     + union(

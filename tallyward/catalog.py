@@ -20,6 +20,7 @@ from tallyward.operators import (
     marts,
     observability,
     profile,
+    renames,
     schemas,
     sketches,
     snapshots,
@@ -413,6 +414,15 @@ def schema_changes(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def schema_renames(spark: SparkSession, directory: str) -> DataFrame:
+    """The impact mart and a later state of it: two columns renamed, one dropped, and two new ones of which one is nearly the same."""
+    before = _models(spark, directory).impact
+    after = before.withColumnsRenamed({"total_new_deaths": "deaths", "current_icu_patients": "icu_patients"})
+    after = after.withColumn("cases_of_next_week", F.expr("total_new_cases + 1")).withColumn("week", F.expr("extract(week from date)"))
+    after = after.drop("population").where("date < date '2020-12-01'")
+    return renames.column_matches(before, after, marts.GRAIN).select("removed", "added", "kind", "is_rename")
+
+
 def schema_contract(spark: SparkSession, directory: str) -> DataFrame:
     """A raw table with a narrower and a wrong type, one column short and one over."""
     raw = raw_observations(spark, directory).drop("population").withColumn("school_closing", F.col("school_closing").cast("int"))
@@ -629,6 +639,7 @@ QUERIES: dict[str, Query] = {
     "events_volume_anomaly": events_volume_anomaly,
     "events_freshness": events_freshness,
     "schema_changes": schema_changes,
+    "schema_renames": schema_renames,
     "schema_contract": schema_contract,
     "contract_usage": lambda s, d: schemas.contract_usage(raw_observations(s, d), RAW_CONTRACT, "covid19_raw"),
     "dq_report": dq_report,

@@ -17,7 +17,17 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.config import Config
-from tallyward.operators import change_points, expectations, history, marts, observability, profile, schemas, sketches
+from tallyward.operators import (
+    change_points,
+    expectations,
+    history,
+    marts,
+    observability,
+    profile,
+    renames,
+    schemas,
+    sketches,
+)
 from tallyward.operators.staging import stage
 from tallyward.plans.report import quality_report
 from tallyward.session import settings
@@ -25,6 +35,10 @@ from tallyward.sources import storage, versions
 from tallyward.sources.contract import RAW_CONTRACT
 
 
+# What names a raw row, as far as anything does.
+RAW_KEYS = ("date", "country_code", "country_name", "subregion1_name")
+
+
 class StageFailed(Exception):
     """A check that gates the run did not pass."""
 
@@ -200,6 +214,11 @@ class DailyRun:
         before = snapshots.where(F.col("run_id") == earlier).drop("run_id", "run_started")
         changes = schemas.schema_changes(before, after)
         self._store("schema_changes", changes)
+        previous = versions.before(self.spark, self.config.raw_path)
+        if previous is not None:
+            # Rows are read only of columns that went and came.
+            found = renames.column_matches(self.spark.read.parquet(previous), self._raw(), RAW_KEYS)
+            self._store("schema_renames", found)
         return schemas.drift_status(after, changes)
 
     # --- helpers -------------------------------------------------------------------------------------------------

@@ -49,6 +49,12 @@ def current(spark: SparkSession, path: str) -> str:
     return f"{path}/{PREFIX}{numbers[-1]}" if numbers else path
 
 
+def before(spark: SparkSession, path: str) -> str | None:
+    """The complete version before the newest one, if there is one."""
+    numbers = _numbers(spark, path, complete=True)
+    return f"{path}/{PREFIX}{numbers[-2]}" if len(numbers) > 1 else None
+
+
 def complete(spark: SparkSession, path: str) -> None:
     """Say that a version is complete where its writer has not: one that replaced partitions of it."""
     system, place = folder(spark, f"{path}/_SUCCESS")

@@ -153,6 +153,22 @@ def test_schema_drift_between_runs(spark, config, tmp_path):
     assert [(c.column_name, c.change, c.run_id) for c in changes] == [("extra", "added", "run-2")]
 
 
+def test_a_renamed_column_is_seen_between_runs(spark, config, tmp_path):
+    from dataclasses import replace
+
+    cells = "10 * day(date) + length(country_name) as remark, day(date) % 3 as other"
+    for name, columns in (("one", cells), ("two", cells.replace("remark", "comment").replace("other", "third").replace("% 3", "% 3 + 1"))):
+        many_days(spark).selectExpr("*", *columns.split(", ")).write.parquet(str(tmp_path / name))
+        DailyRun(spark, replace(config, source_path=str(tmp_path / name)), run_id=name).execute()
+    found = history.read_run(spark, f"{config.history_path}/monitoring_schema_renames", "two").collect()
+    assert {(r.removed, r.added): r.is_rename for r in found} == {
+        ("remark", "comment"): True,
+        ("remark", "third"): False,
+        ("other", "comment"): False,
+        ("other", "third"): False,
+    }
+
+
 def test_second_run_adds_to_the_history(spark, config):
     for _ in range(2):
         DailyRun(spark, config).execute()
