@@ -939,6 +939,10 @@ STATEMENTS: dict[str, str] = {
         "select * from impact where country_code in ('AN', 'BO', 'HU')"
         " and date between date '2020-03-01' and date '2020-05-31'"
     ),
+    "impact_clustered": with_models(
+        "select *, 'country' as page from impact where country_code = 'BO'"
+        " union all select *, 'day' as page from impact where date = date '2020-05-20'"
+    ),
     "not_null_stg": with_models(union(*_not_null_parts("stg_covid19"))),
     "not_null_country": with_models(union(*_not_null_parts("mart_covid19_country_metrics"))),
     "not_null_impact": with_models(union(*_not_null_parts("mart_pandemic_impact"))),

@@ -17,6 +17,7 @@ from tallyward.operators import (
     column_checks,
     expectations,
     history,
+    layout,
     marts,
     observability,
     profile,
@@ -128,6 +129,17 @@ def impact_filtered(spark: SparkSession, directory: str) -> DataFrame:
     return dashboards.page_filter(impact, ["AN", "BO", "HU"], date(2020, 3, 1), date(2020, 5, 31))
 
 
+def impact_clustered(spark: SparkSession, directory: str) -> DataFrame:
+    """The impact mart laid out by country and day, read once for a country over all days and once for a day over all countries."""
+    impact = _stored(_models(spark, directory).impact, "impact")
+    path = storage.new_path(spark, "impact-clustered")
+    storage.write_version(layout.clustered_by(impact, ["country_code", "date"], files=64), path)
+    laid = storage.read_version(spark, path)
+    country = dashboards.page_filter(laid, ["BO"]).withColumn("page", F.lit("country"))
+    day = dashboards.page_filter(laid, first=date(2020, 5, 20), last=date(2020, 5, 20)).withColumn("page", F.lit("day"))
+    return country.unionByName(day)
+
+
 # --- column tests ----------------------------------------------------------------------------------------------
 
 
@@ -586,6 +598,7 @@ QUERIES: dict[str, Query] = {
     "hospitalization_rate": _rate(marts.hospitalization_rate),
     "vaccination_coverage": _rate(marts.vaccination_coverage),
     "impact_filtered": impact_filtered,
+    "impact_clustered": impact_clustered,
     "not_null_stg": _not_null("stg_covid19", "staged"),
     "not_null_country": _not_null("mart_covid19_country_metrics", "country_metrics"),
     "not_null_impact": _not_null("mart_pandemic_impact", "impact"),

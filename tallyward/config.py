@@ -28,7 +28,8 @@ class Config:
     ``on_bad_data`` says what a failing expectation does: the default only reports it. ``enforce_contract`` says whether a raw table
     that breaks its contract stops the run. ``profiled`` names the measures whose daily metrics are scored, by default all.
     ``sketches`` names staged columns whose distinct counts, quantiles, distributions or text lengths a run watches by day; the base holds
-    them, so that days add up to any period. ``scan_split`` is the split size of scans that read few columns of wide files, e.g. ``512m``; it does not apply to
+    them, so that days add up to any period. ``cluster_files`` is the number of files over which marts that are written as tables are laid
+    out by country and day, so that readers of either skip most of them; 0 writes them as they come. ``scan_split`` is the split size of scans that read few columns of wide files, e.g. ``512m``; it does not apply to
     copies of whole rows.
     """
 
@@ -51,6 +52,7 @@ class Config:
     enforce_contract: bool = True
     profiled: tuple[str, ...] = ()
     sketches: tuple[str, ...] = ()
+    cluster_files: int = 0
     scan_split: str = ""
 
     def __post_init__(self) -> None:
@@ -104,8 +106,9 @@ class Config:
             for name in ("enforce_contract",)
             if prefix + name.upper() in env
         }
+        numbers = {name: int(env[prefix + name.upper()]) for name in ("cluster_files",) if prefix + name.upper() in env}
         return cls(
-            **({"source_path": "", "raw_path": ""} | text | options | lists | switches),
+            **({"source_path": "", "raw_path": ""} | text | options | lists | switches | numbers),
             as_of=date.fromisoformat(as_of) if as_of else None,
         )
 

@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.config import Config
+from tallyward.functions.frames import describe
 from tallyward.operators import (
     change_points,
     expectations,
     history,
+    layout,
     marts,
     observability,
     profile,
@@ -237,7 +239,9 @@ class DailyRun:
         return profile.profiled_base(stage(self._raw(), self.config.as_of), self.config.sketches)
 
     def _publish(self, name: str, mart: DataFrame) -> int:
-        path = self.config.mart_path(name)
+        path, files = self.config.mart_path(name), self.config.cluster_files
+        if files:
+            mart = describe(layout.clustered_by(mart, ["country_code", "date"], files), marts.DESCRIPTIONS)
         rows = storage.write_version(mart, path)
         storage.register_table(self.spark, self.config.table(name), versions.current(self.spark, path))
         return rows
