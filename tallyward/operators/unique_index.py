@@ -42,8 +42,11 @@ class KeyIndex:
         """Make the entry point to the newest version of the files, if it does not."""
         place = versions.current(self.spark, self.path)
         if place == self.path:
-            place = versions.following(self.spark, self.path)
-            versions.complete(self.spark, place)
+            # Its partitions are replaced one by one, so the first version is complete from the start.
+            first = versions.attempt(self.path)
+            versions.complete(self.spark, first)
+            versions.publish(self.spark, first, self.path)
+            place = versions.current(self.spark, self.path)
         if self.spark.catalog.tableExists(self.name):
             there = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").where("col_name = 'Location'").first()
             if there["data_type"].rstrip("/").endswith(place.lstrip("/")):
@@ -127,7 +130,7 @@ class KeyIndex:
         latest = table.agg(F.max("batch")).first()[0]
         if latest is None:
             return
-        place, types, beside = versions.following(self.spark, self.path), self._key_types(table), f"{self.name}_compact"
+        place, types, beside = versions.attempt(self.path), self._key_types(table), f"{self.name}_compact"
         self.spark.sql(f"DROP TABLE IF EXISTS {beside}")
         self._create(beside, types, place)
         # Each task reads a bucket of all batches, which nothing in the plan asks for.
@@ -136,5 +139,6 @@ class KeyIndex:
             kept.write.mode("overwrite").insertInto(beside)
         self.spark.sql(f"DROP TABLE {beside}")
         versions.complete(self.spark, place)
+        versions.publish(self.spark, place, self.path)
         self._register(types)
         versions.prune(self.spark, self.path)

@@ -1,22 +1,20 @@
 """Refresh the stored base of the marts for some days only.
 
-The stored base is partitioned by day. A refresh reads the raw rows of the days concerned (a partition filter when the
-raw zone is partitioned by day), aggregates them and replaces exactly those partitions; days that have lost all their rows go.
-Repeating it is harmless.
+A refresh reads the raw rows of the days concerned (a partition filter when the raw zone is partitioned by day), aggregates them and
+replaces exactly those days, all in one step; days that have lost all their rows go. Repeating it is harmless.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.operators.marts import daily_country_base
 from tallyward.operators.staging import stage
 from tallyward.plans.dashboards import page_filter
-from tallyward.sources import versions
-from tallyward.sources.storage import clustered
+from tallyward.sources import days
+from tallyward.sources.days import stored_days  # noqa: F401
 
 
 def refresh_base(
@@ -24,34 +22,17 @@ def refresh_base(
 ) -> int:
     """Recompute the base for the days from ``first`` to ``last`` and return the rows written.
 
-    Without bounds the base is rebuilt whole. With bounds the partitions of those days are replaced, and the stored days of the
-    range for which no valid row is left are removed. Which days were written is noted in the pass that writes them.
+    Without bounds the base is rebuilt whole. With bounds the days in between are replaced, and those for which no valid row is left are
+    gone. A reader sees the base before the refresh or after it.
     """
-    whole = first is None and last is None
     base = daily_country_base(stage(page_filter(raw, first=first, last=last), as_of))
-    seen = Observation()
-    counted = clustered(base, ["date"]).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col("date").cast("string")).alias("days")
-    )
-    mode = "static" if whole else "dynamic"
-    counted.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("date").parquet(path)
-    if not whole:
-        written = set(seen.get["days"])
-        for day in stored_days(raw.sparkSession, path):
-            in_range = (first is None or day >= first.isoformat()) and (last is None or day <= last.isoformat())
-            if in_range and day not in written:
-                versions.delete(raw.sparkSession, f"{path}/date={day}")
-    return seen.get["rows"]
-
-
-def stored_days(spark: SparkSession, path: str) -> list[str]:
-    """The days that have a partition, from the names of the folders."""
-    system, place = versions.folder(spark, path)
-    names = [entry.getPath().getName() for entry in system.listStatus(place)]
-    return sorted(name.removeprefix("date=") for name in names if name.startswith("date="))
+
+    def in_range(day: str) -> bool:
+        return (first is None or day >= first.isoformat()) and (last is None or day <= last.isoformat())
+
+    return days.replace_days(base, path, in_range)
 
 
 def read_base(spark: SparkSession, path: str, as_of: date | None = None) -> DataFrame:
     """The stored base, up to ``as_of`` if given."""
-    base = spark.read.parquet(path)
-    return base if as_of is None else base.where(F.col("date") <= F.lit(as_of))
+    return days.read_days(spark, path, as_of)

@@ -130,8 +130,13 @@ def register_table(spark: SparkSession, name: str, path: str, partition_by: Sequ
 
 def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Write the next version of the folder; readers switch to it when it is complete. Returns the row count."""
-    spark = df.sparkSession
-    rows = write_counted(df, versions.following(spark, path), partition_by)
+    spark, attempt = df.sparkSession, versions.attempt(path)
+    try:
+        rows = write_counted(df, attempt, partition_by)
+        versions.publish(spark, attempt, path)
+    except BaseException:
+        versions.delete(spark, attempt)
+        raise
     versions.prune(spark, path)
     return rows
 

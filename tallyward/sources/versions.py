@@ -1,13 +1,23 @@
 """Folders that are replaced as a whole: each write makes a new version, readers see the newest complete one.
 
-A write that fails leaves an incomplete version, which nobody reads and the next pruning removes.
+A write goes to a folder of its own name, an attempt, which readers pass over. When it is complete it claims the next number, which only one
+writer can have, and is renamed to it: so two writers at once make two versions. What a writer that failed has left is pruned later.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 PREFIX = "v="
+ATTEMPT = "_attempt-"
+CLAIM = "_claim-"
+# A number that somebody has claimed should become a version within these seconds; attempts that are older than these days are dead.
+PATIENCE = 30.0
+DEAD_DAYS = 7
 
 
 def folder(spark: SparkSession, path: str):
@@ -26,15 +36,67 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
-def _numbers(spark: SparkSession, path: str, complete: bool) -> list[int]:
+def _entries(spark: SparkSession, path: str) -> list:
     system, place = folder(spark, path)
-    if not system.exists(place):
-        return []
-    names = [entry.getPath().getName() for entry in system.listStatus(place) if entry.isDirectory()]
-    found = [name for name in names if name.startswith(PREFIX) and name.removeprefix(PREFIX).isdigit()]
+    return list(system.listStatus(place)) if system.exists(place) else []
+
+
+def _numbers(spark: SparkSession, path: str, complete: bool, prefix: str = PREFIX) -> list[int]:
+    names = [entry.getPath().getName() for entry in _entries(spark, path)]
+    found = [name for name in names if name.startswith(prefix) and name.removeprefix(prefix).isdigit()]
     if complete:
         found = [name for name in found if exists(spark, f"{path}/{name}/_SUCCESS")]
-    return sorted(int(name.removeprefix(PREFIX)) for name in found)
+    return sorted(int(name.removeprefix(prefix)) for name in found)
+
+
+def attempt(path: str) -> str:
+    """Where a writer of the next version writes to."""
+    return f"{path}/{ATTEMPT}{uuid.uuid4().hex}"
+
+
+def _claim(spark: SparkSession, path: str, number: int) -> bool:
+    """Make the file that stands for a number; False if somebody has."""
+    system, place = folder(spark, f"{path}/{CLAIM}{number}")
+    if system.exists(place):
+        return False
+    try:
+        system.create(place, False).close()
+    except Py4JJavaError as failure:
+        if "FileAlreadyExists" not in str(failure.java_exception.getClass().getName()):
+            raise
+        return False
+    return True
+
+
+def complete_numbers(spark: SparkSession, path: str) -> list[int]:
+    return _numbers(spark, path, complete=True)
+
+
+def newest(spark: SparkSession, path: str) -> int:
+    """The number of the newest complete version, 0 where there is none."""
+    return max(_numbers(spark, path, complete=True), default=0)
+
+
+def publish(spark: SparkSession, written: str, path: str, after: int | None = None) -> int | None:
+    """Make a complete attempt the next version, and return its number.
+
+    With ``after``, the number of the version that the attempt was made from, it is published only if that is still the newest one;
+    otherwise nothing happens. A writer that claimed the number and died before it came to be is waited for, then passed over.
+    """
+    number = (max([0, *_numbers(spark, path, False), *_numbers(spark, path, False, CLAIM)]) if after is None else after) + 1
+    while not _claim(spark, path, number):
+        deadline = time.monotonic() + PATIENCE
+        while after is not None and newest(spark, path) < number and time.monotonic() < deadline:
+            time.sleep(0.2)
+        if after is not None and newest(spark, path) >= number:
+            return None
+        number += 1
+    if after is not None and newest(spark, path) != after:
+        return None
+    system, place = folder(spark, written)
+    if not system.rename(place, folder(spark, f"{path}/{PREFIX}{number}")[1]):
+        raise OSError(f"{written} could not be renamed to version {number}")
+    return number
 
 
 def following(spark: SparkSession, path: str) -> str:
@@ -67,3 +129,10 @@ def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
     for number in _numbers(spark, path, complete=False):
         if number not in kept and number < max(kept, default=0):
             delete(spark, f"{path}/{PREFIX}{number}")
+    for number in _numbers(spark, path, False, CLAIM):
+        if number < min(kept, default=0):
+            delete(spark, f"{path}/{CLAIM}{number}")
+    dead = (time.time() - DEAD_DAYS * 86_400) * 1000
+    for entry in _entries(spark, path):
+        if entry.getPath().getName().startswith(ATTEMPT) and entry.getModificationTime() < dead:
+            delete(spark, f"{path}/{entry.getPath().getName()}")

@@ -21,6 +21,7 @@ from pyspark.sql.types import LongType, StructType
 from tallyward.operators.marts import AVERAGES, GRAIN, MAXIMA, SUMS, daily_country_base, measures
 from tallyward.operators.staging import stage, validity_rules
 from tallyward.sources import versions
+from tallyward.sources.days import replace_days
 from tallyward.sources.storage import write_counted
 
 FOREVER = date(9999, 12, 31)
@@ -95,7 +96,7 @@ def refresh_appended(arriving: DataFrame, partials_path: str, base_path: str, ch
 
     For sources that never send a row twice. A batch writes a partial row per country-day it touches, in its own (month, batch_id)
     partitions (a day's partial rows alone would be a very small file), so running it again after a failure replaces them instead of
-    adding them; the days it touched are added up from their partial rows and replace their partitions of the base.
+    adding them; the days it touched are added up from their partial rows and replaced in the base in one step.
     :func:`compact` keeps the partial rows few.
     """
 
@@ -105,7 +106,7 @@ def refresh_appended(arriving: DataFrame, partials_path: str, base_path: str, ch
         write_counted(partial, partials_path, partition_by=["month", "batch_id"], replace="partitions")
         stored = spark.read.schema(partial.schema).parquet(partials_path)
         touched = of_touched_days(stored, batch_id, ["month", "date"])
-        write_counted(merged_base(touched), base_path, partition_by=["date"], replace="partitions")
+        replace_days(merged_base(touched), base_path)
 
     return _run(arriving, refresh, checkpoint)
 
@@ -159,12 +160,11 @@ def refresh_corrected(
         write_counted(dated, arrivals_path, partition_by=["date", "batch_id"], replace="partitions")
         stored = spark.read.schema(schema).parquet(arrivals_path)
         rows = newest_arrivals(of_touched_days(stored, batch_id), row_key)
-        write_counted(daily_country_base(stage(rows, FOREVER)), base_path, partition_by=["date"], replace="partitions")
-        # Days of the batch (a bounded number of calendar days) whose rows are all invalid now have no partition left to replace.
+        # Days of the batch (a bounded number of calendar days) whose rows are all invalid now go in the same step.
         valid = reduce(and_, validity_rules(FOREVER).values())
         days = rows.groupBy("date").agg(F.count_if(valid).alias("valid")).where("valid = 0")
-        for row in days.select(F.col("date").cast("string").alias("day")).collect():
-            versions.delete(spark, f"{base_path}/date={row['day']}")
+        emptied = {row["day"] for row in days.select(F.col("date").cast("string").alias("day")).collect()}
+        replace_days(daily_country_base(stage(rows, FOREVER)), base_path, emptied.__contains__)
 
     return _run(arriving, refresh, checkpoint)
 

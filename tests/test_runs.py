@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import subprocess
 import sys
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
 import pytest
@@ -323,6 +324,44 @@ def test_refresh_removes_days_that_vanished(spark, tmp_path):
     assert len(incremental.stored_days(spark, path)) == 27
 
 
+def test_readers_see_a_refresh_as_a_whole(spark, tmp_path, monkeypatch):
+    """A refresh that fails on the way changes nothing, and one that succeeds leaves the base that a reader has opened."""
+    path = str(tmp_path / "base")
+    incremental.refresh_base(many_days(spark), path, as_of=AS_OF)
+    opened = incremental.read_base(spark, path)
+    before = sorted(opened.collect(), key=str)
+    changed = many_days(spark, new_recovered=9)
+
+    def broken(*args, **options):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("tallyward.sources.versions.publish", broken)
+        with pytest.raises(OSError, match="space"):
+            incremental.refresh_base(changed, path, date(2021, 3, 2), date(2021, 3, 9), AS_OF)
+    assert sorted(incremental.read_base(spark, path).collect(), key=str) == before
+    incremental.refresh_base(changed, path, date(2021, 3, 2), date(2021, 3, 9), AS_OF)
+    assert sorted(opened.collect(), key=str) == before
+    assert incremental.read_base(spark, path).where("total_new_recovered = 9").count() == 16
+    incremental.refresh_base(changed, path, date(2021, 3, 10), date(2021, 3, 10), AS_OF)
+    incremental.refresh_base(changed, path, date(2021, 3, 11), date(2021, 3, 12), AS_OF)
+    # Nothing that the two newest lists do not name is kept, and nothing they name is lost.
+    assert incremental.read_base(spark, path).where("total_new_recovered = 9").count() == 22
+    assert incremental.read_base(spark, path).count() == 60
+    assert len(list((tmp_path / "base/days").glob("v=*"))) == 2
+
+
+def test_two_refreshers_at_once_lose_no_days(spark, tmp_path):
+    path = str(tmp_path / "base")
+    incremental.refresh_base(many_days(spark), path, as_of=AS_OF)
+    changed = many_days(spark, new_recovered=9)
+    with ThreadPoolExecutor(3) as pool:
+        spans = [(2, 5), (8, 9), (12, 20)]
+        list(pool.map(lambda span: incremental.refresh_base(changed, path, *[date(2021, 3, day) for day in span], AS_OF), spans))
+    found = incremental.read_base(spark, path)
+    assert found.count() == 60 and found.where("total_new_recovered = 9").count() == 2 * (4 + 2 + 9)
+
+
 def test_versions(spark):
     def state(*rows):
         return spark.createDataFrame(rows, "code string, name string, level bigint")
@@ -436,7 +475,7 @@ def test_a_micro_batch_that_is_run_again_counts_once(spark, tmp_path):
     def process():
         stream = daily_stream.raw_stream(spark, arrivals, raw.schema)
         daily_stream.refresh_appended(stream, partials, base_path, checkpoint).awaitTermination()
-        return sorted(spark.read.parquet(base_path).collect(), key=str)
+        return sorted(incremental.read_base(spark, base_path).collect(), key=str)
 
     first = process()
     assert os.listdir(f"{checkpoint}/offsets") and "0" in os.listdir(f"{checkpoint}/commits")

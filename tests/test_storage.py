@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 import pytest
@@ -81,6 +82,44 @@ def test_versions_switch_when_they_are_complete(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.glob("zone/v=*")) == ["v=4", "v=5"]
 
 
+def test_writers_at_once_make_versions_of_their_own(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    with ThreadPoolExecutor(4) as pool:
+        assert sorted(pool.map(lambda rows: storage.write_version(spark.range(rows), path), range(3, 11))) == list(range(3, 11))
+    assert sorted(p.name for p in tmp_path.glob("zone/v=*")) == ["v=7", "v=8"]
+    assert 3 <= storage.read_version(spark, path).count() <= 10
+    assert not list(tmp_path.glob("zone/_attempt-*"))
+
+
+def test_a_write_that_fails_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    storage.write_version(spark.range(3), path)
+    with pytest.raises(Exception, match="by zero|DIVIDE"):
+        storage.write_version(spark.range(3).selectExpr("1 div (id - 1) as x"), path)
+    assert storage.read_version(spark, path).count() == 3
+    assert [p.name for p in (tmp_path / "zone").iterdir() if p.name.startswith("_attempt")] == []
+
+
+def test_a_version_is_published_after_the_one_it_was_made_from(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "PATIENCE", 0.5)
+    path = str(tmp_path / "zone")
+    storage.write_version(spark.range(3), path)
+
+    def written(rows):
+        place = versions.attempt(path)
+        spark.range(rows).write.parquet(place)
+        return place
+
+    first, second = written(4), written(5)
+    assert versions.publish(spark, first, path, after=1) == 2
+    assert versions.publish(spark, second, path, after=1) is None
+    assert storage.read_version(spark, path).count() == 4
+    # Somebody has claimed the next number and died.
+    assert versions._claim(spark, path, 3)
+    assert versions.publish(spark, second, path, after=2) == 4
+    assert storage.read_version(spark, path).count() == 5
+
+
 def test_intermediate_results_lie_in_a_folder_of_the_application(spark):
     first, second = storage.new_path(spark, "a"), storage.new_path(spark, "a")
     assert first != second and first.startswith(storage.session_folder(spark))
