@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import part_of_key, parts_for, shuffle_key, stored, with_running_total
@@ -184,20 +184,39 @@ def mix_documents(documents: DataFrame) -> DataFrame:
     return taken(docs, mixed).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
-def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The documents of the mix, with their columns, in its order: each as often as the words taken from it amount to, rounded.
+def first_words(text: Column, words: Column) -> Column:
+    """The text up to the end of so many of its words."""
+    pieces = F.regexp_extract_all(text, F.lit(rf"([\x20\x09-\x0D]*{WORDS})"), F.lit(1))
+    return F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), "")
 
-    A copy stands for one round of its source and comes by the first slot that it has words in. A document that alone gives all the
-    words of its source comes once, however few they are, so that no source with a target is left out. A document without words is
-    not in the mix.
+
+def mixed_documents(documents: DataFrame, ordered: bool = True) -> DataFrame:
+    """The documents of the mix, with their columns: each as often as the mix goes through it.
+
+    A copy stands for one round of its source. The last document of a source's take is cut behind the last word taken (``n_chars``, where
+    there is such a column, is then that of the rest), so that the copies together have exactly the words of the mix. With ``ordered``
+    they come by the first slot that they have words in; an order that files do not keep, so leave it out for what is stored and
+    read again. A document without words is not in the mix.
     """
     columns = documents.columns
-    docs, mixed = mix(counted(documents), "_words", identity=("doc_id", "_digest"), carry=columns)
+    # The document travels as a whole, so that no column of it meets one of these names.
+    texts = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "doc_id", "source", "text")
+    sized = counted(texts.select("row", "doc_id", "source", "text"))
+    docs, mixed = mix(sized, "_words", identity=("doc_id", "_digest"), carry=("row",))
     copies = mixed.groupBy("row_id", "round").agg(F.sum("length").alias("taken"), F.min("slot").alias("slot"))
-    rows = docs.join(copies, "row_id").where((2 * F.col("taken") >= F.col("size")) | (F.col("taken") == F.floor("target")))
-    return rows.orderBy("slot", "row_id", "round").select("row.*")
+    rows = docs.select("row_id", "row.row", "size").join(copies, "row_id")
+    text = F.when(F.col("taken") < F.col("size"), first_words(F.col("row.text"), F.col("taken"))).otherwise(F.col("row.text"))
+    rows = rows.select("slot", "row_id", "round", "row", "taken", "size", text.alias("text"))
+    if ordered:
+        rows = rows.orderBy("slot", "row_id", "round")
+    cut = {"text": F.col("text")}
+    if "n_chars" in columns:
+        length = F.length("text").cast(documents.schema["n_chars"].dataType)
+        cut["n_chars"] = F.when(F.col("taken") < F.col("size"), length).otherwise(F.col("row.n_chars"))
+    return rows.select(*[cut.get(c, F.col("row")[c]).alias(c) for c in columns])
 
 
+# The points are those of the schedule; each is in the interval of one source.
 MIX_SQL = r"""
 with rows as (
   select row_number() over () as row_id, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
@@ -226,12 +245,12 @@ with rows as (
     cast(sum(case when take > 0 then greatest(take, 3 * block) else 0 end) over () as bigint) as everything
   from widths
 ), points as (
-  select slot, (slot * 2654435769) % 4294967296 as point
-  from (select unnest(range((select any_value(-(-total // block)) from widths))) as slot)
+  select slot, (slot * 1836311903) % 2971215073 as point
+  from (select unnest(range((select any_value(-(-everything // block)) from ends))) as slot)
 ), slots as (
   select number, count(*) as blocks from points, ends
-  where width > 0 and point >= floor(cast(stop - width as double) / everything * 4294967296)
-    and point < floor(cast(stop as double) / everything * 4294967296)
+  where width > 0 and point >= floor(cast(stop - width as double) / everything * 2971215073)
+    and point < floor(cast(stop as double) / everything * 2971215073)
   group by number
 ), stream as (
   select row_id, number, size, sum(size) over (partition by number order by key, row_id) - size as low, source_size, take

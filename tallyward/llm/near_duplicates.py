@@ -288,19 +288,25 @@ def distinct_documents(documents: DataFrame, words: int = 5) -> DataFrame:
     known = rows.join(several, "root").groupBy("doc_id", "text_key").agg(
         F.count(F.lit(1)).alias("rows"), F.first(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))).alias("stays")
     )
-    known = stored(known.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "rows", "stays"), "dup-known")
+    known = stored(known, "dup-known")
+    # The document travels as a whole, so that no column of it meets one of these names.
+    whole = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("document"),
+        F.col("doc_id").cast("bigint").alias("own_id"),
+        F.xxhash64("text").alias("own_key"),
+    )
 
     def of(some: DataFrame, how: str) -> DataFrame:
         few = some.count() <= BROADCAST_ROWS
-        keys = some.select("_id", "_key")
-        same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-        return documents.join(F.broadcast(keys) if few else keys, same, how)
+        keys = some.select("doc_id", "text_key")
+        same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key"))
+        return whole.join(F.broadcast(keys) if few else keys, same, how)
 
     kept = of(known.where("not stays or rows > 1"), "left_anti")
     repeated = known.where("stays and rows > 1")
-    if repeated.isEmpty():
-        return kept
-    return kept.unionByName(of(repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+    if not repeated.isEmpty():
+        kept = kept.unionByName(of(repeated, "left_semi").dropDuplicates(["own_id", "own_key"]))
+    return kept.select("document.*")
 
 
 def grouped_documents(documents: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -121,9 +122,14 @@ def test_documents_of_the_mix(spark):
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
     expected: Counter = Counter()
+    copies: Counter = Counter()
     for r in mixing.mix_documents(docs).collect():
-        expected[r.doc_id] += int(r.taken / r.size + 0.5) if r.size else 0
-    assert Counter(r.doc_id for r in mixed.collect()) == +expected
+        expected[r.doc_id] += r.taken
+        copies[r.doc_id] += -(-r.taken // r.size) if r.size else 0
+    got: Counter = Counter()
+    for r in mixed.collect():
+        got[r.doc_id] += words(r.text)
+    assert Counter(r.doc_id for r in mixed.collect()) == +copies and got == +expected
 
 
 def test_a_source_of_one_long_document_stays(spark):
@@ -141,9 +147,32 @@ def test_documents_come_in_the_order_of_the_mix(spark):
     pieces: dict = defaultdict(list)
     for p in mixed.collect():
         pieces[p.row_id, p["round"]].append((p.slot, p.length))
-    fine = [key for key, own in pieces.items() if 2 * sum(n for _, n in own) >= doc[key[0]][1]]
-    fine.sort(key=lambda key: (min(pieces[key])[0], *key))
-    assert [r.doc_id for r in mixing.mixed_documents(docs).collect()] == [doc[row][0] for row, _ in fine]
+    fine = sorted(pieces, key=lambda key: (min(pieces[key])[0], *key))
+    found = mixing.mixed_documents(docs).collect()
+    assert [r.doc_id for r in found] == [doc[row][0] for row, _ in fine]
+    assert [words(r.text) for r in found] == [sum(n for _, n in pieces[key]) for key in fine]
+    unordered = mixing.mixed_documents(docs, ordered=False)
+    assert Counter(map(tuple, unordered.collect())) == Counter(map(tuple, found))
+    assert "rangepartitioning" not in unordered._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_document_is_cut_behind_a_word(spark):
+    texts = ["  a  bb\tccc\n d ", "one", "é ß　x y", "a" * 50]
+    frame = spark.createDataFrame([(t, n) for t in texts for n in range(1, 1 + words(t))], "t string, n bigint")
+    for r in frame.select("t", "n", mixing.first_words(F.col("t"), F.col("n")).alias("cut")).collect():
+        assert r.t.startswith(r.cut) and words(r.cut) == r.n and not r.cut[-1:].isspace()
+
+
+@pytest.mark.parametrize(("sources", "size"), [(4, 5), (60, 20)])
+def test_the_statement_takes_from_sources_of_few_words(spark, tmp_path, sources, size):
+    rows = [(i, "w " * size, f"s{i:04}") for i in range(sources)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents/*.parquet')")
+    found = mixing.mix_documents(docs)
+    expected = connection.execute(mixing.MIX_SQL).fetchall()
+    assert Counter(map(tuple, found.collect())) == Counter(expected)
 
 
 def plain_shards(rows, shards):

@@ -11,7 +11,7 @@ import corpus_pipeline
 from tallyward.llm import mixing
 from tallyward.llm.common import stored
 from tests.llm.test_near_duplicates import plain_groups
-from tests.llm.test_packing import check
+from tests.llm.test_packing import check, expected_ids
 from tests.llm.test_privacy import plain
 
 DIRECTORY = "/root/testdata/sf0.001"
@@ -71,12 +71,25 @@ def test_personal_data_are_masked(tables):
     assert not before and changed > 0
 
 
-def test_the_mix_decides_how_often_a_document_comes(tables):
-    expected = Counter()
+def test_the_mix_decides_which_words_come(tables):
+    """Whole copies, and of the last document of each source's take its first words: exactly the words that the mix takes."""
+    expected = {}
     for r in mixing.mix_documents(tables[3]).collect():
-        expected[r.doc_id] += int(r.taken / r.size + 0.5) if r.size else 0
-    assert Counter(r.doc_id for r in tables[4].collect()) == +expected
-    assert set(rows(tables[4])) <= set(rows(tables[3]))
+        expected[r.doc_id] = r.taken
+    texts = {r.doc_id: r.text for r in tables[3].collect()}
+    found, cut = Counter(), 0
+    for r in tables[4].collect():
+        assert texts[r.doc_id].startswith(r.text)
+        found[r.doc_id] += len(plain_words(r.text))
+        if r.text != texts[r.doc_id]:
+            cut += 1
+            assert plain_words(r.text) == plain_words(texts[r.doc_id])[: len(plain_words(r.text))] and r.n_chars == len(r.text)
+    assert found == +Counter(expected)
+    assert 0 < cut <= len({r.source for r in tables[3].collect()})
+
+
+def plain_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
 
 
 def test_sequences_hold_all_tokens(tables):
@@ -84,8 +97,7 @@ def test_sequences_hold_all_tokens(tables):
     pieces = tables[5].collect()
     copies = Counter(r.doc_id for r in docs)
     assert Counter((p.doc_id, p.start) for p in pieces if p.start == 0) == Counter({(i, 0): n for i, n in copies.items()})
-    once = [p for p in pieces if copies[p.doc_id] == 1]
-    assert once and sum(p.length for p in pieces) == sum(n * max(p.doc_tokens for p in pieces if p.doc_id == i) for i, n in copies.items())
+    assert sum(p.length for p in pieces) == sum(len(expected_ids(r.text)) for r in docs)
     filled: Counter = Counter()
     for p in pieces:
         filled[p.sequence_id] += p.length
@@ -114,6 +126,7 @@ def test_empty_tables_pass_all_stages(spark, tables):
 
 def test_columns_with_names_that_the_stages_use(spark):
     names = ["row", "rows", "key", "part", "size", "score", "taken", "copies", "n", "id", "spans", "identity", "batch"]
+    names += ["_id", "_key", "_words", "_digest", "document", "own_id", "own_key", "text_key", "row_id", "round", "slot", "root"]
     docs = spark.createDataFrame(
         [(i, f"some words of document {i} and the mail a{i}@b.cd", "en", f"s{i % 3}", None) for i in range(30)]
         + [(None, None, None, None, None), (7, "some words of document 7 and the mail a7@b.cd", "en", "s1", None)],
