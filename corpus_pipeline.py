@@ -31,8 +31,8 @@ def mask(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
-    """Documents as often as the mixture of the sources takes them."""
-    return mixing.mixed_documents(docs)
+    """Documents as often as the mixture of the sources takes them; the next stage deals the sources out anew, so in no order."""
+    return mixing.mixed_documents(docs, ordered=False)
 
 
 def pack(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
