@@ -26,7 +26,9 @@ from tallyward.llm.common import pieces_of, stored, with_running_total
 WINDOW = 2048
 QUANTUM = 64
 # The largest sources have queues of their own, all others share one more.
-QUEUES = 256
+QUEUES = 1024
+# Quanta of all queues that are placed at once.
+PLACED = 1 << 20
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SPECIAL = {"<|endoftext|>": 50256}
 END = 1
@@ -145,14 +147,15 @@ def place(rounds: Rounds, queues: np.ndarray, at: np.ndarray, n: np.ndarray, win
 
     position = np.empty(len(row), np.int64)
     distinct, index = np.unique(turn, return_inverse=True)
-    for low in range(0, len(distinct), 4096):
-        some = distinct[low : low + 4096]
+    step = max(1, PLACED // len(rounds.totals))
+    for low in range(0, len(distinct), step):
+        some = distinct[low : low + step]
         before = np.stack([rounds.before(q, some) for q in range(len(rounds.totals))], axis=1)
         after = np.stack([rounds.before(q, some + 1) for q in range(len(rounds.totals))], axis=1)
         quota = after - before
         # The round starts after all that was given before it; in it the queues follow each other.
         origin = before.sum(axis=1)[:, None] + np.cumsum(quota, axis=1) - quota - before
-        chosen = (index >= low) & (index < low + 4096)
+        chosen = (index >= low) & (index < low + step)
         position[chosen] = origin[index[chosen] - low, queues[row[chosen]]] + begin[chosen]
 
     length = end - begin
@@ -179,8 +182,8 @@ def pack(
     """The pieces of all documents in sequences of ``window`` tokens; with ``with_ids`` also their ids (16 bits each).
 
     ``weights``: target proportions by source, by default those of the sources' tokens, which hold to the end; otherwise they hold
-    until a source is empty. They apply to the ``QUEUES`` largest sources; the others share a queue that weighs as many
-    tokens as it has. A missing text is empty, so the document is its end token. Every row is packed, repeated ones too.
+    until a source is empty; with them there may be no more than ``QUEUES`` sources, as the smallest of more would share a queue
+    that weighs as many tokens as it has. A missing text is empty, so the document is its end token. Every row is packed, repeated ones too.
     """
     tokens = stored(tokenized(docs, vocabulary), "tokens")
     totals = tokens.groupBy("part", "slot", "source").agg(F.sum("n").alias("n"))
@@ -190,6 +193,8 @@ def pack(
     names = docs.sparkSession.createDataFrame(
         [(row["source"], i) for i, row in enumerate(largest)], "name string, number int"
     )
+    if weights is not None and len(largest) == QUEUES and sources.count() > QUEUES:
+        raise ValueError(f"weights hold for {QUEUES} sources at most")
     rest = len(largest)
     queued = totals.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name")), "left")
     queued = stored(
@@ -201,7 +206,9 @@ def pack(
     rounds = Rounds(each, wanted, window, quantum)
 
     bases = with_running_total(queued, "base", F.col("n"), ["queue"], "range", [F.col("part"), F.col("slot")])
-    located = tokens.join(bases.select("part", "slot", "queue", "base"), ["part", "slot"])
+    # A row for each task and source: as a table of known size it is broadcast if it is small, and then no ids are exchanged.
+    bases = stored(bases.select("part", "slot", "queue", "base"), "token-bases")
+    located = tokens.join(bases, ["part", "slot"])
     located = located.select("doc_id", "n", "ids", "queue", (F.col("base") + F.col("before")).alias("at"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

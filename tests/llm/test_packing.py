@@ -131,3 +131,36 @@ def test_many_sources_share_a_queue(spark, monkeypatch):
     rows = [(i, "word " * (i + 1), f"s{i % 9}") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     check(packing.pack(docs, window=256).collect(), [r[:2] for r in rows], 256)
+
+
+def test_a_thousand_sources_keep_their_weights(spark):
+    rows = [(i, "word " * 150, f"s{i % 1000:04}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = {f"s{i:04}": 1.0 + i % 3 for i in range(1000)}
+    pieces = packing.pack(docs, weights, quantum=8).collect()
+    check(pieces, [r[:2] for r in rows])
+    # Until the first sources are empty each class of weights has its share of the stream.
+    total = sum(p.length for p in pieces)
+    got: dict = defaultdict(int)
+    for p in pieces:
+        if p.sequence_id * 2048 < total // 2:
+            got[1 + p.doc_id % 1000 % 3] += p.length
+    first = sum(got.values())
+    whole = sum(weights.values())
+    for weight, tokens in got.items():
+        share = sum(w for w in weights.values() if w == weight) / whole
+        assert abs(tokens / first - share) < 0.03
+
+
+def test_weights_that_could_not_hold_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(packing, "QUEUES", 3)
+    docs = spark.createDataFrame([(i, "word", f"s{i}") for i in range(4)], "doc_id long, text string, source string")
+    with pytest.raises(ValueError, match="sources"):
+        packing.pack(docs, {f"s{i}": 1.0 for i in range(4)})
+    assert packing.pack(docs.where("doc_id < 3"), {f"s{i}": 1.0 for i in range(3)}).count() == 3
+
+
+def test_ids_are_not_exchanged(spark):
+    docs = spark.createDataFrame([(i, "word " * i, f"s{i % 3}") for i in range(50)], "doc_id long, text string, source string")
+    plan = packing.pack(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
