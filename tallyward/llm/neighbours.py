@@ -35,6 +35,8 @@ AIM = 0.96
 # A cell holds the candidates of so many ranks at most, and the queries of so many.
 CELL_RANKS = 32_768
 QUERY_RANKS = 65_536
+# More queries of one range than these are dealt to several cells.
+QUERY_MOST = 8_192
 ROWS_PER_RANGE = 100_000
 
 
@@ -230,6 +232,29 @@ def _ranked(keyed: DataFrame, total: int) -> DataFrame:
     return ranked.select("row_id", "kind", "curve", (F.col("before") + F.col("local")).cast("bigint").alias("rank"))
 
 
+def dealt(placed: DataFrame, total: int, window: int, cell: int) -> tuple[DataFrame, DataFrame]:
+    """Queries and candidates with the cells in which they meet: ``curve``, ``block``, ``queries``, ``share``.
+
+    A query goes to each block of candidates that its window reaches; blocks are copied for each range of queries that reach them. Queries
+    with equal vectors have equal ranks, so a range can hold any number of them: it is cut into shares by a hash.
+    """
+    first, last = (F.expr(f"greatest(bigint(0), rank - {window}) div {cell}"), F.expr(f"least(rank + {window}, {max(total - 1, 0)}) div {cell}"))
+    asked = placed.where("kind = 1").withColumn("queries", F.expr(f"rank div {QUERY_RANKS}"))
+    crowded = asked.groupBy("curve", "queries").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > QUERY_MOST)
+    crowded = stored(crowded.select("curve", "queries", F.expr(f"(n - 1) div {QUERY_MOST} + 1").alias("shares")), "query-shares")
+    asked = asked.join(crowded, ["curve", "queries"], "left")
+    asked = asked.withColumn("share", F.pmod(F.xxhash64("row_id"), F.coalesce("shares", F.lit(1)))).drop("shares")
+    asked = asked.withColumn("block", F.explode(F.sequence(first, F.greatest(first, last))))
+    given = placed.where("kind = 0").withColumn("block", F.expr(f"rank div {cell}"))
+    reach = [
+        F.expr(f"greatest(bigint(0), block * {cell} - {window}) div {QUERY_RANKS}"),
+        F.expr(f"least((block + 1) * {cell} + {window}, {total}) div {QUERY_RANKS}"),
+    ]
+    given = given.withColumn("queries", F.explode(F.sequence(*reach))).join(crowded, ["curve", "queries"], "left")
+    shares = F.sequence(F.lit(0).cast("bigint"), F.coalesce("shares", F.lit(1)) - 1)
+    return asked, given.withColumn("share", F.explode(shares)).drop("shares")
+
+
 def nearest(
     vectors: DataFrame, queries: Column, k: int, identity: str = "vec_id", vector: str = "embedding", aim: float = AIM
 ) -> DataFrame:
@@ -262,21 +287,12 @@ def nearest(
     placed = rows.select("row_id", "vec_id", "vector").join(placed, "row_id")
     placed = placed.select("row_id", "vec_id", "vector", "kind", F.explode("places").alias("place"))
     placed = placed.select("row_id", "vec_id", "vector", "kind", "place.curve", "place.rank")
-    # A query goes to each block of candidates that its window reaches; blocks are copied for each range of queries that reach them.
-    first, last = (F.expr(f"greatest(bigint(0), rank - {window}) div {cell}"), F.expr(f"least(rank + {window}, {max(total - 1, 0)}) div {cell}"))
-    asked = placed.where("kind = 1").withColumn("block", F.explode(F.sequence(first, F.greatest(first, last))))
-    asked = asked.withColumn("queries", F.expr(f"rank div {QUERY_RANKS}"))
-    given = placed.where("kind = 0").withColumn("block", F.expr(f"rank div {cell}"))
-    reach = [
-        F.expr(f"greatest(bigint(0), block * {cell} - {window}) div {QUERY_RANKS}"),
-        F.expr(f"least((block + 1) * {cell} + {window}, {total}) div {QUERY_RANKS}"),
-    ]
-    given = given.withColumn("queries", F.explode(F.sequence(*reach)))
+    asked, given = dealt(placed, total, window, cell)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         return cell_search(left, right, k, window)
 
-    keys = ["curve", "block", "queries"]
+    keys = ["curve", "block", "queries", "share"]
     given = given.select(*[F.col(c).alias(c) for c in given.columns])  # both sides come from one table
     found = asked.groupBy(*keys).cogroup(given.groupBy(*keys)).applyInArrow(
         search, "query_row bigint, query_id bigint, row_id bigint, vec_id bigint, score double"

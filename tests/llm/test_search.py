@@ -167,3 +167,23 @@ def test_lengths_that_differ(spark):
         products[query] = -np.inf
         met += len(set(np.argsort(-products)[:10].tolist()) & {r.vec_id for r in found if r.query_id == query})
     assert met >= 0.9 * 600
+
+
+def test_queries_with_equal_vectors_are_dealt_to_several_cells(spark, monkeypatch):
+    """Most queries have one rank on a curve; no cell holds more of them than it may, and each pair in reach still meets once."""
+    monkeypatch.setattr(neighbours, "QUERY_RANKS", 400)
+    monkeypatch.setattr(neighbours, "QUERY_MOST", 50)
+    rng = np.random.default_rng(2)
+    total, window, cell = 2000, 30, 100
+    rows = [(10_000 + i, 0, 0, i) for i in range(total)]
+    rows += [(i, 1, 0, 777 if i % 10 else int(rng.integers(0, total))) for i in range(1000)]
+    placed = spark.createDataFrame(rows, "row_id long, kind int, curve int, rank long")
+    asked, given = neighbours.dealt(placed, total, window, cell)
+    keys = ["curve", "block", "queries", "share"]
+    sizes = [r["count"] for r in asked.groupBy(*keys).count().collect()]
+    assert max(sizes) < 150 and sum(sizes) > 1000
+    meet = asked.select(*keys, F.col("row_id").alias("q"), F.col("rank").alias("at")).join(given, keys)
+    pairs = meet.where(F.abs(F.col("rank") - F.col("at")) <= window).groupBy("q", "row_id").count()
+    assert pairs.where("count <> 1").count() == 0
+    expected = sum(min(total - 1, at + window) - max(0, at - window) + 1 for _, kind, _, at in rows if kind)
+    assert pairs.count() == expected
