@@ -15,7 +15,8 @@ def _towards_least(edges: DataFrame, reverse: bool) -> DataFrame:
     itself. Both keep the components and together make all paths short.
     """
     seen = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if reverse else edges
-    least = seen.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
+    # A table of its own, so that the join reads it as it lies and adaptive execution can cut the edges of a node with very many.
+    least = stored(seen.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least")), "least-neighbours")
     joined = seen.join(least, "a")
     if reverse:
         moved = joined.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
