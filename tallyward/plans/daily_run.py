@@ -289,14 +289,18 @@ class DailyRun:
 
     def _history(self, name: str) -> DataFrame | None:
         """What all runs stored under ``name``, if any did."""
-        try:
-            return history.read_history(self.spark, self._folder(name))
-        except AnalysisException:
-            return None
+        return self._if_there(self._folder(name), lambda path: history.read_history(self.spark, path))
 
     def _stored(self, name: str) -> DataFrame | None:
         """What this run stored under ``name``."""
+        place = f"{self._folder(name)}/run_id={self.run_id}"
+        return self._if_there(place, lambda _: history.read_run(self.spark, self._folder(name), self.run_id))
+
+    def _if_there(self, path: str, read: Callable[[str], DataFrame]) -> DataFrame | None:
+        """Folders that nobody has written yet are not read: the failed query would be reported to listeners."""
+        if not versions.exists(self.spark, path):
+            return None
         try:
-            return history.read_run(self.spark, self._folder(name), self.run_id)
+            return read(path)
         except AnalysisException:
             return None
