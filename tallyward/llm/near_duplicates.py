@@ -312,3 +312,38 @@ def distinct_documents(documents: DataFrame, words: int = 5) -> DataFrame:
 def grouped_documents(documents: DataFrame) -> DataFrame:
     """The contract's columns: shingles of two words."""
     return duplicate_groups(documents, words=2)
+
+
+# Every pair of texts with a common shingle is counted, and the links are followed from each text.
+GROUPS_SQL = r"""
+with recursive texts as (
+  select row_number() over () as node, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+  from documents
+), sets as (
+  select node, doc_id, case when len(words) < 2 then words
+    else list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) end as shingles
+  from texts
+), sizes as (
+  select node, doc_id, len(shingles) as n from sets
+), each as (
+  select node, len(shingles) as n, unnest(shingles) as shingle from sets
+), shared as (
+  select a.node as a, b.node as b, any_value(a.n) as n_a, any_value(b.n) as n_b, count(*) as common
+  from each as a join each as b on a.shingle = b.shingle and a.node < b.node
+    and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.node, b.node
+), links as (
+  select a, b from shared where 100 * common >= 80 * (n_a + n_b - common)
+), edges as (
+  select a, b from links union all select b, a from links
+), reached as (
+  select node, node as other from sizes where n > 0
+  union
+  select reached.node, edges.b from reached join edges on edges.a = reached.other
+), named as (
+  select reached.node, min(sizes.doc_id) as least from reached join sizes on sizes.node = reached.other group by reached.node
+)
+select sizes.doc_id, cast(n as bigint) as n_shingles, coalesce(least, doc_id) as component_id, coalesce(doc_id = coalesce(least, doc_id), true) as kept
+from sizes left join named using (node)
+"""

@@ -54,5 +54,6 @@ STATEMENTS: dict[str, str] = {
     "op1_exact_search": exact_search.SEARCH_SQL,
     "op7_mixing": mixing.MIX_SQL,
     "op8_sharding": sharding.SHARD_SQL,
+    "op9_near_duplicates": near_duplicates.GROUPS_SQL,
     "op13_target_resampling": target_resampling.RESAMPLE_SQL,
 }

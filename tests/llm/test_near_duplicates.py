@@ -16,6 +16,7 @@ from tallyward.llm.components import components
 from tallyward.llm.queries import QUERIES
 from tallyward.llm.shingles import shingle_sets
 from tallyward.llm.superminhash import lanes, signatures
+from tests.compare import connect, differences
 
 
 def plain_set(text: str | None, words: int) -> frozenset:
@@ -185,3 +186,8 @@ def test_longer_shingles(spark):
     docs = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i k"), (3, "a b c d"), (4, "a B c d"), (5, "a b c")]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     assert as_rows(near_duplicates.duplicate_groups(frame)) == plain_groups(docs, 5)
+
+
+def test_query_agrees_with_its_statement(spark):
+    directory = "/root/testdata/sf0.001"
+    assert differences(QUERIES["op9_near_duplicates"](spark, directory), "op9_near_duplicates", connect(directory)) is None
