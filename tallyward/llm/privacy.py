@@ -118,7 +118,10 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
 
 
 def find_spans(text: str | None) -> list[Span]:
-    """(start, end, kind, score) of every span by start, then kind. A missing or empty text has none."""
+    """(start, end, kind, score) of every span by start, then kind. A missing or empty text has none.
+
+    The words that adjust a score are looked for before a span, where a label stands, and not behind it.
+    """
     spans = []
     for kind, start, end in proposals(text or ""):
         nearby = text[max(0, start - CONTEXT) : start]
