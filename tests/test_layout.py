@@ -95,10 +95,10 @@ def test_codes_order_within_a_column(spark):
 def test_a_run_lays_out_its_tables(spark, config):  # noqa: F811
     from dataclasses import replace
 
-    run = DailyRun(spark, replace(config, materialized="table", cluster_files=3)).execute()
+    database = f"laid_{config.raw_table}"
+    spark.sql(f"create database {database}")
+    run = DailyRun(spark, replace(config, materialized="table", cluster_files=3, database=database)).execute()
     assert run.error is None
-    table = spark.table("mart_pandemic_impact")
+    table = spark.table(f"{database}.mart_pandemic_impact")
     assert table.count() == 60 and table.select(F.input_file_name()).distinct().count() <= 3
     assert table.schema["case_fatality_rate"].metadata["comment"]
-    for name in ("mart_covid19_country_metrics", "mart_pandemic_impact", "mart_vaccination_effectiveness", "mart_government_response"):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
