@@ -538,7 +538,7 @@ def streaming_corrections(spark: SparkSession, directory: str) -> DataFrame:
     )
     again = raw.where("k % 10 = 0").withColumn("new_confirmed", F.expr("if(k % 100 = 0, -1, new_confirmed + 5)"))
     for arriving in (raw, again):
-        arriving.write.mode("append").parquet(arrivals)
+        arriving.write.mode("append").option("compression", "zstd").parquet(arrivals)
         stream = daily_stream.raw_stream(spark, arrivals, raw.schema)
         _finished(daily_stream.refresh_corrected(stream, rows, base, checkpoint, ["date", "k", *ROW_KEY]))
     return incremental.read_base(spark, base, TEST_DAY)

@@ -3,29 +3,34 @@
 Daily figures are corrected long after the day, so nothing here has a lateness limit but :func:`closed_days`. There are two kinds of
 sources. One that only appends is stored as partial aggregates per batch, day and country, which a refresh adds up
 (:func:`refresh_appended`). One that sends a row again to correct it is stored as it arrived, and the newest arrival of each row
-counts (:func:`refresh_corrected`). Both keep rows of days that are still to come; readers of the base say up to which day they read.
+counts (:func:`refresh_corrected`); a batch is exchanged once, when it is stored. Both keep rows of days that are still to come; readers of the base say up to which day they read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import DoubleType, FloatType, LongType, StructType
 
 from tallyward.operators.marts import AVERAGES, GRAIN, MAXIMA, SUMS, daily_country_base, measures
-from tallyward.operators.staging import stage, validity_rules
+from tallyward.operators.staging import stage
+from tallyward.session import settings
 from tallyward.sources import versions
 from tallyward.sources.days import replace_days
 from tallyward.sources.storage import write_counted
 
 FOREVER = date(9999, 12, 31)
 MONTH = "year(date) * 100 + month(date)"
+# A bucket of stored arrivals gets about so many rows of the first batch, few enough to be sorted in memory; there are so many at least.
+ROWS_PER_BUCKET = 500_000
+LEAST_BUCKETS = 8
+BUCKETS = "buckets="
 
 
 def raw_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -76,21 +81,17 @@ def merged_base(partials: DataFrame) -> DataFrame:
 def of_touched_days(stored: DataFrame, batch_id: int, by: Sequence[str] = ("date",)) -> DataFrame:
     """What is stored of the days that batch ``batch_id`` brought rows for.
 
-    ``by`` holds the column that partitions the files, so where the touched days are few enough for Spark to broadcast, it prunes
-    the scan by them.
+    ``by`` holds the column that partitions the files, so Spark prunes the scan by the touched days. These are a bounded number of
+    calendar days, whatever the size of the batch that they are read from, so they are always broadcast: no stored row is exchanged.
     """
     touched = stored.where(F.col("batch_id") == batch_id).select(*by).distinct()
-    return stored.join(touched, list(by), "left_semi")
+    return stored.join(F.broadcast(touched), list(by), "left_semi")
 
 
 def _run(stream: DataFrame, refresh, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _stored_schema(frame: DataFrame) -> StructType:
-    return StructType([*frame.schema.fields]).add("batch_id", LongType())
-
-
 def refresh_appended(arriving: DataFrame, partials_path: str, base_path: str, checkpoint: str) -> StreamingQuery:
     """Add what has arrived to the base, then stop. Start again with the same ``checkpoint`` to carry on.
 
@@ -141,6 +142,43 @@ def newest_arrivals(stored: DataFrame, row_key: Sequence[str]) -> DataFrame:
     return latest.select(*row_key, "_newest.*")
 
 
+def _bucket_columns(schema: StructType, row_key: Sequence[str]) -> list[str]:
+    """Columns of the key that buckets go by. Grouping takes both zeros of a double for one, which the hash of a bucket does not."""
+    return [name for name in row_key if not isinstance(schema[name].dataType, DoubleType | FloatType)]
+
+
+def _stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets that arrivals are stored in below ``path``; None before the first batch."""
+    if not versions.exists(spark, path):
+        return None
+    system, place = versions.folder(spark, path)
+    names = [entry.getPath().getName() for entry in system.listStatus(place)]
+    return next((int(name.removeprefix(BUCKETS)) for name in sorted(names) if name.startswith(BUCKETS)), None)
+
+
+@contextmanager
+def _arrivals(spark: SparkSession, path: str, schema: StructType, by: Sequence[str], buckets: int) -> Iterator[str]:
+    """The name, while it is in use, of a table over the arrivals stored below ``path``, whatever session has stored them.
+
+    A table, because Spark knows of its buckets: rows with the same key lie in the same one, so they meet without an exchange.
+    """
+    name = f"arrivals_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
+    keys = ", ".join(f"`{column}`" for column in by)
+    system, place = versions.folder(spark, f"{path}/{BUCKETS}{buckets}")
+    system.mkdirs(place)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}, month INT, batch_id BIGINT) USING parquet OPTIONS (compression 'zstd')"
+        f" PARTITIONED BY (month, batch_id) CLUSTERED BY ({keys}) SORTED BY (date) INTO {buckets} BUCKETS LOCATION '{place.toString()}'"
+    )
+    try:
+        spark.catalog.recoverPartitions(name)
+        yield name
+    finally:
+        # The files are not the table's own, so they stay.
+        spark.sql(f"DROP TABLE {name}")
+
+
 def refresh_corrected(
     arriving: DataFrame, arrivals_path: str, base_path: str, checkpoint: str, row_key: Sequence[str]
 ) -> StreamingQuery:
@@ -149,22 +187,30 @@ def refresh_corrected(
     Rows are stored raw, so that a row that makes an earlier one invalid counts as well; ``row_key`` (which must hold ``date``)
     names a row. The days that a batch touches are aggregated again from the newest arrival of each of their rows, and a
     day without a valid row goes.
+
+    Arrivals lie in folders by month and batch, and in these in buckets by their key. A batch is exchanged once, to the buckets;
+    the newest arrivals of any number of batches are then found bucket by bucket, and only aggregates are exchanged again. The first
+    batch's size says how many buckets there are.
     """
     if "date" not in row_key:
         raise ValueError("the key of a row must hold its date")
-    schema = _stored_schema(arriving)
+    schema, by = arriving.schema, _bucket_columns(arriving.schema, row_key)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        dated = batch.where(F.col("date").isNotNull()).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        write_counted(dated, arrivals_path, partition_by=["date", "batch_id"], replace="partitions")
-        stored = spark.read.schema(schema).parquet(arrivals_path)
-        rows = newest_arrivals(of_touched_days(stored, batch_id), row_key)
-        # Days of the batch (a bounded number of calendar days) whose rows are all invalid now go in the same step.
-        valid = reduce(and_, validity_rules(FOREVER).values())
-        days = rows.groupBy("date").agg(F.count_if(valid).alias("valid")).where("valid = 0")
-        emptied = {row["day"] for row in days.select(F.col("date").cast("string").alias("day")).collect()}
-        replace_days(daily_country_base(stage(rows, FOREVER)), base_path, emptied.__contains__)
+        buckets = _stored_buckets(spark, arrivals_path) or max(LEAST_BUCKETS, -(-batch.count() // ROWS_PER_BUCKET))
+        numbered = {"month": F.expr(MONTH), "batch_id": F.lit(batch_id).cast("bigint")}
+        dated = batch.where(F.col("date").isNotNull()).withColumns(numbered)
+        with _arrivals(spark, arrivals_path, schema, by, buckets) as name:
+            # A batch that is run again after a failure replaces its own folders.
+            with settings(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+                dated.repartition(buckets, *by).write.insertInto(name, overwrite=True)
+            stored = spark.table(name)
+            arrived = stored.where(F.col("batch_id") == batch_id).select(F.col("date").cast("string").alias("day")).distinct()
+            touched = {row["day"] for row in arrived.collect()}
+            rows = newest_arrivals(of_touched_days(stored, batch_id, ["month", "date"]).drop("month"), row_key)
+            # All touched days are replaced, so those whose rows are all invalid now go in the same step.
+            replace_days(daily_country_base(stage(rows, FOREVER)), base_path, touched.__contains__)
 
     return _run(arriving, refresh, checkpoint)
 

@@ -163,6 +163,29 @@ def test_stream_refresh_prunes_to_the_touched_days(spark, models, tmp_path):
     assert touched.count() == 2 * models.staged.where("date = date '2020-05-05'").count()
 
 
+def test_no_stored_row_is_exchanged_to_find_its_newest_arrival(spark, raw, tmp_path):
+    """Neither by the join with the touched days, however large the batch that they are read from, nor by the key."""
+    arrivals, stored, base, checkpoint = (str(tmp_path / name) for name in ("arrivals", "stored", "base", "checkpoint"))
+    key = ["date", "population", "gdp_per_capita_usd", "stringency_index"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = spark.read.parquet(raw.inputFiles()[0].rsplit("/date=", 1)[0]).selectExpr("*", "0L as batch_id")
+        assert "SortMergeJoin" not in executed(daily_stream.of_touched_days(plain, 0))
+        raw.where("date is not null").write.parquet(arrivals)
+        stream = daily_stream.raw_stream(spark, arrivals, raw.schema)
+        daily_stream.refresh_corrected(stream, stored, base, checkpoint, key).awaitTermination()
+        by = daily_stream._bucket_columns(raw.schema, key)
+        assert by == key[:3]
+        with daily_stream._arrivals(spark, stored, raw.schema, by, daily_stream._stored_buckets(spark, stored)) as name:
+            touched = daily_stream.of_touched_days(spark.table(name), 0, ["month", "date"])
+            rows = daily_stream.newest_arrivals(touched.drop("month"), key)
+            assert touched.count() == raw.where("date is not null").count()
+            # Only the touched days are exchanged.
+            assert set(re.findall(r"Exchange (\w+\(\w+)#", executed(rows))) == {"hashpartitioning(month"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_hot_supplier_is_split_when_the_join_is_sorted(spark, tmp_path):
     """A third of all line items belong to one supplier, and no side may be broadcast."""
     items = spark.read.parquet(f"{DIRECTORY}/lineitem.parquet").withColumn(

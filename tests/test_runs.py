@@ -466,6 +466,31 @@ def test_corrections_replace_the_row_they_correct(spark, tmp_path):
         daily_stream.refresh_corrected(first, stored, base_path, "c", ["place"])
 
 
+def test_a_correction_finds_its_row_by_any_key(spark, tmp_path):
+    """Keys with gaps and with both zeros of a double; the largest of a batch's rows with a key; a batch that is run again."""
+    arrivals, stored, base_path, checkpoint = (str(tmp_path / name) for name in ("arrivals", "stored", "base", "checkpoint"))
+    key = ["date", "country_code", "subregion1_name", "stringency_index"]
+
+    def process(*rows):
+        if rows:
+            raw_rows(spark, *rows).coalesce(1).write.mode("append").parquet(arrivals)
+        stream = daily_stream.raw_stream(spark, arrivals, raw_rows(spark).schema)
+        daily_stream.refresh_corrected(stream, stored, base_path, checkpoint, key).awaitTermination()
+        return {(r.date, r.country_code): r.total_new_cases for r in incremental.read_base(spark, base_path, date(2021, 5, 1)).collect()}
+
+    april = MARCH + timedelta(days=31)
+    first = [row(MARCH, "AA", "aa", cases, stringency_index=0.0) for cases in (5, 7, 6)]
+    first += [row(MARCH, "AA", "aa", 100, subregion1_name="S"), row(april, "AA", "aa", 1000), row(None, "AA", "aa", 1)]
+    assert process(*first) == {(MARCH, "AA"): 107, (april, "AA"): 1000}
+    second = [row(MARCH, "AA", "aa", 1, stringency_index=-0.0), row(MARCH, "BB", "bb", 3), row(april, "AA", "aa", 2000)]
+    expected = {(MARCH, "AA"): 101, (MARCH, "BB"): 3, (april, "AA"): 2000}
+    assert process(*second) == expected
+    for name in ("1", ".1.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+    assert process() == expected
+    assert not [table.name for table in spark.catalog.listTables() if table.name.startswith("arrivals_")]
+
+
 def test_a_micro_batch_that_is_run_again_counts_once(spark, tmp_path):
     """As after a crash between the writes of a batch and its commit."""
     arrivals, partials, base_path, checkpoint = (str(tmp_path / name) for name in ("a", "p", "b", "c"))
