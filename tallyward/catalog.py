@@ -393,7 +393,7 @@ def _sketched(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame
 def daily_distinct(spark: SparkSession, directory: str) -> DataFrame:
     """Distinct counts of days, and of months merged from the same sketches."""
     base, staged = _sketched(spark, directory)
-    return sketches.by_periods({kind: sketches.distinct_checks_by(base, staged, kind) for kind in sketches.PERIODS})
+    return sketches.distinct_checks(base, staged)
 
 
 def daily_quantiles(spark: SparkSession, directory: str) -> DataFrame:

@@ -18,6 +18,7 @@ from tallyward.operators.marts import GRAIN, MARTS, measures
 from tallyward.operators.observability import number
 from tallyward.operators.sketches import sketch_columns
 from tallyward.operators.staging import IDENTIFIERS, STAGED_COLUMNS
+from tallyward.session import settings
 
 MEASURES = tuple(name for name in STAGED_COLUMNS if name not in IDENTIFIERS)
 TESTED = NOT_NULL["stg_covid19"]
@@ -48,7 +49,9 @@ def profiled_base(staged: DataFrame, sketches: Iterable[str] = ()) -> DataFrame:
     columns = [F.count(F.lit(1)).alias("row_count")]
     columns += [F.count_if(F.col(name).isNull()).alias(f"gaps_{name}") for name in TESTED]
     columns += [value.alias(f"{kind}_{name}") for name in MEASURES for kind, value in _partials(name).items()]
-    return staged.groupBy(*GRAIN).agg(*measures(), *columns, *sketch_columns(staged.schema, sketches))
+    # A measure of the base may be named as the staged column it is of; the sketches are of the staged one.
+    with settings(staged.sparkSession, spark__sql__lateralColumnAlias__enableImplicitResolution="false"):
+        return staged.groupBy(*GRAIN).agg(*measures(), *columns, *sketch_columns(staged.schema, sketches))
 
 
 def _merged(name: str) -> dict[str, Column]:

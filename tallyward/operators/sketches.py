@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType, StructType
+from pyspark.sql.types import DoubleType, IntegralType, NumericType, StringType, StructType
 
 from tallyward.functions.frames import rows_from_aggregate
 from tallyward.operators.observability import LOOKBACK, MINIMUM_HISTORY, number
@@ -39,6 +39,19 @@ def _as_text(column: str, schema: StructType) -> Column:
     return F.concat(F.lit("="), (value + F.lit(0.0) if schema[column].dataType.typeName() == "double" else value).cast("string"))
 
 
+def _tails(value: Column) -> Column:
+    """How many values there are, and how many from each edge up.
+
+    They are counted by class, by one aggregate: a histogram with a bin for each class merges none, so it is exact, and it costs far less
+    than a count for each edge.
+    """
+    of_class = reduce(lambda a, b: a + b, [F.when(value >= edge, 1).otherwise(0) for edge in EDGES])
+    bins = F.histogram_numeric(F.when(value.isNotNull(), of_class.cast("double")), F.lit(len(EDGES) + 1))
+    classes = F.sequence(F.lit(0), F.lit(len(EDGES)))
+    tails = F.transform(classes, lambda c: F.aggregate(bins, F.lit(0.0), lambda n, b: n + F.when(b["x"] >= c - 0.5, b["y"]).otherwise(0.0)))
+    return F.transform(tails, lambda n: F.coalesce(n, F.lit(0.0)).cast("bigint"))
+
+
 def sketch_columns(schema: StructType, columns: Iterable[str]) -> list[Column]:
     """The aggregates to add to the base for the named staged columns, by their types."""
     found = []
@@ -47,7 +60,7 @@ def sketch_columns(schema: StructType, columns: Iterable[str]) -> list[Column]:
         found.append(F.hll_sketch_agg(_as_text(name, schema), F.lit(REGISTERS_LOG2)).alias(f"distinct_{name}"))
         if isinstance(kind, NumericType):
             found.append(F.kll_sketch_agg_double(value.cast("double"), F.lit(KLL_SIZE)).alias(f"quantiles_{name}"))
-            found.append(F.array(F.count(value), *[F.count_if(value >= edge) for edge in EDGES]).alias(f"tails_{name}"))
+            found.append(_tails(value).alias(f"tails_{name}"))
         elif isinstance(kind, StringType):
             length = F.length(value)
             found.append(
@@ -165,23 +178,59 @@ def distribution_anomalies(
 # --- checks against the rows -----------------------------------------------------------------------------------------
 
 
-def _long(rows: DataFrame, columns: Iterable[str], period: str, texts: bool) -> DataFrame:
+def _long(rows: DataFrame, columns: Iterable[str], period: str) -> DataFrame:
     """(period, column_name, value) of each row and column."""
-    value = {name: _as_text(name, rows.schema) if texts else F.col(name).cast("double") for name in columns}
-    pairs = F.array(*[F.struct(F.lit(name).alias("column_name"), v.alias("value")) for name, v in value.items()])
+    pairs = F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(name).cast("double").alias("value")) for name in columns])
     return _by(rows, period).select("period", F.inline(pairs))
 
 
-def distinct_checks_by(base: DataFrame, rows: DataFrame, period: str = "day", tolerance: float = 4 * DISTINCT_ERROR) -> DataFrame:
-    """(period, column_name, distinct_count, is_close): the exact count of the rows, and whether the sketches of the base agree.
+def _typed(column: str, schema: StructType) -> Column:
+    """A value in the field of its kind, null in the others: equal ones are those that are equal as texts, but cheaper to compare."""
+    value, kind = F.col(column), schema[column].dataType
+    field = "whole" if isinstance(kind, IntegralType) else "real" if isinstance(kind, DoubleType) else "text"
+    fields = {"whole": value.cast("bigint"), "real": value, "text": _as_text(column, schema)}
+    none = {"whole": "bigint", "real": "double", "text": "string"}
+    return F.struct(*[(fields[name] if name == field else F.lit(None).cast(none[name])).alias(name) for name in none])
+
+
+def distinct_counts(rows: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """(kind, period, column_name, distinct_count): the exact counts of all :data:`PERIODS`, in one pass over the rows.
 
-    The rows are counted as whole, equal values of a task once.
+    The rows are exchanged as the different values of a month, with the days that each occurs on as bits, equal values of a task once.
     """
-    exact = _long(rows, sketched(base, "distinct"), period, texts=True).distinct()
-    counts = exact.groupBy("period", "column_name").agg(F.count("value").alias("distinct_count"))
-    joined = counts.join(distinct_by(base, period), ["period", "column_name"])
+    columns = list(columns)
+    values = F.array(*[F.struct(F.lit(n).alias("place"), _typed(name, rows.schema).alias("value")) for n, name in enumerate(columns)])
+    on = F.expr("shiftleft(1, day(date) - 1)")
+    each = rows.select(F.expr(PERIODS["month"]).alias("month"), on.alias("day"), F.inline(values))
+    different = each.select("month", "day", "place", "value.*").groupBy("month", "place", "whole", "real", "text")
+    different = different.agg(F.bit_or("day").alias("days"))
+    present = F.coalesce(F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("text").isNotNull(), F.lit(False))
+    daily = F.array(*[F.count_if(present & (F.col("days").bitwiseAND(F.lit(1 << n)) != 0)) for n in range(31)])
+    counted = different.groupBy("month", "place").agg(F.bit_or("days").alias("days"), F.count_if(present).alias("monthly"), daily.alias("daily"))
+    name = F.element_at(F.array(*[F.lit(name) for name in columns]), F.col("place") + 1).alias("column_name")
+    monthly = F.array(F.struct(F.lit("month").alias("kind"), F.col("month").alias("period"), F.col("monthly").alias("distinct_count")))
+    # A day without a row of its own has no count; one whose values are all missing has 0.
+    days = F.filter(F.sequence(F.lit(0), F.lit(30)), lambda n: F.getbit("days", n) == 1)
+    of_days = F.transform(
+        days, lambda n: F.struct(F.lit("day").alias("kind"), F.date_add("month", n).alias("period"), F.get("daily", n).alias("distinct_count"))
+    )
+    return counted.select(name, F.inline(F.concat(monthly, of_days))).select("kind", "period", "column_name", "distinct_count")
+
+
+def distinct_checks(base: DataFrame, rows: DataFrame, tolerance: float = 4 * DISTINCT_ERROR) -> DataFrame:
+    """(kind, period, column_name, distinct_count, is_close) of all periods: the exact count of the rows, and whether the sketches of the
+    base agree. The rows are counted as whole, in one pass for all periods.
+    """
+    counts = distinct_counts(rows, sketched(base, "distinct"))
+    estimates = by_periods({kind: distinct_by(base, kind) for kind in PERIODS})
     close = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= F.lit(tolerance) * F.col("distinct_count")
-    return joined.select("period", "column_name", "distinct_count", close.alias("is_close"))
+    joined = counts.join(estimates, ["kind", "period", "column_name"])
+    return joined.select("kind", "period", "column_name", "distinct_count", close.alias("is_close"))
+
+
+def distinct_checks_by(base: DataFrame, rows: DataFrame, period: str = "day", tolerance: float = 4 * DISTINCT_ERROR) -> DataFrame:
+    """(period, column_name, distinct_count, is_close) of one kind of period."""
+    return distinct_checks(base, rows, tolerance).where(F.col("kind") == period).drop("kind")
 
 
 def quantile_checks_by(base: DataFrame, rows: DataFrame, period: str = "day", tolerance: float = RANK_TOLERANCE) -> DataFrame:
@@ -190,7 +239,7 @@ def quantile_checks_by(base: DataFrame, rows: DataFrame, period: str = "day", to
     ``extreme`` is the value of the quantiles 0 and 1. The rows meet the few estimates of their period and column.
     """
     estimates = quantiles_by(base, period)
-    values = _long(rows, sketched(base, "quantiles"), period, texts=False).where("value is not null")
+    values = _long(rows, sketched(base, "quantiles"), period).where("value is not null")
     distinct = values.groupBy("period", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     paired = distinct.join(estimates.withColumnRenamed("value", "estimate"), ["period", "column_name"])
     ranked = paired.groupBy("period", "column_name", "quantile", "value_count", "estimate").agg(

@@ -101,6 +101,45 @@ def test_the_base_with_sketches_is_one_scan_and_one_exchange(staged, tmp_path):
     assert "hll" not in executed(plain)
 
 
+def test_all_periods_are_counted_in_one_pass(spark, tmp_path):
+    """Both zeros and all that are no numbers are one value; a day whose values are all missing has none, a day without rows no count."""
+    cells = [(0, 1, 0.0, "a"), (0, 1, -0.0, ""), (0, 2, float("nan"), None), (0, None, float("nan"), "a"), (1, 1, 1.5, "a"), (2, None, None, None)]
+    cells += [(30, 3, 1.5, "b"), (31, 1, 0.0, "a")]
+    rows = [(MARCH + timedelta(days=day), "AA", "aa", *values) for day, *values in cells]
+    spark.createDataFrame(rows, "date date, country_code string, country_name string, n int, x double, s string").write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    assert exchanges(sketches.distinct_counts(stored, ["n", "x", "s"]))[0] == "hashpartitioning"
+    assert executed(sketches.distinct_counts(stored, ["n", "x", "s"])).count("FileScan") == 1
+    base = stored.groupBy("date", "country_code", "country_name").agg(*sketches.sketch_columns(stored.schema, ["n", "x", "s"]))
+    found = sketches.distinct_checks(base, stored).collect()
+    assert all(r.is_close for r in found)
+    april = (MARCH + timedelta(days=31)).replace(day=1)
+    expected = {("month", MARCH): (3, 3, 3), ("month", april): (1, 1, 1)}
+    expected |= {("day", MARCH + timedelta(days=d)): n for d, n in {0: (2, 2, 2), 1: (1, 1, 1), 2: (0, 0, 0), 30: (1, 1, 1), 31: (1, 1, 1)}.items()}
+    assert {(r.kind, r.period, r.column_name): r.distinct_count for r in found} == {
+        (*when, name): n for when, counts in expected.items() for name, n in zip("nxs", counts, strict=True)
+    }
+
+
+def test_tails_are_exact_and_one_aggregate(spark):
+    """However many tasks have a part of a group; values at the edges, above the last one, negative, missing and no numbers."""
+    rows = spark.range(0, 60_000, 1, 64).selectExpr(
+        "date'2021-03-01' as date", "concat('C', id % 2) as country_code", "'x' as country_name",
+        "case when id % 11 = 0 then null when id % 13 = 0 then double('nan') when id % 7 = 0 then -1.0d"
+        " else pow(2, id % 17) - id % 3 end as v", "cast(null as bigint) as none",
+    )
+    tails = sketches.sketch_columns(rows.schema, ["v", "none"])
+    found = rows.groupBy("date", "country_code", "country_name").agg(*tails)
+    assert executed(found).count("histogram_numeric") and "partial_count(CASE" not in executed(found)
+    values = {}
+    for r in rows.collect():
+        values.setdefault(r.country_code, []).append(r.v)
+    for r in found.collect():
+        here = [v for v in values[r.country_code] if v is not None]
+        assert r.tails_v == [len(here), *[sum(v >= edge or v != v for v in here) for edge in sketches.EDGES]]
+        assert r.tails_none == [0] * 16
+
+
 def daily_histograms(spark, days):
     """Days of values as a frame of histograms."""
     rows = []
