@@ -19,16 +19,22 @@ _COUNTS = np.array(COUNTS, np.int64)
 
 
 def _selectors(widths: np.ndarray, block: int) -> np.ndarray:
-    """For each place the selector of a word that begins there: the one with most numbers. ``widths``: a row for each padded block."""
-    widest = {1: widths}
-    while 2 * (k := max(widest)) <= max(COUNTS):
-        widest[2 * k] = np.maximum(widest[k][:, :-k], widest[k][:, k:])
+    """For each place the selector of a word that begins there: the one with most numbers. ``widths``: a row for each padded block.
+
+    Where no word of a kind can begin none with more, narrower numbers can, so kinds are tried up to the first that is nowhere possible.
+    """
+    widest, k = widths, 1
     chosen = np.empty((len(widths), block), np.uint8)
     for selector in reversed(range(len(COUNTS))):
         count = COUNTS[selector]
-        k = max(size for size in widest if size <= count)
-        largest = np.maximum(widest[k][:, :block], widest[k][:, count - k : count - k + block])
-        np.copyto(chosen, selector, where=largest <= BITS[selector])
+        while 2 * k <= count:
+            widest = np.maximum(widest[:, :-k], widest[:, k:])
+            k *= 2
+        largest = np.maximum(widest[:, :block], widest[:, count - k : count - k + block])
+        possible = largest <= BITS[selector]
+        if not possible.any():
+            break
+        np.copyto(chosen, selector, where=possible)
     return chosen
 
 

@@ -44,7 +44,7 @@ PIECE_BYTES = 1 << 20
 RECORD_IDS = 1 << 18
 RECORDS_PER_FILE = 64
 RECORDS_PER_PART = 16
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 3 << 17
 
 # Fixed values of the vocabulary: its split pattern, its special tokens' beginning, and the characters that stand for bytes (printable
 # ones of Latin-1 for themselves, the others from 256 on).
@@ -67,12 +67,13 @@ class Encoder(dict):
 
     def __init__(self, vocabulary: str = VOCABULARY, limit: int = CACHED_WORDS):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.ids = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.limit, self.older = limit, {}
 
     def _piece(self, text: str) -> bytes:
-        return b"".join([self.ids[token.id] for token in self.model.tokenize(text)])
+        ids = self.ids
+        return b"".join([ids[token.id] for token in self.tokenize(text)])
 
     def _word(self, word: bytes) -> bytes:
         letters = word.rstrip(b".,;:!?")
@@ -83,7 +84,8 @@ class Encoder(dict):
         text = word.decode()
         if not text.isascii() and max(text) > LAST_LATIN or SPECIAL in text:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces = PIECES.findall(text.lower())
+        text = text.lower()
+        pieces = [text] if text.isalpha() else PIECES.findall(text)
         if len(pieces) == 1:
             return self._piece(pieces[0].encode().decode("latin-1").translate(BYTE_LEVEL))
         return b"".join([self[piece.encode()] for piece in pieces])
@@ -95,11 +97,12 @@ class Encoder(dict):
         self[word] = ids
         return ids
 
-    def encode(self, text: bytes | None) -> np.ndarray:
+    def encode(self, text: bytes | None, end: bytes = b"") -> np.ndarray:
+        """The ids of a text, and those of ``end``, 32 bits each, behind them."""
         text = text or b""
         if SPECIAL.encode() not in text:
             text = text.lower()
-        ids = b"".join(map(self.__getitem__, text.split()))
+        ids = b"".join([*map(self.__getitem__, text.split()), end])
         if len(self) > self.limit:
             self.older = dict(self)
             self.clear()
@@ -185,7 +188,7 @@ def write_token_files(documents: DataFrame, path: str, vocabulary: str = VOCABUL
     ordered = given.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, encode_text, last = TaskContext.get().partitionId(), encoder(vocabulary).encode, np.array([end], "<u4")
+        task, encode_text, last = TaskContext.get().partitionId(), encoder(vocabulary).encode, end.to_bytes(4, "little")
         keys, texts, size, number = [], [], 0, 0
 
         def closed() -> pa.RecordBatch:
@@ -193,7 +196,7 @@ def write_token_files(documents: DataFrame, path: str, vocabulary: str = VOCABUL
 
         for batch in pieces_of(batches, "text", PIECE_BYTES):
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.append(encode_text(text.as_py()), last)
+                ids = encode_text(text.as_py(), last)
                 keys.append(key), texts.append(ids)
                 size += len(ids)
                 if size >= RECORD_IDS:

@@ -42,6 +42,22 @@ def test_ids_equal_those_of_the_tokenizer(text):
     assert encoded(text) == expected_ids(text)
 
 
+def test_the_end_is_encoded_with_the_text():
+    for text in ("Où est ÿ İstanbul? ǅ, ª.", "", "<|endoftext|>"):
+        assert ENCODER.encode(text.encode(), (2).to_bytes(4, "little")).tolist() == expected_ids(text)
+    assert ENCODER.encode(None, (2).to_bytes(4, "little")).tolist() == [2]
+
+
+@pytest.mark.parametrize("widest", [0, 1, 7, 16, 60])
+def test_the_kind_of_a_word_is_the_one_with_most_numbers(widest):
+    """Kinds are tried only up to the first that is nowhere possible, which leaves the same ones."""
+    widths = np.zeros((2, 300 + max(simple8b.COUNTS)), np.uint8)
+    widths[:, :300] = np.random.default_rng(7).integers(widest // 2, widest + 1, (2, 300))
+    kinds = list(enumerate(zip(simple8b.COUNTS, simple8b.BITS, strict=True)))
+    expected = [[next(n for n, (count, bits) in kinds if max(row[at : at + count]) <= bits) for at in range(300)] for row in widths.tolist()]
+    assert simple8b._selectors(widths, 300).tolist() == expected
+
+
 def test_words_are_forgotten_and_encoded_again():
     small = token_files.Encoder(limit=3)
     for text in ["a b, c d", "A B. c", "é-x e'll 12 <|endoftext|> D", "", "b b b b b"] * 3:
